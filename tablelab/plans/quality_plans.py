@@ -1 +1,154 @@
-"""Registered plans."""
+"""Registered plans: quarantine, drift, reconcile (build-list step 3)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tablelab.operators import quality as Q
+from tablelab.plans.registry import register
+from tablelab.session import table
+from tablelab.sources import derived as D
+
+_CSV_REASON = """case event_id % 10 when 1 then 'too_few_fields' when 2 then 'too_many_fields'
+                 when 3 then 'bad_type' when 4 then 'open_quote' end"""
+_JSON_REASON = "case event_id % 10 when 1 then 'not_json' when 2 then 'not_json' when 3 then 'bad_type' end"
+
+
+def _stack(good: DataFrame, bad: DataFrame, cols: list[str], extra: dict | None = None) -> DataFrame:
+    """good and bad rows in one table: parsed columns for good rows, reason + raw
+    line for bad ones."""
+    extra = extra or {}
+    g = good.select(
+        *cols,
+        *[e.alias(n) for n, e in extra.items()],
+        F.lit(None).cast("string").alias("reason"),
+        F.lit(None).cast("string").alias("value"),
+    )
+    b = bad.select(
+        *[F.lit(None).cast(good.schema[c].dataType).alias(c) for c in cols],
+        *[F.lit(None).cast("string").alias(n) for n in extra],
+        "reason",
+        "value",
+    )
+    return g.unionByName(b)
+
+
+@register(
+    "csv_quarantine",
+    f"""
+select case when event_id % 10 between 1 and 4 then null else event_id end as event_id,
+       case when event_id % 10 between 1 and 4 then null else user_id end as user_id,
+       case when event_id % 10 between 1 and 4 then null else event_type end as event_type,
+       {_CSV_REASON} as reason,
+       case event_id % 10
+         when 1 then concat(event_id, ',', user_id)
+         when 2 then concat(event_id, ',', user_id, ',', event_type, ',extra')
+         when 3 then concat(event_id, ',u', user_id, ',', event_type)
+         when 4 then concat(event_id, ',', user_id, ',"', event_type) end as value
+from events
+""",
+)
+def csv_quarantine(spark, sf_dir):
+    lines = D.csv_lines(table(spark, sf_dir, "events"))
+    good, bad = Q.parse_csv(lines, D.CSV_SCHEMA, header=D.CSV_HEADER)
+    return _stack(good, bad, ["event_id", "user_id", "event_type"])
+
+
+@register(
+    "json_quarantine",
+    f"""
+select case when event_id % 10 between 1 and 3 then null else event_id end as event_id,
+       case when event_id % 10 between 1 and 3 then null else user_id end as user_id,
+       case when event_id % 10 between 1 and 4 then null else event_type end as event_type,
+       case when event_id % 10 between 1 and 3 then null
+            when event_id % 10 = 5 then 'extra' else '' end as extra_keys,
+       {_JSON_REASON} as reason,
+       case event_id % 10
+         when 1 then concat('{{"event_id":', event_id, ',"user_id":', user_id, ',"event_type":"', event_type, '"')
+         when 2 then concat('garbage line ', event_id)
+         when 3 then concat('{{"event_id":', event_id, ',"user_id":"u', user_id, '","event_type":"', event_type, '"}}')
+       end as value
+from events
+""",
+)
+def json_quarantine(spark, sf_dir):
+    lines = D.json_lines(table(spark, sf_dir, "events"))
+    good, bad = Q.parse_json(lines, D.JSON_SCHEMA)
+    keys = F.array_join(F.array_sort(F.map_keys(Q.EXTRA)), ",")
+    return _stack(good, bad, ["event_id", "user_id", "event_type"], {"extra_keys": keys})
+
+
+@register(
+    "quarantine_summary",
+    f"""
+with t as (select count(*) as lines from events),
+b as (
+  select 'events.csv' as source, {_CSV_REASON} as reason from events where event_id % 10 between 1 and 4
+  union all
+  select 'events.json' as source, {_JSON_REASON} as reason from events where event_id % 10 between 1 and 3
+)
+select source, reason, count(*) as n, count(*) / max(t.lines) as share
+from b, t group by source, reason
+""",
+)
+def quarantine_summary(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    csv, js = D.csv_lines(events), D.json_lines(events)
+    bad = Q.parse_csv(csv, D.CSV_SCHEMA, header=D.CSV_HEADER).bad.unionByName(Q.parse_json(js, D.JSON_SCHEMA).bad)
+    totals = Q.line_totals(csv, header=D.CSV_HEADER).unionByName(Q.line_totals(js))
+    return Q.summarize_bad(bad, totals)
+
+
+# --- drift ---------------------------------------------------------------------
+
+DRIFT_ALIASES = {"orderkey": "o_orderkey"}
+RECONCILE_ALIASES = {"orderkey": "o_orderkey", "cust": "o_custkey"}
+
+
+def drifted_orders(orders: DataFrame) -> DataFrame:
+    """``orders`` as a drifted feed: one column renamed with a declared alias, one
+    renamed without, a type change, two columns swapped and one extra column."""
+    return orders.select(
+        F.col("o_orderkey").alias("orderkey"),
+        F.col("o_custkey").alias("cust"),
+        "o_orderstatus",
+        F.col("o_totalprice").cast("string").alias("o_totalprice"),
+        "o_orderpriority",
+        "o_orderdate",
+        F.pmod(F.col("o_orderkey"), F.lit(7)).alias("o_shippriority"),
+    )
+
+
+@register(
+    "schema_drift",
+    """
+select * from (values
+  ('o_orderkey', 'orderkey', 'renamed', 'bigint', 'bigint', 0, 0),
+  ('o_custkey', null, 'missing', 'bigint', null, 1, null),
+  ('o_orderstatus', 'o_orderstatus', 'same', 'string', 'string', 2, 2),
+  ('o_totalprice', 'o_totalprice', 'type_changed', 'double', 'string', 3, 3),
+  ('o_orderdate', 'o_orderdate', 'moved', 'timestamp_ntz', 'timestamp_ntz', 4, 5),
+  ('o_orderpriority', 'o_orderpriority', 'moved', 'string', 'string', 5, 4),
+  (null, 'cust', 'extra', null, 'bigint', null, 1),
+  (null, 'o_shippriority', 'extra', null, 'bigint', null, 6)
+) t(column_name, observed_name, status, baseline_type, observed_type, baseline_pos, observed_pos)
+""",
+)
+def schema_drift(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    return Q.schema_drift(spark, drifted_orders(orders), orders, DRIFT_ALIASES)
+
+
+@register(
+    "schema_reconcile",
+    """
+select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       concat('{"o_shippriority":"', o_orderkey % 7, '"}') as extra_json
+from orders
+""",
+)
+def schema_reconcile(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    fixed = Q.reconcile(drifted_orders(orders), orders, RECONCILE_ALIASES)
+    return fixed.withColumn("extra_json", F.to_json(Q.EXTRA)).drop(Q.EXTRA)
