@@ -1,4 +1,16 @@
 """tablelab: Spark DataFrame operators for skew, data quality, drift, versioned
 snapshots, late and duplicate stream data, and event-log analytics."""
 
+import sys as _sys
+
 __version__ = "0.1.0"
+
+# Functions that run in Python workers (mapInPandas, pandas UDFs) are pickled by
+# value, so executors need no installed copy of this package.  A cluster may still
+# ship it with --py-files; both work.
+try:
+    from pyspark import cloudpickle as _cp
+
+    _cp.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle without the API
+    pass

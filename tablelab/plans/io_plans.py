@@ -1 +1,116 @@
-"""Registered plans."""
+"""Registered plans: generators, unions, Parquet and catalog I/O, file audits (step 2)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tablelab.plans.registry import register
+from tablelab.session import scratch_dir, table
+from tablelab.sources import generate as G
+from tablelab.sources import io as IO
+from tablelab.sources import parquet_audit as PA
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents "
+    "embeddings pages benchmark labels conversations"
+).split()
+
+_HIST = "count(*) as n, min(transaction_id) as min_id, max(transaction_id) as max_id"
+
+
+def _histogram(df):
+    return df.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("transaction_id").alias("min_id"), F.max("transaction_id").alias("max_id")
+    )
+
+
+@register(
+    "gen_skewed",
+    f"""
+with c as (select (count(*) * 8 + 5) // 10 as hot from events),
+g as (select event_id as transaction_id,
+             cast(case when event_id < c.hot then 1 else (event_id - c.hot) % 50 + 2 end as bigint) as customer_id
+      from events, c)
+select customer_id, {_HIST} from g group by customer_id
+""",
+)
+def gen_skewed(spark, sf_dir):
+    # One generated row per event: the set grows with the table.
+    ids = table(spark, sf_dir, "events").select("event_id")
+    return _histogram(G.gen_skewed(spark, rows=None, ids=ids))
+
+
+@register(
+    "gen_uniform",
+    f"""
+with g as (select event_id as transaction_id, event_id % 100 + 1 as customer_id from events)
+select customer_id, {_HIST} from g group by customer_id
+""",
+)
+def gen_uniform(spark, sf_dir):
+    ids = table(spark, sf_dir, "events").select("event_id")
+    return _histogram(G.gen_uniform(spark, rows=None, ids=ids))
+
+
+@register(
+    "union_all_parts",
+    """
+select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       case when o_orderstatus = 'P' then null else o_orderpriority end as o_orderpriority
+from orders
+""",
+)
+def union_all_parts(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    f = orders.where(F.col("o_orderstatus") == "F")
+    # Same columns in another order: matched by name, not position.
+    o = orders.where(F.col("o_orderstatus") == "O").select(*reversed(orders.columns))
+    # A part without o_orderpriority: null there.
+    p = orders.where(F.col("o_orderstatus") == "P").drop("o_orderpriority")
+    return IO.union_all([f, o, p], allow_missing=True)
+
+
+@register("roundtrip_parquet", "select * from orders")
+def roundtrip_parquet(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    return IO.roundtrip_parquet(orders, scratch_dir(spark, "roundtrip"), partition_by=["o_orderstatus"])
+
+
+@register(
+    "catalog_roundtrip",
+    "select 't' as table_name, count(*) as rows_written, count(*) as rows_read from nation",
+)
+def catalog_roundtrip(spark, sf_dir):
+    return IO.catalog_roundtrip(spark, table(spark, sf_dir, "nation"))
+
+
+@register("file_inventory")
+def file_inventory(spark, sf_dir):
+    expected = [f"{t}.parquet" for t in TABLES] + ["missing.parquet"]
+    return IO.file_inventory(spark, sf_dir, expected, glob="*.parquet")
+
+
+def _audit_fixture(spark, sf_dir) -> str:
+    """orders as four healthy files plus one corrupt file, in a fresh scratch folder."""
+    root = scratch_dir(spark, "audit")
+    orders = table(spark, sf_dir, "orders")
+    orders.repartition(4, "o_orderkey").write.parquet(f"{root}/good")
+    PA.write_corrupt_parquet(spark, f"{root}/broken")
+    return root
+
+
+@register("parquet_audit")
+def parquet_audit(spark, sf_dir):
+    audit = PA.audit_parquet(spark, _audit_fixture(spark, sf_dir))
+    return audit.select(
+        F.element_at(F.split("path", "/"), -2).alias("folder"), "length", "ok", "num_rows", "num_row_groups", "reason"
+    )
+
+
+@register("read_healthy", "select * from orders")
+def read_healthy(spark, sf_dir):
+    root = _audit_fixture(spark, sf_dir)
+    rows, skipped = PA.read_healthy(spark, root, table(spark, sf_dir, "orders").schema)
+    if skipped.count() != 1:
+        raise AssertionError("the corrupt file must be reported")
+    return rows
