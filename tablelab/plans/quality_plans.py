@@ -152,3 +152,47 @@ def schema_reconcile(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     fixed = Q.reconcile(drifted_orders(orders), orders, RECONCILE_ALIASES)
     return fixed.withColumn("extra_json", F.to_json(Q.EXTRA)).drop(Q.EXTRA)
+
+
+# --- expectations ----------------------------------------------------------------
+
+from tablelab.operators import expect as X  # noqa: E402
+
+
+@register(
+    "expectations",
+    """
+select 0 as ordinal, 'o_custkey not null' as label, count_if(o_custkey is null) = 0 as passed,
+       count_if(o_custkey is null) as violations, concat('violations=', count_if(o_custkey is null)) as detail from orders
+union all
+select 1, 'o_totalprice in [0, 500000]', count_if(o_totalprice < 0 or o_totalprice > 500000) = 0,
+       count_if(o_totalprice < 0 or o_totalprice > 500000),
+       concat('violations=', count_if(o_totalprice < 0 or o_totalprice > 500000)) from orders
+union all
+select 2, 'o_totalprice <= 400000', count_if(o_totalprice > 400000) = 0, count_if(o_totalprice > 400000),
+       concat('violations=', count_if(o_totalprice > 400000)) from orders
+union all
+select 3, 'row count >= 1000', count(*) >= 1000, cast(count(*) < 1000 as bigint), concat('rows=', count(*)) from orders
+union all
+select 4, 'o_orderkey unique', count(*) = 0, count(*), concat('duplicate keys=', count(*))
+from (select o_orderkey from orders where o_orderkey is not null group by o_orderkey having count(*) > 1)
+union all
+select 5, 'has o_orderpriority', true, 0, 'ok'
+union all
+select 6, 'lacks region', true, 0, 'ok'
+""",
+)
+def expectations(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    return X.expect(
+        orders,
+        [
+            X.not_null("o_custkey"),
+            X.in_range("o_totalprice", 0, 500000),
+            X.satisfies("o_totalprice <= 400000", "o_totalprice <= 400000"),
+            X.row_count(lo=1000, label="row count >= 1000"),
+            X.unique("o_orderkey"),
+            X.has_columns(["o_orderpriority"]),
+            X.lacks_columns(["region"]),
+        ],
+    )

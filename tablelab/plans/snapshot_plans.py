@@ -1 +1,106 @@
-"""Registered plans."""
+"""Registered plans: versioned snapshot sets (build-list step 5).
+
+Seeding follows the reference's two-version table on ``orders``: version 0 is the
+even order keys without ``o_orderpriority`` (overwrite), version 1 appends the odd
+keys with it (schema merged).  Each plan seeds a fresh folder in shared scratch.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tablelab.operators.snapshots import Snapshots
+from tablelab.plans.registry import register
+from tablelab.session import scratch_dir, table
+
+V0_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
+
+
+def seed(spark, sf_dir, snaps: Snapshots | None = None) -> Snapshots:
+    snaps = snaps or Snapshots(spark, scratch_dir(spark, "snapshots"))
+    orders = table(spark, sf_dir, "orders")
+    even = F.pmod(F.col("o_orderkey"), F.lit(2)) == 0
+    snaps.commit(orders.where(even).select(*V0_COLS), mode="overwrite")
+    snaps.commit(orders.where(~even), mode="append", merge_schema=True)
+    return snaps
+
+
+@register(
+    "snap_latest",
+    """
+select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       case when o_orderkey % 2 = 0 then null else o_orderpriority end as o_orderpriority
+from orders
+""",
+)
+def snap_latest(spark, sf_dir):
+    return seed(spark, sf_dir).read()
+
+
+@register(
+    "snap_as_of",
+    "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate from orders where o_orderkey % 2 = 0",
+)
+def snap_as_of(spark, sf_dir):
+    return seed(spark, sf_dir).read(version=0)
+
+
+_HISTORY_SQL = """
+select {gen} as generation, 0 as version, 'overwrite' as operation, count_if(o_orderkey % 2 = 0) as num_rows,
+       5 as num_columns from orders
+union all
+select {gen}, 1, 'append', count_if(o_orderkey % 2 = 1), 6 from orders
+"""
+
+
+@register("snap_history", _HISTORY_SQL.format(gen=0))
+def snap_history(spark, sf_dir):
+    return seed(spark, sf_dir).history().drop("committed_at")
+
+
+@register("snap_reset", _HISTORY_SQL.format(gen=1))
+def snap_reset(spark, sf_dir):
+    # Seeding twice, with a reset in between, ends at exactly two versions.
+    snaps = seed(spark, sf_dir)
+    snaps.reset()
+    return seed(spark, sf_dir, snaps).history().drop("committed_at")
+
+
+@register(
+    "snap_schema_diff",
+    "select 'o_orderpriority' as column_name, 'added' as change, cast(null as varchar) as from_type, 'string' as to_type",
+)
+def snap_schema_diff(spark, sf_dir):
+    return seed(spark, sf_dir).schema_diff(0, 1)
+
+
+@register(
+    "snap_changes",
+    """
+select 'added' as change, o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+from orders where o_orderkey % 2 = 1
+""",
+)
+def snap_changes(spark, sf_dir):
+    return seed(spark, sf_dir).changes(0, 1)
+
+
+@register(
+    "snap_changes_overwrite",
+    """
+select 'added' as change, o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       o_orderpriority from orders where o_orderstatus = 'F' and o_orderkey % 2 = 0
+union all
+select 'removed', o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       case when o_orderkey % 2 = 0 then null else o_orderpriority end
+from orders where o_orderstatus <> 'F' or o_orderkey % 2 = 0
+""",
+)
+def snap_changes_overwrite(spark, sf_dir):
+    # After an overwrite the versions share no folder: compared with EXCEPT ALL.
+    # Even-key 'F' rows differ (o_orderpriority was null in version 1), so they are
+    # both removed (old form) and added (new form).
+    snaps = seed(spark, sf_dir)
+    orders = table(spark, sf_dir, "orders")
+    snaps.commit(orders.where(F.col("o_orderstatus") == "F"), mode="overwrite")
+    return snaps.changes(1, 2)
