@@ -1 +1,118 @@
-"""Registered plans."""
+"""Registered plans: skew-aware aggregation and joins, layout reports (step 6).
+
+Skew is injected into ``events`` by rule: ``customer_id`` = 1 for 80% of rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tablelab.operators import skew as S
+from tablelab.plans.registry import register
+from tablelab.session import table
+from tablelab.sources.derived import skewed_events
+
+_SKEWED = "(select *, case when event_id % 10 < 8 then 1 else user_id + 2 end as customer_id from events)"
+
+def _aggs():
+    return [
+        S.Agg("n", "count"),
+        S.Agg("total", "sum", F.col("value").cast("decimal(18,2)")),
+        S.Agg("lo", "min", "value"),
+        S.Agg("hi", "max", "value"),
+    ]
+
+
+@register(
+    "salted_agg",
+    f"""
+select customer_id, count(*) as n, cast(sum(cast(value as decimal(18,2))) as double) as total,
+       min(value) as lo, max(value) as hi
+from {_SKEWED} s group by customer_id
+""",
+)
+def salted_agg(spark, sf_dir):
+    out = S.salted_agg(skewed_events(table(spark, sf_dir, "events")), "customer_id", _aggs(), n=16)
+    return out.withColumn("total", F.col("total").cast("double"))
+
+
+@register(
+    "salted_join",
+    """
+select l_orderkey, l_linenumber, l_quantity, o_custkey, o_orderstatus
+from lineitem join orders on o_orderkey = l_orderkey
+""",
+)
+def salted_join(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus"
+    )
+    return S.salted_join(li, orders, "l_orderkey", n=8, how="inner")
+
+
+@register(
+    "salted_join_hot",
+    f"""
+select s.event_id, s.customer_id, c.c_name, c.c_nationkey
+from {_SKEWED} s left join customer c on c.c_custkey = s.customer_id
+""",
+)
+def salted_join_hot(spark, sf_dir):
+    ev = skewed_events(table(spark, sf_dir, "events")).select("event_id", "customer_id")
+    cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"), "c_name", "c_nationkey")
+    from tablelab.operators.profile import key_frequency
+
+    hot = key_frequency(ev, "customer_id", top=10).where(F.col("share") >= 0.05)
+    return S.salted_join(ev, cust, "customer_id", n=16, how="left", hot_keys=hot)
+
+
+@register(
+    "hot_key_join",
+    f"""
+select s.event_id, s.customer_id, c.c_name, c.c_nationkey
+from {_SKEWED} s left join customer c on c.c_custkey = s.customer_id
+""",
+)
+def hot_key_join(spark, sf_dir):
+    ev = skewed_events(table(spark, sf_dir, "events")).select("event_id", "customer_id")
+    cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"), "c_name", "c_nationkey")
+    return S.hot_key_join(ev, cust, "customer_id", threshold=0.05, how="left")
+
+
+@register(
+    "preagg_join",
+    """
+select n_name, count(*) as orders, cast(sum(cast(o_totalprice as decimal(18,2))) as double) as revenue,
+       max(o_totalprice) as max_price
+from orders join customer on c_custkey = o_custkey join nation on n_nationkey = c_nationkey
+group by n_name
+""",
+)
+def preagg_join(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    dim = table(spark, sf_dir, "customer").join(
+        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    aggs = [
+        S.Agg("orders", "count"),
+        S.Agg("revenue", "sum", F.col("o_totalprice").cast("decimal(18,2)")),
+        S.Agg("max_price", "max", "o_totalprice"),
+    ]
+    out = S.preagg_join(orders, dim, "o_custkey", "c_custkey", aggs, ["n_name"])
+    return out.withColumn("revenue", F.col("revenue").cast("double"))
+
+
+@register("partition_balance")
+def partition_balance(spark, sf_dir):
+    return S.partition_balance(table(spark, sf_dir, "lineitem").repartition(8, "l_orderkey"))
+
+
+@register("partition_balance_range")
+def partition_balance_range(spark, sf_dir):
+    return S.partition_balance(S.balance_by_range(table(spark, sf_dir, "lineitem"), "l_orderkey", 8))
+
+
+@register("file_layout")
+def file_layout(spark, sf_dir):
+    return S.file_layout(table(spark, sf_dir, "lineitem")).drop("file_path")
