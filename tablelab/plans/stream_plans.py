@@ -1 +1,189 @@
-"""Registered plans."""
+"""Registered plans: Structured Streaming (build-list step 7).
+
+Each plan runs a real stream over the driver's ``events`` file (file source,
+``availableNow``) into a fresh sink in shared scratch and returns the sink as a
+table.  Append mode emits a window only once the watermark has passed it, so the
+oracles keep the windows that end at or before ``max(ts) - delay``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tablelab.functions import exact_sum
+from tablelab.plans.registry import register
+from tablelab.session import scratch_dir, table
+from tablelab.sources import derived as D
+from tablelab.streaming import runner as R
+from tablelab.streaming import windows as W
+
+
+def _events_stream(spark, sf_dir, **kw):
+    schema = table(spark, sf_dir, "events").schema
+    return R.file_stream(spark, sf_dir, schema, glob="events.parquet", **kw)
+
+
+def _run(spark, df, name):
+    root = scratch_dir(spark, name)
+    R.run_available(df, f"{root}/sink", f"{root}/checkpoint")
+    return R.read_sink(spark, f"{root}/sink", df.schema)
+
+
+def _aggs():
+    return [F.count(F.lit(1)).alias("n"), exact_sum("value").alias("total")]
+
+
+@register(
+    "stream_tumbling",
+    """
+with w as (select time_bucket(interval '1 hour', ts) as window_start, count(*) as n,
+                  cast(sum(cast(value as decimal(38,2))) as double) as total
+           from events group by 1)
+select window_start, window_start + interval '1 hour' as window_end, n, total from w
+where window_start + interval '1 hour' <= (select max(ts) from events) - interval '1 hour'
+""",
+)
+def stream_tumbling(spark, sf_dir):
+    out = W.windowed(_events_stream(spark, sf_dir), "ts", "1 hour", _aggs(), delay="1 hour")
+    return _run(spark, out, "tumbling")
+
+
+@register(
+    "stream_sliding",
+    """
+with k as (select * from events, range(4) r(k)),
+w as (select time_bucket(interval '6 hours', ts) - k * interval '6 hours' as window_start, count(*) as n,
+             cast(sum(cast(value as decimal(38,2))) as double) as total
+      from k group by 1)
+select window_start, window_start + interval '1 day' as window_end, n, total from w
+where window_start + interval '1 day' <= (select max(ts) from events) - interval '1 hour'
+""",
+)
+def stream_sliding(spark, sf_dir):
+    out = W.windowed(_events_stream(spark, sf_dir), "ts", "1 day", _aggs(), slide="6 hours", delay="1 hour")
+    return _run(spark, out, "sliding")
+
+
+@register(
+    "stream_session",
+    """
+with e as (
+  select user_id, ts, value,
+         case when ts - lag(ts) over (partition by user_id order by ts) < interval '6 hours' then 0 else 1 end as brk
+  from events),
+s as (select *, sum(brk) over (partition by user_id order by ts rows unbounded preceding) as sid from e)
+select user_id, min(ts) as session_start, max(ts) + interval '6 hours' as session_end, count(*) as n,
+       cast(sum(cast(value as decimal(38,2))) as double) as total
+from s group by user_id, sid
+having max(ts) + interval '6 hours' <= (select max(ts) from events) - interval '1 hour'
+""",
+)
+def stream_session(spark, sf_dir):
+    out = W.sessions(_events_stream(spark, sf_dir), "user_id", "ts", "6 hours", _aggs(), delay="1 hour")
+    return _run(spark, out, "session")
+
+
+_EVENT_COLS = "event_id, ts, user_id, event_type, value, props"
+
+
+@register(
+    "stream_dedup",
+    f"select {_EVENT_COLS} from events where event_id % 2 = 0 or event_id % 3 = 0",
+)
+def stream_dedup(spark, sf_dir):
+    # Two files with overlapping rows (ids divisible by 2, and by 3); a second run
+    # after a restart with no new input must emit nothing more.
+    root = scratch_dir(spark, "dedup")
+    events = table(spark, sf_dir, "events")
+    events.where(F.pmod("event_id", F.lit(2)) == 0).write.parquet(f"{root}/input/a")
+    events.where(F.pmod("event_id", F.lit(3)) == 0).write.parquet(f"{root}/input/b")
+    src = R.file_stream(spark, f"{root}/input/*", events.schema)
+    out = W.dedup(src, "event_id", "ts", delay="1 day")
+    for _ in range(2):
+        R.run_available(out, f"{root}/sink", f"{root}/checkpoint")
+    return R.read_sink(spark, f"{root}/sink", events.schema)
+
+
+@register("stream_resume", f"select {_EVENT_COLS} from events")
+def stream_resume(spark, sf_dir):
+    # Run on the first half, add the second half, run again: equals one full run.
+    root = scratch_dir(spark, "resume")
+    events = table(spark, sf_dir, "events")
+    half = events.agg(F.max("event_id")).scalar()
+    first = events.where(F.col("event_id") <= half / 2)
+    second = events.where(~(F.col("event_id") <= half / 2))
+    first.write.parquet(f"{root}/input/part1")
+    src = R.file_stream(spark, f"{root}/input/*", events.schema)
+    R.run_available(src, f"{root}/sink", f"{root}/checkpoint")
+    second.write.parquet(f"{root}/input/part2")
+    R.run_available(src, f"{root}/sink", f"{root}/checkpoint")
+    return R.read_sink(spark, f"{root}/sink", events.schema)
+
+
+_LATE_SQL = """
+with e as (
+  select event_id * 10 // (select count(*) from events) as batch,
+         case when event_id % 20 = 0 then ts - interval '10 days' else ts end as ts
+  from events),
+b as (select batch, max(ts) as mx from e group by batch),
+w as (select batch, max(mx) over (order by batch rows between unbounded preceding and 2 preceding)
+                    - interval '1 hour' as watermark from b)
+select e.batch, count(*) as rows,
+       count_if(coalesce(time_bucket(interval '1 hour', e.ts) + interval '1 hour' <= w.watermark, false)) as late_rows, w.watermark
+from e join w on e.batch = w.batch group by e.batch, w.watermark
+"""
+
+
+def late_arrivals(events):
+    """``events`` in ten arrival batches, every 20th row 10 days late."""
+    n = events.agg(F.count(F.lit(1))).scalar()
+    shifted = F.when(F.pmod("event_id", F.lit(20)) == 0, F.col("ts") - F.expr("INTERVAL 10 DAYS")).otherwise(F.col("ts"))
+    return events.select(
+        "event_id", F.floor(F.col("event_id") * 10 / F.lit(n)).cast("long").alias("batch"),
+        shifted.alias("ts"), "value",
+    )
+
+
+@register("late_report", _LATE_SQL)
+def late_report(spark, sf_dir):
+    arrivals = late_arrivals(table(spark, sf_dir, "events"))
+    return W.late_report(arrivals, "batch", "ts", "1 hour", "1 hour")
+
+
+@register("stream_late_windows")
+def stream_late_windows(spark, sf_dir):
+    # The real stream over the ten arrival batches; rows it keeps must equal the
+    # non-late rows of late_report on closed windows (checked in the tests).
+    root = scratch_dir(spark, "late")
+    arrivals = late_arrivals(table(spark, sf_dir, "events"))
+    for b in range(10):
+        arrivals.where(F.col("batch") == b).drop("batch").coalesce(1).write.parquet(f"{root}/input/b{b:02d}")
+    src = R.file_stream(spark, f"{root}/input/*", arrivals.drop("batch").schema, max_files_per_trigger=1)
+    out = W.windowed(src, "ts", "1 hour", _aggs(), delay="1 hour")
+    return _run(spark, out, "late-windows")
+
+
+@register(
+    "stream_json_quarantine",
+    """
+select case when event_id % 10 between 1 and 3 then null else event_id end as event_id,
+       case when event_id % 10 between 1 and 3 then null else user_id end as user_id,
+       case when event_id % 10 between 1 and 4 then null else event_type end as event_type,
+       case event_id % 10 when 1 then 'not_json' when 2 then 'not_json' when 3 then 'bad_type' end as reason
+from events
+""",
+)
+def stream_json_quarantine(spark, sf_dir):
+    root = scratch_dir(spark, "json-stream")
+    D.json_lines(table(spark, sf_dir, "events")).select("value").write.text(f"{root}/input")
+    stream = R.bus_shape(spark.readStream.format("text").load(f"{root}/input"))
+    R.quarantine_stream(stream, D.JSON_SCHEMA, f"{root}/good", f"{root}/bad", f"{root}/checkpoint")
+    good = spark.read.parquet(f"{root}/good").select(
+        "event_id", "user_id", "event_type", F.lit(None).cast("string").alias("reason")
+    )
+    bad = spark.read.parquet(f"{root}/bad").select(
+        *[F.lit(None).cast(t).alias(c) for c, t in (("event_id", "long"), ("user_id", "long"), ("event_type", "string"))],
+        "reason",
+    )
+    return good.unionByName(bad)
+
