@@ -68,3 +68,64 @@ def skewed_events(events: DataFrame) -> DataFrame:
     from tablelab.sources.generate import skew_keys
 
     return skew_keys(events, "event_id", "user_id", "customer_id")
+
+
+def task_end_lines(events: DataFrame) -> DataFrame:
+    """Spark event-log lines derived from ``events``: one ``SparkListenerTaskStart``
+    and one ``SparkListenerTaskEnd`` per event.  Stage = ``user_id % 10``, executor =
+    ``user_id % 4``, run time = ``round(value)`` ms, a failure when ``event_type =
+    'error'`` (FetchFailed for even ids, ExceptionFailure for odd ones)."""
+    from tablelab.functions import ntz_to_instant
+
+    launch = F.unix_millis(ntz_to_instant("ts"))
+    run = F.round("value").cast("long")
+    error = F.col("event_type") == "error"
+    reason = F.when(~error, F.lit("Success")).when(F.pmod("event_id", F.lit(2)) == 0, F.lit("FetchFailed")).otherwise(
+        F.lit("ExceptionFailure")
+    )
+    executor = F.pmod("user_id", F.lit(4)).cast("string")
+    purchase = F.col("event_type") == "purchase"
+    end = F.struct(
+        F.lit("SparkListenerTaskEnd").alias("Event"),
+        F.pmod("user_id", F.lit(10)).alias("Stage ID"),
+        F.lit(0).alias("Stage Attempt ID"),
+        F.lit("ResultTask").alias("Task Type"),
+        F.struct(
+            reason.alias("Reason"),
+            F.when(reason == "ExceptionFailure", F.lit("java.lang.RuntimeException")).alias("Class Name"),
+        ).alias("Task End Reason"),
+        F.struct(
+            F.col("event_id").alias("Task ID"),
+            F.lit(0).alias("Attempt"),
+            launch.alias("Launch Time"),
+            (launch + run + 5).alias("Finish Time"),
+            executor.alias("Executor ID"),
+            F.concat(F.lit("host-"), executor).alias("Host"),
+            error.alias("Failed"),
+            F.lit(False).alias("Killed"),
+        ).alias("Task Info"),
+        F.struct(
+            run.alias("Executor Run Time"),
+            (run * 1000000).alias("Executor CPU Time"),
+            F.pmod("event_id", F.lit(7)).alias("JVM GC Time"),
+            F.when(purchase, F.col("event_id") * 1024).otherwise(F.lit(0)).alias("Memory Bytes Spilled"),
+            F.when(purchase, F.col("event_id") * 512).otherwise(F.lit(0)).alias("Disk Bytes Spilled"),
+            (F.col("user_id") * 1000).alias("Peak Execution Memory"),
+            F.struct((F.col("event_id") * 8).alias("Bytes Read"), F.lit(1).alias("Records Read")).alias("Input Metrics"),
+            F.struct(
+                F.pmod("user_id", F.lit(5)).alias("Fetch Wait Time"),
+                (F.col("event_id") * 10).alias("Remote Bytes Read"),
+                (F.col("event_id") * 3).alias("Local Bytes Read"),
+                F.pmod("event_id", F.lit(100)).alias("Total Records Read"),
+            ).alias("Shuffle Read Metrics"),
+            F.struct(
+                (F.col("user_id") * 100).alias("Shuffle Bytes Written"), F.lit(1).alias("Shuffle Records Written")
+            ).alias("Shuffle Write Metrics"),
+        ).alias("Task Metrics"),
+    )
+    start = F.struct(
+        F.lit("SparkListenerTaskStart").alias("Event"),
+        F.pmod("user_id", F.lit(10)).alias("Stage ID"),
+        F.struct(F.col("event_id").alias("Task ID"), launch.alias("Launch Time")).alias("Task Info"),
+    )
+    return events.select(F.explode(F.array(F.to_json(start), F.to_json(end))).alias("value"))
