@@ -47,6 +47,7 @@ def entries() -> dict[str, Entry]:
         skew_plans,
         snapshot_plans,
         stream_plans,
+        udf_plans,
     )
 
     return dict(_ENTRIES)
