@@ -53,6 +53,7 @@ class Snapshots:
         self.spark = spark
         self.path = path.rstrip("/")
         self.log_path = f"{self.path}/_log"
+        self._cache: list[dict] | None = None
 
     # --- log ---------------------------------------------------------------------
 
@@ -70,9 +71,16 @@ class Snapshots:
             raise
 
     def _entries(self) -> list[dict]:
-        # The log grows with the number of commits, not with the data.
-        rows = self.log().orderBy("generation", "version").collect()
-        return [r.asDict() for r in rows]
+        # The log grows with the number of commits, not with the data.  With a
+        # single writer the copy read after our own last commit stays valid.
+        if self._cache is None:
+            rows = self.log().orderBy("generation", "version").collect()
+            self._cache = [r.asDict() for r in rows]
+        return self._cache
+
+    def refresh(self) -> None:
+        """Forget the cached log (after another process committed)."""
+        self._cache = None
 
     def _state(self) -> tuple[int, dict | None]:
         entries = self._entries()
@@ -86,6 +94,7 @@ class Snapshots:
         row = (gen, version, op, dirs, schema.json() if schema else None, n, _dt.datetime.now(_dt.timezone.utc))
         entry = self.spark.createDataFrame([row], LOG_SCHEMA).coalesce(1)
         entry.write.mode("errorifexists").parquet(f"{self.log_path}/g{gen:06d}-v{version:06d}-{op}")
+        self._cache = None
 
     # --- writes --------------------------------------------------------------------
 

@@ -36,11 +36,22 @@ def _schema(schema: T.StructType | str) -> T.StructType:
     return schema
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Python work is CPU-bound: when the input has fewer partitions than the
+    cluster has cores (a few small files), spread it round-robin first.  Large
+    inputs already have enough partitions and are left alone (no shuffle)."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def map_vectorized(
     df: DataFrame,
     fn: Callable[[pd.DataFrame, Any], pd.DataFrame],
     schema: T.StructType | str,
     setup: Callable[[], Any] | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
     """``fn(batch, resource) -> DataFrame`` on Arrow batches; ``resource = setup()``
     is created once per task, inside the task."""
@@ -50,7 +61,7 @@ def map_vectorized(
         for pdf in batches:
             yield fn(pdf, resource)
 
-    return df.mapInPandas(run, _schema(schema))
+    return spread(df, min_partitions).mapInPandas(run, _schema(schema))
 
 
 def map_catching(
@@ -58,6 +69,8 @@ def map_catching(
     fn: Callable[[pd.DataFrame, Any], pd.DataFrame],
     schema: T.StructType | str,
     setup: Callable[[], Any] | None = None,
+    leaf_rows: int = 32,
+    min_partitions: int | None = None,
 ) -> DataFrame:
     """Like :func:`map_vectorized`; rows whose call raises come back as error rows.
 
@@ -77,23 +90,38 @@ def map_catching(
         res["__error_message"] = None
         return res
 
-    def err_frame(row: pd.DataFrame, e: Exception) -> pd.DataFrame:
-        rec = json.loads(row.to_json(orient="records", date_format="iso"))[0]
-        err = pd.DataFrame({n: [None] for n in names})
+    def err_frame(rows: pd.DataFrame, errors: list[Exception]) -> pd.DataFrame:
+        records = json.loads(rows.to_json(orient="records", date_format="iso"))
+        err = pd.DataFrame({n: [None] * len(errors) for n in names})
         err["__ok"] = False
-        err["__input"] = json.dumps(rec, sort_keys=True)
-        err["__error_class"] = type(e).__name__
-        err["__error_message"] = str(e)[:1000]
+        err["__input"] = [json.dumps(r, sort_keys=True) for r in records]
+        err["__error_class"] = [type(e).__name__ for e in errors]
+        err["__error_message"] = [str(e)[:1000] for e in errors]
         return err
 
+    def one_by_one(pdf: pd.DataFrame, resource: Any) -> list[pd.DataFrame]:
+        oks, bad, errors = [], [], []
+        for i in range(len(pdf)):
+            try:
+                oks.append(fn(pdf.iloc[i : i + 1], resource))
+            except Exception as e:  # the row is the unit of failure
+                bad.append(i)
+                errors.append(e)
+        out = [ok_frame(pd.concat(oks, ignore_index=True))] if oks else []
+        if bad:
+            out.append(err_frame(pdf.iloc[bad], errors))
+        return out
+
     def attempt(pdf: pd.DataFrame, resource: Any) -> list[pd.DataFrame]:
-        # Whole batch first; on failure split in halves, so k bad rows cost
-        # O(k log n) calls instead of one call per row.
+        # Whole batch first; a failing batch is halved while it is large, so k bad
+        # rows among n cost about k log(n / leaf) calls, then small pieces go row by
+        # row (dense errors would otherwise cost two calls per row).
         try:
             return [ok_frame(fn(pdf, resource))]
-        except Exception as e:  # the row is the unit of failure
-            if len(pdf) == 1:
-                return [err_frame(pdf, e)]
+        except Exception:
+            pass
+        if len(pdf) <= leaf_rows:
+            return one_by_one(pdf, resource)
         mid = len(pdf) // 2
         return attempt(pdf.iloc[:mid], resource) + attempt(pdf.iloc[mid:], resource)
 
@@ -103,7 +131,7 @@ def map_catching(
             if len(pdf):
                 yield pd.concat(attempt(pdf, resource), ignore_index=True)
 
-    return df.mapInPandas(run, out_schema)
+    return spread(df, min_partitions).mapInPandas(run, out_schema)
 
 
 def split_errors(result: DataFrame) -> tuple[DataFrame, DataFrame]:
