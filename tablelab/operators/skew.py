@@ -86,7 +86,8 @@ def _final(aggs: Sequence[Agg]) -> list[Column]:
         elif a.func == "max":
             out.append(F.max(p).alias(a.name))
         else:
-            out.append((F.sum(p) / F.sum(F.col(f"__c{i}"))).alias(a.name))
+            # avg is returned as double: sum / count of the partial sums and counts.
+            out.append((F.sum(p).cast("double") / F.sum(F.col(f"__c{i}"))).alias(a.name))
     return out
 
 

@@ -54,10 +54,15 @@ def gen_skewed(
     return base.select(
         F.col("id").alias("transaction_id"),
         key.cast("long").alias("customer_id"),
-        F.round(hash_uniform("id", seed=seed) * AMOUNT_MAX, 2).alias("amount"),
+        _amount(seed),
     )
 
 
+def _amount(seed: int):
+    """An amount in [0, AMOUNT_MAX) with cents (floor keeps it below the bound)."""
+    return (F.floor(hash_uniform("id", seed=seed) * (AMOUNT_MAX * 100)) / 100).alias("amount")
+
+
 def gen_uniform(
     spark: SparkSession,
     rows: int | None = 100_000,
@@ -70,7 +75,7 @@ def gen_uniform(
     return base.select(
         F.col("id").alias("transaction_id"),
         (F.pmod(F.col("id"), F.lit(keys)) + 1).cast("long").alias("customer_id"),
-        F.round(hash_uniform("id", seed=seed) * AMOUNT_MAX, 2).alias("amount"),
+        _amount(seed),
     )
 
 
