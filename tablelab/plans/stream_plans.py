@@ -69,7 +69,7 @@ def stream_sliding(spark, sf_dir):
     """
 with e as (
   select user_id, ts, value,
-         case when ts - lag(ts) over (partition by user_id order by ts) < interval '6 hours' then 0 else 1 end as brk
+         case when ts - lag(ts) over (partition by user_id order by ts) <= interval '6 hours' then 0 else 1 end as brk
   from events),
 s as (select *, sum(brk) over (partition by user_id order by ts rows unbounded preceding) as sid from e)
 select user_id, min(ts) as session_start, max(ts) + interval '6 hours' as session_end, count(*) as n,

@@ -62,7 +62,8 @@ def sessions(
     aggs: Sequence[Column],
     delay: str | None = "1 hour",
 ) -> DataFrame:
-    """Session windows per key: a gap of at least ``gap`` starts a new session.
+    """Session windows per key: a gap longer than ``gap`` starts a new session (an
+    event exactly ``gap`` after the previous one still joins it).
     Returns keys, session_start, session_end (last event + gap), aggregates."""
     keys = _names(keys)
     ev = with_event_time(df, ts, delay)
