@@ -29,13 +29,19 @@ def hash_bucket(n: int, *cols: str | Column, seed: int = 42) -> Column:
     return F.pmod(F.xxhash64(*[col_of(c) for c in cols], F.lit(seed)), F.lit(n)).cast("int")
 
 
-def exact_sum(c: str | Column, scale: int = 2, precision: int = 38) -> Column:
-    """Order-independent sum of a double column: add as decimal, return double.
-
-    Double addition depends on the order of the rows; decimal addition does not,
-    so the result is the same on every run and in every engine.
+def exact_sum(c: str | Column, scale: int = 2) -> Column:
+    """Order-independent sum of a double column at a fixed decimal ``scale``.
+
+    Double addition depends on the order of the rows; integer addition does not.
+    Each value is rounded half-up to ``scale`` decimals as an integer count of
+    10^-scale units, the units are summed as ``bigint`` (ANSI mode raises on
+    overflow) and the total is divided back once.  Same result as summing
+    ``cast(x as decimal(p, scale))`` and casting to double, at the speed of a
+    long sum.
     """
-    return F.sum(col_of(c).cast(f"decimal({precision},{scale})")).cast("double")
+    unit = 10**scale
+    units = F.round(col_of(c).cast("double") * F.lit(float(unit))).cast("bigint")
+    return F.sum(units).cast("double") / F.lit(float(unit))
 
 
 def exact_avg(c: str | Column, scale: int = 2) -> Column:

@@ -11,16 +11,22 @@ from pyspark.sql import functions as F
 
 from tablelab.operators import eventlog as EL
 from tablelab.plans.registry import register
-from tablelab.session import scratch_dir, table
+from tablelab.session import scratch_dir, session_fixture, table
 from tablelab.sources import derived as D
 from tablelab.sources import eventlog as ES
 
 APP = "app-events"
 
 
-def tasks(spark, sf_dir):
+def _write_log(spark, sf_dir) -> str:
     root = scratch_dir(spark, "eventlog")
     D.task_end_lines(table(spark, sf_dir, "events")).write.text(f"{root}/eventlog_v2_{APP}")
+    return root
+
+
+def tasks(spark, sf_dir):
+    # The log is written once per application; every report reads it back.
+    root = session_fixture(spark, f"eventlog:{sf_dir}", lambda: _write_log(spark, sf_dir))
     return ES.task_metrics(ES.read_log_lines(spark, f"{root}/eventlog_v2_*"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablelab.plans.registry import register
-from tablelab.session import scratch_dir, table
+from tablelab.session import scratch_dir, session_fixture, table
 from tablelab.sources import generate as G
 from tablelab.sources import io as IO
 from tablelab.sources import parquet_audit as PA
@@ -91,7 +91,11 @@ def file_inventory(spark, sf_dir):
 
 
 def _audit_fixture(spark, sf_dir) -> str:
-    """orders as four healthy files plus one corrupt file, in a fresh scratch folder."""
+    """orders as four healthy files plus one corrupt file (written once per application)."""
+    return session_fixture(spark, f"audit:{sf_dir}", lambda: _write_audit_fixture(spark, sf_dir))
+
+
+def _write_audit_fixture(spark, sf_dir) -> str:
     root = scratch_dir(spark, "audit")
     orders = table(spark, sf_dir, "orders")
     orders.repartition(4, "o_orderkey").write.parquet(f"{root}/good")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tablelab.operators.snapshots import Snapshots
 from tablelab.plans.registry import register
-from tablelab.session import scratch_dir, table
+from tablelab.session import scratch_dir, session_fixture, table
 
 V0_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
 
@@ -25,6 +25,11 @@ def seed(spark, sf_dir, snaps: Snapshots | None = None) -> Snapshots:
     return snaps
 
 
+def seeded(spark, sf_dir) -> Snapshots:
+    """A seeded table shared by the plans that only read it (one per application)."""
+    return session_fixture(spark, f"snapshots:{sf_dir}", lambda: seed(spark, sf_dir))
+
+
 @register(
     "snap_latest",
     """
@@ -34,7 +39,7 @@ from orders
 """,
 )
 def snap_latest(spark, sf_dir):
-    return seed(spark, sf_dir).read()
+    return seeded(spark, sf_dir).read()
 
 
 @register(
@@ -42,7 +47,7 @@ def snap_latest(spark, sf_dir):
     "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate from orders where o_orderkey % 2 = 0",
 )
 def snap_as_of(spark, sf_dir):
-    return seed(spark, sf_dir).read(version=0)
+    return seeded(spark, sf_dir).read(version=0)
 
 
 _HISTORY_SQL = """
@@ -55,7 +60,7 @@ select {gen}, 1, 'append', count_if(o_orderkey % 2 = 1), 6 from orders
 
 @register("snap_history", _HISTORY_SQL.format(gen=0))
 def snap_history(spark, sf_dir):
-    return seed(spark, sf_dir).history().drop("committed_at")
+    return seeded(spark, sf_dir).history().drop("committed_at")
 
 
 @register("snap_reset", _HISTORY_SQL.format(gen=1))
@@ -71,7 +76,7 @@ def snap_reset(spark, sf_dir):
     "select 'o_orderpriority' as column_name, 'added' as change, cast(null as varchar) as from_type, 'string' as to_type",
 )
 def snap_schema_diff(spark, sf_dir):
-    return seed(spark, sf_dir).schema_diff(0, 1)
+    return seeded(spark, sf_dir).schema_diff(0, 1)
 
 
 @register(
@@ -82,7 +87,7 @@ from orders where o_orderkey % 2 = 1
 """,
 )
 def snap_changes(spark, sf_dir):
-    return seed(spark, sf_dir).changes(0, 1)
+    return seeded(spark, sf_dir).changes(0, 1)
 
 
 @register(

@@ -69,3 +69,15 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one of the driver's parquet tables."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+_FIXTURES: dict[tuple[str, str], object] = {}
+
+
+def session_fixture(spark: SparkSession, key: str, build):
+    """Build a derived input once per application (e.g. a log written from a table)
+    and hand the same one to every plan that only reads it."""
+    k = (spark.sparkContext.applicationId, key)
+    if k not in _FIXTURES:
+        _FIXTURES[k] = build()
+    return _FIXTURES[k]
