@@ -32,7 +32,8 @@ def tasks(spark, sf_dir):
 
 # Oracle: the same rules in SQL.
 _TASKS = f"""
-(select '{APP}' as app, user_id % 10 as stage_id, 0 as stage_attempt, event_id as task_id, 0 as attempt,
+(select '{APP}' as app, user_id % 10 as stage_id, cast(0 as bigint) as stage_attempt, event_id as task_id,
+        cast(0 as bigint) as attempt,
         cast(user_id % 4 as varchar) as executor_id, concat('host-', user_id % 4) as host,
         make_timestamp((epoch_us(ts) // 1000) * 1000) as launch_time,
         make_timestamp(((epoch_us(ts) // 1000) + cast(round(value) as bigint) + 5) * 1000) as finish_time,
@@ -79,8 +80,9 @@ def eventlog_stage_skew(spark, sf_dir):
 @register(
     "eventlog_memory",
     f"""
-select app, stage_id, stage_attempt, sum(memory_spilled) as memory_spilled, sum(disk_spilled) as disk_spilled,
-       sum(gc_ms) as gc_ms, sum(run_ms) as run_ms,
+select app, stage_id, stage_attempt, cast(sum(memory_spilled) as bigint) as memory_spilled,
+       cast(sum(disk_spilled) as bigint) as disk_spilled, cast(sum(gc_ms) as bigint) as gc_ms,
+       cast(sum(run_ms) as bigint) as run_ms,
        case when sum(run_ms) > 0 then sum(gc_ms) / sum(run_ms) end as gc_share
 from {_TASKS} t group by all
 """,
@@ -102,7 +104,7 @@ def eventlog_failures(spark, sf_dir):
     f"""
 with t as {_TASKS},
 s as (select app, epoch_ms(max(finish_time)) - epoch_ms(min(launch_time)) as span_ms from t group by app)
-select t.app, executor_id, count(*) as tasks, sum(duration_ms) as busy_ms, max(s.span_ms) as span_ms,
+select t.app, executor_id, count(*) as tasks, cast(sum(duration_ms) as bigint) as busy_ms, max(s.span_ms) as span_ms,
        sum(duration_ms) / (max(s.span_ms) * 4) as busy_share
 from t join s on t.app = s.app group by t.app, executor_id
 """,
@@ -127,7 +129,7 @@ m as (
 r as (select * from (values ('max_over_median', 2.0, 'warn'), ('max_over_median', 5.0, 'critical'),
                             ('gc_share', 0.1, 'warn'), ('gc_share', 0.3, 'critical'), ('disk_spilled', 0.0, 'warn'))
       v(rule_metric, threshold, severity))
-select app, stage_id, stage_attempt, metric, value, threshold, severity
+select app, stage_id, stage_attempt, metric, value, cast(threshold as double) as threshold, severity
 from m join r on m.metric = r.rule_metric and m.value > r.threshold
 """,
 )

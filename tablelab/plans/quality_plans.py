@@ -163,13 +163,14 @@ from tablelab.operators import expect as X  # noqa: E402
     "expectations",
     """
 select 0 as ordinal, 'o_custkey not null' as label, count_if(o_custkey is null) = 0 as passed,
-       count_if(o_custkey is null) as violations, concat('violations=', count_if(o_custkey is null)) as detail from orders
+       cast(count_if(o_custkey is null) as bigint) as violations, concat('violations=', count_if(o_custkey is null)) as detail from orders
 union all
 select 1, 'o_totalprice in [0, 500000]', count_if(o_totalprice < 0 or o_totalprice > 500000) = 0,
-       count_if(o_totalprice < 0 or o_totalprice > 500000),
+       cast(count_if(o_totalprice < 0 or o_totalprice > 500000) as bigint),
        concat('violations=', count_if(o_totalprice < 0 or o_totalprice > 500000)) from orders
 union all
-select 2, 'o_totalprice <= 400000', count_if(o_totalprice > 400000) = 0, count_if(o_totalprice > 400000),
+select 2, 'o_totalprice <= 400000', count_if(o_totalprice > 400000) = 0,
+       cast(count_if(o_totalprice > 400000) as bigint),
        concat('violations=', count_if(o_totalprice > 400000)) from orders
 union all
 select 3, 'row count >= 1000', count(*) >= 1000, cast(count(*) < 1000 as bigint), concat('rows=', count(*)) from orders

@@ -51,10 +51,10 @@ def snap_as_of(spark, sf_dir):
 
 
 _HISTORY_SQL = """
-select {gen} as generation, 0 as version, 'overwrite' as operation, count_if(o_orderkey % 2 = 0) as num_rows,
-       5 as num_columns from orders
+select cast({gen} as bigint) as generation, cast(0 as bigint) as version, 'overwrite' as operation,
+       cast(count_if(o_orderkey % 2 = 0) as bigint) as num_rows, cast(5 as bigint) as num_columns from orders
 union all
-select {gen}, 1, 'append', count_if(o_orderkey % 2 = 1), 6 from orders
+select {gen}, 1, 'append', cast(count_if(o_orderkey % 2 = 1) as bigint), 6 from orders
 """
 
 

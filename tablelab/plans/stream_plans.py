@@ -129,7 +129,8 @@ b as (select batch, max(ts) as mx from e group by batch),
 w as (select batch, max(mx) over (order by batch rows between unbounded preceding and 2 preceding)
                     - interval '1 hour' as watermark from b)
 select e.batch, count(*) as rows,
-       count_if(coalesce(time_bucket(interval '1 hour', e.ts) + interval '1 hour' <= w.watermark, false)) as late_rows, w.watermark
+       cast(count_if(coalesce(time_bucket(interval '1 hour', e.ts) + interval '1 hour' <= w.watermark, false)) as bigint)
+         as late_rows, w.watermark
 from e join w on e.batch = w.batch group by e.batch, w.watermark
 """
 
