@@ -119,13 +119,17 @@ def salted_join(
     how: str = "inner",
     hot_keys: DataFrame | None = None,
     salt_cols: Sequence[str] | None = None,
+    max_hot: int = 1000,
 ) -> DataFrame:
     """Join ``big`` to ``small`` on ``keys`` with the big side spread over ``n`` salts.
 
     ``how`` is inner, left (big side preserved), left_semi or left_anti; outer
     joins preserving ``small`` are rejected because its replicas would repeat.
     With ``hot_keys`` (a DataFrame of key values, e.g. from ``key_frequency``) only
-    those keys are salted and replicated; every other key keeps salt 0.
+    those keys are salted and replicated; every other key keeps salt 0.  At most
+    ``max_hot`` of them are used (the smallest by key, a deterministic choice, so
+    both sides see the same set); the broadcast is bounded, and any key left out
+    is still joined exactly, just unsalted.
     """
     keys = _names(keys)
     if how not in JOIN_TYPES:
@@ -133,7 +137,8 @@ def salted_join(
     salt = row_salt(big, n, salt_cols)
     replicas = F.sequence(F.lit(0), F.lit(n - 1))
     if hot_keys is not None:
-        hot = F.broadcast(hot_keys.select(*keys).distinct().withColumn("__hot", F.lit(True)))
+        bounded = hot_keys.select(*keys).distinct().orderBy(*keys).limit(max_hot)
+        hot = F.broadcast(bounded.withColumn("__hot", F.lit(True)))
         big = big.join(hot, keys, "left")
         small = small.join(hot, keys, "left")
         salt = F.when(F.col("__hot"), salt).otherwise(F.lit(0))
