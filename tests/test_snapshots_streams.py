@@ -146,19 +146,19 @@ def test_resume_equals_one_run(spark):
 # --- event logs ----------------------------------------------------------------------
 
 
-def test_eventlog_reader_on_real_log(spark):
-    # Spark writes its own event log; read it back with our reader.
+def _spark_log(root: str, extra: str = "") -> None:
+    """Run a small Spark application in a child process with event logging on."""
     import subprocess
     import sys
     import textwrap
 
-    root = tempfile.mkdtemp(prefix="evlog-", dir="/tmp")
     script = textwrap.dedent(
         f"""
         from pyspark.sql import SparkSession
-        s = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
-             .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", "{root}")
-             .getOrCreate())
+        b = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+             .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", "{root}"))
+        {extra}
+        s = b.getOrCreate()
         df = s.range(0, 100000, numPartitions=4)
         df.groupBy((df.id % 3).alias("k")).count().collect()
         s.range(0, 1000, numPartitions=3).selectExpr("sum(id)").collect()
@@ -166,15 +166,36 @@ def test_eventlog_reader_on_real_log(spark):
         """
     )
     subprocess.run([sys.executable, "-c", script], check=True, timeout=300, capture_output=True)
+
+
+def test_eventlog_reader_on_real_log(spark):
+    # Spark writes its own event log; read it back with our reader.
+    root = tempfile.mkdtemp(prefix="evlog-", dir="/tmp")
+    _spark_log(root)
     logs = [os.path.join(root, f) for f in os.listdir(root)]
     assert logs
     tasks = ES.task_metrics(ES.read_log_lines(spark, logs))
-    n = tasks.count()
-    assert n >= 7
+    assert tasks.count() >= 7
     assert tasks.where("run_ms is null or launch_time is null or executor_id is null").count() == 0
     assert EL.stage_skew(tasks).count() >= 2
 
 
+def test_eventlog_reader_on_rolling_compressed_log(spark):
+    root = tempfile.mkdtemp(prefix="evlog-roll-", dir="/tmp")
+    _spark_log(
+        root,
+        'b = b.config("spark.eventLog.rolling.enabled", "true").config("spark.eventLog.compress", "true")'
+        '.config("spark.eventLog.compression.codec", "zstd")',
+    )
+    folders = [f for f in os.listdir(root) if f.startswith("eventlog_v2_")]
+    assert len(folders) == 1
+    parts = os.listdir(os.path.join(root, folders[0]))
+    assert any(p.endswith(".zstd") for p in parts)
+    tasks = ES.task_metrics(ES.read_log_lines(spark, f"{root}/eventlog_v2_*/events_*"))
+    assert tasks.count() >= 7
+    assert {r["app"] for r in tasks.select("app").distinct().collect()} == {folders[0][len("eventlog_v2_"):]}
+
+
 def test_eventlog_reports_on_derived_lines(spark):
     events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     lines = D.task_end_lines(events).withColumn("app", F.lit("a"))
