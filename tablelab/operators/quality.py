@@ -11,7 +11,7 @@ field), and the reason is a label computed on top.  ``DROPMALFORMED`` is never u
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession

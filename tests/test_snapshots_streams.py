@@ -16,7 +16,6 @@ from tablelab.plans import stream_plans
 from tablelab.session import scratch_dir
 from tablelab.sources import derived as D
 from tablelab.sources import eventlog as ES
-from tablelab.streaming import runner as R
 from tablelab.streaming import windows as W
 from tests.conftest import SF_ORACLE, SF_SMALL
 
