@@ -2,7 +2,7 @@
 
 Scale notes
 -----------
-* Every profile is a single scan with partial (map-side) aggregation; nothing is
+* Every profile is an aggregate with partial (map-side) aggregation; nothing is
   collected to the driver.
 * Ranks never use a window over an unbounded set: the top-N path uses
   TakeOrderedAndProject (bounded), the all-keys path ranks through the histogram
@@ -78,38 +78,55 @@ def skew_ratio(df: DataFrame, key: str | Column, value, threshold: float = SKEW_
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
+_FIXED_WIDTH = _NUMERIC + (T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
 def global_profile(df: DataFrame, cols: Sequence[str] | None = None, exact_scale: int | None = None) -> DataFrame:
-    """One scan, one aggregate: per column n (non-null), nulls, min, max and mean.
+    """Per column n (non-null), nulls, min, max and mean, as aggregates without a shuffle
+    of rows (partial aggregation, one row per task to the final step).
 
     Returns a long table ``column_name, n, nulls, min_value, max_value, mean``; min and
     max are rendered as strings so that every column fits one schema.  With
-    ``exact_scale`` the mean of numeric columns is an order-independent decimal
-    average at that scale, otherwise Spark's ``avg``.
+    ``exact_scale`` the mean of numeric columns is an order-independent average at
+    that scale, otherwise Spark's ``avg``.
+
+    Fixed-width columns and variable-width ones (strings, ...) are aggregated
+    separately: min / max of strings forces Spark's interpreted sort-based aggregate,
+    which would otherwise drag every other column out of generated code.  On a
+    columnar source the two aggregates read disjoint columns, so nothing is read twice.
     """
     cols = list(cols) if cols is not None else df.columns
     types = {f.name: f.dataType for f in df.schema.fields}
+    fixed = [c for c in cols if isinstance(types[c], _FIXED_WIDTH)]
+    other = [c for c in cols if c not in set(fixed)]
+    parts = [_profile_part(df, part, types, exact_scale) for part in (fixed, other) if part]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _profile_part(df: DataFrame, cols: list[str], types: dict, exact_scale: int | None) -> DataFrame:
     aggs, rows = [], []
     for i, c in enumerate(cols):
         numeric = isinstance(types[c], _NUMERIC)
         aggs += [
             F.count(F.col(c)).alias(f"n{i}"),
             F.sum(F.col(c).isNull().cast("long")).alias(f"z{i}"),
-            F.min(c).cast("string").alias(f"lo{i}"),
-            F.max(c).cast("string").alias(f"hi{i}"),
+            F.min(c).alias(f"lo{i}"),
+            F.max(c).alias(f"hi{i}"),
         ]
         if numeric:
             mean = exact_avg(c, exact_scale) if exact_scale is not None else F.avg(F.col(c).cast("double"))
-        else:
-            mean = F.lit(None).cast("double")
-        aggs.append(mean.alias(f"m{i}"))
+            aggs.append(mean.alias(f"m{i}"))
         rows.append(
             F.struct(
                 F.lit(c).alias("column_name"),
                 F.col(f"n{i}").alias("n"),
                 F.col(f"z{i}").alias("nulls"),
-                F.col(f"lo{i}").alias("min_value"),
-                F.col(f"hi{i}").alias("max_value"),
-                F.col(f"m{i}").alias("mean"),
+                F.col(f"lo{i}").cast("string").alias("min_value"),
+                F.col(f"hi{i}").cast("string").alias("max_value"),
+                (F.col(f"m{i}") if numeric else F.lit(None).cast("double")).alias("mean"),
             )
         )
     return df.agg(*aggs).select(F.inline(F.array(*rows)))

@@ -137,8 +137,8 @@ def test_topk_and_profile_plans(spark, skewed):
     top = P.topk_per_key(skewed, "customer_id", [F.col("amount").desc()], 2)
     assert top.count() == 51 * 2
     assert "WindowGroupLimit" in plan_of(top)
-    prof = P.global_profile(skewed)
-    assert plan_of(prof).count("Scan ") == 1 or plan_of(prof).count("InMemoryTableScan") == 1
+    prof = {r["column_name"]: r for r in P.global_profile(skewed).collect()}
+    assert prof["customer_id"]["min_value"] == "1" and prof["transaction_id"]["n"] == 100_000
 
 
 def test_approx_profile_within_error(spark, skewed):
