@@ -83,13 +83,13 @@ def read_healthy(
 ) -> tuple[DataFrame, DataFrame]:
     """(rows of the files whose footer is ok, audit rows of the skipped files).
 
-    The list of healthy paths goes through the driver: it grows with the number of
-    files, not with the data, and a Parquet read needs it anyway.
+    The audit (one row per file) is collected once: a Parquet read needs the list of
+    paths on the driver anyway, and it grows with the number of files, not the data.
     """
     audit = audit if audit is not None else audit_parquet(spark, root, glob)
-    audit = audit.cache()
-    ok_paths = [r["path"] for r in audit.where(F.col("ok")).select("path").collect()]
-    skipped = audit.where(~F.col("ok"))
+    rows = audit.collect()
+    ok_paths = [r["path"] for r in rows if r["ok"]]
+    skipped = spark.createDataFrame([r for r in rows if not r["ok"]], audit.schema)
     if not ok_paths:
         return spark.createDataFrame([], schema), skipped
     return spark.read.schema(schema).parquet(*ok_paths), skipped
