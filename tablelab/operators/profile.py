@@ -63,7 +63,8 @@ def key_frequency(df: DataFrame, keys: str | Sequence[str], top: int | None = 10
         "n",
         (F.col("n") / total).alias("share"),
         F.col("rank").cast("long").alias("rank"),
-        (F.col("n") * n_keys / total).alias("ratio_to_mean"),
+        # double product: n * n_keys can pass 2^63 when one key holds ~1e11 rows.
+        (F.col("n").cast("double") * n_keys.cast("double") / total).alias("ratio_to_mean"),
     )
 
 

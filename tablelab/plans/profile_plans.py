@@ -19,7 +19,7 @@ from tablelab.sources import io as IO
 with f as (select user_id, count(*) as n from events group by user_id),
      t as (select sum(n) as total, count(*) as n_keys from f)
 select user_id, n, n / t.total as share, rank() over (order by n desc) as rank,
-       n * t.n_keys / t.total as ratio_to_mean
+       cast(n as double) * t.n_keys / t.total as ratio_to_mean
 from f, t
 order by n desc, user_id
 limit 100
@@ -36,7 +36,7 @@ def key_frequency(spark, sf_dir):
 with f as (select o_custkey, count(*) as n from orders group by o_custkey),
      t as (select sum(n) as total, count(*) as n_keys from f)
 select o_custkey, n, n / t.total as share, rank() over (order by n desc) as rank,
-       n * t.n_keys / t.total as ratio_to_mean
+       cast(n as double) * t.n_keys / t.total as ratio_to_mean
 from f, t
 """,
 )
@@ -123,7 +123,7 @@ def row_count_sql(spark, sf_dir):
 
 @register(
     "range_sum",
-    "select count(*) as n, (count(*) * (count(*) + 1)) // 2 as total from lineitem",
+    "select count(*) as n, cast(cast(count(*) as hugeint) * (count(*) + 1) // 2 as decimal(38,0)) as total from lineitem",
 )
 def range_sum(spark, sf_dir):
     # The range is as long as lineitem, so the work grows with the data.
