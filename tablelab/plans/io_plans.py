@@ -92,14 +92,16 @@ def file_inventory(spark, sf_dir):
 
 
 def _audit_fixture(spark, sf_dir) -> str:
-    """orders as four healthy files plus one corrupt file (written once per application)."""
+    """orders as healthy files of at most 5,000 rows plus one corrupt file (written
+    once per application)."""
     return session_fixture(spark, f"audit:{sf_dir}", lambda: _write_audit_fixture(spark, sf_dir))
 
 
 def _write_audit_fixture(spark, sf_dir) -> str:
     root = scratch_dir(spark, "audit")
     orders = table(spark, sf_dir, "orders")
-    orders.repartition(4, "o_orderkey").write.parquet(f"{root}/good")
+    # At most 5,000 rows per file: the number of footers to audit grows with the data.
+    orders.repartition(4, "o_orderkey").write.option("maxRecordsPerFile", 5000).parquet(f"{root}/good")
     PA.write_corrupt_parquet(spark, f"{root}/broken")
     return root
 
