@@ -238,3 +238,33 @@ def test_map_catching_isolates_bad_rows(spark):
     assert bad_ids == [i for i in range(1000) if i % 97 == 5]
     assert ok.count() + errors.count() == 1000
     assert {r["error_class"] for r in errors.collect()} == {"ZeroDivisionError"}
+
+
+@pytest.mark.parametrize("size,delay,batches", [("30 minutes", "2 hours", 5), ("2 hours", "30 minutes", 7)])
+def test_late_rule_holds_for_other_settings(spark, size, delay, batches):
+    events = spark.read.parquet(f"{SF_ORACLE}/events.parquet")
+    n = events.count()
+    shifted = F.when(F.pmod("event_id", F.lit(20)) == 0, F.col("ts") - F.expr("INTERVAL 10 DAYS")).otherwise(F.col("ts"))
+    arrivals = events.select(F.floor(F.col("event_id") * batches / F.lit(n)).cast("long").alias("batch"),
+                             shifted.alias("ts"), "value")
+    root = scratch_dir(spark, "late-rule")
+    for b in range(batches):
+        arrivals.where(F.col("batch") == b).drop("batch").coalesce(1).write.parquet(f"{root}/input/b{b:02d}")
+    from tablelab.streaming import runner
+
+    src = runner.file_stream(spark, f"{root}/input/*", arrivals.drop("batch").schema, max_files_per_trigger=1)
+    out = W.windowed(src, "ts", size, [F.count(F.lit(1)).alias("n")], delay=delay)
+    runner.run_available(out, f"{root}/sink", f"{root}/ckpt")
+    emitted = runner.read_sink(spark, f"{root}/sink").agg(F.sum("n")).first()[0]
+
+    report = W.late_report(arrivals, "batch", "ts", size, delay).agg(F.sum("rows"), F.sum("late_rows")).first()
+    final_wm = arrivals.agg(F.max("ts")).first()[0]
+    # Rows that were not late but sit in windows still open at the end are not emitted.
+    open_rows = (
+        arrivals.withColumn("we", F.window(F.col("ts").cast("timestamp"), size).getField("end").cast("timestamp_ntz"))
+        .join(W.late_report(arrivals, "batch", "ts", size, delay).select("batch", "watermark"), "batch")
+        .where(~F.coalesce(F.col("we") <= F.col("watermark"), F.lit(False)))
+        .where(F.col("we") > F.lit(final_wm) - F.expr(f"INTERVAL {delay}"))
+        .count()
+    )
+    assert emitted == report[0] - report[1] - open_rows
