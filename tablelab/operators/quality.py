@@ -72,6 +72,7 @@ def parse_csv(
     header: str | None = None,
     sep: str = ",",
     quote: str = '"',
+    escape: str = "\\",
     source: str | Column | None = None,
     options: Mapping[str, str] | None = None,
 ) -> Parsed:
@@ -86,12 +87,16 @@ def parse_csv(
     if CORRUPT in st.fieldNames():
         raise ValueError(f"{CORRUPT} is reserved")
     n = len(st.fields)
-    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "sep": sep, "quote": quote, **(options or {})}
+    opts = {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "sep": sep, "quote": quote, "escape": escape,
+        **(options or {}),
+    }
     full = T.StructType(st.fields + [T.StructField(CORRUPT, T.StringType())])
     rows = _with_source(_non_blank(lines, header), source)
     parsed = rows.select("source", "value", F.from_csv("value", ddl(full), opts).alias("r"))
 
-    v = F.col("value")
+    # Escaped quote characters are data, not delimiters: drop them before counting.
+    v = F.replace(F.col("value"), F.lit(escape + quote), F.lit(""))
     quotes = F.length(v) - F.length(F.replace(v, F.lit(quote), F.lit("")))
     # Quoted segments may hold delimiters; drop them before counting fields.
     q = _regex_quote(quote)

@@ -64,7 +64,11 @@ def sessions(
 ) -> DataFrame:
     """Session windows per key: a gap longer than ``gap`` starts a new session (an
     event exactly ``gap`` after the previous one still joins it).
-    Returns keys, session_start, session_end (last event + gap), aggregates."""
+    Returns keys, session_start, session_end (last event + gap), aggregates.
+
+    Sessions of one key are merged in one task.  For a stream with a hot key, set
+    ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition=true`` so
+    each task merges its own rows into sessions before the shuffle."""
     keys = _names(keys)
     ev = with_event_time(df, ts, delay)
     out = ev.groupBy(F.session_window(EVENT_TIME, gap).alias("s"), *keys).agg(*aggs)

@@ -49,6 +49,11 @@ def test_csv_every_flagged_row_has_a_reason(spark):
     assert bad.count() == 5
 
 
+def test_csv_escaped_quote_is_not_an_open_quote(spark):
+    good, bad = Q.parse_csv(lines_df(spark, ['1,2,3.0,"U\\"SD"']), CSV_SCHEMA)
+    assert bad.count() == 0 and good.first()["currency"] == 'U"SD'
+
+
 def test_csv_open_quote_in_last_field_is_bad(spark):
     # Spark itself accepts this line; the quarantine must not.
     good, bad = Q.parse_csv(lines_df(spark, ['1,2,3.0,"USD']), CSV_SCHEMA)
