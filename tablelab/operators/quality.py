@@ -28,6 +28,7 @@ TOO_FEW = "too_few_fields"
 BAD_TYPE = "bad_type"
 NOT_JSON = "not_json"
 NOT_OBJECT = "not_object"
+NOT_STRICT = "not_strict_json"
 
 
 def as_struct(schema: T.StructType | str) -> T.StructType:
@@ -126,6 +127,7 @@ def parse_json(
     keep_extra: bool = True,
     source: str | Column | None = None,
     options: Mapping[str, str] | None = None,
+    strict: bool = False,
 ) -> Parsed:
     """Parse JSON lines into (good, bad).
 
@@ -134,6 +136,10 @@ def parse_json(
     JSON text), so unexpected fields are kept instead of lost.  A missing field is
     null and the row stays good.  bad: ``source, value, reason`` with reason
     not_json (does not parse), not_object (valid JSON but no object) or bad_type.
+
+    Spark's reader accepts an object followed by trailing text, and keeps the last of
+    two equal keys.  ``strict=True`` also quarantines such lines (reason
+    ``not_strict_json``), at the cost of a second, validating parse of every line.
     """
     st = as_struct(schema)
     full = T.StructType(st.fields + [T.StructField(CORRUPT, T.StringType())])
@@ -141,6 +147,11 @@ def parse_json(
     rows = _with_source(_non_blank(lines, None), source)
     parsed = rows.select("source", "value", F.from_json("value", full, opts).alias("r"))
     flagged = F.col(f"r.{CORRUPT}").isNotNull()
+    if strict:
+        # Duplicate keys: the variant parser rejects them.  Trailing text: the line
+        # wrapped in brackets must be a valid JSON array of exactly one element.
+        one_value = F.json_array_length(F.concat(F.lit("["), F.col("value"), F.lit("]"))) == 1
+        flagged = flagged | F.try_parse_json("value").isNull() | ~F.coalesce(one_value, F.lit(False))
 
     cols = [F.col(f"r.{f.name}").alias(f.name) for f in st.fields]
     good = parsed.where(~flagged)
@@ -152,8 +163,10 @@ def parse_json(
     else:
         good = good.select(*cols, "source")
 
+    lenient_ok = F.col(f"r.{CORRUPT}").isNull()
     reason = (
-        F.when(F.try_parse_json("value").isNull(), F.lit(NOT_JSON))
+        F.when(lenient_ok, F.lit(NOT_STRICT))
+        .when(F.try_parse_json("value").isNull(), F.lit(NOT_JSON))
         .when(~F.ltrim(F.col("value")).startswith("{"), F.lit(NOT_OBJECT))
         .otherwise(F.lit(BAD_TYPE))
     )

@@ -86,6 +86,15 @@ def test_json_quarantine_layout(spark):
     assert good.count() + bad.count() == 7
 
 
+def test_json_strict_mode(spark):
+    lines = ['{"event_id": 1, "user_id": 2} trailing', '{"event_id": 1, "event_id": 2}', '{"event_id": 3}']
+    good, bad = Q.parse_json(lines_df(spark, lines), JSON_SCHEMA)
+    assert good.count() == 3 and bad.count() == 0  # Spark's lenient reading
+    good, bad = Q.parse_json(lines_df(spark, lines), JSON_SCHEMA, strict=True)
+    assert [r["event_id"] for r in good.collect()] == [3]
+    assert sorted(r["reason"] for r in bad.collect()) == ["not_strict_json", "not_strict_json"]
+
+
 def test_json_not_object(spark):
     _, bad = Q.parse_json(lines_df(spark, ["42", "[1, 2]"]), JSON_SCHEMA)
     assert sorted(r["reason"] for r in bad.collect()) == ["not_object", "not_object"]
