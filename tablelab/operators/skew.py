@@ -30,6 +30,7 @@ from tablelab.functions import col_of
 DECOMPOSABLE = ("sum", "count", "min", "max", "avg")
 JOIN_TYPES = ("inner", "left", "left_semi", "left_anti")
 BROADCAST_ROWS_LIMIT = 1_000_000  # the most rows we ever broadcast from a checked side
+BROADCAST_BYTES_LIMIT = 64 << 20  # ... and the most (approximate) bytes
 
 
 @dataclass(frozen=True)
@@ -177,12 +178,14 @@ def hot_key_join(
     max_hot: int = 100,
     broadcast_rows: int = BROADCAST_ROWS_LIMIT,
     n_salts: int = 64,
+    broadcast_bytes: int = BROADCAST_BYTES_LIMIT,
 ) -> DataFrame:
     """Hot keys by broadcast, the rest by shuffle join, then union.
 
     Hot keys are found in one pass (``hot_keys``).  The rows of ``small`` for them
-    are counted first; if they fit ``broadcast_rows`` they are broadcast, else the
-    hot part is a salted join.  Null keys are never hot and go to the cold part.
+    are measured first (rows and approximate bytes, one aggregate); if they fit
+    ``broadcast_rows`` and ``broadcast_bytes`` they are broadcast, else the hot part
+    is a salted join.  Null keys are never hot and go to the cold part.
     ``how`` is inner or left (big side preserved).
     """
     keys = _names(keys)
@@ -194,7 +197,8 @@ def hot_key_join(
     is_hot = _in_keys(keys, hot)
     big_hot, big_cold = big.where(is_hot), big.where(~is_hot | reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
     small_hot, small_cold = small.where(is_hot), small.where(~is_hot)
-    if small_hot.count() <= broadcast_rows:
+    size = small_hot.agg(F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(small_hot)).alias("bytes")).first()
+    if size["rows"] <= broadcast_rows and (size["bytes"] or 0) <= broadcast_bytes:
         hot_part = big_hot.join(F.broadcast(small_hot), keys, how)
     else:
         hot_part = salted_join(big_hot, small_hot, keys, n_salts, how)
