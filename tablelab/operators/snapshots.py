@@ -176,12 +176,14 @@ class Snapshots:
         on all columns).  Map columns are compared through their JSON text.
         """
         ea, eb = self._version(a), self._version(b)
-        cols = _union_columns(self.schema(a), self.schema(b))
-        va = _align(self.read(a), cols)
-        vb = _align(self.read(b), cols)
+        sa, sb = self.schema(a), self.schema(b)
+        cols = _union_columns(sa, sb)
+        types = {f.name: f.dataType for f in list(sa.fields) + list(sb.fields)}
+        va = _align(self.read(a), cols, types)
+        vb = _align(self.read(b), cols, types)
         if set(ea["dirs"]) <= set(eb["dirs"]):
             new = [d for d in eb["dirs"] if d not in set(ea["dirs"])]
-            added = _align(self.spark.read.schema(self.schema(b)).parquet(*new), cols) if new else vb.limit(0)
+            added = _align(self.spark.read.schema(sb).parquet(*new), cols, types) if new else vb.limit(0)
             return added.select(F.lit("added").alias("change"), *cols)
         added = _exact_except(vb, va)
         removed = _exact_except(va, vb)
@@ -212,9 +214,10 @@ def _union_columns(a: T.StructType, b: T.StructType) -> list[str]:
     return names + [f.name for f in b.fields if f.name not in set(names)]
 
 
-def _align(df: DataFrame, cols: list[str]) -> DataFrame:
+def _align(df: DataFrame, cols: list[str], types: dict) -> DataFrame:
+    """Columns ``cols`` in order; a column the version lacks is a typed null."""
     have = set(df.columns)
-    return df.select(*[F.col(c) if c in have else F.lit(None).alias(c) for c in cols])
+    return df.select(*[F.col(c) if c in have else F.lit(None).cast(types[c]).alias(c) for c in cols])
 
 
 def _exact_except(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -66,6 +66,15 @@ def test_overwrite_adds_a_version(spark):
     assert ch == {("added", 9)} | {("removed", i) for i in range(1, 6)}
 
 
+def test_changes_across_schema_change_are_writable(spark):
+    snaps = Snapshots(spark, scratch_dir(spark, "snap-types"))
+    seed(spark, snaps)
+    snaps.commit(spark.createDataFrame([(9, 509, 1.0)], "order_id long, customer_id long, amount double"), "overwrite")
+    ch = snaps.changes(1, 2)
+    assert ch.schema["region"].dataType.simpleString() == "string"
+    ch.write.parquet(scratch_dir(spark, "changes-out"))  # no void columns
+
+
 def test_append_with_new_column_needs_merge(spark):
     snaps = Snapshots(spark, scratch_dir(spark, "snap-merge"))
     snaps.commit(spark.createDataFrame(V0, "order_id long, customer_id long, amount double"), "overwrite")
