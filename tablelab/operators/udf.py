@@ -40,6 +40,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Python work is CPU-bound: when the input has fewer partitions than the
     cluster has cores (a few small files), spread it round-robin first.  Large
     inputs already have enough partitions and are left alone (no shuffle)."""
+    if df.isStreaming:  # micro-batches keep the source's partitioning
+        return df
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:
         return df.repartition(want)

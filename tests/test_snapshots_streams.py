@@ -277,3 +277,20 @@ def test_late_rule_holds_for_other_settings(spark, size, delay, batches):
         .count()
     )
     assert emitted == report[0] - report[1] - open_rows
+
+
+def test_map_catching_on_a_stream(spark):
+    from tablelab.streaming import runner
+
+    root = scratch_dir(spark, "udf-stream")
+    spark.range(200).withColumnRenamed("id", "x").write.parquet(f"{root}/in")
+    src = runner.file_stream(spark, f"{root}/in", "x long")
+
+    def fn(pdf, _res):
+        if (pdf["x"] == 13).any():
+            raise KeyError("13")
+        return pd.DataFrame({"x": pdf["x"]})
+
+    runner.run_available(U.map_catching(src, fn, "x long"), f"{root}/sink", f"{root}/ckpt")
+    ok, errors = U.split_errors(runner.read_sink(spark, f"{root}/sink"))
+    assert ok.count() == 199 and errors.count() == 1
