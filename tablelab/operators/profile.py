@@ -107,15 +107,27 @@ def global_profile(df: DataFrame, cols: Sequence[str] | None = None, exact_scale
     return out
 
 
+def _orderable(t: T.DataType) -> bool:
+    """min / max need an ordering; maps (and variants) have none."""
+    if isinstance(t, T.MapType) or t.typeName() == "variant":
+        return False
+    if isinstance(t, T.ArrayType):
+        return _orderable(t.elementType)
+    if isinstance(t, T.StructType):
+        return all(_orderable(f.dataType) for f in t.fields)
+    return True
+
+
 def _profile_part(df: DataFrame, cols: list[str], types: dict, exact_scale: int | None) -> DataFrame:
     aggs, rows = [], []
     for i, c in enumerate(cols):
         numeric = isinstance(types[c], _NUMERIC)
+        ordered = _orderable(types[c])
         aggs += [
             F.count(F.col(c)).alias(f"n{i}"),
             F.sum(F.col(c).isNull().cast("long")).alias(f"z{i}"),
-            F.min(c).alias(f"lo{i}"),
-            F.max(c).alias(f"hi{i}"),
+            (F.min(c) if ordered else F.lit(None)).alias(f"lo{i}"),
+            (F.max(c) if ordered else F.lit(None)).alias(f"hi{i}"),
         ]
         if numeric:
             mean = exact_avg(c, exact_scale) if exact_scale is not None else F.avg(F.col(c).cast("double"))

@@ -179,3 +179,10 @@ def test_expectations_results_and_assert(spark):
         X.assert_all(X.expect(df, checks))
     assert "id unique" in str(e.value) and "name not null" in str(e.value)
     X.assert_all(X.expect(df, [X.has_columns(["id"])]))  # passes silently
+
+
+def test_profile_handles_nested_and_map_columns(spark):
+    df = spark.createDataFrame([(1, [1, 2], {"a": "b"}), (None, [3], None)], "k long, arr array<int>, m map<string,string>")
+    out = {r["column_name"]: r for r in P.global_profile(df).collect()}
+    assert out["k"]["nulls"] == 1 and out["arr"]["max_value"] == "[3]"
+    assert out["m"]["n"] == 1 and out["m"]["min_value"] is None
