@@ -67,7 +67,7 @@ def _with_source(lines: DataFrame, source: str | Column | None) -> DataFrame:
     return lines.withColumn("source", src)
 
 
-def parse_csv(
+def tag_csv(
     lines: DataFrame,
     schema: T.StructType | str,
     header: str | None = None,
@@ -76,13 +76,13 @@ def parse_csv(
     escape: str = "\\",
     source: str | Column | None = None,
     options: Mapping[str, str] | None = None,
-) -> Parsed:
-    """Parse delimited lines into (good, bad).
+) -> DataFrame:
+    """Parse delimited lines once: the schema's columns (null on bad lines), ``source``,
+    ``value`` and ``reason`` (null on good lines).
 
-    good: the schema's columns plus ``source``; an empty value is null, not an error.
-    bad: ``source, value, reason`` with reason in open_quote, too_many_fields,
-    too_few_fields, bad_type (checked in that order).  Blank lines and lines equal
-    to ``header`` are dropped (header by content, not by position).
+    Reasons: open_quote, too_many_fields, too_few_fields, bad_type (checked in that
+    order).  Blank lines and lines equal to ``header`` are dropped (header by
+    content, not by position).  An empty value is null, not an error.
     """
     st = as_struct(schema)
     if CORRUPT in st.fieldNames():
@@ -103,75 +103,121 @@ def parse_csv(
     q = _regex_quote(quote)
     unquoted = F.regexp_replace(v, f"{q}[^{q}]*{q}", "")
     fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit(""))) + 1
+    # Spark accepts an unterminated quote in the last field; an odd quote count is
+    # always a defect, so it is quarantined too.
+    flagged = F.col(f"r.{CORRUPT}").isNotNull() | (quotes % 2 == 1)
+    # CASE evaluates the field count (a regex) only for flagged lines.
     reason = (
-        F.when(quotes % 2 == 1, F.lit(OPEN_QUOTE))
+        F.when(~flagged, F.lit(None).cast("string"))
+        .when(quotes % 2 == 1, F.lit(OPEN_QUOTE))
         .when(fields > n, F.lit(TOO_MANY))
         .when(fields < n, F.lit(TOO_FEW))
         .otherwise(F.lit(BAD_TYPE))
     )
-    # Spark accepts an unterminated quote in the last field; an odd quote count is
-    # always a defect, so it is quarantined too.
-    flagged = F.col(f"r.{CORRUPT}").isNotNull() | (quotes % 2 == 1)
-    good = parsed.where(~flagged).select(*[F.col(f"r.{f.name}").alias(f.name) for f in st.fields], "source")
-    bad = parsed.where(flagged).select("source", "value", reason.alias("reason"))
+    return parsed.select(
+        *[F.when(~flagged, F.col(f"r.{f.name}")).alias(f.name) for f in st.fields],
+        "source",
+        "value",
+        reason.alias("reason"),
+    )
+
+
+def split(tagged: DataFrame, schema: T.StructType | str, extra: bool = False) -> Parsed:
+    """(good, bad) from a tagged parse.  Each side re-reads the tagged plan; persist
+    or checkpoint ``tagged`` first when both are written from a costly source."""
+    st = as_struct(schema)
+    cols = [f.name for f in st.fields] + ["source"] + ([EXTRA] if extra else [])
+    good = tagged.where(F.col("reason").isNull()).select(*cols)
+    bad = tagged.where(F.col("reason").isNotNull()).select("source", "value", "reason")
     return Parsed(good, bad)
 
 
+def parse_csv(
+    lines: DataFrame,
+    schema: T.StructType | str,
+    header: str | None = None,
+    sep: str = ",",
+    quote: str = '"',
+    escape: str = "\\",
+    source: str | Column | None = None,
+    options: Mapping[str, str] | None = None,
+) -> Parsed:
+    """Parse delimited lines into (good, bad); see :func:`tag_csv`.
+
+    good: the schema's columns plus ``source``.  bad: ``source, value, reason``.
+    """
+    return split(tag_csv(lines, schema, header, sep, quote, escape, source, options), schema)
+
+
 def _regex_quote(ch: str) -> str:
     return "\\" + ch if ch in '\\^$.|?*+()[]{}"' else ch
 
 
-def parse_json(
+def tag_json(
     lines: DataFrame,
     schema: T.StructType | str,
     keep_extra: bool = True,
     source: str | Column | None = None,
     options: Mapping[str, str] | None = None,
     strict: bool = False,
-) -> Parsed:
-    """Parse JSON lines into (good, bad).
-
-    good: the schema's columns, ``source`` and (``keep_extra``) ``_extra``, a
-    map of the top-level fields the schema does not name (nested values kept as
-    JSON text), so unexpected fields are kept instead of lost.  A missing field is
-    null and the row stays good.  bad: ``source, value, reason`` with reason
-    not_json (does not parse), not_object (valid JSON but no object) or bad_type.
-
-    Spark's reader accepts an object followed by trailing text, and keeps the last of
-    two equal keys.  ``strict=True`` also quarantines such lines (reason
-    ``not_strict_json``), at the cost of a second, validating parse of every line.
+) -> DataFrame:
+    """Parse JSON lines once: the schema's columns (null on bad lines), ``source``,
+    ``value``, ``reason`` (null on good lines) and, with ``keep_extra``, ``_extra``:
+    a map of the top-level fields the schema does not name (nested values kept as
+    JSON text), so unexpected fields are kept instead of lost.
+
+    A missing field is null and the line stays good.  Reasons: not_json (does not
+    parse), not_object (valid JSON but no object), bad_type.  Spark's reader accepts
+    an object followed by trailing text, and keeps the last of two equal keys;
+    ``strict=True`` also quarantines such lines (reason ``not_strict_json``), at the
+    cost of a second, validating parse of every line.
     """
     st = as_struct(schema)
     full = T.StructType(st.fields + [T.StructField(CORRUPT, T.StringType())])
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **(options or {})}
     rows = _with_source(_non_blank(lines, None), source)
     parsed = rows.select("source", "value", F.from_json("value", full, opts).alias("r"))
-    flagged = F.col(f"r.{CORRUPT}").isNotNull()
+    lenient_ok = F.col(f"r.{CORRUPT}").isNull()
+    flagged = ~lenient_ok
     if strict:
         # Duplicate keys: the variant parser rejects them.  Trailing text: the line
         # wrapped in brackets must be a valid JSON array of exactly one element.
         one_value = F.json_array_length(F.concat(F.lit("["), F.col("value"), F.lit("]"))) == 1
         flagged = flagged | F.try_parse_json("value").isNull() | ~F.coalesce(one_value, F.lit(False))
 
-    cols = [F.col(f"r.{f.name}").alias(f.name) for f in st.fields]
-    good = parsed.where(~flagged)
-    if keep_extra:
-        known = F.array(*[F.lit(f.name) for f in st.fields])
-        everything = F.from_json("value", T.MapType(T.StringType(), T.StringType()))
-        extra = F.map_filter(everything, lambda k, _v: ~F.array_contains(known, k))
-        good = good.select(*cols, "source", extra.alias(EXTRA))
-    else:
-        good = good.select(*cols, "source")
-
-    lenient_ok = F.col(f"r.{CORRUPT}").isNull()
     reason = (
-        F.when(lenient_ok, F.lit(NOT_STRICT))
+        F.when(~flagged, F.lit(None).cast("string"))
+        .when(lenient_ok, F.lit(NOT_STRICT))
         .when(F.try_parse_json("value").isNull(), F.lit(NOT_JSON))
         .when(~F.ltrim(F.col("value")).startswith("{"), F.lit(NOT_OBJECT))
         .otherwise(F.lit(BAD_TYPE))
     )
-    bad = parsed.where(flagged).select("source", "value", reason.alias("reason"))
-    return Parsed(good, bad)
+    out = [F.when(~flagged, F.col(f"r.{f.name}")).alias(f.name) for f in st.fields]
+    out += ["source", "value", reason.alias("reason")]
+    if keep_extra:
+        known = F.array(*[F.lit(f.name) for f in st.fields])
+        everything = F.from_json("value", T.MapType(T.StringType(), T.StringType()))
+        # Second parse (into a map) only for good lines.
+        extra = F.when(~flagged, F.map_filter(everything, lambda k, _v: ~F.array_contains(known, k)))
+        out.append(extra.alias(EXTRA))
+    return parsed.select(*out)
+
+
+def parse_json(
+    lines: DataFrame,
+    schema: T.StructType | str,
+    keep_extra: bool = True,
+    source: str | Column | None = None,
+    options: Mapping[str, str] | None = None,
+    strict: bool = False,
+) -> Parsed:
+    """Parse JSON lines into (good, bad); see :func:`tag_json`.
+
+    good: the schema's columns, ``source`` and (``keep_extra``) ``_extra``.
+    bad: ``source, value, reason``.
+    """
+    tagged = tag_json(lines, schema, keep_extra, source, options, strict)
+    return split(tagged, schema, extra=keep_extra)
 
 
 def summarize_bad(bad: DataFrame, totals: DataFrame | None = None) -> DataFrame:

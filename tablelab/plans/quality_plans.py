@@ -15,25 +15,6 @@ _CSV_REASON = """case event_id % 10 when 1 then 'too_few_fields' when 2 then 'to
 _JSON_REASON = "case event_id % 10 when 1 then 'not_json' when 2 then 'not_json' when 3 then 'bad_type' end"
 
 
-def _stack(good: DataFrame, bad: DataFrame, cols: list[str], extra: dict | None = None) -> DataFrame:
-    """good and bad rows in one table: parsed columns for good rows, reason + raw
-    line for bad ones."""
-    extra = extra or {}
-    g = good.select(
-        *cols,
-        *[e.alias(n) for n, e in extra.items()],
-        F.lit(None).cast("string").alias("reason"),
-        F.lit(None).cast("string").alias("value"),
-    )
-    b = bad.select(
-        *[F.lit(None).cast(good.schema[c].dataType).alias(c) for c in cols],
-        *[F.lit(None).cast("string").alias(n) for n in extra],
-        "reason",
-        "value",
-    )
-    return g.unionByName(b)
-
-
 @register(
     "csv_quarantine",
     f"""
@@ -50,9 +31,10 @@ from events
 """,
 )
 def csv_quarantine(spark, sf_dir):
-    lines = D.csv_lines(table(spark, sf_dir, "events"))
-    good, bad = Q.parse_csv(lines, D.CSV_SCHEMA, header=D.CSV_HEADER)
-    return _stack(good, bad, ["event_id", "user_id", "event_type"])
+    # One parse per line: good rows carry fields, bad rows carry reason and line.
+    tagged = Q.tag_csv(D.csv_lines(table(spark, sf_dir, "events")), D.CSV_SCHEMA, header=D.CSV_HEADER)
+    bad = F.col("reason").isNotNull()
+    return tagged.select("event_id", "user_id", "event_type", "reason", F.when(bad, F.col("value")).alias("value"))
 
 
 @register(
@@ -73,10 +55,12 @@ from events
 """,
 )
 def json_quarantine(spark, sf_dir):
-    lines = D.json_lines(table(spark, sf_dir, "events"))
-    good, bad = Q.parse_json(lines, D.JSON_SCHEMA)
+    tagged = Q.tag_json(D.json_lines(table(spark, sf_dir, "events")), D.JSON_SCHEMA)
+    bad = F.col("reason").isNotNull()
     keys = F.array_join(F.array_sort(F.map_keys(Q.EXTRA)), ",")
-    return _stack(good, bad, ["event_id", "user_id", "event_type"], {"extra_keys": keys})
+    return tagged.select(
+        "event_id", "user_id", "event_type", keys.alias("extra_keys"), "reason", F.when(bad, F.col("value")).alias("value")
+    )
 
 
 @register(

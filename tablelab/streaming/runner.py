@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablelab.operators.quality import parse_json
+from tablelab.operators.quality import split as split_tagged
+from tablelab.operators.quality import tag_json
 
 
 def file_stream(
@@ -87,18 +88,18 @@ def quarantine_stream(
 ) -> None:
     """Parse a bus-shaped JSON stream into good and bad sinks, one folder per batch.
 
-    Parsing is stateless (``from_json``); the split into two sinks happens in
-    ``foreachBatch`` so each batch is read once and written twice.
+    Parsing is stateless (``from_json``).  Each micro-batch is parsed once, kept
+    while its two outputs are written, then released.
     """
     lines = stream.select(F.col("value").cast("string").alias("value"), F.col(source_col).alias("source"))
 
     def split(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        tagged = tag_json(batch, schema).persist()
         try:
-            good, bad = parse_json(batch, schema)
+            good, bad = split_tagged(tagged, schema, extra=True)
             good.write.mode("overwrite").parquet(f"{good_sink}/batch={batch_id}")
             bad.write.mode("overwrite").parquet(f"{bad_sink}/batch={batch_id}")
         finally:
-            batch.unpersist()
+            tagged.unpersist()
 
     run_available(lines, good_sink, checkpoint, on_batch=split)
