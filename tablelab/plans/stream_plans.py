@@ -23,9 +23,15 @@ def _events_stream(spark, sf_dir, **kw):
     return R.file_stream(spark, sf_dir, schema, glob="events.parquet", **kw)
 
 
+def _state_partitions(spark) -> int:
+    # The state here is one row per open window (or session, or key within the
+    # watermark): small.  One state partition per core; every micro-batch visits all.
+    return spark.sparkContext.defaultParallelism
+
+
 def _run(spark, df, name):
     root = scratch_dir(spark, name)
-    R.run_available(df, f"{root}/sink", f"{root}/checkpoint")
+    R.run_available(df, f"{root}/sink", f"{root}/checkpoint", state_partitions=_state_partitions(spark))
     return R.read_sink(spark, f"{root}/sink", df.schema)
 
 
@@ -100,7 +106,7 @@ def stream_dedup(spark, sf_dir):
     src = R.file_stream(spark, f"{root}/input/*", events.schema)
     out = W.dedup(src, "event_id", "ts", delay="1 day")
     for _ in range(2):
-        R.run_available(out, f"{root}/sink", f"{root}/checkpoint")
+        R.run_available(out, f"{root}/sink", f"{root}/checkpoint", state_partitions=_state_partitions(spark))
     return R.read_sink(spark, f"{root}/sink", events.schema)
 
 

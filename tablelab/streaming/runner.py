@@ -48,15 +48,29 @@ def run_available(
     checkpoint: str,
     output_mode: str = "append",
     on_batch: Callable[[DataFrame, int], None] | None = None,
+    state_partitions: int | None = None,
 ) -> None:
-    """Run ``df`` over all available input, then stop (``availableNow``)."""
-    q = (
-        df.writeStream.outputMode(output_mode)
-        .foreachBatch(on_batch or _batch_writer(sink))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    """Run ``df`` over all available input, then stop (``availableNow``).
+
+    ``state_partitions`` sizes the state of stateful operators (it is fixed in the
+    checkpoint at the first run; later runs keep it).  Size it to the state, not to
+    the batch: every micro-batch visits every state partition.
+    """
+    spark = df.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    if state_partitions:
+        spark.conf.set(key, str(state_partitions))
+    try:
+        q = (
+            df.writeStream.outputMode(output_mode)
+            .foreachBatch(on_batch or _batch_writer(sink))
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set(key, previous)
     q.awaitTermination()
     if q.exception() is not None:  # pragma: no cover - surfaced by awaitTermination already
         raise RuntimeError(str(q.exception()))
