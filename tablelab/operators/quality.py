@@ -247,7 +247,7 @@ SAME, MOVED, TYPE_CHANGED, RENAMED, MISSING, EXTRA_COL = "same", "moved", "type_
 
 _DRIFT_SCHEMA = (
     "column_name string, observed_name string, status string, "
-    "baseline_type string, observed_type string, baseline_pos int, observed_pos int"
+    "baseline_type string, observed_type string, baseline_pos int, observed_pos int, cast_failures long"
 )
 
 
@@ -303,8 +303,45 @@ def schema_drift(
     aliases: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """column_name, observed_name, status, baseline_type, observed_type, baseline_pos,
-    observed_pos; status in same / moved / type_changed / renamed / missing / extra."""
-    return spark.createDataFrame(drift_rows(observed, baseline, aliases), _DRIFT_SCHEMA)
+    observed_pos, cast_failures; status in same / moved / type_changed / renamed /
+    missing / extra.
+
+    When ``observed`` is a DataFrame, every matched column whose type differs from the
+    baseline also gets ``cast_failures``: how many non-null values would not convert
+    to the baseline type (``try_cast``), all counted in one aggregate over the data.
+    Otherwise, and for columns without a type change, it is null.
+    """
+    rows = drift_rows(observed, baseline, aliases)
+    base_types = {f.name: f.dataType for f in _schema_of(baseline).fields}
+    checks = {}
+    if isinstance(observed, DataFrame):
+        for r in rows:
+            if r[0] is not None and r[1] is not None and r[3] != r[4]:
+                src = F.col(f"`{r[1]}`")
+                checks[r[0]] = F.count_if(src.isNotNull() & src.try_cast(base_types[r[0]]).isNull())
+    structs = []
+    for i, r in enumerate(rows):
+        fails = F.col(f"__f{i}") if r[0] in checks else F.lit(None).cast("long")
+        structs.append(
+            F.struct(
+                F.lit(r[0]).cast("string").alias("column_name"),
+                F.lit(r[1]).cast("string").alias("observed_name"),
+                F.lit(r[2]).alias("status"),
+                F.lit(r[3]).cast("string").alias("baseline_type"),
+                F.lit(r[4]).cast("string").alias("observed_type"),
+                F.lit(r[5]).cast("int").alias("baseline_pos"),
+                F.lit(r[6]).cast("int").alias("observed_pos"),
+                fails.cast("long").alias("cast_failures"),
+            )
+        )
+    if checks:
+        names = {c: f"__f{i}" for i, r in enumerate(rows) for c in [r[0]] if c in checks}
+        one = observed.agg(*[checks[c].alias(n) for c, n in names.items()])
+    else:
+        one = spark.range(1)
+    if not structs:
+        return spark.createDataFrame([], _DRIFT_SCHEMA)
+    return one.select(F.inline(F.array(*structs)))
 
 
 def reconcile(

@@ -92,12 +92,14 @@ RECONCILE_ALIASES = {"orderkey": "o_orderkey", "cust": "o_custkey"}
 
 def drifted_orders(orders: DataFrame) -> DataFrame:
     """``orders`` as a drifted feed: one column renamed with a declared alias, one
-    renamed without, a type change, two columns swapped and one extra column."""
+    renamed without, a type change (prices as text, one in a thousand unreadable),
+    two columns swapped and one extra column."""
+    price = F.when(F.pmod("o_orderkey", F.lit(1000)) == 7, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string"))
     return orders.select(
         F.col("o_orderkey").alias("orderkey"),
         F.col("o_custkey").alias("cust"),
         "o_orderstatus",
-        F.col("o_totalprice").cast("string").alias("o_totalprice"),
+        price.alias("o_totalprice"),
         "o_orderpriority",
         "o_orderdate",
         F.pmod(F.col("o_orderkey"), F.lit(7)).alias("o_shippriority"),
@@ -107,7 +109,8 @@ def drifted_orders(orders: DataFrame) -> DataFrame:
 @register(
     "schema_drift",
     """
-select * from (values
+select t.*, case when t.column_name = 'o_totalprice' then f.fails end as cast_failures
+from (values
   ('o_orderkey', 'orderkey', 'renamed', 'bigint', 'bigint', 0, 0),
   ('o_custkey', null, 'missing', 'bigint', null, 1, null),
   ('o_orderstatus', 'o_orderstatus', 'same', 'string', 'string', 2, 2),
@@ -116,7 +119,10 @@ select * from (values
   ('o_orderpriority', 'o_orderpriority', 'moved', 'string', 'string', 5, 4),
   (null, 'cust', 'extra', null, 'bigint', null, 1),
   (null, 'o_shippriority', 'extra', null, 'bigint', null, 6)
-) t(column_name, observed_name, status, baseline_type, observed_type, baseline_pos, observed_pos)
+) t(column_name, observed_name, status, baseline_type, observed_type, baseline_pos, observed_pos),
+(select count_if(p is not null and try_cast(p as double) is null) as fails
+ from (select case when o_orderkey % 1000 = 7 then 'n/a' else cast(o_totalprice as varchar) end as p
+       from orders)) f
 """,
 )
 def schema_drift(spark, sf_dir):
@@ -127,7 +133,9 @@ def schema_drift(spark, sf_dir):
 @register(
     "schema_reconcile",
     """
-select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+select o_orderkey, o_custkey, o_orderstatus,
+       case when o_orderkey % 1000 = 7 then null else o_totalprice end as o_totalprice,
+       o_orderdate, o_orderpriority,
        concat('{"o_shippriority":"', o_orderkey % 7, '"}') as extra_json
 from orders
 """,
