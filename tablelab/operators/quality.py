@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -235,6 +235,16 @@ def summarize_bad(bad: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     )
 
 
+def summarize_tagged(tagged: DataFrame) -> DataFrame:
+    """source, reason, n, share from tagged lines (:func:`tag_csv` / :func:`tag_json`)
+    in one pass: lines are counted per (source, reason) and the per-source total is a
+    window over that small result, so nothing is parsed or read twice."""
+    per = tagged.groupBy("source", "reason").agg(F.count(F.lit(1)).alias("n"))
+    lines = F.sum("n").over(Window.partitionBy("source"))
+    out = per.select("source", "reason", "n", (F.col("n") / lines).alias("share"))
+    return out.where(F.col("reason").isNotNull())
+
+
 def line_totals(lines: DataFrame, source: str | Column | None = None, header: str | None = None) -> DataFrame:
     """Non-blank lines per source (the denominator for :func:`summarize_bad`)."""
     rows = _with_source(_non_blank(lines, header), source)

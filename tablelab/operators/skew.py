@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablelab.functions import col_of
@@ -250,7 +250,9 @@ def partition_balance(df: DataFrame) -> DataFrame:
     per = df.groupBy(F.spark_partition_id().alias("partition")).agg(
         F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes")
     )
-    biggest = per.agg(F.max("rows")).scalar()
+    # One row per partition: a window over it is bounded by the partition count.  (A
+    # scalar subquery would run the input again: partition ids are not reusable.)
+    biggest = F.max("rows").over(Window.partitionBy())
     return per.select("partition", "rows", "bytes", (F.col("rows") / biggest).alias("share_of_max"))
 
 

@@ -78,10 +78,10 @@ from b, t group by source, reason
 )
 def quarantine_summary(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    csv, js = D.csv_lines(events), D.json_lines(events)
-    bad = Q.parse_csv(csv, D.CSV_SCHEMA, header=D.CSV_HEADER).bad.unionByName(Q.parse_json(js, D.JSON_SCHEMA).bad)
-    totals = Q.line_totals(csv, header=D.CSV_HEADER).unionByName(Q.line_totals(js))
-    return Q.summarize_bad(bad, totals)
+    cols = ["source", "reason"]
+    csv = Q.tag_csv(D.csv_lines(events), D.CSV_SCHEMA, header=D.CSV_HEADER).select(*cols)
+    js = Q.tag_json(D.json_lines(events), D.JSON_SCHEMA, keep_extra=False).select(*cols)
+    return Q.summarize_tagged(csv.unionByName(js))
 
 
 # --- drift ---------------------------------------------------------------------
