@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 STAGE_KEYS = ["app", "stage_id", "stage_attempt"]
@@ -58,30 +58,49 @@ def failures(tasks: DataFrame) -> DataFrame:
 
 def executor_use(tasks: DataFrame, slots: int = 1) -> DataFrame:
     """Per executor: tasks, busy ms (sum of task durations), span ms of the app,
-    busy share of ``span * slots``."""
+    busy share of ``span * slots``.  One pass over the tasks; the application span
+    is a window over the per-executor rows (one per executor)."""
     per = tasks.groupBy("app", "executor_id").agg(
-        F.count(F.lit(1)).alias("tasks"), F.sum("duration_ms").alias("busy_ms")
+        F.count(F.lit(1)).alias("tasks"),
+        F.sum("duration_ms").alias("busy_ms"),
+        F.min("launch_time").alias("first_launch"),
+        F.max("finish_time").alias("last_finish"),
     )
-    span = tasks.groupBy("app").agg(
-        (F.unix_millis(F.max("finish_time").cast("timestamp")) - F.unix_millis(F.min("launch_time").cast("timestamp"))).alias(
-            "span_ms"
-        )
-    )
-    # One row per application on the right side.
-    return per.join(span, "app").select(
+    app = Window.partitionBy("app")
+    ms = lambda c: F.unix_millis(c.cast("timestamp"))
+    span = (ms(F.max("last_finish").over(app)) - ms(F.min("first_launch").over(app))).alias("span_ms")
+    return per.select("app", "executor_id", "tasks", "busy_ms", span).select(
         "app", "executor_id", "tasks", "busy_ms", "span_ms",
         F.when(F.col("span_ms") > 0, F.col("busy_ms") / (F.col("span_ms") * F.lit(slots))).alias("busy_share"),
     )
 
 
-def stage_metrics_long(tasks: DataFrame) -> DataFrame:
-    """The per-stage metrics as a long table: app, stage_id, stage_attempt, metric, value."""
-    skew = stage_skew(tasks).select(*STAGE_KEYS, "max_over_median", "p95_ms")
-    mem = stage_memory(tasks).select(*STAGE_KEYS, "disk_spilled", "memory_spilled", "gc_share")
-    wide = skew.join(mem, STAGE_KEYS)
-    metrics = ["max_over_median", "p95_ms", "disk_spilled", "memory_spilled", "gc_share"]
-    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])
-    return wide.select(*STAGE_KEYS, F.inline(pairs))
+def stage_metrics_long(tasks: DataFrame, exact: bool = True) -> DataFrame:
+    """The per-stage metrics as a long table: app, stage_id, stage_attempt, metric,
+    value — all from one aggregate over the tasks."""
+    run = F.col("run_ms").cast("double")
+    if exact:
+        med, p95 = F.percentile(run, 0.5), F.percentile(run, 0.95)
+    else:
+        med, p95 = F.percentile_approx(run, 0.5, 10000).cast("double"), F.percentile_approx(run, 0.95, 10000).cast("double")
+    g = tasks.groupBy(*STAGE_KEYS).agg(
+        med.alias("median_ms"),
+        p95.alias("p95_ms"),
+        F.max("run_ms").alias("max_ms"),
+        F.sum("disk_spilled").alias("disk_spilled"),
+        F.sum("memory_spilled").alias("memory_spilled"),
+        F.sum("gc_ms").alias("gc_ms"),
+        F.sum("run_ms").alias("run_total"),
+    )
+    values = {
+        "max_over_median": F.when(F.col("median_ms") > 0, F.col("max_ms") / F.col("median_ms")),
+        "p95_ms": F.col("p95_ms"),
+        "disk_spilled": F.col("disk_spilled"),
+        "memory_spilled": F.col("memory_spilled"),
+        "gc_share": F.when(F.col("run_total") > 0, F.col("gc_ms") / F.col("run_total")),
+    }
+    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), v.cast("double").alias("value")) for m, v in values.items()])
+    return g.select(*STAGE_KEYS, F.inline(pairs))
 
 
 # Fixed default rules: metric, threshold, severity.
