@@ -1,12 +1,16 @@
 """Every registered key with an oracle matches DuckDB at sf0.01; every key runs."""
 
+import os
+
 import pytest
 
-from tests.conftest import SF_ORACLE
+from tests.conftest import SF_ORACLE as _DEFAULT_SF
 from tests.oracle import compare, duck
 
 import __spark_entry__ as E
 
+# TABLELAB_ORACLE_SF=/root/testdata/sf0.1 re-runs the parity check on more data.
+SF_ORACLE = os.environ.get("TABLELAB_ORACLE_SF", _DEFAULT_SF)
 _SQL = E.oracle_sql()
 _QUERIES = E.queries()
 
