@@ -40,14 +40,10 @@ def write_parquet(
 
 
 def roundtrip_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> DataFrame:
-    """Write then read back with the written schema (partition columns come last)."""
+    """Write then read back with the written schema: partition values keep their type
+    (no inference turning "01" into 1) and columns keep the caller's order."""
     write_parquet(df, path, partition_by=partition_by)
-    schema = df.schema
-    if partition_by:
-        # Partition columns are appended by the reader; keep the caller's order.
-        back = df.sparkSession.read.parquet(path)
-        return back.select(*df.columns)
-    return read_parquet(df.sparkSession, path, schema)
+    return read_parquet(df.sparkSession, path, df.schema).select(*df.columns)
 
 
 def union_all(dfs: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame:

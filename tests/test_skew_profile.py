@@ -186,3 +186,11 @@ def test_profile_handles_nested_and_map_columns(spark):
     out = {r["column_name"]: r for r in P.global_profile(df).collect()}
     assert out["k"]["nulls"] == 1 and out["arr"]["max_value"] == "[3]"
     assert out["m"]["n"] == 1 and out["m"]["min_value"] is None
+
+
+def test_roundtrip_keeps_partition_types(spark):
+    from tablelab.session import scratch_dir
+
+    df = spark.createDataFrame([(1, "01"), (2, "10")], "id long, code string")
+    back = IO.roundtrip_parquet(df, scratch_dir(spark, "rt"), partition_by=["code"])
+    assert back.schema == df.schema and sorted(back.collect()) == sorted(df.collect())
