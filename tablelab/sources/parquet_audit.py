@@ -72,7 +72,10 @@ def audit_parquet(spark: SparkSession, root: str, glob: str | None = None) -> Da
     """path, length, ok, num_rows, num_row_groups, reason for every data file under ``root``.
 
     The listing is a ``binaryFile`` scan without content, so its partitions group
-    files by size; each task opens only the footers of its own files.
+    files by size; each task opens only the footers of its own files (through
+    pyarrow's file systems: local, HDFS, S3/``s3a``, GCS — executors need the same
+    credentials as Spark).  A file that cannot be opened is reported with the error
+    as its reason, never skipped.
     """
     files = list_files(spark, root, glob).select("path", "length")
     return files.mapInPandas(_audit_batches, AUDIT_SCHEMA)
