@@ -23,7 +23,7 @@ import datetime as _dt
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,7 +94,9 @@ class Snapshots:
         row = (gen, version, op, dirs, schema.json() if schema else None, n, _dt.datetime.now(_dt.timezone.utc))
         entry = self.spark.createDataFrame([row], LOG_SCHEMA).coalesce(1)
         entry.write.mode("errorifexists").parquet(f"{self.log_path}/g{gen:06d}-v{version:06d}-{op}")
-        self._cache = None
+        if self._cache is not None:
+            # Single writer: our own entry is the only change since the log was read.
+            self._cache = self._cache + [dict(zip(LOG_SCHEMA.fieldNames(), row))]
 
     # --- writes --------------------------------------------------------------------
 
@@ -110,9 +112,10 @@ class Snapshots:
             schema = _merge(T.StructType.fromJson(json.loads(last["schema_json"])), df.schema, merge_schema)
             dirs = list(last["dirs"])
         folder = f"{self.path}/data/g{gen:06d}-v{version:06d}-{uuid.uuid4().hex[:8]}"
-        df.write.mode("errorifexists").parquet(folder)
-        # Row count from the written footers (no second pass over the input).
-        n = self.spark.read.parquet(folder).count()
+        # The row count is observed while writing: no second pass over the data.
+        seen = Observation(f"commit-{uuid.uuid4().hex[:8]}")
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(folder)
+        n = int(seen.get["rows"])
         self._append_log(gen, version, mode, dirs + [folder], schema, n)
         return version
 
