@@ -122,3 +122,8 @@ def task_metrics(lines: DataFrame) -> DataFrame:
 def _ms_to_ntz(c):
     """Epoch milliseconds as a UTC wall-clock ``timestamp_ntz`` (session zone free)."""
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.timestamp_millis(c).cast("timestamp_ntz"))
+
+
+def read_task_metrics(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``task_metrics`` straight from log paths (files, rolling folders or globs)."""
+    return task_metrics(read_log_lines(spark, paths))

@@ -199,7 +199,7 @@ def test_eventlog_reader_on_rolling_compressed_log(spark):
     assert len(folders) == 1
     parts = os.listdir(os.path.join(root, folders[0]))
     assert any(p.endswith(".zstd") for p in parts)
-    tasks = ES.task_metrics(ES.read_log_lines(spark, f"{root}/eventlog_v2_*/events_*"))
+    tasks = ES.read_task_metrics(spark, f"{root}/eventlog_v2_*/events_*")
     assert tasks.count() >= 7
     assert {r["app"] for r in tasks.select("app").distinct().collect()} == {folders[0][len("eventlog_v2_"):]}
 
