@@ -194,3 +194,15 @@ def test_roundtrip_keeps_partition_types(spark):
     df = spark.createDataFrame([(1, "01"), (2, "10")], "id long, code string")
     back = IO.roundtrip_parquet(df, scratch_dir(spark, "rt"), partition_by=["code"])
     assert back.schema == df.schema and sorted(back.collect()) == sorted(df.collect())
+
+
+def test_multi_column_keys(spark, skewed):
+    two = skewed.withColumn("region", (F.col("transaction_id") % 2).cast("long"))
+    freq = {(r["customer_id"], r["region"]): r for r in P.key_frequency(two, ["customer_id", "region"], top=None).collect()}
+    assert freq[(1, 0)]["n"] == 40_000 and freq[(1, 0)]["rank"] == 1 and freq[(1, 1)]["rank"] == 1
+    dim = spark.createDataFrame([(k, r, f"c{k}-{r}") for k in range(1, 30) for r in (0, 1)],
+                                "customer_id long, region long, name string")
+    cols = ["transaction_id", "customer_id", "region", "name"]
+    for how in ("inner", "left"):
+        out = S.hot_key_join(two, dim, ["customer_id", "region"], threshold=0.1, how=how)
+        assert sorted_rows(out, *cols) == sorted_rows(two.join(dim, ["customer_id", "region"], how), *cols)
