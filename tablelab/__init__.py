@@ -14,3 +14,39 @@ try:
     _cp.register_pickle_by_value(_sys.modules[__name__])
 except Exception:  # pragma: no cover - older cloudpickle without the API
     pass
+
+# The public operators, importable from the package root.
+from tablelab.operators.expect import assert_all, expect, summarize  # noqa: E402,F401
+from tablelab.operators.profile import (  # noqa: E402,F401
+    approx_profile,
+    global_profile,
+    key_frequency,
+    ordered_top,
+    skew_ratio,
+    topk_per_key,
+)
+from tablelab.operators.quality import (  # noqa: E402,F401
+    parse_csv,
+    parse_json,
+    reconcile,
+    schema_drift,
+    summarize_bad,
+    summarize_tagged,
+    tag_csv,
+    tag_json,
+)
+from tablelab.operators.skew import (  # noqa: E402,F401
+    Agg,
+    file_layout,
+    hot_key_join,
+    partition_balance,
+    preagg_join,
+    salted_agg,
+    salted_join,
+)
+from tablelab.operators.snapshots import Snapshots  # noqa: E402,F401
+from tablelab.operators.udf import map_catching, map_vectorized  # noqa: E402,F401
+from tablelab.sources.eventlog import read_task_metrics, task_metrics  # noqa: E402,F401
+from tablelab.sources.parquet_audit import audit_parquet, read_healthy  # noqa: E402,F401
+from tablelab.streaming.runner import run_available  # noqa: E402,F401
+from tablelab.streaming.windows import dedup, late_report, sessions, windowed  # noqa: E402,F401

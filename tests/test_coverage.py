@@ -28,3 +28,11 @@ def test_all_blueprint_keys_registered():
 
 def test_oracles_only_for_registered_keys():
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_public_api_importable():
+    import tablelab
+
+    for name in ["key_frequency", "hot_key_join", "parse_csv", "tag_json", "Snapshots", "windowed", "expect",
+                 "audit_parquet", "read_task_metrics", "map_catching", "salted_agg", "late_report"]:
+        assert callable(getattr(tablelab, name))
