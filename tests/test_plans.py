@@ -66,3 +66,18 @@ def test_preagg_join_aggregates_before_joining(spark):
 def test_row_count_sql_pushes_predicate(spark):
     p = plan(spark, "row_count_sql")
     assert "GreaterThan(o_totalprice,100000.0)" in p
+
+
+def test_large_side_plans_without_auto_broadcast(spark):
+    """With automatic broadcast off (a dimension too big to broadcast), the salted join
+    is a sort-merge join on (key, salt) and the hot-key join still broadcasts only its
+    checked hot slice."""
+    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(spark, "salted_join")
+        assert "SortMergeJoin" in p and "__salt" in p.split("SortMergeJoin")[1].split("\n")[0]
+        p = plan(spark, "hot_key_join")
+        assert "BroadcastHashJoin" in p and "SortMergeJoin" in p
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
