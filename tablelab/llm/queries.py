@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelab.llm import mixing, quality, warc
+from tablelab.llm import mixing, quality, substring, warc
 from tablelab.session import scratch_dir, table
 
 QUERIES: dict = {}
@@ -89,3 +89,25 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select(
         "doc_id", "mix.size", "mix.source_size", "mix.target", (F.col("mix.copies") * F.col("mix.size")).alias("taken")
     )
+
+
+@query("op4_substring", r"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []::VARCHAR[]) AS w FROM documents),
+s AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 12, 0) + 1)) AS i FROM d),
+g AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 12], ' ')) AS h FROM s),
+r AS (SELECT doc_id, i, doc_id > min(doc_id) OVER (PARTITION BY h) AS again FROM g),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM r WHERE again),
+gone AS (SELECT doc_id, list(i) AS pos FROM c GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(pos), 0)::BIGINT AS n_removed,
+  sha256(array_to_string(CASE WHEN pos IS NULL THEN w ELSE
+    list_transform(list_filter(range(1, len(w) + 1), lambda j: NOT list_contains(pos, j)), lambda j: w[j]) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)
+""")
+def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that repeat an earlier document's window of 13 words, removed from all documents."""
+    marked = substring.mark_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return marked.select(
+        "doc_id", "n_words", substring.n_removed(F.col("removed")).alias("n_removed"),
+        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
+    )
