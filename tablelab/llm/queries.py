@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelab.llm import mixing, quality, substring, warc
+from tablelab.llm import mixing, ngram_join, quality, substring, warc
 from tablelab.session import scratch_dir, table
 
 QUERIES: dict = {}
@@ -111,3 +111,31 @@ def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", substring.n_removed(F.col("removed")).alias("n_removed"),
         F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
     )
+
+
+@query("op10_ngram_join", r"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+'), []::VARCHAR[]) AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+r AS (SELECT g, count(*) AS df FROM s GROUP BY g),
+o AS (SELECT doc_id, g, n, df, row_number() OVER (PARTITION BY doc_id ORDER BY df, g) AS pos FROM s JOIN r USING (g) JOIN n USING (doc_id)),
+p AS MATERIALIZED (SELECT doc_id, g, n FROM o WHERE df > 1 AND pos <= n - ceil(0.9::DECIMAL(2,1) * n) + 1),
+c AS MATERIALIZED (
+  SELECT DISTINCT x.doc_id AS a, y.doc_id AS b, x.n AS na, y.n AS nb FROM p x JOIN p y ON x.g = y.g AND x.doc_id < y.doc_id
+  WHERE 100 * least(x.n, y.n) >= 90 * greatest(x.n, y.n)),
+l AS MATERIALIZED (
+  SELECT a, b FROM (SELECT a, b, na, nb, count(*) AS i FROM c JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b AND y.g = x.g GROUP BY ALL)
+  WHERE 100 * i >= 90 * (na + nb - i)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION SELECT b, a FROM l),
+t AS (SELECT a, b FROM e UNION SELECT t.a, e.b FROM t JOIN e ON t.b = e.a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM t GROUP BY a) USING (doc_id)
+""")
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents linked by Jaccard similarity of 0.9 on 3-word shingles."""
+    classes = ngram_join.link_classes(table(spark, sf_dir, "documents"))
+    return classes.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
