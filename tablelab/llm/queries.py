@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelab.llm import mixing, ngram_join, quality, substring, warc
+from tablelab.llm import decontam, mixing, ngram_join, quality, substring, warc
 from tablelab.session import scratch_dir, table
 
 QUERIES: dict = {}
@@ -139,3 +139,34 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents linked by Jaccard similarity of 0.9 on 3-word shingles."""
     classes = ngram_join.link_classes(table(spark, sf_dir, "documents"))
     return classes.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
+@query("op6_decontam", r"""
+WITH w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []::VARCHAR[]) AS w FROM documents),
+i AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+b AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS size, array_to_string(w[k:k + 12], ' ') AS g
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS k FROM i WHERE len(w) > 0)),
+z AS (SELECT DISTINCT size FROM b),
+p AS (SELECT doc_id, w, size, unnest(range(1, greatest(len(w) - size + 1, 0) + 1)) AS k FROM w, z),
+h AS (SELECT doc_id, item_id, k, p.size FROM p JOIN b ON p.size = b.size AND array_to_string(w[k:k + p.size - 1], ' ') = g),
+c AS (SELECT doc_id, count(DISTINCT x) AS n FROM (SELECT doc_id, unnest(range(k, k + size)) AS x FROM h) GROUP BY doc_id),
+t AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM h) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS n_hit, coalesce(t.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(c.n, 0) > 0 AND 20 * coalesce(c.n, 0) >= len(w) AS contaminated
+FROM w LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
+""")
+def op6_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against all windows of the benchmark."""
+    found = decontam.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        decontam.is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+    )
