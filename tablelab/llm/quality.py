@@ -30,10 +30,10 @@ FEATURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_r
 #: measure: (numerator, denominator, is a low value bad, is a high value bad, least distance
 #: of a fence from the median in parts of SCALE)
 MEASURES = {
-    "word_length": ("word_chars", "n_words", True, True, 10_000),
+    "word_length": ("word_chars", "n_words", True, True, 15_000),
     "symbols": ("n_symbols", "n_words", False, True, 1_000),
-    "dup_lines": ("n_dup_lines", "n_lines", False, True, 1_500),
-    "repeat_words": ("n_repeat_words", "n_words", False, True, 1_500),
+    "dup_lines": ("n_dup_lines", "n_lines", False, True, 4_000),
+    "repeat_words": ("n_repeat_words", "n_words", False, True, 3_000),
 }
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelab.llm import decontam, mixing, ngram_join, quality, substring, warc
+from tablelab.llm import decontam, langid, license, mixing, ngram_join, quality, substring, warc
 from tablelab.session import scratch_dir, table
 
 QUERIES: dict = {}
@@ -170,3 +170,23 @@ def op6_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         decontam.is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
     )
+
+
+@query("op7_langid")
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents by a network fitted on those that aren't held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = langid.held_out(F.col("doc_id"))
+    model = langid.fit(docs.where(F.col("doc_id").isNotNull() & ~out))
+    return langid.predict(docs.select("doc_id", "text"), model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op9_license")
+def op9_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and fuzzy notices in all documents."""
+    found = license.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", *[f"license.{c}" for c in ("n_words", "n_base", "first_word", "last_word")],
+        license.joined_labels(F.col("license.base_labels")).alias("base_labels"),
+        license.joined_labels(F.col("license.labels")).alias("labels"), "license.score",
+    )
