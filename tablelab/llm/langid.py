@@ -25,6 +25,7 @@ from tablelab.llm.common import col, fresh
 
 WINDOW = 192
 WIDTHS = (2, 3, 4)
+#: Of each width; eight 16-bit sums are one item of 16 bytes.
 FILTERS = 8
 DIM = 8
 #: The bound of the sample: so many documents, and so many windows of each.
@@ -36,35 +37,54 @@ UNKNOWN = "und"
 BATCH = 256
 
 
+def _rows(table: np.ndarray) -> np.ndarray:
+    """(n, FILTERS) of int16 as n items of 16 bytes, which numpy looks up one by one fast."""
+    return np.ascontiguousarray(table).view(np.complex128)[:, 0]
+
+
+def _top(z: np.ndarray) -> np.ndarray:
+    """The maximum over axis 1, by halves."""
+    while z.shape[1] > 1:
+        half = (z.shape[1] + 1) // 2
+        z = np.maximum(z[:, :half], z[:, -half:])
+    return z[:, 0]
+
+
 @dataclass(frozen=True)
 class Model:
-    """Languages; for each width and offset a table (256, filters); filter biases; the output layer."""
+    """Languages; for each width and offset a table (256, FILTERS) of whole numbers, their
+    ``scale``; filter biases; the output layer."""
 
     languages: tuple[str, ...]
     tables: tuple[tuple[np.ndarray, ...], ...]
+    scale: float
     biases: tuple[np.ndarray, ...]
     out: np.ndarray
     bias: np.ndarray
     window: int = WINDOW
 
     @cached_property
-    def pairs(self) -> list[list[np.ndarray]]:
-        """Tables for two bytes at a time (65,536 rows), which halve the look-ups of a filter."""
+    def looked_up(self) -> list[list[np.ndarray]]:
+        """Tables for two bytes at a time (65,536 rows), which halve the look-ups of a filter, or for one."""
         return [
-            [(a[:, None, :] + b[None, :, :]).reshape(65536, -1) for a, b in zip(t[::2], t[1::2], strict=False)]
+            [
+                _rows((t[j][:, None, :] + t[j + 1][None, :, :]).reshape(65536, -1) if j + 1 < len(t) else t[j])
+                for j in range(0, len(t), 2)
+            ]
             for t in self.tables
         ]
 
     def log_probabilities(self, windows: np.ndarray) -> np.ndarray:
         """(n, window) bytes to (n, languages)."""
-        pooled = []
-        both = windows[:, :-1].astype(np.uint16) << 8 | windows[:, 1:]
-        for tables, pairs, bias in zip(self.tables, self.pairs, self.biases, strict=True):
+        pooled, one = [], windows.astype(np.intp)
+        two = one[:, :-1] << 8 | one[:, 1:]
+        for tables, rows, bias in zip(self.tables, self.looked_up, self.biases, strict=True):
             n, total = windows.shape[1] - len(tables) + 1, None
-            for j in range(0, len(tables), 2):
-                part = pairs[j // 2][both[:, j : j + n]] if j + 1 < len(tables) else tables[j][windows[:, j : j + n]]
+            for j, table in enumerate(rows):
+                at = (two if 2 * j + 1 < len(tables) else one)[:, 2 * j : 2 * j + n]
+                part = table.take(at).view(np.int16).reshape(len(windows), n, FILTERS)
                 total = part if total is None else np.add(total, part, out=total)
-            pooled.append(np.maximum(total.max(axis=1) + bias, 0))
+            pooled.append(np.maximum(_top(total) / self.scale + bias, 0))
         logits = np.concatenate(pooled, axis=1) @ self.out + self.bias
         logits -= logits.max(axis=1, keepdims=True)
         return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
@@ -85,9 +105,9 @@ def letters_in(windows: np.ndarray) -> np.ndarray:
 
 
 def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], seed: int = 7, epochs: int = EPOCHS,
-          widths: tuple[int, ...] = WIDTHS, filters: int = FILTERS, dim: int = DIM) -> Model:
+          widths: tuple[int, ...] = WIDTHS, dim: int = DIM) -> Model:
     """Fit the network by Adam on (n, window) bytes and label numbers; the same input gives the same model."""
-    rng = np.random.default_rng(seed)
+    rng, filters = np.random.default_rng(seed), FILTERS
     size, k = windows.shape[1], len(languages)
     p: dict[str, np.ndarray] = {"E": rng.normal(0, 0.5, (256, dim)).astype(np.float32)}
     for w in widths:
@@ -141,8 +161,11 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], seed: i
                 first[name] = 0.9 * first[name] + 0.1 * v
                 second[name] = 0.999 * second[name] + 0.001 * v * v
                 p[name] -= 0.01 * (first[name] / (1 - 0.9**step)) / (np.sqrt(second[name] / (1 - 0.999**step)) + 1e-8)
-    tables = tuple(tuple((p["E"] @ p[f"W{w}"][j * dim : (j + 1) * dim]).astype(np.float32) for j in range(w)) for w in widths)
-    return Model(tuple(languages), tables, tuple(p[f"b{w}"] for w in widths), p["O"], p["c"], size)
+    tables = [[p["E"] @ p[f"W{w}"][j * dim : (j + 1) * dim] for j in range(w)] for w in widths]
+    # Sums of a filter's rows stay within 16 bits.
+    scale = 30_000 / max(sum(float(np.abs(t).max()) for t in own) for own in tables)
+    whole = tuple(tuple(np.round(t * scale).astype(np.int16) for t in own) for own in tables)
+    return Model(tuple(languages), whole, scale, tuple(p[f"b{w}"] for w in widths), p["O"], p["c"], size)
 
 
 def sample(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, docs: int = SAMPLE_DOCS,
