@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelab.llm import decontam, langid, license, mixing, ngram_join, quality, substring, warc
+from tablelab.llm import chat, decontam, html_text, langid, license, mixing, ngram_join, quality, substring, warc
 from tablelab.session import scratch_dir, table
 
 QUERIES: dict = {}
@@ -190,3 +190,20 @@ def op9_license(spark: SparkSession, sf_dir: str) -> DataFrame:
         license.joined_labels(F.col("license.base_labels")).alias("base_labels"),
         license.joined_labels(F.col("license.labels")).alias("labels"), "license.score",
     )
+
+
+@query("op5_html")
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    found = html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op8_chat")
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All turns of all conversations, repaired and rendered."""
+    done = chat.format_chats(table(spark, sf_dir, "conversations"))
+    return done.select(
+        F.col("conv").alias("conv_id"), "turn", "role", "new_role", "action", F.array_join("inserted", ",").alias("inserted"),
+        F.array_join("closed_by", ",").alias("closed_by"), "piece", "cost",
+    )
