@@ -49,11 +49,12 @@ def source_targets(
         .withColumn("_left", F.col("_total") - F.sum("_cap").over(upto) + F.col("_cap"))
         .withColumn("_open", F.col("_weights") - F.sum("weight").over(upto) + F.col("weight"))
         .withColumn("_level", F.col("_left") / F.col("_open"))
+        .withColumn("_k", F.row_number().over(by_fill))
     )
     # Full sources come first; the level is that of the first source that isn't full at it.
-    first = F.min(F.when(F.col("_level") <= F.col("_fill"), F.struct("_fill", "_level"))).over(every)
+    first = F.min(F.when(F.col("_level") <= F.col("_fill"), F.struct("_k", "_level"))).over(every)
     full = F.col("_cap").cast("double")
-    target = F.when(first.isNull() | (F.col("_fill") < first["_fill"]), full).otherwise(
+    target = F.when(first.isNull() | (F.col("_k") < first["_k"]), full).otherwise(
         F.least(first["_level"] * F.col("weight"), full)
     )
     return ranked.withColumn("target", target).select("source", "source_size", "weight", "target")

@@ -97,12 +97,16 @@ class Texts:
         return hashed[at], at
 
 
+def runs(values: np.ndarray) -> Iterable[tuple[int, slice]]:
+    """Each run of equal values, none below 0."""
+    edges = np.append(np.flatnonzero(np.diff(values, prepend=-1)), len(values)).tolist()
+    for a, b in zip(edges, edges[1:], strict=False):
+        yield int(values[a]), slice(a, b)
+
+
 def split_buckets(sorted_keys: np.ndarray, bits: int) -> Iterable[tuple[int, slice]]:
     """The runs of each bucket in sorted keys of ``bits + SENT_BITS`` bits."""
-    buckets = (sorted_keys >> np.uint64(SENT_BITS)).astype(np.int64)
-    edges = np.flatnonzero(np.diff(buckets, prepend=-1))
-    for a, b in zip(edges, [*edges[1:], len(buckets)], strict=True):
-        yield int(buckets[a]), slice(int(a), int(b))
+    return runs((sorted_keys >> np.uint64(SENT_BITS)).astype(np.int64))
 
 
 def cut(hashes: np.ndarray, bits: int) -> np.ndarray:

@@ -69,11 +69,12 @@ f AS (
   SELECT *, 3 * source_size AS cap, (3 * source_size) / weight AS fill,
     sum(source_size) OVER ()::BIGINT AS total, sum(weight) OVER ()::BIGINT AS weights FROM s),
 l AS (
-  SELECT *, ((total - sum(cap) OVER w + cap)::BIGINT / (weights - sum(weight) OVER w + weight)::BIGINT) AS level
+  SELECT *, ((total - sum(cap) OVER w + cap)::BIGINT / (weights - sum(weight) OVER w + weight)::BIGINT) AS level,
+    row_number() OVER w AS k
   FROM f WINDOW w AS (ORDER BY fill, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
-m AS (SELECT min({'fill': fill, 'level': level}) FILTER (level <= fill) AS first FROM l),
+m AS (SELECT min({'k': k, 'level': level}) FILTER (level <= fill) AS first FROM l),
 t AS (
-  SELECT source, source_size, CASE WHEN first IS NULL OR fill < first.fill THEN cap::DOUBLE
+  SELECT source, source_size, CASE WHEN first IS NULL OR k < first.k THEN cap::DOUBLE
     ELSE least(first.level * weight, cap::DOUBLE) END AS target FROM l, m),
 r AS (
   SELECT doc_id, size, source_size, target,

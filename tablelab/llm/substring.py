@@ -79,18 +79,12 @@ def answers(keys: np.ndarray, reply: pa.Table, kind: int, bits: int, buckets: np
     out = np.zeros(len(keys), bool)
     found = {b: d for b, k, d in zip(*(reply.column(c).to_pylist() for c in ("bucket", "kind", "bits")), strict=True) if k == kind}
     if found:
-        for bucket, part in packed.split_buckets(keys, bits) if buckets is None else _runs(buckets):
+        for bucket, part in packed.split_buckets(keys, bits) if buckets is None else packed.runs(buckets):
             if bucket in found:
                 out[part] = packed.unpack_bits(found[bucket], part.stop - part.start)
     return out
 
 
-def _runs(buckets: np.ndarray):
-    edges = np.flatnonzero(np.diff(buckets, prepend=-1))
-    for a, b in zip(edges, [*edges[1:], len(buckets)], strict=True):
-        yield int(buckets[a]), slice(int(a), int(b))
-
-
 def mark_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
     words_col: str = "n_words", spans_col: str = "removed", kept_col: str = "kept",
@@ -151,7 +145,7 @@ def mark_repeats(
         keys, buckets, place, start, first = group.candidates(reply)
         least = np.minimum.reduceat(group.texts.ids[group.texts.doc[start]], first) if len(first) else np.empty(0, np.int64)
         number, rows = docs_table.column(g)[0].as_py(), []
-        for bucket, part in _runs(buckets):
+        for bucket, part in packed.runs(buckets):
             base = int(least[part].min())
             above = least[part].astype(np.uint64) - np.array(base).astype(np.uint64)
             width = packed.width_of(above)
