@@ -10,7 +10,6 @@ verifies the copy and gives its span.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import pandas as pd
 import regex
@@ -47,23 +46,22 @@ def pieces(notice: str, errors: int) -> list[tuple[int, str]]:
     return [(a, notice[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-@lru_cache(maxsize=4)
-def _compiled(notices: tuple) -> tuple:
-    """Each notice with its pieces and pattern, and one pattern that any text with a piece matches."""
-    return tuple(
+def compiled(notices: dict = NOTICES) -> list[tuple]:
+    """(label, notice, errors, pieces, pattern) of each notice; made once per task."""
+    return [
         (label, notice, errors, pieces(notice, errors), regex.compile(f"(?b)(?:{regex.escape(notice)}){{e<={errors}}}"))
-        for label, items in notices
+        for label, items in notices.items()
         for notice, errors in items
-    )
+    ]
 
 
-def find_fuzzy(text: str, notices: dict = NOTICES) -> list[tuple[str, int, int, int]]:
+def find_fuzzy(text: str, patterns: list[tuple]) -> list[tuple[str, int, int, int]]:
     """``(label, start, end, errors)`` of all copies, best matches of non-overlapping places, in words' text.
 
     ``text``: words joined by one space.  Places are in its characters.
     """
     found = []
-    for label, notice, errors, parts, pattern in _compiled(tuple((k, tuple(v)) for k, v in notices.items())):
+    for label, notice, errors, parts, pattern in patterns:
         at = set()
         for offset, piece in parts:
             i = text.find(piece)
@@ -94,7 +92,7 @@ def words_before(text: str, places: Iterable[int]) -> dict[int, int]:
     return out
 
 
-def scan_text(text: str | None, base: dict = BASE, notices: dict = NOTICES) -> tuple:
+def scan_text(text: str | None, base: dict = BASE, patterns: list[tuple] | None = None) -> tuple:
     """The values of ``RESULT`` for a text; null is empty.  Spans are places in words, end exclusive."""
     words = ("" if text is None else text).encode("utf-8", "surrogatepass").translate(ALNUM_LOWER).split()
     joined = b" ".join(words).decode("utf-8", "surrogatepass")
@@ -107,7 +105,7 @@ def scan_text(text: str | None, base: dict = BASE, notices: dict = NOTICES) -> t
             labels.add(label)
             i = held.find(f" {phrase} ", i + 1)
     n_base, starts = len(places), words_before(held, places).values()
-    found = find_fuzzy(joined, notices)
+    found = find_fuzzy(joined, compiled() if patterns is None else patterns)
     number = words_before(joined, [p for _, a, b, _ in found for p in (a, b)])
     spans, score = [], 1.0 if labels else 0.0
     for label, a, b, errors in found:
@@ -132,8 +130,9 @@ def scan(docs: DataFrame, text_col: str = "text", result_col: str = "license", b
     names = [x.split()[0] for x in "n_words n_base first_word last_word base_labels labels score spans".split()]
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        patterns = compiled(notices)
         for texts in batches:
-            rows = [scan_text(t, base, notices) for t in texts]
+            rows = [scan_text(t, base, patterns) for t in texts]
             frame = pd.DataFrame(rows, columns=names)
             for c in ("first_word", "last_word"):
                 frame[c] = pd.array(frame[c], dtype="Int64")
