@@ -6,7 +6,12 @@ PERMISSIVE mode with a corrupt-record column: a line is bad iff Spark flags it
 (CSV also: an odd number of quote characters, which Spark accepts in the last
 field), and the reason is a label computed on top.  ``DROPMALFORMED`` is never used
 (its row count changes with column pruning) and nothing is dropped silently:
-``good + bad = non-blank input lines``.
+``good + bad = non-blank input lines``, a null line (a deleted record of a bus) being bad.
+
+Input is one record per line.  A quoted CSV field may hold separators and, doubled or
+escaped, quotes; it can't span lines: such a record's lines are quarantined as
+``open_quote``, as is any line with an odd number of quotes (``5" pipe`` unquoted
+included, since it can't be told from a field that was cut off).
 """
 
 from __future__ import annotations
@@ -20,8 +25,10 @@ from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
 EXTRA = "_extra"
+FAILED = "_failed"
 
 # Fixed reason labels.
+NULL_LINE = "null_line"
 OPEN_QUOTE = "open_quote"
 TOO_MANY = "too_many_fields"
 TOO_FEW = "too_few_fields"
@@ -57,7 +64,7 @@ def _non_blank(lines: DataFrame, header: str | None) -> DataFrame:
     keep = F.trim(F.col("value")) != F.lit("")
     if header is not None:
         keep = keep & (F.col("value") != F.lit(header))
-    return lines.where(keep)
+    return lines.where(F.col("value").isNull() | keep)
 
 
 def _with_source(lines: DataFrame, source: str | Column | None) -> DataFrame:
@@ -80,9 +87,10 @@ def tag_csv(
     """Parse delimited lines once: the schema's columns (null on bad lines), ``source``,
     ``value`` and ``reason`` (null on good lines).
 
-    Reasons: open_quote, too_many_fields, too_few_fields, bad_type (checked in that
-    order).  Blank lines and lines equal to ``header`` are dropped (header by
-    content, not by position).  An empty value is null, not an error.
+    Reasons: null_line, open_quote, too_many_fields, too_few_fields, bad_type (checked in
+    that order).  Blank lines and lines equal to ``header`` are dropped (header by
+    content, not by position).  An empty value is null, not an error.  ``sep`` may
+    have several characters; a quote inside a quoted field may be escaped or doubled.
     """
     st = as_struct(schema)
     if CORRUPT in st.fieldNames():
@@ -94,7 +102,13 @@ def tag_csv(
     }
     full = T.StructType(st.fields + [T.StructField(CORRUPT, T.StringType())])
     rows = _with_source(_non_blank(lines, header), source)
-    parsed = rows.select("source", "value", F.from_csv("value", ddl(full), opts).alias("r"))
+    record = F.from_csv("value", ddl(full), opts)
+    if quote != escape:
+        # Doubled quotes are read by a parser whose escape is the quote.
+        doubled = F.contains(F.col("value"), F.lit(quote * 2)) & ~F.contains(F.col("value"), F.lit(escape + quote))
+        record = F.when(doubled, F.from_csv("value", ddl(full), {**opts, "escape": quote})).otherwise(record)
+    parsed = rows.select("source", "value", record.alias("r"))
+    field = F.col("r").getField
 
     # Escaped quote characters are data, not delimiters: drop them before counting.
     v = F.replace(F.col("value"), F.lit(escape + quote), F.lit(""))
@@ -102,20 +116,22 @@ def tag_csv(
     # Quoted segments may hold delimiters; drop them before counting fields.
     q = _regex_quote(quote)
     unquoted = F.regexp_replace(v, f"{q}[^{q}]*{q}", "")
-    fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit(""))) + 1
+    fields = (F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit("")))) / len(sep) + 1
     # Spark accepts an unterminated quote in the last field; an odd quote count is
     # always a defect, so it is quarantined too.
-    flagged = F.col(f"r.{CORRUPT}").isNotNull() | (quotes % 2 == 1)
+    is_null = F.col("value").isNull()
+    flagged = is_null | field(CORRUPT).isNotNull() | (quotes % 2 == 1)
     # CASE evaluates the field count (a regex) only for flagged lines.
     reason = (
         F.when(~flagged, F.lit(None).cast("string"))
+        .when(is_null, F.lit(NULL_LINE))
         .when(quotes % 2 == 1, F.lit(OPEN_QUOTE))
         .when(fields > n, F.lit(TOO_MANY))
         .when(fields < n, F.lit(TOO_FEW))
         .otherwise(F.lit(BAD_TYPE))
     )
     return parsed.select(
-        *[F.when(~flagged, F.col(f"r.{f.name}")).alias(f.name) for f in st.fields],
+        *[F.when(~flagged, field(f.name)).alias(f.name) for f in st.fields],
         "source",
         "value",
         reason.alias("reason"),
@@ -126,7 +142,7 @@ def split(tagged: DataFrame, schema: T.StructType | str, extra: bool = False) ->
     """(good, bad) from a tagged parse.  Each side re-reads the tagged plan; persist
     or checkpoint ``tagged`` first when both are written from a costly source."""
     st = as_struct(schema)
-    cols = [f.name for f in st.fields] + ["source"] + ([EXTRA] if extra else [])
+    cols = [F.col(f"`{f.name}`") for f in st.fields] + [F.col("source")] + ([F.col(EXTRA)] if extra else [])
     good = tagged.where(F.col("reason").isNull()).select(*cols)
     bad = tagged.where(F.col("reason").isNotNull()).select("source", "value", "reason")
     return Parsed(good, bad)
@@ -166,7 +182,7 @@ def tag_json(
     a map of the top-level fields the schema does not name (nested values kept as
     JSON text), so unexpected fields are kept instead of lost.
 
-    A missing field is null and the line stays good.  Reasons: not_json (does not
+    A missing field is null and the line stays good.  Reasons: null_line, not_json (does not
     parse), not_object (valid JSON but no object), bad_type.  Spark's reader accepts
     an object followed by trailing text, and keeps the last of two equal keys;
     ``strict=True`` also quarantines such lines (reason ``not_strict_json``), at the
@@ -177,7 +193,9 @@ def tag_json(
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **(options or {})}
     rows = _with_source(_non_blank(lines, None), source)
     parsed = rows.select("source", "value", F.from_json("value", full, opts).alias("r"))
-    lenient_ok = F.col(f"r.{CORRUPT}").isNull()
+    field = F.col("r").getField
+    is_null = F.col("value").isNull()
+    lenient_ok = field(CORRUPT).isNull() & ~is_null
     flagged = ~lenient_ok
     if strict:
         # Duplicate keys: the variant parser rejects them.  Trailing text: the line
@@ -187,12 +205,13 @@ def tag_json(
 
     reason = (
         F.when(~flagged, F.lit(None).cast("string"))
+        .when(is_null, F.lit(NULL_LINE))
         .when(lenient_ok, F.lit(NOT_STRICT))
         .when(F.try_parse_json("value").isNull(), F.lit(NOT_JSON))
         .when(~F.ltrim(F.col("value")).startswith("{"), F.lit(NOT_OBJECT))
         .otherwise(F.lit(BAD_TYPE))
     )
-    out = [F.when(~flagged, F.col(f"r.{f.name}")).alias(f.name) for f in st.fields]
+    out = [F.when(~flagged, field(f.name)).alias(f.name) for f in st.fields]
     out += ["source", "value", reason.alias("reason")]
     if keep_extra:
         known = F.array(*[F.lit(f.name) for f in st.fields])
@@ -246,7 +265,7 @@ def summarize_tagged(tagged: DataFrame) -> DataFrame:
 
 
 def line_totals(lines: DataFrame, source: str | Column | None = None, header: str | None = None) -> DataFrame:
-    """Non-blank lines per source (the denominator for :func:`summarize_bad`)."""
+    """Non-blank lines per source, null ones included (the denominator for :func:`summarize_bad`)."""
     rows = _with_source(_non_blank(lines, header), source)
     return rows.groupBy("source").agg(F.count(F.lit(1)).alias("lines"))
 
@@ -361,15 +380,17 @@ def reconcile(
     extra: str = "map",
 ) -> DataFrame:
     """Bring ``df`` to the baseline schema: rename aliased columns, ``try_cast`` to the
-    baseline type (bad values become null, never an error), add missing columns as
-    null.  Columns the baseline does not know go into ``_extra`` (map of strings)
-    with ``extra="map"``, or are dropped with ``extra="drop"``."""
+    baseline type, add missing columns as null.  A value that doesn't convert becomes
+    null, never an error, and its raw text is kept in ``_failed`` (map of column to
+    text, null where all converted).  Columns the baseline does not know go into
+    ``_extra`` (map of strings) with ``extra="map"``, or are dropped with
+    ``extra="drop"``."""
     if extra not in ("map", "drop"):
         raise ValueError("extra must be 'map' or 'drop'")
     base = _schema_of(baseline)
     rows = drift_rows(df, base, aliases)
     by_base = {r[0]: r for r in rows if r[0] is not None}
-    out = []
+    out, lost = [], []
     for f in base.fields:
         r = by_base[f.name]
         if r[1] is None:
@@ -377,6 +398,15 @@ def reconcile(
         else:
             src = F.col(f"`{r[1]}`")
             out.append((src if r[3] == r[4] else src.try_cast(f.dataType)).alias(f.name))
+            if r[3] != r[4]:
+                raw = src.cast("string") if isinstance(df.schema[r[1]].dataType, T.AtomicType) else F.to_json(F.struct(src))
+                failed = src.isNotNull() & src.try_cast(f.dataType).isNull()
+                lost.append(F.when(failed, F.struct(F.lit(f.name).alias("key"), raw.alias("value"))))
+    nothing = F.lit(None).cast("map<string,string>")
+    if lost:
+        found = F.filter(F.array(*lost), lambda x: x.isNotNull())
+        nothing = F.when(F.size(found) > 0, F.map_from_entries(found))
+    out.append(nothing.alias(FAILED))
     extras = [r[1] for r in rows if r[2] == EXTRA_COL]
     if extra == "map":
         if extras:
@@ -387,3 +417,30 @@ def reconcile(
         else:
             out.append(F.create_map().cast("map<string,string>").alias(EXTRA))
     return df.select(*out)
+
+
+def read_drifted_csv(
+    spark: SparkSession,
+    path: str,
+    baseline: T.StructType | str,
+    aliases: Mapping[str, str] | None = None,
+    sep: str = ",",
+    quote: str = '"',
+    escape: str = "\\",
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows in the baseline schema, quarantined lines, drift table) of CSV files whose own
+    header, not the baseline, says which columns they have.
+
+    The first line of the first file names the columns; every file must have that header.
+    Values are read as text and converted by :func:`reconcile`, so a value that doesn't
+    convert keeps its raw text in ``_failed`` and an unknown column its value in ``_extra``.
+    """
+    lines = spark.read.text(path)
+    first = lines.head(1)
+    if not first:
+        raise ValueError(f"no header in {path}")
+    names = spark.read.option("header", "true").option("sep", sep).option("quote", quote).csv(path).columns
+    observed = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    good, bad = parse_csv(lines, observed, header=first[0]["value"], sep=sep, quote=quote, escape=escape, source=path)
+    data = good.drop("source")
+    return reconcile(data, baseline, aliases), bad, schema_drift(spark, data, baseline, aliases)

@@ -44,7 +44,7 @@ select case when event_id % 10 between 1 and 3 then null else event_id end as ev
        case when event_id % 10 between 1 and 3 then null else user_id end as user_id,
        case when event_id % 10 between 1 and 4 then null else event_type end as event_type,
        case when event_id % 10 between 1 and 3 then null
-            when event_id % 10 = 5 then 'extra' else '' end as extra_keys,
+            when event_id % 10 = 5 then 'device' else '' end as extra_keys,
        {_JSON_REASON} as reason,
        case event_id % 10
          when 1 then concat('{{"event_id":', event_id, ',"user_id":', user_id, ',"event_type":"', event_type, '"')
@@ -136,14 +136,16 @@ def schema_drift(spark, sf_dir):
 select o_orderkey, o_custkey, o_orderstatus,
        case when o_orderkey % 1000 = 7 then null else o_totalprice end as o_totalprice,
        o_orderdate, o_orderpriority,
-       concat('{"o_shippriority":"', o_orderkey % 7, '"}') as extra_json
+       concat('{"o_shippriority":"', o_orderkey % 7, '"}') as extra_json,
+       case when o_orderkey % 1000 = 7 then 'n/a' end as unread_price
 from orders
 """,
 )
 def schema_reconcile(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     fixed = Q.reconcile(drifted_orders(orders), orders, RECONCILE_ALIASES)
-    return fixed.withColumn("extra_json", F.to_json(Q.EXTRA)).drop(Q.EXTRA)
+    fixed = fixed.withColumn("extra_json", F.to_json(Q.EXTRA)).withColumn("unread_price", F.col(Q.FAILED)["o_totalprice"])
+    return fixed.drop(Q.EXTRA, Q.FAILED)
 
 
 # --- expectations ----------------------------------------------------------------

@@ -1,6 +1,6 @@
 """Registered plans: versioned snapshot sets (build-list step 5).
 
-Seeding follows the reference's two-version table on ``orders``: version 0 is the
+A two-version table on ``orders``: version 0 is the
 even order keys without ``o_orderpriority`` (overwrite), version 1 appends the odd
 keys with it (schema merged).  Each plan seeds a fresh folder in shared scratch.
 """

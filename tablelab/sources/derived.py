@@ -56,7 +56,7 @@ def json_lines(events: DataFrame, source: str = "events.json") -> DataFrame:
         .when(d == 2, F.concat(F.lit("garbage line "), _s("event_id")))
         .when(d == 3, F.concat(head, F.lit('"u'), _s("user_id"), F.lit('"'), tail, F.lit("}")))
         .when(d == 4, F.concat(head, _s("user_id"), F.lit("}")))
-        .when(d == 5, F.concat(head, _s("user_id"), tail, F.lit(',"extra":{"nested":true}}')))
+        .when(d == 5, F.concat(head, _s("user_id"), tail, F.lit(',"device":{"os":"tv","build":7}}')))
         .otherwise(good)
     )
     return events.select(line.alias("value"), F.lit(source).alias("source"))

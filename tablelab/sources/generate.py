@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tablelab.functions import hash_uniform
 
-# Fixed values of the reference's seeded sets: 80% of rows on key 1, the rest
+# Fixed values of the skewed set: 80% of rows on key 1, the rest
 # spread over 50 keys starting at 2; the uniform set spreads over 100 keys from 1.
 HOT_KEY = 1
 HOT_SHARE = 0.8

@@ -6,7 +6,7 @@ import re
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +29,7 @@ def write_parquet(
     partition_by: Sequence[str] | None = None,
     max_records_per_file: int | None = None,
 ) -> str:
-    """Write Parquet (overwrite by default, as the reference's seeder does)."""
+    """Write Parquet (overwrite by default)."""
     w = df.write.mode(mode)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
@@ -41,9 +41,13 @@ def write_parquet(
 
 def roundtrip_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> DataFrame:
     """Write then read back with the written schema: partition values keep their type
-    (no inference turning "01" into 1) and columns keep the caller's order."""
-    write_parquet(df, path, partition_by=partition_by)
-    return read_parquet(df.sparkSession, path, df.schema).select(*df.columns)
+    (no inference turning "01" into 1) and columns keep the caller's order.
+
+    A folder name can't tell an empty string from null, so the files hold the partition
+    columns too and folders are named after copies of them."""
+    copies = {f"_part_{c}": F.col(f"`{c}`") for c in partition_by or ()}
+    write_parquet(df.withColumns(copies) if copies else df, path, partition_by=list(copies))
+    return read_parquet(df.sparkSession, path, df.schema).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def union_all(dfs: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame:
@@ -66,27 +70,48 @@ def sql_count(spark: SparkSession, df: DataFrame, predicate: str, alias: str = "
     return spark.sql(f"SELECT COUNT(*) AS {alias} FROM {{t}} WHERE {predicate}", t=df)
 
 
+def save_table(df: DataFrame, name: str, database: str | None = None, mode: str = "overwrite", location: str | None = None) -> int:
+    """Write ``df`` as a managed table, creating the database if need be; returns the rows
+    written, counted during the write.  ``location`` is where a new database keeps its tables."""
+    spark = df.sparkSession
+    if database:
+        at = f" LOCATION '{location}'" if location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{at}")
+    seen = Observation(f"save-{uuid.uuid4().hex[:8]}")
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).saveAsTable(qualified(name, database))
+    return int(seen.get["rows"])
+
+
+def qualified(name: str, database: str | None = None) -> str:
+    return f"`{database}`.`{name}`" if database else f"`{name}`"
+
+
+def drop_table(spark: SparkSession, name: str, database: str | None = None, with_database: bool = False) -> None:
+    """Drop a table if it exists and, if asked, its database with whatever else is in it."""
+    spark.sql(f"DROP TABLE IF EXISTS {qualified(name, database)}")
+    if with_database and database:
+        spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
+
+
 def catalog_roundtrip(spark: SparkSession, df: DataFrame, table_name: str = "t") -> DataFrame:
-    """Create a database, save ``df`` as a managed table, count it with SQL, drop both.
+    """Save ``df`` as a table of a fresh database, count it with SQL, drop both.
 
-    The database gets a unique name per run and its location is a fresh folder in
-    the shared scratch space.  Returns one row: database, table_name, rows_written,
-    rows_read.  Dropping happens in ``finally`` so a failed run leaves no catalog
-    entry behind.
+    ``rows_written`` is counted while writing, ``rows_read`` by a query over the table.
+    The database gets a unique name and a fresh folder in the shared scratch space;
+    dropping happens in ``finally`` so a failed run leaves no catalog entry behind.
     """
     db = f"tablelab_{uuid.uuid4().hex[:10]}"
-    loc = scratch_dir(spark, db)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{loc}'")
     try:
-        df.write.mode("overwrite").saveAsTable(f"{db}.{table_name}")
-        written = spark.table(f"{db}.{table_name}").count()
-        read = spark.sql(f"SELECT COUNT(*) AS cnt FROM {db}.{table_name}").first()["cnt"]
+        written = save_table(df, table_name, db, location=scratch_dir(spark, db))
+        read = spark.sql(f"SELECT COUNT(*) AS cnt FROM {qualified(table_name, db)}").first()["cnt"]
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {db}.{table_name}")
-        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
-    return spark.createDataFrame(
-        [(db, table_name, written, read)], "database string, table_name string, rows_written long, rows_read long"
-    ).select("table_name", "rows_written", "rows_read")
+        drop_table(spark, table_name, db, with_database=True)
+    return spark.createDataFrame([(table_name, written, read)], "table_name string, rows_written long, rows_read long")
+
+
+def escape_glob(path: str) -> str:
+    """A path whose brackets, braces, stars and question marks stand for themselves."""
+    return re.sub(r"([\[\]{}*?])", r"\\\1", path)
 
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
@@ -98,7 +123,7 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None, recursiv
     r = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         r = r.option("pathGlobFilter", glob)
-    files = r.load(root)
+    files = r.load(escape_glob(root))
     return files.select(
         "path",
         F.element_at(F.split("path", "/"), -1).alias("name"),

@@ -15,7 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelab.sources.io import list_files
+from tablelab.session import scratch_dir
+from tablelab.sources.io import escape_glob, list_files
 
 MAGIC = b"PAR1"
 
@@ -35,8 +36,8 @@ def _open(path: str):
     return pafs.FileSystem.from_uri(uri)
 
 
-def check_footer(path: str, length: int) -> tuple[bool, int | None, int | None, str | None]:
-    """(ok, rows, row groups, reason) from the footer of one file."""
+def check_footer(path: str, length: int, pages: bool = False) -> tuple[bool, int | None, int | None, str | None]:
+    """(ok, rows, row groups, reason) from the footer of one file; with ``pages`` every page is decoded too."""
     import pyarrow.parquet as pq
 
     try:
@@ -53,49 +54,64 @@ def check_footer(path: str, length: int) -> tuple[bool, int | None, int | None,
             footer_len = int.from_bytes(tail[:4], "little")
             if footer_len > size - 12:
                 return False, None, None, f"footer length {footer_len} exceeds file size {size}"
-            meta = pq.ParquetFile(f).metadata
+            parquet = pq.ParquetFile(f)
+            meta = parquet.metadata
+            if pages:
+                try:
+                    rows = sum(batch.num_rows for batch in parquet.iter_batches(batch_size=8192))
+                except Exception as e:
+                    return False, None, None, f"pages: {type(e).__name__}: {e}"
+                if rows != meta.num_rows:
+                    return False, None, None, f"pages hold {rows} rows, the footer says {meta.num_rows}"
             return True, int(meta.num_rows), int(meta.num_row_groups), None
     except Exception as e:  # any unreadable footer is a finding, not a crash
-        msg = str(e).splitlines()[0] if str(e) else ""
-        return False, None, None, f"{type(e).__name__}: {msg}"[:500]
+        return False, None, None, f"{type(e).__name__}: {e}"
 
 
-def _audit_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _audit_batches(batches: Iterator[pd.DataFrame], pages: bool) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        out = [(p, int(n), *check_footer(p, int(n))) for p, n in zip(pdf["path"], pdf["length"])]
+        out = [(p, int(n), *check_footer(p, int(n), pages)) for p, n in zip(pdf["path"], pdf["length"])]
         yield pd.DataFrame(out, columns=["path", "length", "ok", "num_rows", "num_row_groups", "reason"]).astype(
             {"num_rows": "Int64", "num_row_groups": "Int32"}
         )
 
 
-def audit_parquet(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
+def audit_parquet(spark: SparkSession, root: str, glob: str | None = None, pages: bool = False) -> DataFrame:
     """path, length, ok, num_rows, num_row_groups, reason for every data file under ``root``.
 
     The listing is a ``binaryFile`` scan without content, so its partitions group
     files by size; each task opens only the footers of its own files (through
     pyarrow's file systems: local, HDFS, S3/``s3a``, GCS — executors need the same
     credentials as Spark).  A file that cannot be opened is reported with the error
-    as its reason, never skipped.
+    as its reason, never skipped.  ``pages`` also decodes every page, a few thousand
+    rows at a time: it finds damage behind a whole footer, at the price of a full read.
     """
     files = list_files(spark, root, glob).select("path", "length")
-    return files.mapInPandas(_audit_batches, AUDIT_SCHEMA)
+    return files.mapInPandas(lambda batches: _audit_batches(batches, pages), AUDIT_SCHEMA)
 
 
 def read_healthy(
-    spark: SparkSession, root: str, schema, audit: DataFrame | None = None, glob: str | None = None
+    spark: SparkSession, root: str, schema, audit: DataFrame | None = None, glob: str | None = None, pages: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows of the files whose footer is ok, audit rows of the skipped files).
+    """(rows of the healthy files, audit rows of the skipped files).
 
-    The audit (one row per file) is collected once: a Parquet read needs the list of
-    paths on the driver anyway, and it grows with the number of files, not the data.
+    By default the audit decodes every page, so that the read can't fail later; with
+    ``pages=False`` footers alone decide.  The audit's result is written as a table; only
+    the paths of the damaged files come to the driver, where they are left out of the
+    file listing by a filter on the files' own paths, before anything is opened.
     """
-    audit = audit if audit is not None else audit_parquet(spark, root, glob)
-    rows = audit.collect()
-    ok_paths = [r["path"] for r in rows if r["ok"]]
-    skipped = spark.createDataFrame([r for r in rows if not r["ok"]], audit.schema)
-    if not ok_paths:
-        return spark.createDataFrame([], schema), skipped
-    return spark.read.schema(schema).parquet(*ok_paths), skipped
+    audit = audit if audit is not None else audit_parquet(spark, root, glob, pages)
+    path = scratch_dir(spark, "parquet-audit")
+    audit.write.parquet(path)
+    skipped = spark.read.parquet(path).where(~F.col("ok"))
+    damaged = [r["path"] for r in skipped.select("path").collect()]
+    reader = spark.read.schema(schema).option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    rows = reader.parquet(escape_glob(root))
+    if damaged:
+        rows = rows.where(~F.col("_metadata.file_path").isin(damaged))
+    return rows, skipped
 
 
 def write_corrupt_parquet(spark: SparkSession, path: str, footer_len_bytes: str = "~~~~") -> str:
