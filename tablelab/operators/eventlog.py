@@ -15,11 +15,12 @@ STAGE_KEYS = ["app", "stage_id", "stage_attempt"]
 SKEW_FACTOR = 2.0  # a stage whose slowest task takes > 2x the median is skewed
 
 
-def stage_skew(tasks: DataFrame, factor: float = SKEW_FACTOR, exact: bool = True, metric: str = "run_ms") -> DataFrame:
+def stage_skew(tasks: DataFrame, factor: float = SKEW_FACTOR, exact: bool = False, metric: str = "run_ms") -> DataFrame:
     """Per stage: tasks, median, p95, max of ``metric``, max / median, skewed.
 
-    ``exact`` uses ``percentile`` (memory per stage grows with distinct values);
-    ``exact=False`` uses the bounded ``percentile_approx`` sketch.
+    Percentiles are values of the data, from a sketch of bounded size that is exact for
+    stages of up to about 10,000 tasks; ``exact`` interpolates over all values instead,
+    in memory that grows with the distinct ones.
     """
     m = F.col(metric).cast("double")
     if exact:
@@ -75,7 +76,7 @@ def executor_use(tasks: DataFrame, slots: int = 1) -> DataFrame:
     )
 
 
-def stage_metrics_long(tasks: DataFrame, exact: bool = True) -> DataFrame:
+def stage_metrics_long(tasks: DataFrame, exact: bool = False) -> DataFrame:
     """The per-stage metrics as a long table: app, stage_id, stage_attempt, metric,
     value — all from one aggregate over the tasks."""
     run = F.col("run_ms").cast("double")

@@ -9,8 +9,8 @@ Scale notes
   of counts, whose size is provably at most sqrt(2 * rows) (the distinct counts
   n_1 < n_2 < ... of k keys need at least k(k+1)/2 rows).
 * ``topk_per_key`` relies on Spark's WindowGroupLimit, which trims every map
-  partition to k rows per key before the shuffle, so a hot key holding a third of
-  the data never lands whole in one task.
+  partition to k rows per key before the shuffle, and for a large k on ranking parts of
+  a key first, so a hot key holding a third of the data never lands whole in one task.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from tablelab.functions import col_of, exact_avg
 
+SALTS = 32  # parts of a key ranked apart where k is too large for the engine's own limit
 SKEW_SHARE_THRESHOLD = 0.7  # a key holding more than this share of rows is "skewed"
 
 
@@ -30,12 +31,12 @@ def _names(cols: str | Sequence[str]) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def key_frequency(df: DataFrame, keys: str | Sequence[str], top: int | None = 100) -> DataFrame:
+def key_frequency(df: DataFrame, keys: str | Sequence[str], top: int | None = None) -> DataFrame:
     """Rows per key, share of all rows, rank by frequency and ratio to the mean key.
 
     Returns ``keys..., n, share, rank, ratio_to_mean``; ``rank`` is SQL ``rank()``
-    (ties share a rank).  ``top`` keeps the ``top`` most frequent keys (ties broken
-    by key); ``top=None`` returns every key.
+    (ties share a rank).  All keys are returned unless ``top`` asks for the ``top`` most
+    frequent ones (ties broken by key).
     """
     keys = _names(keys)
     freq = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
@@ -123,14 +124,15 @@ def _profile_part(df: DataFrame, cols: list[str], types: dict, exact_scale: int
     for i, c in enumerate(cols):
         numeric = isinstance(types[c], _NUMERIC)
         ordered = _orderable(types[c])
+        col = F.col(f"`{c}`")
         aggs += [
-            F.count(F.col(c)).alias(f"n{i}"),
-            F.sum(F.col(c).isNull().cast("long")).alias(f"z{i}"),
-            (F.min(c) if ordered else F.lit(None)).alias(f"lo{i}"),
-            (F.max(c) if ordered else F.lit(None)).alias(f"hi{i}"),
+            F.count(col).alias(f"n{i}"),
+            F.sum(col.isNull().cast("long")).alias(f"z{i}"),
+            (F.min(col) if ordered else F.lit(None)).alias(f"lo{i}"),
+            (F.max(col) if ordered else F.lit(None)).alias(f"hi{i}"),
         ]
         if numeric:
-            mean = exact_avg(c, exact_scale) if exact_scale is not None else F.avg(F.col(c).cast("double"))
+            mean = exact_avg(col, exact_scale) if exact_scale is not None else F.avg(col.cast("double"))
             aggs.append(mean.alias(f"m{i}"))
         rows.append(
             F.struct(
@@ -145,6 +147,11 @@ def _profile_part(df: DataFrame, cols: list[str], types: dict, exact_scale: int
     return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
+def _percentile_name(p: float) -> str:
+    whole, _, rest = f"{p * 100:.10g}".partition(".")
+    return f"p{whole:0>2}" + (f"_{rest}" if rest else "")
+
+
 def approx_profile(
     df: DataFrame,
     cols: Sequence[str] | None = None,
@@ -156,19 +163,22 @@ def approx_profile(
 
     Exact ``count(distinct)`` or ``collect_set`` on a wide key needs memory that
     grows with the data; these sketches do not.  Returns ``column,
-    approx_distinct`` and one ``p<NN>`` column per percentile (null for
-    non-numeric columns).
+    approx_distinct`` and one column per percentile, named after it (``p50``,
+    ``p99_5``), null for non-numeric columns.
     """
     cols = list(cols) if cols is not None else df.columns
     types = {f.name: f.dataType for f in df.schema.fields}
-    pnames = [f"p{int(round(p * 100)):02d}" for p in percentiles]
+    pnames = [_percentile_name(p) for p in percentiles]
+    if len(set(pnames)) < len(pnames):
+        raise ValueError("a percentile is asked for twice")
     aggs, rows = [], []
     for i, c in enumerate(cols):
-        aggs.append(F.approx_count_distinct(c, rsd).alias(f"d{i}"))
+        col = F.col(f"`{c}`")
+        aggs.append(F.approx_count_distinct(col, rsd).alias(f"d{i}"))
         numeric = isinstance(types[c], _NUMERIC)
         fields = [F.lit(c).alias("column_name"), F.col(f"d{i}").alias("approx_distinct")]
         if numeric:
-            aggs.append(F.percentile_approx(F.col(c).cast("double"), list(percentiles), accuracy).alias(f"q{i}"))
+            aggs.append(F.percentile_approx(col.cast("double"), list(percentiles), accuracy).alias(f"q{i}"))
             fields += [F.col(f"q{i}")[j].alias(pn) for j, pn in enumerate(pnames)]
         else:
             fields += [F.lit(None).cast("double").alias(pn) for pn in pnames]
@@ -196,12 +206,20 @@ def topk_per_key(
     """The k first rows of every key by ``order`` (ties broken by ``tie_break``).
 
     ``row_number() <= k`` lets Spark insert WindowGroupLimit on both sides of the
-    shuffle; no ``collect_list`` per key, so a hot key costs O(k) memory.
+    shuffle, so a hot key costs O(k) memory per task.  It does so only up to a limit on
+    ``k``; ranking by (key, salt) first bounds what reaches a key's task for any ``k``:
+    ``SALTS`` times ``k`` rows.
     """
     keys = _names(keys)
     if k <= 0:
         raise ValueError("k must be positive")
     tie_break = list(tie_break) if tie_break is not None else [c for c in df.columns if c not in keys]
-    w = Window.partitionBy(*keys).orderBy(*[col_of(c) for c in order], *[F.col(c).asc_nulls_last() for c in tie_break])
-    top = df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
+    by = [*[col_of(c) for c in order], *[F.col(c).asc_nulls_last() for c in tie_break]]
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if k > limit:
+        hashable = [c for c in tie_break if _orderable(df.schema[c].dataType)]
+        salted = df.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashable]), F.lit(SALTS)))
+        within = Window.partitionBy(*keys, "__salt").orderBy(*by)
+        df = salted.withColumn("__rank", F.row_number().over(within)).where(F.col("__rank") <= k).drop("__salt", "__rank")
+    top = df.withColumn(rank_col, F.row_number().over(Window.partitionBy(*keys).orderBy(*by))).where(F.col(rank_col) <= k)
     return top.withColumn(rank_col, F.col(rank_col).cast("long"))

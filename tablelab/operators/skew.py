@@ -5,15 +5,14 @@ key whole to one task:
 
 * ``salted_agg``: (key, salt) partial groups, then key.  Only decomposable
   aggregates (sum, count, min, max, avg as sum + count) are accepted.
-* ``salted_join``: the big side gets a salt from a hash of the row; the small side
-  is replicated once per salt value, for every key or only for the hot keys.
-* ``hot_key_join``: the few hot keys (bounded list, found in one pass) are joined
-  by broadcast after a size check, the rest by an ordinary shuffle join.
+* ``salted_join``: the big side's hot keys get a salt from a hash of a row id; the
+  small side's rows of these keys are replicated once per salt value.
+* ``hot_key_join``: the same, with the hot keys found on the way.
 * ``preagg_join``: aggregate to the join key before joining, so the shuffle moves
   one row per key instead of one per fact.
 
-Salts come from ``xxhash64`` of row content, never from ``rand()`` or row ids that
-change when a task is retried.
+Salts come from ``xxhash64`` of columns that the caller names as telling rows apart,
+never from ``rand()`` or row ids that change when a task is retried.
 """
 
 from __future__ import annotations
@@ -29,8 +28,6 @@ from tablelab.functions import col_of
 
 DECOMPOSABLE = ("sum", "count", "min", "max", "avg")
 JOIN_TYPES = ("inner", "left", "left_semi", "left_anti")
-BROADCAST_ROWS_LIMIT = 1_000_000  # the most rows we ever broadcast from a checked side
-BROADCAST_BYTES_LIMIT = 64 << 20  # ... and the most (approximate) bytes
 
 
 @dataclass(frozen=True)
@@ -92,22 +89,25 @@ def _final(aggs: Sequence[Agg]) -> list[Column]:
     return out
 
 
-def row_salt(df: DataFrame, n: int, cols: Sequence[str] | None = None, seed: int = 17) -> Column:
-    """Salt in [0, n) from a hash of the row's content (stable under task retries)."""
-    cols = list(cols) if cols is not None else df.columns
+def row_salt(n: int, cols: Sequence[str], seed: int = 17) -> Column:
+    """Salt in [0, n) from a hash of ``cols``, which should tell the rows of a key apart
+    (a row id); stable under task retries."""
+    if n < 1 or not cols:
+        raise ValueError("a salt needs n >= 1 and at least one column that tells rows apart")
     return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cols], F.lit(seed)), F.lit(n)).cast("int")
 
 
 def salted_agg(
-    df: DataFrame, keys: str | Sequence[str], aggs: Sequence[Agg], n: int = 16, salt_cols: Sequence[str] | None = None
+    df: DataFrame, keys: str | Sequence[str], aggs: Sequence[Agg], salt_cols: Sequence[str], n: int = 16
 ) -> DataFrame:
     """Two-level aggregate: by (keys, salt) then by keys.  Equal to the plain
-    ``groupBy(keys).agg(...)`` for every ``n``."""
+    ``groupBy(keys).agg(...)`` for every ``n``; only keys, inputs and ``salt_cols`` are read.
+
+    The engine's own partial aggregation already sends one row per key and task, so this
+    pays only where a map task holds so many keys that its partial results spill."""
     keys = _names(keys)
     _check_aggs(aggs)
-    if n < 1:
-        raise ValueError("n must be >= 1")
-    salted = df.withColumn("__salt", row_salt(df, n, salt_cols))
+    salted = df.withColumn("__salt", row_salt(n, salt_cols))
     partial = salted.groupBy(*keys, "__salt").agg(*_partial(aggs))
     return partial.groupBy(*keys).agg(*_final(aggs))
 
@@ -116,94 +116,68 @@ def salted_join(
     big: DataFrame,
     small: DataFrame,
     keys: str | Sequence[str],
+    salt_cols: Sequence[str],
     n: int = 16,
     how: str = "inner",
     hot_keys: DataFrame | None = None,
-    salt_cols: Sequence[str] | None = None,
-    max_hot: int = 1000,
 ) -> DataFrame:
-    """Join ``big`` to ``small`` on ``keys`` with the big side spread over ``n`` salts.
-
-    ``how`` is inner, left (big side preserved), left_semi or left_anti; outer
-    joins preserving ``small`` are rejected because its replicas would repeat.
-    With ``hot_keys`` (a DataFrame of key values, e.g. from ``key_frequency``) only
-    those keys are salted and replicated; every other key keeps salt 0.  At most
-    ``max_hot`` of them are used (the smallest by key, a deterministic choice, so
-    both sides see the same set); the broadcast is bounded, and any key left out
-    is still joined exactly, just unsalted.
+    """Join ``big`` to ``small`` on ``keys`` with the big side's hot keys spread over ``n`` salts.
+
+    ``hot_keys``: a DataFrame of key values, all of which are salted on the big side and
+    replicated on the small one; other keys keep salt 0, so ``small`` is not copied as a
+    whole.  How the list is joined is left to the engine, which knows its size.  Without
+    it every key is salted.  Rows with a null key match nothing and are spread as well.
+    ``how`` is inner, left (big side preserved), left_semi or left_anti; outer joins
+    preserving ``small`` are rejected because its replicas would repeat.
     """
     keys = _names(keys)
     if how not in JOIN_TYPES:
         raise ValueError(f"how must be one of {JOIN_TYPES}; right/full outer would repeat replicated rows")
-    salt = row_salt(big, n, salt_cols)
+    salt = row_salt(n, salt_cols)
     replicas = F.sequence(F.lit(0), F.lit(n - 1))
     if hot_keys is not None:
-        bounded = hot_keys.select(*keys).distinct().orderBy(*keys).limit(max_hot)
-        hot = F.broadcast(bounded.withColumn("__hot", F.lit(True)))
+        hot = hot_keys.select(*keys).distinct().withColumn("__hot", F.lit(True))
         big = big.join(hot, keys, "left")
         small = small.join(hot, keys, "left")
-        salt = F.when(F.col("__hot"), salt).otherwise(F.lit(0))
+        null_key = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
+        salt = F.when(F.col("__hot") | null_key, salt).otherwise(F.lit(0))
         replicas = F.when(F.col("__hot"), replicas).otherwise(F.array(F.lit(0)))
-        big_s = big.withColumn("__salt", salt).drop("__hot")
-        small_s = small.withColumn("__salt", F.explode(replicas)).drop("__hot")
-    else:
-        big_s = big.withColumn("__salt", salt)
-        small_s = small.withColumn("__salt", F.explode(replicas))
+    big_s = big.withColumn("__salt", salt).drop("__hot")
+    small_s = small.withColumn("__salt", F.explode(replicas)).drop("__hot")
     return big_s.join(small_s, keys + ["__salt"], how).drop("__salt")
 
 
-def hot_keys(df: DataFrame, keys: str | Sequence[str], threshold: float = 0.01, max_hot: int = 100) -> list[tuple]:
-    """The keys holding at least ``threshold`` of all rows (at most ``max_hot``,
-    most frequent first): one aggregate pass, and a bounded list to the driver."""
-    from tablelab.operators.profile import key_frequency
-
+def hot_keys(df: DataFrame, keys: str | Sequence[str], threshold: float = 0.01) -> DataFrame:
+    """The keys holding at least ``threshold`` of all rows, nulls left out: at most
+    ``1 / threshold`` of them, whatever the data.  One aggregate pass over the keys."""
+    if not 0 < threshold <= 1:
+        raise ValueError("threshold must be in (0, 1]")
     keys = _names(keys)
-    freq = key_frequency(df, keys, top=max_hot).where(F.col("share") >= threshold)
-    return [tuple(r[k] for k in keys) for r in freq.select(*keys).collect() if all(r[k] is not None for k in keys)]
-
-
-def _in_keys(keys: Sequence[str], values: Sequence[tuple]) -> Column:
-    if len(keys) == 1:
-        return F.col(keys[0]).isin([v[0] for v in values])
-    terms = [reduce(lambda a, b: a & b, [F.col(k) == F.lit(x) for k, x in zip(keys, v)]) for v in values]
-    return reduce(lambda a, b: a | b, terms)
+    freq = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    total = freq.agg(F.sum("__n").alias("__total")).select("__total").scalar()
+    not_null = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
+    return freq.where(not_null & (F.col("__n") >= total * F.lit(threshold))).select(*keys)
 
 
 def hot_key_join(
     big: DataFrame,
     small: DataFrame,
     keys: str | Sequence[str],
+    salt_cols: Sequence[str],
     threshold: float = 0.01,
     how: str = "inner",
-    max_hot: int = 100,
-    broadcast_rows: int = BROADCAST_ROWS_LIMIT,
-    n_salts: int = 64,
-    broadcast_bytes: int = BROADCAST_BYTES_LIMIT,
+    n: int = 64,
 ) -> DataFrame:
-    """Hot keys by broadcast, the rest by shuffle join, then union.
+    """A salted join whose hot keys are found on the way, all in one lazy plan.
 
-    Hot keys are found in one pass (``hot_keys``).  The rows of ``small`` for them
-    are measured first (rows and approximate bytes, one aggregate); if they fit
-    ``broadcast_rows`` and ``broadcast_bytes`` they are broadcast, else the hot part
-    is a salted join.  Null keys are never hot and go to the cold part.
-    ``how`` is inner or left (big side preserved).
-    """
-    keys = _names(keys)
+    The keys with at least ``threshold`` of the rows (``hot_keys``) are broadcast: there
+    can be no more than ``1 / threshold`` of them.  The big side is read once for its keys
+    and once for the join, and no job runs before the result is used.  ``how`` is inner
+    or left (big side preserved)."""
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
-    hot = hot_keys(big, keys, threshold, max_hot)
-    if not hot:
-        return big.join(small, keys, how)
-    is_hot = _in_keys(keys, hot)
-    big_hot, big_cold = big.where(is_hot), big.where(~is_hot | reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
-    small_hot, small_cold = small.where(is_hot), small.where(~is_hot)
-    size = small_hot.agg(F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(small_hot)).alias("bytes")).first()
-    if size["rows"] <= broadcast_rows and (size["bytes"] or 0) <= broadcast_bytes:
-        hot_part = big_hot.join(F.broadcast(small_hot), keys, how)
-    else:
-        hot_part = salted_join(big_hot, small_hot, keys, n_salts, how)
-    cold_part = big_cold.join(small_cold, keys, how)
-    return hot_part.unionByName(cold_part)
+    keys = _names(keys)
+    return salted_join(big, small, keys, salt_cols, n, how, F.broadcast(hot_keys(big, keys, threshold)))
 
 
 def preagg_join(
@@ -256,9 +230,11 @@ def partition_balance(df: DataFrame) -> DataFrame:
     return per.select("partition", "rows", "bytes", (F.col("rows") / biggest).alias("share_of_max"))
 
 
-def balance_by_range(df: DataFrame, keys: str | Sequence[str], n: int) -> DataFrame:
-    """Range partitioning (sampled bounds) into ``n`` partitions on ``keys``."""
-    return df.repartitionByRange(n, *[F.col(k) for k in _names(keys)])
+def balance_by_range(df: DataFrame, keys: str | Sequence[str], n: int | None = None) -> DataFrame:
+    """Range partitioning (sampled bounds) on ``keys`` into ``n`` partitions, or as many as
+    the engine finds right for the size."""
+    cols = [F.col(k) for k in _names(keys)]
+    return df.repartitionByRange(n, *cols) if n else df.repartitionByRange(*cols)
 
 
 def file_layout(df: DataFrame, small_bytes: int = 32 << 20, fat_bytes: int = 1 << 30) -> DataFrame:

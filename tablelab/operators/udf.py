@@ -3,21 +3,22 @@
 * ``map_vectorized``: Arrow batches through ``mapInPandas``.  A resource that
   cannot be pickled (a client, a model, a compiled pattern) is built by ``setup()``
   inside each task, once, and never captured in the closure.
-* ``map_catching``: the same, but a row whose function call raises becomes an error
-  row (input as JSON, exception class and message) instead of failing the job.
-  The batch is tried whole first; a failing batch is bisected down to its bad rows.
+* ``map_catching``: a function of one row, called on plain dictionaries; a row whose
+  call raises becomes an error row (input as JSON, exception class and message)
+  instead of failing the job.  A vectorised twin may be given for whole batches.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 ERROR_FIELDS = [
     T.StructField("__ok", T.BooleanType()),
@@ -36,16 +37,9 @@ def _schema(schema: T.StructType | str) -> T.StructType:
     return schema
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Python work is CPU-bound: when the input has fewer partitions than the
-    cluster has cores (a few small files), spread it round-robin first.  Large
-    inputs already have enough partitions and are left alone (no shuffle)."""
-    if df.isStreaming:  # micro-batches keep the source's partitioning
-        return df
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal the rows out anew if the caller asks for so many partitions; else as they are."""
+    return df.repartition(partitions) if partitions and not df.isStreaming else df
 
 
 def map_vectorized(
@@ -53,7 +47,7 @@ def map_vectorized(
     fn: Callable[[pd.DataFrame, Any], pd.DataFrame],
     schema: T.StructType | str,
     setup: Callable[[], Any] | None = None,
-    min_partitions: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """``fn(batch, resource) -> DataFrame`` on Arrow batches; ``resource = setup()``
     is created once per task, inside the task."""
@@ -63,77 +57,100 @@ def map_vectorized(
         for pdf in batches:
             yield fn(pdf, resource)
 
-    return spread(df, min_partitions).mapInPandas(run, _schema(schema))
+    return spread(df, partitions).mapInPandas(run, _schema(schema))
 
 
 def map_catching(
     df: DataFrame,
-    fn: Callable[[pd.DataFrame, Any], pd.DataFrame],
+    fn: Callable[[dict, Any], dict | Iterable[dict] | None],
     schema: T.StructType | str,
     setup: Callable[[], Any] | None = None,
-    leaf_rows: int = 32,
-    min_partitions: int | None = None,
+    batch_fn: Callable[[pa.RecordBatch, Any], pa.RecordBatch] | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Like :func:`map_vectorized`; rows whose call raises come back as error rows.
+    """``fn(row, resource)`` for every row; rows whose call raises come back as error rows.
+
+    ``row`` is a dictionary of plain Python values; the result is a dictionary of the
+    ``schema``'s columns, several of them, or None for none.  ``batch_fn`` does the same
+    for a whole Arrow batch; where it raises, the batch goes row by row.  A result that
+    doesn't fit the schema counts as raised.
 
     Output: the ``schema`` columns plus ``__ok``, ``__input``, ``__error_class``,
-    ``__error_message``; use :func:`split_errors` for (ok, errors).  ``fn`` must
-    be row-wise (each output row depends on its input row only).
+    ``__error_message``; use :func:`split_errors` for (ok, errors).  ``__input`` is the
+    row as JSON, made by Spark before Python sees it: doubles, whole numbers and
+    microseconds are exact, binary is base 64, nulls are kept.
     """
     st = _schema(schema)
     out_schema = T.StructType(st.fields + ERROR_FIELDS)
     names = [f.name for f in st.fields]
-
-    def ok_frame(res: pd.DataFrame) -> pd.DataFrame:
-        res = res[names].copy()
-        res["__ok"] = True
-        res["__input"] = None
-        res["__error_class"] = None
-        res["__error_message"] = None
-        return res
-
-    def err_frame(rows: pd.DataFrame, errors: list[Exception]) -> pd.DataFrame:
-        records = json.loads(rows.to_json(orient="records", date_format="iso"))
-        err = pd.DataFrame({n: [None] * len(errors) for n in names})
-        err["__ok"] = False
-        err["__input"] = [json.dumps(r, sort_keys=True) for r in records]
-        err["__error_class"] = [type(e).__name__ for e in errors]
-        err["__error_message"] = [str(e)[:1000] for e in errors]
-        return err
-
-    def one_by_one(pdf: pd.DataFrame, resource: Any) -> list[pd.DataFrame]:
-        oks, bad, errors = [], [], []
-        for i in range(len(pdf)):
+    fields = list(to_arrow_schema(st))
+    stamp = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    options = {"ignoreNullFields": "false", "timestampFormat": stamp + "XXX", "timestampNTZFormat": stamp}
+    row_json = "__input"
+    while row_json in df.columns:
+        row_json = "_" + row_json
+    as_json = df.withColumn(row_json, F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), options))
+
+    def finished(columns: list, n: int, ok: bool, inputs: list, kinds: list, messages: list) -> pa.RecordBatch:
+        strings = [pa.array(x, pa.string()) for x in (inputs, kinds, messages)]
+        return pa.RecordBatch.from_arrays(
+            [*columns, pa.array([ok] * n, pa.bool_()), *strings], [*names, *[f.name for f in ERROR_FIELDS]]
+        )
+
+    def good(columns: list) -> pa.RecordBatch:
+        n = len(columns[0]) if columns else 0
+        return finished(columns, n, True, [None] * n, [None] * n, [None] * n)
+
+    def row_by_row(batch: pa.RecordBatch, inputs: pa.Array, resource: Any) -> Iterator[pa.RecordBatch]:
+        columns: list[list] = [[] for _ in names]
+        failed: list[tuple[str, Exception]] = []
+        for k, row in enumerate(batch.to_pylist()):
             try:
-                oks.append(fn(pdf.iloc[i : i + 1], resource))
-            except Exception as e:  # the row is the unit of failure
-                bad.append(i)
-                errors.append(e)
-        out = [ok_frame(pd.concat(oks, ignore_index=True))] if oks else []
-        if bad:
-            out.append(err_frame(pdf.iloc[bad], errors))
-        return out
-
-    def attempt(pdf: pd.DataFrame, resource: Any) -> list[pd.DataFrame]:
-        # Whole batch first; a failing batch is halved while it is large, so k bad
-        # rows among n cost about k log(n / leaf) calls, then small pieces go row by
-        # row (dense errors would otherwise cost two calls per row).
+                res = fn(row, resource)
+                made = [] if res is None else [res] if isinstance(res, dict) else list(res)
+                # Converted row by row only if the whole doesn't convert.
+                values = [[m[n] for n in names] for m in made]
+            except Exception as e:
+                failed.append((inputs[k].as_py(), e))
+                continue
+            for one in values:
+                for column, v in zip(columns, one, strict=True):
+                    column.append((v, k))
+        arrays = None
         try:
-            return [ok_frame(fn(pdf, resource))]
-        except Exception:
-            pass
-        if len(pdf) <= leaf_rows:
-            return one_by_one(pdf, resource)
-        mid = len(pdf) // 2
-        return attempt(pdf.iloc[:mid], resource) + attempt(pdf.iloc[mid:], resource)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            arrays = [pa.array([v for v, _ in c], f.type) for c, f in zip(columns, fields, strict=True)]
+        except (pa.ArrowInvalid, pa.ArrowTypeError, pa.ArrowNotImplementedError, OverflowError):
+            bad: dict[int, Exception] = {}
+            for c, f in zip(columns, fields, strict=True):
+                for v, k in c:
+                    try:
+                        pa.scalar(v, f.type)
+                    except Exception as e:
+                        bad[k] = e
+            failed += [(inputs[k].as_py(), e) for k, e in bad.items()]
+            arrays = [pa.array([v for v, k in c if k not in bad], f.type) for c, f in zip(columns, fields, strict=True)]
+        yield good(arrays)
+        if failed:
+            nulls = [pa.nulls(len(failed), f.type) for f in fields]
+            yield finished(
+                nulls, len(failed), False, [i for i, _ in failed], [type(e).__name__ for _, e in failed], [str(e) for _, e in failed]
+            )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         resource = setup() if setup is not None else None
-        for pdf in batches:
-            if len(pdf):
-                yield pd.concat(attempt(pdf, resource), ignore_index=True)
-
-    return spread(df, min_partitions).mapInPandas(run, out_schema)
+        for whole in batches:
+            at = whole.schema.get_field_index(row_json)
+            batch, inputs = whole.drop_columns([row_json]), whole.column(at)
+            if batch_fn is not None:
+                try:
+                    made = batch_fn(batch, resource)
+                    yield good([made.column(f.name).cast(f.type) for f in fields])
+                    continue
+                except Exception:  # its rows tell which of them fail
+                    pass
+            yield from row_by_row(batch, inputs, resource)
+
+    return spread(as_json, partitions).mapInArrow(run, out_schema)
 
 
 def split_errors(result: DataFrame) -> tuple[DataFrame, DataFrame]:

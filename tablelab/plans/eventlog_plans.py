@@ -7,8 +7,6 @@ scratch and read back through the same reader a real log uses.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tablelab.operators import eventlog as EL
 from tablelab.plans.registry import register
 from tablelab.session import scratch_dir, session_fixture, table
@@ -62,7 +60,7 @@ def eventlog_tasks(spark, sf_dir):
     "eventlog_stage_skew",
     f"""
 with g as (select app, stage_id, stage_attempt, count(*) as tasks,
-                  round(quantile_cont(run_ms, 0.5), 3) as median_ms, round(quantile_cont(run_ms, 0.95), 3) as p95_ms,
+                  cast(quantile_disc(run_ms, 0.5) as double) as median_ms, cast(quantile_disc(run_ms, 0.95) as double) as p95_ms,
                   max(run_ms) as max_ms
            from {_TASKS} t group by all)
 select *, case when median_ms > 0 then max_ms / median_ms end as max_over_median,
@@ -71,10 +69,7 @@ from g
 """,
 )
 def eventlog_stage_skew(spark, sf_dir):
-    out = EL.stage_skew(tasks(spark, sf_dir))
-    return out.withColumn("median_ms", F.round("median_ms", 3)).withColumn("p95_ms", F.round("p95_ms", 3)).withColumn(
-        "max_over_median", F.when(F.col("median_ms") > 0, F.col("max_ms") / F.col("median_ms"))
-    )
+    return EL.stage_skew(tasks(spark, sf_dir))
 
 
 @register(
@@ -118,7 +113,7 @@ def eventlog_executors(spark, sf_dir):
     f"""
 with t as {_TASKS},
 g as (select app, stage_id, stage_attempt,
-             quantile_cont(run_ms, 0.5) as med, max(run_ms) as mx,
+             cast(quantile_disc(run_ms, 0.5) as double) as med, max(run_ms) as mx,
              sum(disk_spilled) as disk, sum(gc_ms) as gc, sum(run_ms) as run
       from t group by all),
 m as (
@@ -134,6 +129,4 @@ from m join r on m.metric = r.rule_metric and m.value > r.threshold
 """,
 )
 def eventlog_findings(spark, sf_dir):
-    long = EL.stage_metrics_long(tasks(spark, sf_dir)).where(F.col("metric") != "p95_ms")
-    long = long.where(F.col("metric") != "memory_spilled")
-    return EL.findings(spark, long)
+    return EL.findings(spark, EL.stage_metrics_long(tasks(spark, sf_dir)))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tablelab.operators import skew as S
 from tablelab.plans.registry import register
 from tablelab.session import scratch_dir, session_fixture, table
 from tablelab.sources import generate as G
@@ -56,7 +57,7 @@ def gen_uniform(spark, sf_dir):
     "union_all_parts",
     """
 select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
-       case when o_orderstatus = 'P' then null else o_orderpriority end as o_orderpriority
+       case when o_orderstatus in ('F', 'O') then o_orderpriority end as o_orderpriority
 from orders
 """,
 )
@@ -66,8 +67,10 @@ def union_all_parts(spark, sf_dir):
     # Same columns in another order: matched by name, not position.
     o = orders.where(F.col("o_orderstatus") == "O").select(*reversed(orders.columns))
     # A part without o_orderpriority: null there.
-    p = orders.where(F.col("o_orderstatus") == "P").drop("o_orderpriority")
-    return IO.union_all([f, o, p], allow_missing=True)
+    # It takes whatever is in no other part, null statuses included.
+    known = F.coalesce(F.col("o_orderstatus").isin("F", "O"), F.lit(False))
+    rest = orders.where(~known).drop("o_orderpriority")
+    return IO.union_all([f, o, rest], allow_missing=True)
 
 
 @register("roundtrip_parquet", "select * from orders")
@@ -85,10 +88,18 @@ def catalog_roundtrip(spark, sf_dir):
     return IO.catalog_roundtrip(spark, table(spark, sf_dir, "customer"))
 
 
-@register("file_inventory")
+_INVENTORY_SQL = "\nunion all\n".join(
+    f"select '{t}.parquet' as name, true as present, 1 as copies, count(*) as rows from {t}" for t in TABLES
+) + "\nunion all\nselect 'missing.parquet', false, 0, null"
+
+
+@register("file_inventory", _INVENTORY_SQL)
 def file_inventory(spark, sf_dir):
+    # The listing against a list of names, with the rows that each file really holds.
     expected = [f"{t}.parquet" for t in TABLES] + ["missing.parquet"]
-    return IO.file_inventory(spark, sf_dir, expected, glob="*.parquet")
+    listed = IO.file_inventory(spark, sf_dir, expected, glob="*.parquet")
+    held = IO.union_all([S.file_layout(table(spark, sf_dir, t)).select("file_name", "rows") for t in TABLES])
+    return listed.join(held, F.col("name") == F.col("file_name"), "left").select("name", "present", "copies", "rows")
 
 
 def _audit_fixture(spark, sf_dir) -> str:
@@ -101,16 +112,24 @@ def _write_audit_fixture(spark, sf_dir) -> str:
     root = scratch_dir(spark, "audit")
     orders = table(spark, sf_dir, "orders")
     # At most 5,000 rows per file: the number of footers to audit grows with the data.
-    orders.repartition(4, "o_orderkey").write.option("maxRecordsPerFile", 5000).parquet(f"{root}/good")
+    orders.repartition("o_orderkey").write.option("maxRecordsPerFile", 5000).parquet(f"{root}/good")
     PA.write_corrupt_parquet(spark, f"{root}/broken")
     return root
 
 
-@register("parquet_audit")
+@register(
+    "parquet_audit",
+    """
+select 'good' as folder, true as ok, cast(count(*) as bigint) as rows, true as within_limit, true as explained from orders
+union all select 'broken', false, null, null, true
+""",
+)
 def parquet_audit(spark, sf_dir):
-    audit = PA.audit_parquet(spark, _audit_fixture(spark, sf_dir))
-    return audit.select(
-        F.element_at(F.split("path", "/"), -2).alias("folder"), "length", "ok", "num_rows", "num_row_groups", "reason"
+    audit = PA.audit_parquet(spark, _audit_fixture(spark, sf_dir), pages=True)
+    folder = F.element_at(F.split("path", "/"), -2).alias("folder")
+    return audit.groupBy(folder).agg(
+        F.bool_and("ok").alias("ok"), F.sum("num_rows").alias("rows"), F.bool_and(F.col("num_rows") <= 5000).alias("within_limit"),
+        F.bool_and(F.col("ok") | F.col("reason").contains("footer length")).alias("explained"),
     )
 
 

@@ -32,52 +32,41 @@ from {_SKEWED} s group by customer_id
 """,
 )
 def salted_agg(spark, sf_dir):
-    out = S.salted_agg(skewed_events(table(spark, sf_dir, "events")), "customer_id", _aggs(), n=16)
+    out = S.salted_agg(skewed_events(table(spark, sf_dir, "events")), "customer_id", _aggs(), ["event_id"], n=16)
     return out.withColumn("total", F.col("total").cast("double"))
 
 
-@register(
-    "salted_join",
-    """
-select l_orderkey, l_linenumber, l_quantity, o_custkey, o_orderstatus
-from lineitem join orders on o_orderkey = l_orderkey
-""",
-)
+_JOINED = f"""
+select s.event_id, s.customer_id, c.c_name, c.c_nationkey
+from {_SKEWED} s {{how}} join customer c on c.c_custkey = s.customer_id
+"""
+
+
+def _sides(spark, sf_dir):
+    events = skewed_events(table(spark, sf_dir, "events")).select("event_id", "customer_id")
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"), "c_name", "c_nationkey")
+    return events, customers
+
+
+@register("salted_join", _JOINED.format(how=""))
 def salted_join(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus"
-    )
-    return S.salted_join(li, orders, "l_orderkey", n=8, how="inner")
+    # The hot keys are known beforehand: the rule that skews the table has one.
+    events, customers = _sides(spark, sf_dir)
+    known = spark.createDataFrame([(1,)], "customer_id long")
+    return S.salted_join(events, customers, "customer_id", ["event_id"], n=8, hot_keys=known)
 
 
-@register(
-    "salted_join_hot",
-    f"""
-select s.event_id, s.customer_id, c.c_name, c.c_nationkey
-from {_SKEWED} s left join customer c on c.c_custkey = s.customer_id
-""",
-)
+@register("salted_join_hot", _JOINED.format(how="left"))
 def salted_join_hot(spark, sf_dir):
-    ev = skewed_events(table(spark, sf_dir, "events")).select("event_id", "customer_id")
-    cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"), "c_name", "c_nationkey")
-    from tablelab.operators.profile import key_frequency
-
-    hot = key_frequency(ev, "customer_id", top=10).where(F.col("share") >= 0.05)
-    return S.salted_join(ev, cust, "customer_id", n=16, how="left", hot_keys=hot)
+    events, customers = _sides(spark, sf_dir)
+    hot = S.hot_keys(events, "customer_id", 0.05)
+    return S.salted_join(events, customers, "customer_id", ["event_id"], n=16, how="left", hot_keys=hot)
 
 
-@register(
-    "hot_key_join",
-    f"""
-select s.event_id, s.customer_id, c.c_name, c.c_nationkey
-from {_SKEWED} s left join customer c on c.c_custkey = s.customer_id
-""",
-)
+@register("hot_key_join", _JOINED.format(how="left"))
 def hot_key_join(spark, sf_dir):
-    ev = skewed_events(table(spark, sf_dir, "events")).select("event_id", "customer_id")
-    cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"), "c_name", "c_nationkey")
-    return S.hot_key_join(ev, cust, "customer_id", threshold=0.05, how="left")
+    events, customers = _sides(spark, sf_dir)
+    return S.hot_key_join(events, customers, "customer_id", ["event_id"], threshold=0.05, how="left")
 
 
 @register(
@@ -103,16 +92,31 @@ def preagg_join(spark, sf_dir):
     return out.withColumn("revenue", F.col("revenue").cast("double"))
 
 
-@register("partition_balance")
+def _balance_summary(balance):
+    """What SQL can check: all rows are in some partition, one of them is the largest."""
+    return balance.agg(
+        F.sum("rows").alias("rows"), F.max("share_of_max").alias("top_share"),
+        (F.count(F.lit(1)) == F.countDistinct("partition")).alias("one_row_each"), (F.min("bytes") > 0).alias("all_have_bytes"),
+    )
+
+
+_BALANCE_SQL = "select count(*) as rows, cast(1.0 as double) as top_share, true as one_row_each, true as all_have_bytes from lineitem"
+
+
+@register("partition_balance", _BALANCE_SQL)
 def partition_balance(spark, sf_dir):
-    return S.partition_balance(table(spark, sf_dir, "lineitem").repartition(8, "l_orderkey"))
+    return _balance_summary(S.partition_balance(table(spark, sf_dir, "lineitem").repartition("l_orderkey")))
 
 
-@register("partition_balance_range")
+@register("partition_balance_range", _BALANCE_SQL)
 def partition_balance_range(spark, sf_dir):
-    return S.partition_balance(S.balance_by_range(table(spark, sf_dir, "lineitem"), "l_orderkey", 8))
+    return _balance_summary(S.partition_balance(S.balance_by_range(table(spark, sf_dir, "lineitem"), "l_orderkey")))
 
 
-@register("file_layout")
+@register(
+    "file_layout",
+    "select 'lineitem.parquet' as file_name, count(*) as rows, true as has_size, true as small_file, false as fat_file from lineitem",
+)
 def file_layout(spark, sf_dir):
-    return S.file_layout(table(spark, sf_dir, "lineitem")).drop("file_path")
+    layout = S.file_layout(table(spark, sf_dir, "lineitem"))
+    return layout.select("file_name", "rows", (F.col("size_bytes") > 0).alias("has_size"), "small_file", "fat_file")

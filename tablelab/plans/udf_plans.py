@@ -41,10 +41,10 @@ def udf_vectorized(spark, sf_dir):
     return U.map_vectorized(li, _net_cents, "l_orderkey long, l_linenumber int, net_cents long", setup=_setup)
 
 
-def _label(pdf: pd.DataFrame, _res) -> pd.DataFrame:
-    if (pdf["event_type"] == "error").any():
+def _label(row: dict, _res) -> dict:
+    if row["event_type"] == "error":
         raise ValueError("error events cannot be labelled")
-    return pd.DataFrame({"event_id": pdf["event_id"], "label": pdf["event_type"].str.upper()})
+    return {"event_id": row["event_id"], "label": row["event_type"].upper()}
 
 
 @register(

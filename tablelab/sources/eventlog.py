@@ -3,7 +3,10 @@
 Only ``SparkListenerTaskEnd`` lines are parsed: a substring test on the raw line
 drops everything else before ``from_json`` runs, so the parse cost follows the
 number of tasks, not the size of the log.  Logs may be single files or rolling
-folders (``eventlog_v2_*/events_*``); compressed parts are read by the text source.
+folders (``eventlog_v2_*/events_*``).  The text source decodes zstd and plain parts.
+Parts that Spark writes as lz4, lzf or snappy blocks have a framing of Spark's own,
+which the text source would silently read as nothing: they are rejected by name.
+Any other line that isn't JSON raises as well, so a log is never taken for empty.
 """
 
 from __future__ import annotations
@@ -67,15 +70,32 @@ TASK_COLUMNS = [
 ]
 
 
+#: Endings of parts that the text source can't decode (fixed names of Spark's codecs).
+UNDECODABLE = ("lz4", "lzf", "snappy")
+
+
+class UndecodableLog(ValueError):
+    pass
+
+
 def read_log_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """value + app (the log file's folder or name) for every line of the logs."""
+    """value + app (the log file's folder or name) for every line of the logs.
+
+    Raises ``UndecodableLog`` for a part in a codec that can't be read here, and, when the
+    lines are read, for one that isn't a JSON object."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     lines = spark.read.text(paths)
+    # One name per file of the log: its parts are listed by the read anyway.
+    unread = [f for f in lines.inputFiles() if f.removesuffix(".inprogress").rsplit(".", 1)[-1].lower() in UNDECODABLE]
+    if unread:
+        raise UndecodableLog(f"{len(unread)} parts in a codec the text source can't decode (of {', '.join(UNDECODABLE)}), such as {unread[0]}")
     path = F.col("_metadata.file_path")
     parts = F.split(path, "/")
     folder = F.element_at(parts, -2)
     app = F.when(folder.startswith("eventlog_v2_"), F.substring(folder, 13, 1 << 20)).otherwise(F.element_at(parts, -1))
-    return lines.select("value", app.alias("app"))
+    broken = F.concat(F.lit("not a line of an event log, in "), path)
+    fine = F.ltrim("value").startswith("{") | (F.trim("value") == "")
+    return lines.select(F.when(fine, F.col("value")).otherwise(F.raise_error(broken).cast("string")).alias("value"), app.alias("app"))
 
 
 def task_metrics(lines: DataFrame) -> DataFrame:

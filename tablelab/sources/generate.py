@@ -97,11 +97,11 @@ def skew_keys(
     return df.withColumn(out_col, F.when(hot, F.lit(hot_key)).otherwise(F.col(key_col) + 2).cast("long"))
 
 
-def range_sum(spark: SparkSession, lo: int, hi: int) -> DataFrame:
-    """Sum and count of the integers ``lo .. hi-1`` as one distributed aggregate.
+def range_sum(spark: SparkSession, lo: int = 0, hi: int = 0, ids: DataFrame | None = None) -> DataFrame:
+    """Sum and count of the integers ``lo .. hi-1``, or of the whole-number column ``ids``
+    of a table, as one distributed aggregate.
 
     The sum is a ``decimal(38,0)``: for a range of 6e11 integers (a 100 TB fact
     table's row count) it is ~1.8e23, past what ``bigint`` holds."""
-    return spark.range(lo, hi).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("id").cast("decimal(38,0)")).alias("total")
-    )
+    base = spark.range(lo, hi) if ids is None else ids.toDF("id")
+    return base.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("id").cast("decimal(38,0)")).alias("total"))

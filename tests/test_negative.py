@@ -22,11 +22,11 @@ def test_rejected_arguments(spark, df):
     with pytest.raises(ValueError):
         P.key_frequency(df, "k", top=0)
     with pytest.raises(ValueError):
-        S.hot_key_join(df, df, "k", how="full")
+        S.hot_key_join(df, df, "k", ["v"], how="full")
     with pytest.raises(ValueError):
-        S.salted_join(df, df, "k", how="right")
+        S.salted_join(df, df, "k", ["v"], how="right")
     with pytest.raises(ValueError):
-        S.salted_agg(df, "k", [S.Agg("x", "sum", "v")], n=0)
+        S.salted_agg(df, "k", [S.Agg("x", "sum", "v")], ["v"], n=0)
     with pytest.raises(ValueError):
         S.preagg_join(df, df, "k", "k", [S.Agg("x", "collect_list", "v")], ["s"])
     with pytest.raises(ValueError):

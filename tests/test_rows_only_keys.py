@@ -1,52 +1,29 @@
-"""Brute-force checks for the registered keys that have no SQL oracle (sf0.01)."""
+"""Exact checks of operators whose registered queries show flags only (sf0.01)."""
 
 import duckdb
-import pytest
 
-import __spark_entry__ as E
+from tablelab.operators import profile as P
+from tablelab.operators import skew as S
 from tests.conftest import SF_ORACLE
 
-Q = E.queries()
-
 
 def duck_scalar(sql: str):
     return duckdb.sql(sql.replace("{sf}", SF_ORACLE)).fetchall()[0][0]
 
 
-def test_file_inventory(spark):
-    rows = {r["name"]: r for r in Q["file_inventory"](spark, SF_ORACLE).collect()}
-    assert len(rows) == 15
-    assert rows["missing.parquet"]["present"] is False and rows["missing.parquet"]["copies"] == 0
-    assert all(r["present"] and r["copies"] == 1 and r["length"] > 0 for n, r in rows.items() if n != "missing.parquet")
-
-
-def test_parquet_audit(spark):
-    rows = Q["parquet_audit"](spark, SF_ORACLE).collect()
-    broken = [r for r in rows if not r["ok"]]
-    assert len(broken) == 1 and broken[0]["folder"] == "broken" and "footer length" in broken[0]["reason"]
-    good = [r for r in rows if r["ok"]]
-    assert sum(r["num_rows"] for r in good) == duck_scalar("select count(*) from '{sf}/orders.parquet'")
-    assert all(r["num_rows"] <= 5000 for r in good)
-
-
-@pytest.mark.parametrize("key", ["partition_balance", "partition_balance_range"])
-def test_partition_balance(spark, key):
-    rows = Q[key](spark, SF_ORACLE).collect()
-    assert sum(r["rows"] for r in rows) == duck_scalar("select count(*) from '{sf}/lineitem.parquet'")
-    assert max(r["share_of_max"] for r in rows) == 1.0 and all(r["bytes"] > 0 for r in rows)
-
-
-def test_file_layout(spark):
-    rows = Q["file_layout"](spark, SF_ORACLE).collect()
-    assert len(rows) == 1 and rows[0]["file_name"] == "lineitem.parquet"
-    assert rows[0]["rows"] == duck_scalar("select count(*) from '{sf}/lineitem.parquet'")
-    assert rows[0]["small_file"] is True and rows[0]["fat_file"] is False
+def test_partitions_hold_all_rows(spark):
+    li = spark.read.parquet(f"{SF_ORACLE}/lineitem.parquet")
+    for df in (li.repartition(9, "l_orderkey"), S.balance_by_range(li, "l_orderkey", 9)):
+        rows = S.partition_balance(df).collect()
+        assert sum(r["rows"] for r in rows) == duck_scalar("select count(*) from '{sf}/lineitem.parquet'")
+        assert max(r["share_of_max"] for r in rows) == 1.0 and all(r["bytes"] > 0 for r in rows)
 
 
-def test_approx_profile_against_exact(spark):
-    rows = {r["column_name"]: r for r in Q["approx_profile"](spark, SF_ORACLE).collect()}
-    for col in ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag"]:
-        exact = duck_scalar(f"select count(distinct {col}) from '{{sf}}/lineitem.parquet'")
-        assert abs(rows[col]["approx_distinct"] - exact) <= 0.15 * exact
+def test_sketches_against_exact(spark):
+    cols = ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag"]
+    rows = {r["column_name"]: r for r in P.approx_profile(spark.read.parquet(f"{SF_ORACLE}/lineitem.parquet"), cols).collect()}
+    for c in cols:
+        exact = duck_scalar(f"select count(distinct {c}) from '{{sf}}/lineitem.parquet'")
+        assert abs(rows[c]["approx_distinct"] - exact) <= 0.15 * exact
     median = duck_scalar("select quantile_disc(l_quantity, 0.5) from '{sf}/lineitem.parquet'")
     assert abs(rows["l_quantity"]["p50"] - median) <= 1.0

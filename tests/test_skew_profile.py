@@ -46,11 +46,16 @@ def test_gen_uniform_layout(spark):
 
 
 def test_local_rows_profile_and_sql(spark):
-    users = spark.createDataFrame([(i, f"user_{i}", 10.0 * i) for i in range(1, 1001)], "id long, name string, amount double")
-    prof = {r["column_name"]: r for r in P.global_profile(users, ["id", "amount"]).collect()}
-    assert prof["amount"]["n"] == 1000 and prof["amount"]["mean"] == 5005.0 and prof["amount"]["max_value"] == "10000.0"
-    assert IO.sql_count(spark, users, "amount > 5000").first()["cnt"] == 500
-    assert G.range_sum(spark, 1, 101).first()["total"] == 5050
+    """A small local table: sizes of blocks, powers of two, some unknown."""
+    rows = [(f"b{k:02d}", 2**k, None if k % 5 == 0 else 2.0**-k) for k in range(1, 21)]
+    df = spark.createDataFrame(rows, "`block.name` string, size long, ratio double")
+    prof = {r["column_name"]: r for r in P.global_profile(df).collect()}
+    assert (prof["size"]["n"], prof["size"]["min_value"], prof["size"]["max_value"]) == (20, "2", str(2**20))
+    assert prof["size"]["mean"] == sum(r[1] for r in rows) / 20
+    assert (prof["ratio"]["nulls"], prof["block.name"]["max_value"]) == (4, "b20")
+    assert IO.sql_count(spark, df, "size >= 1024").first()["cnt"] == 11
+    assert G.range_sum(spark, 5, 50).first()["total"] == sum(range(5, 50))
+    assert G.range_sum(spark, ids=df.select("size")).first()["total"] == 2**21 - 2
 
 
 @pytest.mark.parametrize("n", [1, 3, 16])
@@ -62,7 +67,7 @@ def test_salted_agg_equals_plain(spark, skewed, n):
         S.Agg("hi", "max", "amount"),
         S.Agg("mean", "avg", F.col("amount").cast("decimal(18,2)")),
     ]
-    salted = S.salted_agg(skewed, "customer_id", aggs, n=n)
+    salted = S.salted_agg(skewed, "customer_id", aggs, ["transaction_id"], n=n)
     plain = skewed.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col("amount").cast("decimal(18,2)")).alias("total"),
@@ -76,7 +81,7 @@ def test_salted_agg_equals_plain(spark, skewed, n):
 
 def test_salted_agg_rejects_non_decomposable(skewed):
     with pytest.raises(ValueError):
-        S.salted_agg(skewed, "customer_id", [S.Agg("m", "median", "amount")])
+        S.salted_agg(skewed, "customer_id", [S.Agg("m", "median", "amount")], ["transaction_id"])
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -86,31 +91,81 @@ def test_salted_join_equals_plain(spark, skewed, how):
     cols = big.columns + (["name"] if how in ("inner", "left") else [])
     plain = big.join(small, "customer_id", how)
     for hot in (None, spark.createDataFrame([(1,)], "customer_id long")):
-        salted = S.salted_join(big, small, "customer_id", n=8, how=how, hot_keys=hot)
+        salted = S.salted_join(big, small, "customer_id", ["transaction_id"], n=8, how=how, hot_keys=hot)
         assert sorted_rows(salted, *cols) == sorted_rows(plain, *cols)
         assert "CartesianProduct" not in plan_of(salted) and "NestedLoop" not in plan_of(salted)
 
 
 def test_salted_join_rejects_outer(skewed):
     with pytest.raises(ValueError):
-        S.salted_join(skewed, skewed, "customer_id", how="full")
+        S.salted_join(skewed, skewed, "customer_id", ["transaction_id"], how="full")
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_hot_key_join_equals_plain(spark, skewed, how):
     small = spark.createDataFrame([(k, f"c{k}") for k in range(1, 60, 2)], "customer_id long, name string")
     big = skewed.union(spark.createDataFrame([(999_999, None, 1.0)], skewed.schema))
-    out = S.hot_key_join(big, small, "customer_id", threshold=0.05, how=how)
+    out = S.hot_key_join(big, small, "customer_id", ["transaction_id"], threshold=0.05, how=how)
     cols = ["transaction_id", "customer_id", "amount", "name"]
     assert sorted_rows(out, *cols) == sorted_rows(big.join(small, "customer_id", how), *cols)
     assert "BroadcastHashJoin" in plan_of(out)
 
 
-def test_hot_key_join_falls_back_to_salting(spark, skewed):
-    # A small side with more rows for the hot key than may be broadcast.
+def test_hot_key_join_with_many_rows_on_both_sides(spark, skewed):
     small = spark.range(50).select(F.lit(1).cast("long").alias("customer_id"), F.col("id").alias("v"))
-    out = S.hot_key_join(skewed.limit(1000), small, "customer_id", threshold=0.5, broadcast_rows=10)
-    assert out.count() == skewed.limit(1000).where("customer_id = 1").count() * 50
+    some = skewed.where("transaction_id < 1000")
+    out = S.hot_key_join(some, small, "customer_id", ["transaction_id"], threshold=0.5)
+    assert out.count() == some.where("customer_id = 1").count() * 50
+
+
+def test_hot_key_join_runs_nothing_before_its_result_is_used(spark, skewed):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy-join", "planning only")
+    try:
+        S.hot_key_join(skewed, skewed.select("customer_id").distinct(), "customer_id", ["transaction_id"], threshold=0.05)
+        assert list(tracker.getJobIdsForGroup("lazy-join")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_hot_keys_are_bounded_by_the_threshold_only(spark, skewed):
+    assert [tuple(r) for r in S.hot_keys(skewed, "customer_id", 0.05).collect()] == [(1,)]
+    even = spark.range(4000).select((F.col("id") % 2000).alias("k"), "id")
+    assert S.hot_keys(even, "k", 1 / 2000).count() == 2000
+    small = spark.range(2000).withColumnRenamed("id", "k")
+    joined = S.salted_join(even, small, "k", ["id"], n=4, hot_keys=S.hot_keys(even, "k", 1 / 2000))
+    assert joined.count() == 4000
+
+
+def test_salt_spreads_rows_that_are_alike_but_for_their_id(spark):
+    df = spark.range(10_000).select(F.lit(1).alias("k"), F.lit("same").alias("v"), "id", F.create_map(F.lit("a"), F.lit(1)).alias("m"))
+    counts = [r["count"] for r in df.groupBy(S.row_salt(16, ["id"])).count().collect()]
+    assert len(counts) == 16 and max(counts) < 1.3 * min(counts)
+    out = S.salted_agg(df, "k", [S.Agg("n", "count")], ["id"], n=16)
+    assert out.first()["n"] == 10_000
+    with pytest.raises(ValueError):
+        S.row_salt(16, [])
+
+
+def test_topk_beyond_the_engine_limit_is_exact_and_bounded(spark, skewed):
+    k = 3000
+    top = P.topk_per_key(skewed, "customer_id", [F.col("amount").desc()], k)
+    assert "__salt" in plan_of(top)
+    assert top.where("customer_id = 1").count() == k and top.where("customer_id <> 1").count() == 20_000
+    want = skewed.where("customer_id = 1").orderBy(F.col("amount").desc(), "transaction_id").limit(k)
+    assert sorted_rows(top.where("customer_id = 1"), "transaction_id") == sorted_rows(want, "transaction_id")
+    assert top.columns == [*skewed.columns, "rank_in_key"]
+
+
+def test_percentile_names_are_distinct(spark, skewed):
+    out = P.approx_profile(skewed, ["amount"], percentiles=[0.05, 0.5, 0.995, 0.999])
+    assert out.columns == ["column_name", "approx_distinct", "p05", "p50", "p99_5", "p99_9"]
+    with pytest.raises(ValueError):
+        P.approx_profile(skewed, ["amount"], percentiles=[0.5, 0.5])
+
+
+def test_key_frequency_returns_all_keys_unless_asked(spark):
+    assert P.key_frequency(spark.range(500), "id").count() == 500
 
 
 def test_preagg_join_equals_join_then_aggregate(spark, skewed):
@@ -188,6 +243,25 @@ def test_profile_handles_nested_and_map_columns(spark):
     assert out["m"]["n"] == 1 and out["m"]["min_value"] is None
 
 
+def test_roundtrip_keeps_empty_and_null_partition_values(spark):
+    from tablelab.session import scratch_dir
+
+    df = spark.createDataFrame([(1, ""), (2, None), (3, "x/y")], "id long, `p.q` string")
+    back = IO.roundtrip_parquet(df, scratch_dir(spark, "rt"), partition_by=["p.q"])
+    assert sorted(map(tuple, back.collect())) == [(1, ""), (2, None), (3, "x/y")] and back.columns == df.columns
+
+
+def test_save_and_drop_table(spark):
+    from tablelab.session import scratch_dir
+
+    df = spark.range(7)
+    assert IO.save_table(df, "nums", "tl_test", location=scratch_dir(spark, "db")) == 7
+    assert IO.save_table(df, "nums", "tl_test", mode="append") == 7
+    assert spark.table("tl_test.nums").count() == 14
+    IO.drop_table(spark, "nums", "tl_test", with_database=True)
+    assert not spark.catalog.databaseExists("tl_test")
+
+
 def test_roundtrip_keeps_partition_types(spark):
     from tablelab.session import scratch_dir
 
@@ -204,5 +278,5 @@ def test_multi_column_keys(spark, skewed):
                                 "customer_id long, region long, name string")
     cols = ["transaction_id", "customer_id", "region", "name"]
     for how in ("inner", "left"):
-        out = S.hot_key_join(two, dim, ["customer_id", "region"], threshold=0.1, how=how)
+        out = S.hot_key_join(two, dim, ["customer_id", "region"], ["transaction_id"], threshold=0.1, how=how)
         assert sorted_rows(out, *cols) == sorted_rows(two.join(dim, ["customer_id", "region"], how), *cols)
