@@ -20,7 +20,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from tablelab.operators import skew as S  # noqa: E402
-from tablelab.operators.profile import key_frequency  # noqa: E402
 from tablelab.session import local_session  # noqa: E402
 from tablelab.sources.generate import gen_skewed  # noqa: E402
 
@@ -40,7 +39,7 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": "64",
             "spark.sql.autoBroadcastJoinThreshold": "-1",
-            "spark.driver.memory": "16g",
+            "spark.driver.memory": "8g",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16MB",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16MB",
         },
@@ -58,7 +57,7 @@ def main() -> None:
     out["agg_plain"] = timed(
         lambda: facts.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("amount").cast("decimal(18,2)")))
     )
-    out["agg_salted"] = timed(lambda: S.salted_agg(facts, "customer_id", aggs, n=32))
+    out["agg_salted"] = timed(lambda: S.salted_agg(facts, "customer_id", aggs, ["transaction_id"], n=32))
 
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     out["join_smj_no_aqe"] = timed(lambda: facts.join(dim, "customer_id"))
@@ -67,9 +66,9 @@ def main() -> None:
     out["join_aqe_no_skew_split"] = timed(lambda: facts.join(dim, "customer_id"))
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     out["join_aqe_skew_split"] = timed(lambda: facts.join(dim, "customer_id"))
-    hot = key_frequency(facts, "customer_id", top=10).where(F.col("share") >= 0.05)
-    out["join_salted_hot"] = timed(lambda: S.salted_join(facts, dim, "customer_id", n=32, hot_keys=hot))
-    out["join_hot_key"] = timed(lambda: S.hot_key_join(facts, dim, "customer_id", threshold=0.05))
+    hot = S.hot_keys(facts, "customer_id", 0.05)
+    out["join_salted_hot"] = timed(lambda: S.salted_join(facts, dim, "customer_id", ["transaction_id"], n=32, hot_keys=hot))
+    out["join_hot_key"] = timed(lambda: S.hot_key_join(facts, dim, "customer_id", ["transaction_id"], threshold=0.05))
 
     print(json.dumps({"metric": "skew_strategies_sec", "rows": rows, "cpus": int(cpus), "results": out}))
     spark.stop()

@@ -4,7 +4,6 @@ from tablelab.functions.columns import (
     col_of,
     exact_avg,
     exact_sum,
-    hash_bucket,
     hash_uniform,
     instant_to_ntz,
     ntz_to_instant,
@@ -14,7 +13,6 @@ __all__ = [
     "col_of",
     "exact_avg",
     "exact_sum",
-    "hash_bucket",
     "hash_uniform",
     "instant_to_ntz",
     "ntz_to_instant",

@@ -24,11 +24,6 @@ def hash_uniform(*cols: str | Column, seed: int = 42) -> Column:
     return bits.cast("double") / F.lit(float(1 << _MAX_HASH_BITS))
 
 
-def hash_bucket(n: int, *cols: str | Column, seed: int = 42) -> Column:
-    """A bucket in [0, n) from a hash of the given columns (deterministic salt)."""
-    return F.pmod(F.xxhash64(*[col_of(c) for c in cols], F.lit(seed)), F.lit(n)).cast("int")
-
-
 def exact_sum(c: str | Column, scale: int = 2) -> Column:
     """Order-independent sum of a double column at a fixed decimal ``scale``.
 

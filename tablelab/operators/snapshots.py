@@ -6,13 +6,16 @@ committed_at.  Data folders are never rewritten or deleted:
 
 * ``commit(mode="overwrite")`` adds a version whose only folder is the new one;
   version numbers keep counting (an overwrite is not a reset).
-* ``commit(mode="append")`` adds the new folder to the previous version's list.
-  A column the table does not have is an error unless ``merge_schema``; then the
-  schema grows and older rows read it as null.
+* ``commit(mode="append")`` adds the new folder; a log entry holds its own folder only,
+  and a version's folders are those since the last overwrite.  Columns are matched by the
+  session's case rule and written under the table's names.  A column or nested field the
+  table does not have, or a wider number type, is an error unless ``merge_schema``; then
+  the schema grows and older rows read it as null, or widened.
 * ``read(version)`` reads the folders of that version with the schema stored for
   it, so columns added later do not appear in older versions.
 * ``reset()`` starts a new generation (history restarts at version 0); re-running
-  a seeding script therefore always ends with the same history.
+  a seeding script therefore always ends with the same history.  Nothing is deleted;
+  ``unreferenced()`` lists the folders that no version of the history needs.
 
 A single writer per table is assumed: there is no concurrent-commit protocol.
 """
@@ -23,7 +26,7 @@ import datetime as _dt
 import json
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,16 +62,10 @@ class Snapshots:
 
     def log(self) -> DataFrame:
         """The whole commit log (all generations), as a DataFrame."""
-        try:
-            return (
-                self.spark.read.schema(LOG_SCHEMA)
-                .option("recursiveFileLookup", "true")
-                .parquet(self.log_path)
-            )
-        except Exception as e:  # no commit yet
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return self.spark.createDataFrame([], LOG_SCHEMA)
-            raise
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(self.log_path)
+        if not hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop):
+            return self.spark.createDataFrame([], LOG_SCHEMA)  # no commit yet
+        return self.spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true").parquet(self.log_path)
 
     def _entries(self) -> list[dict]:
         # The log grows with the number of commits, not with the data.  With a
@@ -106,17 +103,21 @@ class Snapshots:
             raise ValueError("mode must be append or overwrite")
         gen, last = self._state()
         version = 0 if last is None else last["version"] + 1
+        folded = self.spark.conf.get("spark.sql.caseSensitive") != "true"
+        if folded and len({c.lower() for c in df.columns}) < len(df.columns):
+            raise SchemaMismatch("two columns differ in case alone")
         if last is None or mode == "overwrite":
-            schema, dirs = df.schema, []
+            schema = df.schema
         else:
-            schema = _merge(T.StructType.fromJson(json.loads(last["schema_json"])), df.schema, merge_schema)
-            dirs = list(last["dirs"])
+            schema = _merge(T.StructType.fromJson(json.loads(last["schema_json"])), df.schema, merge_schema, folded)
+            named = {_key(f.name, folded): f.name for f in schema.fields}
+            df = df.toDF(*[named[_key(c, folded)] for c in df.columns])
         folder = f"{self.path}/data/g{gen:06d}-v{version:06d}-{uuid.uuid4().hex[:8]}"
         # The row count is observed while writing: no second pass over the data.
         seen = Observation(f"commit-{uuid.uuid4().hex[:8]}")
         df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(folder)
         n = int(seen.get["rows"])
-        self._append_log(gen, version, mode, dirs + [folder], schema, n)
+        self._append_log(gen, version, mode, [folder], schema, n)
         return version
 
     def reset(self) -> int:
@@ -145,7 +146,21 @@ class Snapshots:
         """The table as of ``version`` (latest when None), with that version's schema."""
         e = self._version(version)
         schema = T.StructType.fromJson(json.loads(e["schema_json"]))
-        return self.spark.read.schema(schema).parquet(*e["dirs"])
+        return self.spark.read.schema(schema).parquet(*self._dirs(e))
+
+    def _dirs(self, entry: dict) -> list[str]:
+        """The folders of a version: its own and those before it, back to the last overwrite."""
+        out: list[str] = []
+        for e in self._entries():
+            if e["generation"] == entry["generation"] and e["operation"] != _RESET and e["version"] <= entry["version"]:
+                out = (out if e["operation"] == "append" else []) + list(e["dirs"])
+        return out
+
+    def unreferenced(self) -> DataFrame:
+        """Folders of earlier generations, which no version of the present history needs."""
+        gen, _ = self._state()
+        old = self.log().where((F.col("generation") < gen) & (F.col("operation") != _RESET))
+        return old.select("generation", "version", F.explode("dirs").alias("folder"), "num_rows")
 
     def history(self) -> DataFrame:
         """One row per commit of the current generation: version, operation,
@@ -175,41 +190,78 @@ class Snapshots:
         both schemas (by name; absent ones null).  Duplicates are counted (multiset).
 
         When b only appended to a, the added rows are the new folders and nothing is
-        compared; otherwise both versions are compared with ``exceptAll`` (a shuffle
-        on all columns).  Map columns are compared through their JSON text.
+        compared; otherwise rows of b count 1 and rows of a -1, and one aggregate over all
+        columns gives the difference.  Maps, at any depth, are compared by their entries and
+        returned as they are.  A column whose types differ is returned as text.
         """
         ea, eb = self._version(a), self._version(b)
         sa, sb = self.schema(a), self.schema(b)
         cols = _union_columns(sa, sb)
-        types = {f.name: f.dataType for f in list(sa.fields) + list(sb.fields)}
-        va = _align(self.read(a), cols, types)
-        vb = _align(self.read(b), cols, types)
-        if set(ea["dirs"]) <= set(eb["dirs"]):
-            new = [d for d in eb["dirs"] if d not in set(ea["dirs"])]
-            added = _align(self.spark.read.schema(sb).parquet(*new), cols, types) if new else vb.limit(0)
-            return added.select(F.lit("added").alias("change"), *cols)
-        added = _exact_except(vb, va)
-        removed = _exact_except(va, vb)
-        return added.select(F.lit("added").alias("change"), *cols).unionByName(
-            removed.select(F.lit("removed").alias("change"), *cols)
+        target = {c: _common_type(sa, sb, c) for c in cols}
+        da, db = self._dirs(ea), self._dirs(eb)
+        quoted = [F.col(f"`{c}`") for c in cols]
+        if set(da) <= set(db):
+            new = [d for d in db if d not in set(da)]
+            rows = self.spark.read.schema(sb).parquet(*new) if new else self.read(b).limit(0)
+            return _align(rows, cols, target).select(F.lit("added").alias("change"), *quoted)
+        both = _align(self.read(b), cols, target).withColumn("__n", F.lit(1)).unionByName(
+            _align(self.read(a), cols, target).withColumn("__n", F.lit(-1))
         )
-
-
-def _merge(current: T.StructType, incoming: T.StructType, merge_schema: bool) -> T.StructType:
-    by_name = {f.name: f for f in current.fields}
-    new_fields = []
-    for f in incoming.fields:
-        if f.name in by_name:
-            if by_name[f.name].dataType != f.dataType:
-                raise SchemaMismatch(
-                    f"column {f.name}: table has {by_name[f.name].dataType.simpleString()}, "
-                    f"data has {f.dataType.simpleString()}"
-                )
-        else:
-            new_fields.append(T.StructField(f.name, f.dataType, True))
-    if new_fields and not merge_schema:
-        raise SchemaMismatch("new columns " + ", ".join(f.name for f in new_fields) + "; pass merge_schema=True")
-    return T.StructType(current.fields + new_fields)
+        keys = [_orderable_form(F.col(f"`{c}`"), target[c]).alias(f"__k{i}") for i, c in enumerate(cols)]
+        values = [F.first(F.col(f"`{c}`")).alias(c) for c in cols]
+        net = both.groupBy(*keys).agg(F.sum("__n").alias("__n"), *values).where("__n <> 0")
+        change = F.when(F.col("__n") > 0, F.lit("added")).otherwise(F.lit("removed"))
+        times = F.explode(F.sequence(F.lit(1), F.abs("__n").cast("int")))
+        return net.select(change.alias("change"), *quoted, times.alias("__t")).drop("__t")
+
+
+#: Number types that hold every value of a narrower one, narrowest first.
+_WIDER = [
+    [T.ByteType, T.ShortType, T.IntegerType, T.LongType],
+    [T.ByteType, T.ShortType, T.IntegerType, T.DoubleType],
+    [T.FloatType, T.DoubleType],
+]
+
+
+def _key(name: str, folded: bool) -> str:
+    return name.lower() if folded else name
+
+
+def _wider(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """The wider of two number types, if one holds all values of the other."""
+    for chain in _WIDER:
+        if type(a) in chain and type(b) in chain:
+            return a if chain.index(type(a)) >= chain.index(type(b)) else b
+    return None
+
+
+def _merge_type(name: str, old: T.DataType, new: T.DataType, merge: bool, folded: bool) -> T.DataType:
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        return _merge(old, new, merge, folded, f"{name}.")
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return T.ArrayType(_merge_type(f"{name}[]", old.elementType, new.elementType, merge, folded), True)
+    if isinstance(old, T.MapType) and isinstance(new, T.MapType) and old.keyType == new.keyType:
+        return T.MapType(old.keyType, _merge_type(f"{name}[]", old.valueType, new.valueType, merge, folded), True)
+    if old == new:
+        return old
+    wide = _wider(old, new)
+    # A narrower value fits a wider column as it is.
+    if wide is not None and (merge or wide == old):
+        return wide
+    raise SchemaMismatch(f"column {name}: table has {old.simpleString()}, data has {new.simpleString()}")
+
+
+def _merge(current: T.StructType, incoming: T.StructType, merge: bool, folded: bool, at: str = "") -> T.StructType:
+    """The table's schema after an append: its own names and order, then what is new."""
+    new = {_key(f.name, folded): f for f in incoming.fields}
+    fields = []
+    for f in current.fields:
+        other = new.pop(_key(f.name, folded), None)
+        kind = f.dataType if other is None else _merge_type(at + f.name, f.dataType, other.dataType, merge, folded)
+        fields.append(T.StructField(f.name, kind, True))
+    if new and not merge:
+        raise SchemaMismatch("new columns " + ", ".join(at + f.name for f in new.values()) + "; pass merge_schema=True")
+    return T.StructType(fields + [T.StructField(f.name, f.dataType, True) for f in new.values()])
 
 
 def _union_columns(a: T.StructType, b: T.StructType) -> list[str]:
@@ -217,16 +269,44 @@ def _union_columns(a: T.StructType, b: T.StructType) -> list[str]:
     return names + [f.name for f in b.fields if f.name not in set(names)]
 
 
-def _align(df: DataFrame, cols: list[str], types: dict) -> DataFrame:
-    """Columns ``cols`` in order; a column the version lacks is a typed null."""
-    have = set(df.columns)
-    return df.select(*[F.col(c) if c in have else F.lit(None).cast(types[c]).alias(c) for c in cols])
-
-
-def _exact_except(left: DataFrame, right: DataFrame) -> DataFrame:
-    """``left EXCEPT ALL right``; map columns compared as JSON text (EXCEPT rejects maps)."""
-    maps = [f.name for f in left.schema.fields if isinstance(f.dataType, T.MapType)]
-    if not maps:
-        return left.exceptAll(right.select(*left.columns))
-    conv = [F.to_json(c).alias(c) if c in maps else F.col(c) for c in left.columns]
-    return left.select(*conv).exceptAll(right.select(*conv))
+def _common_type(a: T.StructType, b: T.StructType, name: str) -> T.DataType:
+    """The type both versions have, the wider of two numbers, or text."""
+    types = [s[name].dataType for s in (a, b) if name in s.fieldNames()]
+    if len(types) == 1 or types[0] == types[1]:
+        return types[0]
+    return _wider(*types) or T.StringType()
+
+
+def _align(df: DataFrame, cols: list[str], target: dict[str, T.DataType]) -> DataFrame:
+    """Columns ``cols`` in order and of the ``target`` types; a column the version lacks is a typed null."""
+    out = []
+    for c in cols:
+        if c not in df.columns:
+            out.append(F.lit(None).cast(target[c]).alias(c))
+            continue
+        have, value = df.schema[c].dataType, F.col(f"`{c}`")
+        if have != target[c]:
+            plain = isinstance(have, T.AtomicType)
+            value = value.cast(target[c]) if plain else F.to_json(value)
+        out.append(value.alias(c))
+    return df.select(*out)
+
+
+def _has_map(t: T.DataType) -> bool:
+    if isinstance(t, T.StructType):
+        return any(_has_map(f.dataType) for f in t.fields)
+    return isinstance(t, T.MapType) or isinstance(t, T.ArrayType) and _has_map(t.elementType)
+
+
+def _orderable_form(value: Column, t: T.DataType) -> Column:
+    """A value that can be grouped by: maps become their entries, sorted by key."""
+    if not _has_map(t):
+        return value
+    if isinstance(t, T.MapType):
+        pairs = F.array_sort(F.map_keys(value))
+        made = F.transform(pairs, lambda k: F.struct(k.alias("key"), _orderable_form(F.element_at(value, k), t.valueType).alias("value")))
+        return F.when(value.isNotNull(), made)
+    if isinstance(t, T.ArrayType):
+        return F.transform(value, lambda x: _orderable_form(x, t.elementType))
+    parts = [_orderable_form(value.getField(f.name), f.dataType).alias(f.name) for f in t.fields]
+    return F.when(value.isNotNull(), F.struct(*parts))

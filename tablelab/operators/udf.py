@@ -91,6 +91,10 @@ def map_catching(
         row_json = "_" + row_json
     as_json = df.withColumn(row_json, F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), options))
 
+    # Python sees plain names for columns: some of Spark's calls read a dot as a path.
+    given = df.columns
+    as_json = as_json.toDF(*[f"c{i}" for i in range(len(given))], "json")
+
     def finished(columns: list, n: int, ok: bool, inputs: list, kinds: list, messages: list) -> pa.RecordBatch:
         strings = [pa.array(x, pa.string()) for x in (inputs, kinds, messages)]
         return pa.RecordBatch.from_arrays(
@@ -139,8 +143,8 @@ def map_catching(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         resource = setup() if setup is not None else None
         for whole in batches:
-            at = whole.schema.get_field_index(row_json)
-            batch, inputs = whole.drop_columns([row_json]), whole.column(at)
+            inputs = whole.column(len(given))
+            batch = pa.RecordBatch.from_arrays(whole.columns[:-1], given)
             if batch_fn is not None:
                 try:
                     made = batch_fn(batch, resource)

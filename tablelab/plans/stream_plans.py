@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tablelab.functions import exact_sum
 from tablelab.plans.registry import register
-from tablelab.session import scratch_dir, table
+from tablelab.session import scratch_dir, session_fixture, table
 from tablelab.sources import derived as D
 from tablelab.streaming import runner as R
 from tablelab.streaming import windows as W
@@ -92,16 +92,13 @@ def stream_session(spark, sf_dir):
 _EVENT_COLS = "event_id, ts, user_id, event_type, value, props"
 
 
-@register(
-    "stream_dedup",
-    f"select {_EVENT_COLS} from events where event_id % 2 = 0 or event_id % 3 = 0",
-)
+@register("stream_dedup", f"select {_EVENT_COLS} from events")
 def stream_dedup(spark, sf_dir):
-    # Two files with overlapping rows (ids divisible by 2, and by 3); a second run
-    # after a restart with no new input must emit nothing more.
+    # One folder holds all rows, another repeats every third; a second run after a
+    # restart with no new input must emit nothing more.
     root = scratch_dir(spark, "dedup")
     events = table(spark, sf_dir, "events")
-    events.where(F.pmod("event_id", F.lit(2)) == 0).write.parquet(f"{root}/input/a")
+    events.write.parquet(f"{root}/input/a")
     events.where(F.pmod("event_id", F.lit(3)) == 0).write.parquet(f"{root}/input/b")
     src = R.file_stream(spark, f"{root}/input/*", events.schema)
     out = W.dedup(src, "event_id", "ts", delay="1 day")
@@ -126,18 +123,22 @@ def stream_resume(spark, sf_dir):
     return R.read_sink(spark, f"{root}/sink", events.schema)
 
 
+BATCHES = 10
+
 _LATE_SQL = """
 with e as (
   select event_id * 10 // (select count(*) from events) as batch,
          case when event_id % 20 = 0 then ts - interval '10 days' else ts end as ts
   from events),
 b as (select batch, max(ts) as mx from e group by batch),
-w as (select batch, max(mx) over (order by batch rows between unbounded preceding and 2 preceding)
-                    - interval '1 hour' as watermark from b)
+w as (select batch,
+             max(mx) over (order by batch rows between unbounded preceding and 1 preceding) - interval '1 hour' as watermark,
+             max(mx) over (order by batch rows between unbounded preceding and 2 preceding) - interval '1 hour' as late_before
+      from b)
 select e.batch, count(*) as rows,
-       cast(count_if(coalesce(time_bucket(interval '1 hour', e.ts) + interval '1 hour' <= w.watermark, false)) as bigint)
-         as late_rows, w.watermark
-from e join w on e.batch = w.batch group by e.batch, w.watermark
+       cast(count_if(coalesce(e.ts <= w.late_before, false)) as bigint) as late_rows,
+       coalesce(date_trunc('millisecond', max(w.watermark)), timestamp '1970-01-01') as watermark
+from e join w on e.batch = w.batch group by e.batch
 """
 
 
@@ -146,15 +147,40 @@ def late_arrivals(events):
     n = events.agg(F.count(F.lit(1))).scalar()
     shifted = F.when(F.pmod("event_id", F.lit(20)) == 0, F.col("ts") - F.expr("INTERVAL 10 DAYS")).otherwise(F.col("ts"))
     return events.select(
-        "event_id", F.floor(F.col("event_id") * 10 / F.lit(n)).cast("long").alias("batch"),
+        "event_id", F.floor(F.col("event_id") * BATCHES / n).cast("long").alias("batch"),
         shifted.alias("ts"), "value",
     )
 
 
+def _arrive(spark, sf_dir):
+    """A stream of the arrivals, one micro-batch per arrival batch (the input is written
+    once per application).
+
+    One pass splits them into a folder per batch.  The stream takes files in the order of
+    their times, so batches are then moved in one after another, each read once and
+    written as the same number of files, which a trigger takes together."""
+    arrivals = late_arrivals(table(spark, sf_dir, "events"))
+    schema, files = arrivals.drop("batch").schema, 2
+
+    def write():
+        root = scratch_dir(spark, "arrivals")
+        arrivals.write.partitionBy("batch").parquet(f"{root}/staged")
+        for b in range(BATCHES):
+            one = spark.read.schema(schema).parquet(f"{root}/staged/batch={b}")
+            one.repartition(files).write.parquet(f"{root}/input/b{b:02d}")
+        return root
+
+    root = session_fixture(spark, f"arrivals:{sf_dir}", write)
+    return R.file_stream(spark, f"{root}/input/*", schema, max_files_per_trigger=files)
+
+
 @register("late_report", _LATE_SQL)
 def late_report(spark, sf_dir):
-    arrivals = late_arrivals(table(spark, sf_dir, "events"))
-    return W.late_report(arrivals, "batch", "ts", "1 hour", "1 hour")
+    # The engine's own count of late rows, from the progress of a real stream.
+    root = scratch_dir(spark, "late-report")
+    out = W.dedup(_arrive(spark, sf_dir), "event_id", "ts", delay="1 hour")
+    progress = R.run_available(out, f"{root}/sink", f"{root}/checkpoint", state_partitions=_state_partitions(spark))
+    return W.late_report(spark, progress)
 
 
 _LATE_WINDOWS_SQL = """
@@ -177,14 +203,8 @@ having window_start + interval '1 hour' <= (select max(ts) from e) - interval '1
 
 @register("stream_late_windows", _LATE_WINDOWS_SQL)
 def stream_late_windows(spark, sf_dir):
-    # The real stream over the ten arrival batches.  The oracle applies the
-    # late_report rule in SQL: non-late rows, windows closed by the final watermark.
-    root = scratch_dir(spark, "late")
-    arrivals = late_arrivals(table(spark, sf_dir, "events"))
-    for b in range(10):
-        arrivals.where(F.col("batch") == b).drop("batch").coalesce(1).write.parquet(f"{root}/input/b{b:02d}")
-    src = R.file_stream(spark, f"{root}/input/*", arrivals.drop("batch").schema, max_files_per_trigger=1)
-    out = W.windowed(src, "ts", "1 hour", _aggs(), delay="1 hour")
+    # The oracle: rows whose window was open when they arrived, in windows that closed.
+    out = W.windowed(_arrive(spark, sf_dir), "ts", "1 hour", _aggs(), delay="1 hour")
     return _run(spark, out, "late-windows")
 
 

@@ -38,13 +38,16 @@ def local_session(cores: int | str = "*", app: str = "tablelab", **conf: str) ->
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a local one only if none is set."""
+    """Return the session's checkpoint folder; a local master may do without one and gets
+    a temporary folder, on any other the setting must name a folder that all share."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tablelab-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
@@ -60,12 +63,6 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/tablelab-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint (never a local one): survives executor loss."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one of the driver's parquet tables."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

@@ -1,13 +1,15 @@
 """Running streams to completion and resuming them.
 
 ``run_available`` processes everything available (trigger ``availableNow``) and
-writes each micro-batch to ``<sink>/batch=<id>`` with overwrite.  A micro-batch
+writes each micro-batch to ``<sink>/tablelab_batch=<id>`` with overwrite.  A micro-batch
 replayed after a failure rewrites its own folder, so the sink never holds a batch
 twice; the checkpoint makes a second run continue where the first stopped.
 """
 
 from __future__ import annotations
 
+import json
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +20,12 @@ from tablelab.operators.quality import split as split_tagged
 from tablelab.operators.quality import tag_json
 
 
+#: The folder level of a sink; no column of the stream may have this name.
+BATCH = "tablelab_batch"
+#: The state's size is read from the session when a query starts; starts take turns.
+_STARTING = threading.Lock()
+
+
 def file_stream(
     spark: SparkSession,
     path: str,
@@ -37,7 +45,7 @@ def file_stream(
 
 def _batch_writer(sink: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{sink}/{BATCH}={batch_id}")
 
     return write
 
@@ -49,39 +57,44 @@ def run_available(
     output_mode: str = "append",
     on_batch: Callable[[DataFrame, int], None] | None = None,
     state_partitions: int | None = None,
-) -> None:
-    """Run ``df`` over all available input, then stop (``availableNow``).
+) -> list[dict]:
+    """Run ``df`` over all available input, then stop (``availableNow``).  Returns the
+    progress of each micro-batch that had input, as the engine reports it.
 
     ``state_partitions`` sizes the state of stateful operators (it is fixed in the
     checkpoint at the first run; later runs keep it).  Size it to the state, not to
     the batch: every micro-batch visits every state partition.
     """
+    if BATCH in df.columns:
+        raise ValueError(f"the sink's folders are named after {BATCH}; rename that column")
     spark = df.sparkSession
     key = "spark.sql.shuffle.partitions"
-    previous = spark.conf.get(key)
-    if state_partitions:
-        spark.conf.set(key, str(state_partitions))
-    try:
-        q = (
-            df.writeStream.outputMode(output_mode)
-            .foreachBatch(on_batch or _batch_writer(sink))
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
-    finally:
-        spark.conf.set(key, previous)
+    with _STARTING:
+        previous = spark.conf.get(key)
+        if state_partitions:
+            spark.conf.set(key, str(state_partitions))
+        try:
+            q = (
+                df.writeStream.outputMode(output_mode)
+                .foreachBatch(on_batch or _batch_writer(sink))
+                .option("checkpointLocation", checkpoint)
+                .trigger(availableNow=True)
+                .start()
+            )
+        finally:
+            spark.conf.set(key, previous)
     q.awaitTermination()
     if q.exception() is not None:  # pragma: no cover - surfaced by awaitTermination already
         raise RuntimeError(str(q.exception()))
+    return [json.loads(p.json) for p in q.recentProgress if p.numInputRows > 0]
 
 
 def read_sink(spark: SparkSession, sink: str, schema: T.StructType | None = None) -> DataFrame:
-    """All batches written by :func:`run_available` (without the ``batch`` column)."""
+    """All batches written by :func:`run_available` (without the folder level)."""
     r = spark.read
     if schema is not None:
-        r = r.schema(T.StructType(schema.fields + [T.StructField("batch", T.LongType())]))
-    return r.parquet(sink).drop("batch")
+        r = r.schema(T.StructType(schema.fields + [T.StructField(BATCH, T.LongType())]))
+    return r.parquet(sink).drop(BATCH)
 
 
 def bus_shape(lines: DataFrame, topic: str = "events") -> DataFrame:
@@ -111,8 +124,8 @@ def quarantine_stream(
         tagged = tag_json(batch, schema).persist()
         try:
             good, bad = split_tagged(tagged, schema, extra=True)
-            good.write.mode("overwrite").parquet(f"{good_sink}/batch={batch_id}")
-            bad.write.mode("overwrite").parquet(f"{bad_sink}/batch={batch_id}")
+            good.write.mode("overwrite").parquet(f"{good_sink}/{BATCH}={batch_id}")
+            bad.write.mode("overwrite").parquet(f"{bad_sink}/{BATCH}={batch_id}")
         finally:
             tagged.unpersist()
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablelab.functions import instant_to_ntz, ntz_to_instant
@@ -66,10 +66,13 @@ def sessions(
     event exactly ``gap`` after the previous one still joins it).
     Returns keys, session_start, session_end (last event + gap), aggregates.
 
-    Sessions of one key are merged in one task.  For a stream with a hot key, set
-    ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition=true`` so
-    each task merges its own rows into sessions before the shuffle."""
+    A batch merges a task's rows into sessions before the shuffle, so a hot key sends a
+    row per session and task.  A stream does so where
+    ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition`` is true, which
+    this function sets for the session of ``df``."""
     keys = _names(keys)
+    if df.isStreaming:
+        df.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     ev = with_event_time(df, ts, delay)
     out = ev.groupBy(F.session_window(EVENT_TIME, gap).alias("s"), *keys).agg(*aggs)
     rest = [c for c in out.columns if c != "s"]
@@ -92,24 +95,18 @@ def dedup(df: DataFrame, keys: str | Sequence[str], ts: str, delay: str = "1 day
     return df.dropDuplicates(keys)
 
 
-def late_report(arrivals: DataFrame, batch: str, ts: str, size: str, delay: str) -> DataFrame:
-    """How a stream would treat late rows, computed as a batch job from a table in
-    arrival order (column ``batch``): batch, rows, late_rows, watermark.
-
-    A row of micro-batch *b* is dropped when its tumbling window ends at or before
-    the late-event watermark of *b*: the watermark of batch *b-1*, which is the
-    largest event time of batches up to *b-2*, minus ``delay``.  The per-batch
-    table has one row per micro-batch, so the running max is over a small set.
-    """
-    ev = arrivals.select(F.col(batch).alias("batch"), F.col(ts).cast("timestamp_ntz").alias("ts"))
-    per = ev.groupBy("batch").agg(F.max("ts").alias("mx"))
-    upto = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, -2)
-    marks = per.select("batch", (F.max("mx").over(upto) - F.expr(f"INTERVAL {delay}")).alias("watermark"))
-    window_end = F.window(ntz_to_instant("ts"), size).getField("end")
-    late = F.coalesce(instant_to_ntz(window_end) <= F.col("watermark"), F.lit(False))
-    return (
-        ev.join(marks, "batch")
-        .groupBy("batch", "watermark")
-        .agg(F.count(F.lit(1)).alias("rows"), F.count_if(late).alias("late_rows"))
-        .select("batch", "rows", "late_rows", "watermark")
-    )
+def late_report(spark, progress: Sequence[dict]) -> DataFrame:
+    """What a finished stream did with late rows, from its own progress: batch, rows,
+    late_rows, watermark (event time, UTC) of each micro-batch that had input.
+
+    ``late_rows`` is what the engine dropped for being older than the watermark.  It counts
+    rows for operators that see rows (``dedup``, joins), groups for aggregates."""
+    rows = [
+        (
+            int(p["batchId"]), int(p["numInputRows"]), sum(int(s.get("numRowsDroppedByWatermark", 0)) for s in p["stateOperators"]),
+            p.get("eventTime", {}).get("watermark"),
+        )
+        for p in progress
+    ]
+    made = spark.createDataFrame(rows, "batch long, rows long, late_rows long, watermark string")
+    return made.withColumn("watermark", instant_to_ntz(F.to_timestamp("watermark")))

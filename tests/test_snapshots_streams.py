@@ -1,10 +1,13 @@
-"""Snapshots (FIXTURES A3), streams against their batch form, event logs, Python batches."""
+"""Snapshots, streams against their batch form, event logs, Python batches."""
 
+import datetime
 import json
 import os
 import tempfile
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,80 +19,113 @@ from tablelab.plans import stream_plans
 from tablelab.session import scratch_dir
 from tablelab.sources import derived as D
 from tablelab.sources import eventlog as ES
+from tablelab.streaming import runner
 from tablelab.streaming import windows as W
-from tests.conftest import SF_ORACLE, SF_SMALL
+from tests.conftest import SF_SMALL
 
-V0 = [(1, 501, 12.5), (2, 502, 30.0), (3, 503, 7.75)]
-V1 = [(4, 504, 99.0, "NORTH"), (5, 505, 15.25, "SOUTH")]
+# Shelves of a store: what is on them, later also since when.
+SHELF = "shelf string, slot int, item string, weight float"
+FIRST = [(f"a{k % 3}", k, f"thing{k * k}", k / 4) for k in range(12)]
+LATER = [(f"b{k}", k, None, None, f"2024-0{k + 1}-01") for k in range(4)]
+
+
+def fresh_table(spark, name):
+    return Snapshots(spark, scratch_dir(spark, name))
 
 
 def seed(spark, snaps):
-    snaps.commit(spark.createDataFrame(V0, "order_id long, customer_id long, amount double"), mode="overwrite")
-    snaps.commit(
-        spark.createDataFrame(V1, "order_id long, customer_id long, amount double, region string"),
-        mode="append",
-        merge_schema=True,
-    )
+    snaps.commit(spark.createDataFrame(FIRST, SHELF), mode="overwrite")
+    snaps.commit(spark.createDataFrame(LATER, SHELF + ", since string"), mode="append", merge_schema=True)
 
 
-def test_two_versions_with_schema_history(spark):
-    snaps = Snapshots(spark, scratch_dir(spark, "snap-test"))
+def test_versions_keep_their_own_schema(spark):
+    snaps = fresh_table(spark, "snap-test")
     seed(spark, snaps)
-    assert snaps.history().count() == 2
-    latest = snaps.read()
-    assert "region" in latest.columns and latest.count() == 5
-    assert latest.where("order_id <= 3 and region is null").count() == 3
-    v0 = snaps.read(version=0)
-    assert "region" not in v0.columns and v0.count() == 3
-    diff = snaps.schema_diff(0, 1).collect()
-    assert [(r["column_name"], r["change"]) for r in diff] == [("region", "added")]
-    added = snaps.changes(0, 1)
-    assert sorted(r["order_id"] for r in added.collect()) == [4, 5]
-
-
-def test_reseeding_after_reset_gives_two_versions(spark):
-    snaps = Snapshots(spark, scratch_dir(spark, "snap-reset"))
+    assert [r["num_rows"] for r in snaps.history().orderBy("version").collect()] == [12, 4]
+    assert snaps.read().columns == ["shelf", "slot", "item", "weight", "since"]
+    assert snaps.read().where("since is null").count() == 12
+    assert snaps.read(version=0).columns == ["shelf", "slot", "item", "weight"] and snaps.read(version=0).count() == 12
+    assert [(r["column_name"], r["change"]) for r in snaps.schema_diff(0, 1).collect()] == [("since", "added")]
+    assert sorted(r["shelf"] for r in snaps.changes(0, 1).collect()) == ["b0", "b1", "b2", "b3"]
+
+
+def test_reset_starts_a_new_history_and_tells_what_is_left_over(spark):
+    snaps = fresh_table(spark, "snap-reset")
     seed(spark, snaps)
+    assert snaps.unreferenced().count() == 0
     snaps.reset()
     seed(spark, snaps)
     h = snaps.history().orderBy("version").collect()
     assert [(r["version"], r["operation"]) for r in h] == [(0, "overwrite"), (1, "append")]
-    assert snaps.read().count() == 5  # the first seeding's rows are not in the new generation
+    assert snaps.read().count() == 16  # nothing of the first seeding
+    left = snaps.unreferenced().collect()
+    assert sorted(r["num_rows"] for r in left) == [4, 12] and len({r["folder"] for r in left}) == 2
 
 
 def test_overwrite_adds_a_version(spark):
-    snaps = Snapshots(spark, scratch_dir(spark, "snap-ow"))
+    snaps = fresh_table(spark, "snap-ow")
     seed(spark, snaps)
-    v = snaps.commit(spark.createDataFrame([(9, 509, 1.0)], "order_id long, customer_id long, amount double"), "overwrite")
-    assert v == 2 and snaps.read().count() == 1 and snaps.read(1).count() == 5
-    ch = {(r["change"], r["order_id"]) for r in snaps.changes(1, 2).collect()}
-    assert ch == {("added", 9)} | {("removed", i) for i in range(1, 6)}
+    one = spark.createDataFrame([("a0", 0, "thing0", 0.0)], SHELF)
+    assert snaps.commit(one.union(one), "overwrite") == 2
+    assert snaps.read().count() == 2 and snaps.read(1).count() == 16
+    ch = [(r["change"], r["shelf"], r["slot"]) for r in snaps.changes(1, 2).collect()]
+    # The kept row counts once; its copy is new.
+    assert sorted(ch) == sorted([("added", "a0", 0)] + [("removed", r[0], r[1]) for r in FIRST[1:] + LATER])
+    snaps.changes(1, 2).write.parquet(scratch_dir(spark, "changes-out"))  # no void columns
+    plan = snaps.changes(1, 2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
+
+
+def test_log_entries_hold_their_own_folder_only(spark):
+    snaps = fresh_table(spark, "snap-log")
+    for k in range(4):
+        snaps.commit(spark.createDataFrame([("a", k, "x", 1.0)], SHELF))
+    assert all(len(r["dirs"]) == 1 for r in snaps.log().collect())
+    assert [snaps.read(k).count() for k in range(4)] == [1, 2, 3, 4]
+
+
+def test_append_that_does_not_fit_is_refused(spark):
+    snaps = fresh_table(spark, "snap-merge")
+    snaps.commit(spark.createDataFrame(FIRST, SHELF), "overwrite")
+    for rows, schema in ((LATER, SHELF + ", since string"), ([("a", "one")], "shelf string, slot string"), ([(1 << 40,)], "slot long")):
+        with pytest.raises(SchemaMismatch):
+            snaps.commit(spark.createDataFrame(rows, schema))
+    with pytest.raises(SchemaMismatch):
+        snaps.commit(spark.createDataFrame([(1, 2)], "slot int, x int").toDF("slot", "SLOT"))
+    assert snaps.history().count() == 1
 
 
-def test_changes_across_schema_change_are_writable(spark):
-    snaps = Snapshots(spark, scratch_dir(spark, "snap-types"))
-    seed(spark, snaps)
-    snaps.commit(spark.createDataFrame([(9, 509, 1.0)], "order_id long, customer_id long, amount double"), "overwrite")
-    ch = snaps.changes(1, 2)
-    assert ch.schema["region"].dataType.simpleString() == "string"
-    ch.write.parquet(scratch_dir(spark, "changes-out"))  # no void columns
+def test_names_match_by_the_session_case_rule(spark):
+    snaps = fresh_table(spark, "snap-case")
+    snaps.commit(spark.createDataFrame([("a", 1)], "Shelf string, slot int"), "overwrite")
+    snaps.commit(spark.createDataFrame([(2, "b")], "SLOT int, sHELF string"), merge_schema=True)
+    assert snaps.read().columns == ["Shelf", "slot"] and sorted(map(tuple, snaps.read().collect())) == [("a", 1), ("b", 2)]
 
 
-def test_append_with_new_column_needs_merge(spark):
-    snaps = Snapshots(spark, scratch_dir(spark, "snap-merge"))
-    snaps.commit(spark.createDataFrame(V0, "order_id long, customer_id long, amount double"), "overwrite")
-    with pytest.raises(SchemaMismatch):
-        snaps.commit(spark.createDataFrame(V1, "order_id long, customer_id long, amount double, region string"))
-    with pytest.raises(SchemaMismatch):
-        snaps.commit(spark.createDataFrame([(1, 2, "x")], "order_id long, customer_id long, amount string"))
-    assert snaps.history().count() == 1
+def test_numbers_widen_and_nested_fields_are_added(spark):
+    snaps = fresh_table(spark, "snap-wide")
+    snaps.commit(spark.createDataFrame([(1, 0.5, (1, "x"))], "n int, w float, s struct<k: int, t: string>"), "overwrite")
+    snaps.commit(spark.createDataFrame([(1 << 40, 0.1, (2, "y", 3.0))], "n long, w double, s struct<k: int, t: string, v: double>"), merge_schema=True)
+    snaps.commit(spark.createDataFrame([(7,)], "n int"))  # narrower values fit
+    rows = {r["n"]: r for r in snaps.read().collect()}
+    assert set(rows) == {1, 1 << 40, 7} and rows[1]["w"] == 0.5 and rows[1]["s"]["v"] is None and rows[1 << 40]["s"]["v"] == 3.0
+    assert rows[7]["s"] is None
+    assert snaps.read(0).schema["n"].dataType.simpleString() == "int"
 
 
-def test_changes_with_map_column(spark):
-    snaps = Snapshots(spark, scratch_dir(spark, "snap-map"))
-    snaps.commit(spark.createDataFrame([(1, {"a": "1"})], "id long, m map<string,string>"), "overwrite")
-    snaps.commit(spark.createDataFrame([(2, {"b": "2"})], "id long, m map<string,string>"), "overwrite")
-    assert {(r["change"], r["id"]) for r in snaps.changes(0, 1).collect()} == {("added", 2), ("removed", 1)}
+def test_changes_of_type_and_maps_at_any_depth(spark):
+    snaps = fresh_table(spark, "snap-map")
+    schema = "id long, m map<string,int>, a array<map<string,int>>"
+    snaps.commit(spark.createDataFrame([(1, {"a": 1, "b": 2}, [{"x": 1}]), (2, None, None)], schema), "overwrite")
+    snaps.commit(spark.createDataFrame([(1, {"b": 2, "a": 1}, [{"x": 1}]), (2, {}, None)], schema), "overwrite")
+    got = [(r["change"], r["id"], r["m"]) for r in snaps.changes(0, 1).collect()]
+    assert sorted(got, key=str) == sorted([("added", 2, {}), ("removed", 2, None)], key=str)
+    snaps.commit(spark.createDataFrame([("1", "x")], "id string, m string"), "overwrite")
+    text = snaps.changes(1, 2)
+    assert dict(text.dtypes)["id"] == "string" and dict(text.dtypes)["a"] == "array<map<string,int>>"
+    got = {(r["change"], r["id"]): r["m"] for r in text.collect()}
+    assert json.loads(got.pop(("removed", "1"))) == {"a": 1, "b": 2}
+    assert got == {("added", "1"): "x", ("removed", "2"): "{}"}
 
 
 # --- streams -------------------------------------------------------------------------
@@ -124,27 +160,43 @@ def test_sessions_batch_and_gap_rule(spark):
     assert out == 2
 
 
-def test_late_report_matches_real_stream(spark):
-    # Rows the stream kept in closed windows = all rows - late rows (per late_report),
-    # restricted to windows the stream emitted.
-    report = stream_plans.late_report(spark, SF_ORACLE).agg(F.sum("rows"), F.sum("late_rows")).first()
-    kept = stream_plans.stream_late_windows(spark, SF_ORACLE)
-    arrivals = stream_plans.late_arrivals(spark.read.parquet(f"{SF_ORACLE}/events.parquet"))
-    wm_final = arrivals.agg(F.max("ts")).first()[0]
-    emitted_rows = kept.agg(F.sum("n")).first()[0]
-    open_rows = W.windowed(arrivals, "ts", "1 hour", [F.count(F.lit(1)).alias("n")]).where(
-        F.col("window_end") > F.lit(wm_final) - F.expr("INTERVAL 1 HOUR")
-    ).agg(F.sum("n")).first()[0] or 0
-    assert emitted_rows == report[0] - report[1] - open_rows
+def test_late_report_adds_up(spark):
+    # Every row either went through the stream or was counted as late.
+    root = scratch_dir(spark, "late-sum")
+    src = stream_plans._arrive(spark, SF_SMALL)
+    progress = runner.run_available(W.dedup(src, "event_id", "ts", "1 hour"), f"{root}/sink", f"{root}/ckpt")
+    report = W.late_report(spark, progress).orderBy("batch").collect()
+    kept = runner.read_sink(spark, f"{root}/sink").count()
+    assert [r["batch"] for r in report] == list(range(10))
+    assert sum(r["rows"] for r in report) == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+    assert kept == sum(r["rows"] - r["late_rows"] for r in report) and sum(r["late_rows"] for r in report) > 0
+    assert all(a["watermark"] <= b["watermark"] for a, b in zip(report, report[1:], strict=False))
+
+
+def test_sink_keeps_a_column_named_batch(spark):
+    root = scratch_dir(spark, "batch-column")
+    spark.range(5).select("id", (F.col("id") * 11).alias("batch")).write.parquet(f"{root}/in")
+    src = runner.file_stream(spark, f"{root}/in", "id long, batch long")
+    runner.run_available(src, f"{root}/sink", f"{root}/ckpt")
+    assert sorted(r["batch"] for r in runner.read_sink(spark, f"{root}/sink", src.schema).collect()) == [0, 11, 22, 33, 44]
+    with pytest.raises(ValueError):
+        runner.run_available(src.withColumn(runner.BATCH, F.lit(1)), f"{root}/s2", f"{root}/c2")
+
+
+def test_sessions_of_a_hot_key_merge_before_the_shuffle(spark):
+    src = stream_plans._events_stream(spark, SF_SMALL)
+    W.sessions(src, "user_id", "ts", "1 hour", [F.count(F.lit(1)).alias("n")])
+    assert spark.conf.get("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition") == "true"
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet").withColumn("user_id", F.lit(1))
+    out = W.sessions(events, "user_id", "ts", "10 minutes", [F.count(F.lit(1)).alias("n")])
+    assert out.agg(F.sum("n")).first()[0] == events.count()
 
 
 def test_dedup_batch_and_stream(spark):
     events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     doubled = events.unionByName(events)
     assert W.dedup(doubled, "event_id", "ts").count() == events.count()
-    assert stream_plans.stream_dedup(spark, SF_SMALL).count() == events.where(
-        "event_id % 2 = 0 or event_id % 3 = 0"
-    ).count()
+    assert stream_plans.stream_dedup(spark, SF_SMALL).count() == events.count()
 
 
 def test_resume_equals_one_run(spark):
@@ -237,59 +289,85 @@ def test_setup_builds_resource_inside_task(spark):
 def test_map_catching_isolates_bad_rows(spark):
     df = spark.range(1000).withColumnRenamed("id", "x")
 
-    def fn(pdf, _res):
-        if (pdf["x"] % 97 == 5).any():
-            raise ZeroDivisionError("bad row")
-        return pd.DataFrame({"x": pdf["x"], "y": pdf["x"] + 1})
-
-    ok, errors = U.split_errors(U.map_catching(df, fn, "x long, y long"))
-    bad_ids = sorted(json.loads(r["input"])["x"] for r in errors.collect())
-    assert bad_ids == [i for i in range(1000) if i % 97 == 5]
-    assert ok.count() + errors.count() == 1000
-    assert {r["error_class"] for r in errors.collect()} == {"ZeroDivisionError"}
-
-
-@pytest.mark.parametrize("size,delay,batches", [("30 minutes", "2 hours", 5), ("2 hours", "30 minutes", 7)])
-def test_late_rule_holds_for_other_settings(spark, size, delay, batches):
-    events = spark.read.parquet(f"{SF_ORACLE}/events.parquet")
-    n = events.count()
-    shifted = F.when(F.pmod("event_id", F.lit(20)) == 0, F.col("ts") - F.expr("INTERVAL 10 DAYS")).otherwise(F.col("ts"))
-    arrivals = events.select(F.floor(F.col("event_id") * batches / F.lit(n)).cast("long").alias("batch"),
-                             shifted.alias("ts"), "value")
-    root = scratch_dir(spark, "late-rule")
-    for b in range(batches):
-        arrivals.where(F.col("batch") == b).drop("batch").coalesce(1).write.parquet(f"{root}/input/b{b:02d}")
-    from tablelab.streaming import runner
-
-    src = runner.file_stream(spark, f"{root}/input/*", arrivals.drop("batch").schema, max_files_per_trigger=1)
-    out = W.windowed(src, "ts", size, [F.count(F.lit(1)).alias("n")], delay=delay)
-    runner.run_available(out, f"{root}/sink", f"{root}/ckpt")
-    emitted = runner.read_sink(spark, f"{root}/sink").agg(F.sum("n")).first()[0]
-
-    report = W.late_report(arrivals, "batch", "ts", size, delay).agg(F.sum("rows"), F.sum("late_rows")).first()
-    final_wm = arrivals.agg(F.max("ts")).first()[0]
-    # Rows that were not late but sit in windows still open at the end are not emitted.
-    open_rows = (
-        arrivals.withColumn("we", F.window(F.col("ts").cast("timestamp"), size).getField("end").cast("timestamp_ntz"))
-        .join(W.late_report(arrivals, "batch", "ts", size, delay).select("batch", "watermark"), "batch")
-        .where(~F.coalesce(F.col("we") <= F.col("watermark"), F.lit(False)))
-        .where(F.col("we") > F.lit(final_wm) - F.expr(f"INTERVAL {delay}"))
-        .count()
-    )
-    assert emitted == report[0] - report[1] - open_rows
+    def fn(row, _res):
+        if row["x"] % 97 == 5:
+            raise ZeroDivisionError("bad row " + "x" * 2000)
+        return {"x": row["x"], "y": row["x"] + 1}
 
+    def whole(batch, _res):
+        if any(x % 97 == 5 for x in batch.column("x").to_pylist()):
+            raise ZeroDivisionError
+        return pa.RecordBatch.from_arrays([batch.column("x"), pc.add(batch.column("x"), 1)], ["x", "y"])
 
-def test_map_catching_on_a_stream(spark):
-    from tablelab.streaming import runner
+    for batch_fn in (None, whole):
+        ok, errors = U.split_errors(U.map_catching(df, fn, "x long, y long", batch_fn=batch_fn))
+        bad_ids = sorted(json.loads(r["input"])["x"] for r in errors.collect())
+        assert bad_ids == [i for i in range(1000) if i % 97 == 5]
+        assert ok.count() + errors.count() == 1000 and ok.where("y <> x + 1").count() == 0
+        assert {(r["error_class"], len(r["error_message"])) for r in errors.collect()} == {("ZeroDivisionError", 2008)}
 
+
+def test_map_catching_keeps_the_input_exactly(spark):
+    schema = "d double, n long, b binary, t timestamp_ntz, `a.b` string, __input string"
+    stamp = datetime.datetime(2024, 1, 2, 3, 4, 5, 678901)
+    df = spark.createDataFrame([(0.12345678901234567, 2**53 + 1, b"\xff\x00", stamp, None, "own")], schema)
+
+    def fn(row, _res):
+        raise KeyError(row["b"])
+
+    _, errors = U.split_errors(U.map_catching(df, fn, "d double"))
+    got = json.loads(errors.first()["input"])
+    assert got == {"d": 0.12345678901234567, "n": 2**53 + 1, "b": "/wA=", "t": "2024-01-02T03:04:05.678901", "a.b": None, "__input": "own"}
+
+
+def test_map_catching_results_that_do_not_fit(spark):
+    df = spark.range(10).withColumnRenamed("id", "x")
+
+    def fn(row, _res):
+        x = row["x"]
+        return None if x == 1 else [{"y": x}, {"y": x}] if x == 2 else {"z": x} if x == 3 else {"y": "text"} if x == 4 else {"y": x}
+
+    ok, errors = U.split_errors(U.map_catching(df, fn, "y long"))
+    assert sorted(r["y"] for r in ok.collect()) == [0, 2, 2, 5, 6, 7, 8, 9]
+    assert sorted(json.loads(r["input"])["x"] for r in errors.collect()) == [3, 4]
+
+
+def test_python_operators_plan_without_running(spark):
+    spark.sparkContext.setJobGroup("lazy-udf", "planning only")
+    try:
+        df = spark.range(100).repartition(3)
+        U.map_catching(df, lambda r, _: r, "id long")
+        U.map_vectorized(df, lambda b, _: b, "id long")
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("lazy-udf")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("codec", ["lz4", "snappy", "lzf"])
+def test_eventlog_parts_that_cannot_be_decoded_raise(spark, codec):
+    root = tempfile.mkdtemp(prefix=f"evlog-{codec}-", dir="/tmp")
+    _spark_log(root, f'b = b.config("spark.eventLog.compress", "true").config("spark.eventLog.compression.codec", "{codec}").config("spark.eventLog.rolling.enabled", "false")')
+    with pytest.raises(ES.UndecodableLog, match=codec):
+        ES.read_task_metrics(spark, root)
+
+
+def test_lines_that_are_no_log_raise(spark):
+    root = tempfile.mkdtemp(prefix="evlog-text-", dir="/tmp")
+    with open(f"{root}/app-1", "w") as f:
+        f.write('{"Event":"SparkListenerTaskEnd"}\n\nnot json\n')
+    with pytest.raises(Exception, match="not a line of an event log"):
+        ES.read_log_lines(spark, f"{root}/app-1").collect()
+
+
+def test_map_catching_on_a_stream(spark):
     root = scratch_dir(spark, "udf-stream")
     spark.range(200).withColumnRenamed("id", "x").write.parquet(f"{root}/in")
     src = runner.file_stream(spark, f"{root}/in", "x long")
 
-    def fn(pdf, _res):
-        if (pdf["x"] == 13).any():
+    def fn(row, _res):
+        if row["x"] == 13:
             raise KeyError("13")
-        return pd.DataFrame({"x": pdf["x"]})
+        return row
 
     runner.run_available(U.map_catching(src, fn, "x long"), f"{root}/sink", f"{root}/ckpt")
     ok, errors = U.split_errors(runner.read_sink(spark, f"{root}/sink"))
