@@ -170,9 +170,10 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], seed: i
 
 def sample(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, docs: int = SAMPLE_DOCS,
            windows: int = SAMPLE_WINDOWS, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Windows, label numbers and languages of a sample: the ``docs`` rows whose ids hash
-    lowest, ``windows`` windows spread over each text.  At most docs * windows * window
-    bytes reach the driver, whatever the table's size."""
+    """Windows, label numbers and languages of a sample: the ``docs`` labelled rows whose ids
+    hash lowest (fewer if some have no text), ``windows`` windows spread over each text.  At
+    most docs * windows * window bytes reach the driver, whatever the table's size."""
+    h = fresh(labelled, "_h")[0]
 
     def spread(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
@@ -184,10 +185,14 @@ def sample(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, docs:
                 out.append([cut[i].tobytes() for i in take])
             yield pd.Series(out)
 
+    # First the hash up to which rows are taken, from ids alone; then their texts.
+    known = labelled.where(col(lang_col).isNotNull()).withColumn(h, F.xxhash64(col(id_col).cast("string"), F.lit("sample")))
+    upto = known.select(h).orderBy(h).limit(docs).agg(F.max(h)).first()[0]
+    if upto is None:
+        return np.zeros((0, window), np.uint8), np.zeros(0, int), []
     rows = (
-        labelled.where(col(text_col).isNotNull() & col(lang_col).isNotNull())
-        .select(col(lang_col).alias("lang"), F.pandas_udf(spread, "array<binary>")(col(text_col)).alias("w"),
-                F.xxhash64(col(id_col).cast("string"), F.lit("sample")).alias("h"))
+        known.where((F.col(h) <= upto) & col(text_col).isNotNull())
+        .select(col(lang_col).alias("lang"), F.pandas_udf(spread, "array<binary>")(col(text_col)).alias("w"), F.col(h).alias("h"))
         .orderBy("h", "lang", "w").limit(docs).collect()
     )
     languages = sorted({r["lang"] for r in rows if r["w"]})
