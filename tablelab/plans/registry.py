@@ -63,3 +63,14 @@ def oracle_sql() -> dict[str, str]:
 
 def flagship() -> Entry:
     return next(e for e in entries().values() if e.flagship)
+
+
+def prepare(spark: SparkSession, sf_dir: str) -> None:
+    """Make the inputs that several plans share, so that no plan's time holds them."""
+    entries()
+    from tablelab.plans import eventlog_plans, io_plans, snapshot_plans, stream_plans
+
+    eventlog_plans.tasks(spark, sf_dir)
+    io_plans._audit_fixture(spark, sf_dir)
+    snapshot_plans.seeded(spark, sf_dir)
+    stream_plans._arrive(spark, sf_dir)
