@@ -46,7 +46,54 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op2_quality")
+_QUALITY_SQL = r"""
+WITH d AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+g AS (SELECT doc_id, k, w[k:k + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 0) + 1)) AS k FROM d)),
+r AS (SELECT doc_id, k, count(*) OVER (PARTITION BY doc_id, g) > 1 AS twice FROM g),
+c AS (SELECT doc_id, count(DISTINCT x) AS n FROM (SELECT doc_id, unnest([k, k + 1, k + 2]) AS x FROM r WHERE twice) GROUP BY doc_id),
+f AS (
+  SELECT doc_id, lang, source, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+    length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    coalesce(c.n, 0) AS n_repeat_words, len(lines) AS n_lines FROM d LEFT JOIN c USING (doc_id)),
+m AS (
+  SELECT doc_id, lang, source, unnest([
+    {'measure': 'word_length', 'v': (word_chars * 10000) // n_words}, {'measure': 'symbols', 'v': (n_symbols * 10000) // n_words},
+    {'measure': 'dup_lines', 'v': (n_dup_lines * 10000) // n_lines}, {'measure': 'repeat_words', 'v': (n_repeat_words * 10000) // n_words}
+  ], recursive := true) FROM f WHERE n_words > 0),
+s AS (
+  SELECT *, greatest(length(bin(v)) - 6, 0) * 32 + (v >> greatest(length(bin(v)) - 6, 0)) AS step FROM m),
+h AS (
+  SELECT grouping(source, lang) AS level, lang, source, measure, step, count(*) AS n FROM s
+  GROUP BY GROUPING SETS ((lang, source, measure, step), (lang, measure, step), (measure, step))),
+u AS (
+  SELECT *, sum(n) OVER (PARTITION BY level, lang, source, measure ORDER BY step) AS upto,
+    sum(n) OVER (PARTITION BY level, lang, source, measure) AS total FROM h),
+q AS (
+  SELECT level, lang, source, measure, max(total) AS n, min(step) FILTER (upto >= 0.25 * total) AS s1,
+    min(step) FILTER (upto >= 0.5 * total) AS s2, min(step) FILTER (upto >= 0.75 * total) AS s3 FROM u GROUP BY ALL),
+v AS (
+  SELECT level, lang, source, measure, n, {'q1': (s1 - greatest(s1 // 32 - 1, 0) * 32) << greatest(s1 // 32 - 1, 0),
+    'mid': (s2 - greatest(s2 // 32 - 1, 0) * 32) << greatest(s2 // 32 - 1, 0),
+    'q3': (s3 - greatest(s3 // 32 - 1, 0) * 32) << greatest(s3 // 32 - 1, 0)} AS q FROM q),
+e AS (
+  SELECT a.lang, a.source, a.measure, CASE WHEN a.n >= 100 THEN a.q WHEN b.n >= 100 THEN b.q ELSE z.q END AS q,
+    CASE a.measure WHEN 'word_length' THEN 15000 WHEN 'symbols' THEN 1000 WHEN 'dup_lines' THEN 4000 ELSE 3000 END AS gap
+  FROM v a JOIN v b ON b.level = 2 AND a.lang IS NOT DISTINCT FROM b.lang AND a.measure = b.measure
+  JOIN v z ON z.level = 3 AND a.measure = z.measure WHERE a.level = 0),
+o AS (
+  SELECT doc_id, bool_and(s.v <= greatest(q.q3 + 4 * (q.q3 - q.q1), q.mid + gap)
+    AND (s.measure <> 'word_length' OR s.v >= least(q.q1 - 4 * (q.q3 - q.q1), q.mid - gap))) AS ok
+  FROM s JOIN e ON s.lang IS NOT DISTINCT FROM e.lang AND s.source IS NOT DISTINCT FROM e.source AND s.measure = e.measure GROUP BY doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND coalesce(ok, false) AS kept
+FROM f LEFT JOIN o USING (doc_id)
+"""
+
+
+@query("op2_quality", _QUALITY_SQL)
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the adaptive verdict; features are counted once and kept as a table."""
     path = scratch_dir(spark, "features")
