@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablelab.session import scratch_dir
+
 #: A word: a run of characters other than the six ASCII white-space characters.
 #: ``bytes.split()`` without arguments splits UTF-8 text at exactly these.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -40,3 +42,13 @@ def fresh(df: DataFrame, *wanted: str) -> list[str]:
 def n_words(text: Column) -> Column:
     """Number of words of a text; null counts as none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    A join then knows the size of this side when it is planned.  If it is small it is
+    broadcast at once, and the texts on the other side aren't shuffled only to find out."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

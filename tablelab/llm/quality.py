@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablelab.llm.common import col, fresh
+from tablelab.llm.common import col, fresh, settled
 
 SYMBOLS = "#*$%&|<>"
 SCALE = 10_000
@@ -189,7 +189,7 @@ def judge(measured: DataFrame, reach: float = REACH, min_group: int = MIN_GROUP,
     measured as small, else it splits the partitions of a hot source.
     """
     table = fences(sketches(measured if counted is None else counted), reach, min_group)
-    table = table.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), "limits")
+    table = settled(table.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), "limits"), "fences")
     joined = measured.join(
         table, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left"
     ).drop("_lang", "_source")
