@@ -85,8 +85,10 @@ def _features(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
 
 def features(text: Column) -> Column:
-    """``FEATURES`` of whole texts, as a struct."""
-    return F.pandas_udf(_features, FEATURES)(text)
+    """``FEATURES`` of whole texts, as a struct.
+
+    Declared as not deterministic, so that a filter on it doesn't count the text again."""
+    return F.pandas_udf(_features, FEATURES).asNondeterministic()(text)
 
 
 def _measure(f: Column, name: str) -> Column:
