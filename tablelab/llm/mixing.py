@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablelab.llm.common import col, fresh, n_words
+from tablelab.llm.common import col, fresh, n_words, settled
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
@@ -87,13 +87,13 @@ def plan_mix(
     totals = (
         sized.groupBy(col(source_col).alias("source")).agg(F.sum(col(size)).alias("source_size"))
     )
-    targets = source_targets(totals, weights, max_repeat).select(
+    # A written table of sources: the engine broadcasts it if it is small, and otherwise
+    # joins by sort and merge, splitting skewed partitions.
+    targets = settled(source_targets(totals, weights, max_repeat), "targets").select(
         F.coalesce("source", F.lit("")).alias(key),
         F.isnull("source").alias(isnull),
         F.struct("source_size", "target").alias("_mix_target"),
     )
-    # Few sources: the engine broadcasts their table when it has measured it as small,
-    # and otherwise joins by sort and merge, splitting skewed partitions.
     joined = sized.withColumn(key, F.coalesce(col(source_col), F.lit(""))).withColumn(isnull, F.isnull(col(source_col)))
     joined = joined.join(targets, [key, isnull], "left")
     t = F.col("_mix_target")
