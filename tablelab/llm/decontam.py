@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablelab.llm import packed
-from tablelab.llm.common import ALNUM_LOWER, col, fresh
+from tablelab.llm.common import ALNUM_LOWER, col, fresh, settled
 from tablelab.session import scratch_dir
 
 WINDOW = 13
@@ -246,5 +246,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     """The rows of ``docs`` that are not contaminated, columns unchanged."""
     a, b = fresh(docs, "_id", "_key")
     found = find_items(docs, benchmark, id_col, text_col, **kwargs).where(is_contaminated(F.col("n_hit"), F.col("n_words")))
-    gone = found.select(F.col("id").alias(a), F.col("key").alias(b)).distinct()
+    gone = settled(found.select(F.col("id").alias(a), F.col("key").alias(b)).distinct(), "contaminated")
     return docs.join(gone, col(id_col).eqNullSafe(F.col(a)) & (F.xxhash64(col(text_col)) == F.col(b)), "left_anti")

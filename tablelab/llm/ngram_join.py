@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablelab.llm import packed
-from tablelab.llm.common import ASCII_LOWER, col, fresh
+from tablelab.llm.common import ASCII_LOWER, col, fresh, settled
 from tablelab.llm.components import components
 from tablelab.session import scratch_dir
 
@@ -296,5 +296,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """
     key = fresh(docs, "_gone")[0]
     classes = link_classes(docs, id_col, text_col, **kwargs)
-    gone = classes.where("component <> id").select(F.col("id").alias(key)).distinct()
+    gone = settled(classes.where("component <> id").select(F.col("id").alias(key)).distinct(), "duplicates")
     return docs.join(gone, col(id_col).cast("long") == F.col(key), "left_anti")
