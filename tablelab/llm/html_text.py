@@ -13,6 +13,7 @@ first and last line of the clusters.  Within a region every line stays, also a s
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -26,7 +27,7 @@ from tablelab.llm.common import col
 #: Standard deviation of the smoothing, in lines.
 SIGMA = 1.0
 #: Characters given to the parser at a time.
-CHUNK = 1 << 16
+CHUNK = 1 << 20
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set(
@@ -41,6 +42,7 @@ DROPPED = set(
     "dialog menu footer".split()
 )
 REGIONS = {"article", "main"}
+NEVER_AROUND = {"nav", "aside", "form", "footer", "head", "header"}
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 COMMENTS = set("comment comments commentlist disqus respond replies".split())
@@ -61,6 +63,8 @@ class LineParser(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, bool, bool]] = []
         self.open: list[tuple[str, bool, bool]] = []  # element, starts a drop, starts a region
+        self.count: Counter[str] = Counter()  # of open elements
+        self.dropped = ""  # the element that the present drop began with
         self.drops = self.regions = self.region = self.seen = self.tags = 0
         self.text: list[str] = []
         self.heading = False
@@ -96,20 +100,23 @@ class LineParser(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        if tag in REGIONS and not self.regions and any(d and t in ("nav", "aside", "form", "footer", "head", "header") for t, d, _ in self.open):
-            # Left open before the main text: such elements don't hold it.
+        if tag in REGIONS and self.drops and not self.regions and self.dropped in NEVER_AROUND:
+            # Left open before the main text, which such elements don't hold.
             while self.drops:
                 self._pop()
         drop = not self.drops and self._drops(tag, attrs)
         region = tag in REGIONS and not self.drops and not drop and not self.regions
         self.open.append((tag, drop, region))
-        self.drops += drop
+        self.count[tag] += 1
+        if drop:
+            self.drops, self.dropped = 1, tag
         if region:
             self.seen += 1
             self.regions, self.region = 1, self.seen
 
     def _pop(self) -> str:
         tag, drop, region = self.open.pop()
+        self.count[tag] -= 1
         self.drops -= drop
         self.regions -= region
         return tag
@@ -120,7 +127,7 @@ class LineParser(HTMLParser):
         elif tag not in INLINE:
             self._end_line()
         self.tags += 1
-        if any(t == tag for t, _, _ in self.open):
+        if self.count[tag]:
             while self._pop() != tag:
                 pass
 
@@ -128,7 +135,6 @@ class LineParser(HTMLParser):
         self.handle_starttag(tag, attrs)
 
     def handle_data(self, data: str) -> None:
-        # Scripts and styles are data too, but within a dropped element.
         self.text.append(data)
 
     def finish(self) -> list[tuple[str, int, int, bool, bool]]:
@@ -144,12 +150,42 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(np.pad(ratios, reach, mode="edge"), weights / weights.sum(), mode="valid")
 
 
+_DEAD = re.compile(r"<(?:!--|[!?]|(script|style)(?=[\s/>]))", re.IGNORECASE)
+_CLOSING = {t: re.compile(f"</{t}(?=[\\s/>])", re.IGNORECASE) for t in ("script", "style")}
+_OPENING = re.compile(r"<[a-zA-Z/!?]")
+
+
+def without_dead_text(html: str) -> str:
+    """A page without comments, declarations, and the content of scripts and styles.
+
+    What is left open goes to the page's end, as browsers do.  One pass, whatever the page
+    holds; the parser would search to the end again for each thing left open.
+    """
+    out, at = [], 0
+    while m := _DEAD.search(html, at):
+        out.append(html[at : m.start()])
+        if html[m.start() - 1 : m.start()] == "<":
+            out.append(" ")  # a lone < must not join what follows
+        if m[1]:
+            closing = _CLOSING[m[1].lower()].search(html, m.end())
+            end = html.find(">", closing.end()) if closing else -1
+        else:
+            end = html.find("-->", m.start() + 2) if m[0] == "<!--" else html.find(">", m.start())
+            end += 2 * (end >= 0 and m[0] == "<!--")
+        if end < 0:
+            return "".join(out)
+        at = end + 1
+    out.append(html[at:])
+    return "".join(out)
+
+
 def parse_lines(html: str) -> list[tuple[str, int, int, bool, bool]]:
-    parser = LineParser()
+    """The lines of a page."""
+    html = without_dead_text(html)
     # A tag that the page's end cuts off is no text.
-    last = html.rfind("<")
-    if last > html.rfind(">") and re.match(r"</?[a-zA-Z]|<!|<$", html[last : last + 3]):
-        html = html[:last]
+    if cut := _OPENING.search(html, html.rfind(">") + 1):
+        html = html[: cut.start()]
+    parser = LineParser()
     for a in range(0, len(html), CHUNK):
         parser.feed(html[a : a + CHUNK])
     return parser.finish()

@@ -66,6 +66,29 @@ def test_very_long_page_and_deep_nesting():
     assert html_text.main_text(page).count("\n\n") == 5000
 
 
+def test_broken_markup_never_fails():
+    rng = random.Random(7)
+    bits = ["<", ">", "<!", "<![", "<![CDATA[", "]]>", "<!--", "-->", "<?", "</", "</p", "<p", '<p a="', '"', "'", "&", "&#", "&#x", "&amp", "<script>",
+            "</script>", "<style>", "<article>", "</article>", "<nav>", "text ", "\x00", "=", "/", "<![if a]>", "<!DOCTYPE", "<svg/>", "</br>", "<textarea>", "<xmp>"]
+    for _ in range(3000):
+        assert isinstance(html_text.main_text("".join(rng.choice(bits) for _ in range(rng.randint(1, 25)))), str)
+
+
+@pytest.mark.parametrize("bit", ["<", "<!--", "<a ", "</", "&", "<![CDATA[", "<script>", "<div>", "<a b='", "<p>x", "<!", "<?", "<p></p><div>", "<nav><article>"])
+def test_time_is_in_proportion_to_a_page(bit):
+    import time
+
+    began = time.process_time()
+    html_text.main_text(bit * 40_000)
+    assert time.process_time() - began < 10
+
+
+def test_comments_scripts_and_declarations_are_no_text():
+    page = "<article><p>a<!-- <p>x --->b<!-->c</p><script>if (a < b) '</p>' </script ><p>d<style>p > q {}</style>e <![CDATA[z]]></p>"
+    assert html_text.main_text(page) == "abc\n\nde"
+    assert html_text.main_text("<article><p>a</p><!-- open <p>b</p></article>") == "a"
+
+
 def test_spark(spark):
     rows = [(1, "u", HEAD + ARTICLE, "old"), (1, "u", HEAD + ARTICLE, "old"), (None, None, None, None)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, TEXT string")
