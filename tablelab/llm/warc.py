@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelab.llm.common import col, fresh
+from tablelab.llm.common import col, fresh, settled
 
 CRLF = "\r\n"
 #: Fixed values of RFC 4648 (base 32).
@@ -69,13 +69,15 @@ def plan_records(
         base32_sha1(payload).alias("digest"),
         F.octet_length(payload).cast("long").alias("bytes"),
     )
-    # Only digests met more than once need the join; the shuffle carries no payload.
-    shared = (
+    # Only digests met more than once need the join.  Their table is written first: while
+    # it is small it is broadcast, and the payloads aren't shuffled.
+    shared = settled(
         rows.where(F.col("bytes") >= min_revisit_bytes)
         .groupBy("digest")
         .agg(F.max("id").alias("response"), F.count("*").alias("n"))
         .where("n > 1")
-        .select("digest", "response")
+        .select("digest", "response"),
+        "shared-digests",
     )
     joined = rows.join(shared, "digest", "left")
     revisit = (F.col("bytes") >= min_revisit_bytes) & F.col("response").isNotNull() & ~F.col("id").eqNullSafe(F.col("response"))
