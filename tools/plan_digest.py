@@ -31,7 +31,7 @@ def digest(text: str) -> dict:
         "bhj": len(re.findall(r"BroadcastHashJoin", final)),
         "smj": len(re.findall(r"SortMergeJoin", final)),
         "codegen": len(set(re.findall(r"\*\((\d+)\)", final))),
-        "python": len(re.findall(r"(MapInPandas|ArrowEvalPython|FlatMapGroupsInPandas|BatchEvalPython)", final)),
+        "python": len(re.findall(r"(MapIn(?:Pandas|Arrow)|ArrowEvalPython|FlatMap\w+In(?:Pandas|Arrow)|BatchEvalPython)", final)),
         "pushed": "; ".join(pushed)[:160],
     }
 
