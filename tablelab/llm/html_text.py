@@ -3,11 +3,12 @@
 The standard library's parser reads a page as events.  They are folded into lines, one
 for each block of the page (a paragraph, heading, list item, table row), with the text,
 the number of tags and the element each stands in.  Lines inside menus, headers, footers,
-sidebars, notices, adverts, forms and reader comments hold no content.  The text-to-tag
-ratios of all lines are smoothed by a Gaussian; lines above the threshold, the standard
-deviation of the smoothed ratios, form clusters.  The regions they fall in are the main
-text: the ``article`` or ``main`` elements with a cluster, else what lies between the
-first and last line of the clusters.  Within a region every line stays, also a short one.
+sidebars, notices, adverts, forms and reader comments hold no content.  The
+main text is all outermost ``article`` and ``main`` elements with content.  On a page without
+them the logarithms of the lines' text-to-tag ratios, so that no line outweighs the others,
+are smoothed by a Gaussian; lines above the threshold, the standard deviation of the
+smoothed values, form clusters, and the innermost block around all clusters is the main
+text.  Within the main text every line stays, also a short one.
 """
 
 from __future__ import annotations
@@ -44,6 +45,10 @@ DROPPED = set(
 REGIONS = {"article", "main"}
 NEVER_AROUND = {"nav", "aside", "form", "footer", "head", "header"}
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+#: Parts of a text, which hold no whole one.
+PARTS = HEADINGS | set(
+    "address blockquote caption dd details dl dt figcaption figure li ol p pre summary table tbody td tfoot th thead tr ul".split()
+)
 ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 COMMENTS = set("comment comments commentlist disqus respond replies".split())
 #: Words of class and id that mark what isn't content.
@@ -57,12 +62,17 @@ _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
 class LineParser(HTMLParser):
-    """Folds a page's events into ``lines``: (text, tags, region, is content possible, is a heading)."""
+    """Folds a page's events into ``lines``: (text, tags, region, is content possible, is a heading, block).
+
+    ``blocks`` has (element, block around it, last block within) of each block, in the order
+    they open; block 0 is the page.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool, bool]] = []
-        self.open: list[tuple[str, bool, bool]] = []  # element, starts a drop, starts a region
+        self.lines: list[tuple[str, int, int, bool, bool, int]] = []
+        self.blocks: list[list] = [["", 0, 0]]
+        self.open: list[tuple[str, bool, bool, int]] = []  # element, starts a drop, starts a region, block it stands in or is
         self.count: Counter[str] = Counter()  # of open elements
         self.dropped = ""  # the element that the present drop began with
         self.drops = self.regions = self.region = self.seen = self.tags = 0
@@ -72,7 +82,8 @@ class LineParser(HTMLParser):
     def _end_line(self) -> None:
         text = " ".join("".join(self.text).split())
         if text or self.tags:
-            self.lines.append((text, self.tags, self.region if self.regions else 0, not self.drops, self.heading))
+            block = self.open[-1][3] if self.open else 0
+            self.lines.append((text, self.tags, self.region if self.regions else 0, not self.drops, self.heading, block))
         self.text, self.tags, self.heading = [], 0, False
 
     def _drops(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
@@ -106,7 +117,11 @@ class LineParser(HTMLParser):
                 self._pop()
         drop = not self.drops and self._drops(tag, attrs)
         region = tag in REGIONS and not self.drops and not drop and not self.regions
-        self.open.append((tag, drop, region))
+        block = self.open[-1][3] if self.open else 0
+        if tag not in INLINE:
+            self.blocks.append([tag, block, 0])
+            block = len(self.blocks) - 1
+        self.open.append((tag, drop, region, block))
         self.count[tag] += 1
         if drop:
             self.drops, self.dropped = 1, tag
@@ -115,7 +130,9 @@ class LineParser(HTMLParser):
             self.regions, self.region = 1, self.seen
 
     def _pop(self) -> str:
-        tag, drop, region = self.open.pop()
+        tag, drop, region, block = self.open.pop()
+        if tag not in INLINE:
+            self.blocks[block][2] = len(self.blocks) - 1
         self.count[tag] -= 1
         self.drops -= drop
         self.regions -= region
@@ -137,10 +154,13 @@ class LineParser(HTMLParser):
     def handle_data(self, data: str) -> None:
         self.text.append(data)
 
-    def finish(self) -> list[tuple[str, int, int, bool, bool]]:
+    def finish(self) -> tuple[list[tuple[str, int, int, bool, bool, int]], list[list]]:
         self.close()
         self._end_line()
-        return self.lines
+        while self.open:
+            self._pop()
+        self.blocks[0][2] = len(self.blocks) - 1
+        return self.lines, self.blocks
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -179,8 +199,8 @@ def without_dead_text(html: str) -> str:
     return "".join(out)
 
 
-def parse_lines(html: str) -> list[tuple[str, int, int, bool, bool]]:
-    """The lines of a page."""
+def parse_lines(html: str) -> tuple[list[tuple[str, int, int, bool, bool, int]], list[list]]:
+    """The lines and blocks of a page."""
     html = without_dead_text(html)
     # A tag that the page's end cuts off is no text.
     if cut := _OPENING.search(html, html.rfind(">") + 1):
@@ -191,30 +211,39 @@ def parse_lines(html: str) -> list[tuple[str, int, int, bool, bool]]:
     return parser.finish()
 
 
+def _around(cluster: np.ndarray, held: np.ndarray, block: np.ndarray, blocks: list[list]) -> np.ndarray:
+    """The lines in the innermost block around all of ``cluster`` that can hold a whole text."""
+    own = block[cluster]
+    at, last = int(own.min()), int(own.max())
+    while blocks[at][2] < last or blocks[at][0] in PARTS:
+        at = blocks[at][1]
+    inside = (block >= at) & (block <= blocks[at][2])
+    if at and (held & inside).sum() == 1:
+        # A block of one line is a part as well.
+        at = blocks[at][1]
+        while blocks[at][0] in PARTS:
+            at = blocks[at][1]
+        inside = (block >= at) & (block <= blocks[at][2])
+    return inside
+
+
 def main_text(html: str | None, sigma: float = SIGMA) -> str:
     """Blocks of the main text, joined by an empty line; empty if there is none."""
-    lines = parse_lines(html or "")
-    held = np.array([bool(text) and content for text, _, _, content, _ in lines], bool)
+    lines, blocks = parse_lines(html or "")
+    held = np.array([bool(line[0]) and line[3] for line in lines], bool)
     if not held.any():
         return ""
-    ratios = np.array([len(text) / max(tags, 1) * ok for (text, tags, *_), ok in zip(lines, held, strict=True)])
-    smooth = smoothed(ratios, sigma)
-    cluster = held & (smooth >= smooth.std())
-    if not cluster.any():
-        cluster = held
     region = np.array([line[2] for line in lines])
-    chosen = set(region[cluster].tolist()) - {0} or set(region[held].tolist()) - {0}
-    if chosen:
-        inside = np.isin(region, list(chosen))
-    else:
-        at = np.flatnonzero(cluster)
-        first, last = at[0], at[-1]
-        # A heading just before the first cluster belongs to it.
-        before = np.flatnonzero(held[:first])
+    inside = region > 0
+    if not (held & inside).any():
+        ratios = np.array([np.log1p(len(line[0]) / max(line[1], 1)) * ok for line, ok in zip(lines, held, strict=True)])
+        smooth = smoothed(ratios, sigma)
+        cluster = held & (smooth >= smooth.std())
+        inside = _around(cluster if cluster.any() else held, held, np.array([line[5] for line in lines]), blocks)
+        # A heading just before the block belongs to it.
+        before = np.flatnonzero(held[: np.flatnonzero(inside)[0]])
         if len(before) and lines[before[-1]][4]:
-            first = before[-1]
-        inside = np.zeros(len(lines), bool)
-        inside[first : last + 1] = True
+            inside[before[-1]] = True
     return "\n\n".join(lines[i][0] for i in np.flatnonzero(held & inside))
 
 

@@ -96,3 +96,21 @@ def test_spark(spark):
     assert out.columns == ["page_id", "url", "html", "text"]
     assert sorted(r["text"] for r in out.collect()) == ["", WANT, WANT]
     assert html_text.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("around", ["{}", "<div>{}</div>", "<div><section>{}</section></div>", "<article>{}</article>"])
+@pytest.mark.parametrize("sizes", [[300] * 3 + [8000] + [300] * 4, [300] * 3 + [2000] + [300] * 4, [300] * 10 + [60] * 6, [60] * 6 + [90_000], [20, 9000, 20]])
+def test_one_long_block_costs_no_other(around, sizes):
+    paras = ["x" * n for n in sizes]
+    page = HEAD + NAV + around.format("".join(f"<p>{p}</p>\n" for p in paras)) + "<footer>f</footer>"
+    assert html_text.main_text(page) == "\n\n".join(paras)
+
+
+def test_one_block_of_several_holds_a_long_line():
+    page = f"{HEAD}{NAV}<div><h2>Head</h2><div><p>{LONG * 40}</p></div><div><p>{LONG}</p><p>Short.</p></div></div>"
+    assert html_text.main_text(page) == "\n\n".join(["Head", (LONG * 40).strip(), LONG.strip(), "Short."])
+
+
+def test_short_article_beside_a_long_one():
+    page = f"{HEAD}{NAV}<article><p>{LONG * 40}</p></article><article><h2>Second</h2><p>Short.</p></article>"
+    assert html_text.main_text(page) == "\n\n".join([(LONG * 40).strip(), "Second", "Short."])
