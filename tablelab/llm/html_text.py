@@ -3,12 +3,17 @@
 The standard library's parser reads a page as events.  They are folded into lines, one
 for each block of the page (a paragraph, heading, list item, table row), with the text,
 the number of tags and the element each stands in.  Lines inside menus, headers, footers,
-sidebars, notices, adverts, forms and reader comments hold no content.  The
-main text is all outermost ``article`` and ``main`` elements with content.  On a page without
+sidebars, notices, adverts, forms and reader comments hold no content.  The main text
+is all outermost ``article`` and ``main`` elements with content.  On a page without
 them the logarithms of the lines' text-to-tag ratios, so that no line outweighs the others,
 are smoothed by a Gaussian; lines above the threshold, the standard deviation of the
 smoothed values, form clusters, and the innermost block around all clusters is the main
 text.  Within the main text every line stays, also a short one.
+
+Class and id names also mark what is around the main text ("no-sidebar").  An ``article`` or
+``main`` in such a container counts, unless it is among comments; among what may hold other
+articles' teasers it counts if such regions hold more text than those in fewer such
+containers.  A page on which nothing is held is read again without the marks and forms around its content.
 """
 
 from __future__ import annotations
@@ -58,21 +63,36 @@ MARKS = COMMENTS | set(
     "promoted related share sharing sidebar social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
 HEADER_MARKS = {"header", "masthead"}
+#: Of the marks, those of containers that may hold other articles' teasers.
+OTHERS = set("promo promoted promotion related sidebar sponsor sponsored widget widgets".split())
+#: Passes without the outermost marks and forms, one level more each time; the last one is without any.
+PASSES = 4
+_CONTENT, _MARKED, _DROPPED = range(3)
+#: Ranks of open elements within a marked container: teasers may follow, no region may.
+_PLAIN, _TEASERS, _NEVER = range(3)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
 class LineParser(HTMLParser):
     """Folds a page's events into ``lines``: (text, tags, region, is content possible, is a heading, block).
 
+    ``doubtful``: regions in containers of other articles, and in how many.  ``allow``: how many marked elements or
+    forms around content don't drop it.
+
     ``blocks`` has (element, block around it, last block within) of each block, in the order
     they open; block 0 is the page.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, allow: int = 0) -> None:
         super().__init__(convert_charrefs=True)
+        self.allow, self.allowed, self.marked, self.retry = allow, 0, False, False
+        self.doubtful: dict[int, int] = {}
+        self.drop_at = 0  # place of the element that the present drop began with
+        self.ranks = [0, 0, 0]  # open elements of each rank
         self.lines: list[tuple[str, int, int, bool, bool, int]] = []
         self.blocks: list[list] = [["", 0, 0]]
-        self.open: list[tuple[str, bool, bool, int]] = []  # element, starts a drop, starts a region, block it stands in or is
+        # Element, starts a drop, starts a region, block it stands in or is, rank, the drop it suspends, is allowed.
+        self.open: list[tuple[str, bool, bool, int, int, tuple | None, int]] = []
         self.count: Counter[str] = Counter()  # of open elements
         self.dropped = ""  # the element that the present drop began with
         self.drops = self.regions = self.region = self.seen = self.tags = 0
@@ -86,21 +106,25 @@ class LineParser(HTMLParser):
             self.lines.append((text, self.tags, self.region if self.regions else 0, not self.drops, self.heading, block))
         self.text, self.tags, self.heading = [], 0, False
 
-    def _drops(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    def _drops(self, tag: str, attrs: list[tuple[str, str | None]]) -> tuple[int, set[str]]:
+        """Whether the element is content, dropped for its marks or as a form, or dropped; and its marks."""
         if tag in DROPPED:
-            return True
+            return (_MARKED if tag == "form" else _DROPPED), set()
         if tag in ("html", "body", "main") or tag in HEADINGS:
-            return False
+            return _CONTENT, set()
         values = dict(attrs)
         if "hidden" in values or (values.get("role") or "").lower() in ROLES:
-            return True
-        marks = {p.lower() for name in ("class", "id") for p in _PARTS.findall(values.get(name) or "")}
+            return _DROPPED, set()
+        words = {p.lower() for name in ("class", "id") for p in _PARTS.findall(values.get(name) or "")}
+        marks = words & MARKS
         if tag in REGIONS:
-            return bool(marks & COMMENTS)
+            return (_MARKED if marks & COMMENTS else _CONTENT), marks & COMMENTS
         # A header inside an article holds its title.
-        if not self.regions and (tag == "header" or marks & HEADER_MARKS):
-            return True
-        return bool(marks & MARKS)
+        if not self.regions and tag == "header":
+            return _DROPPED, marks
+        if not self.regions:
+            marks |= words & HEADER_MARKS
+        return (_MARKED if marks else _CONTENT), marks
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in SPACED:
@@ -111,30 +135,56 @@ class LineParser(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        if tag in REGIONS and self.drops and not self.regions and self.dropped in NEVER_AROUND:
-            # Left open before the main text, which such elements don't hold.
-            while self.drops:
-                self._pop()
-        drop = not self.drops and self._drops(tag, attrs)
+        kind, marks = self._drops(tag, attrs)
+        suspended = None
+        if tag in REGIONS and self.drops and not self.regions:
+            if self.dropped in NEVER_AROUND:
+                # Left open before the main text, which such elements don't hold.
+                while self.drops:
+                    self._pop()
+            elif self.marked and not self.ranks[_NEVER] and kind == _CONTENT:
+                if self.ranks[_TEASERS]:
+                    self.drops, suspended = 0, (self.dropped, self.drop_at, self.marked)
+                    self.doubtful[self.seen + 1] = self.ranks[_TEASERS]
+                else:
+                    # A class or id of what is around the main text, or left open before it.
+                    began = self.open[self.drop_at]
+                    self.open[self.drop_at] = (began[0], False, *began[2:])
+                    self.drops = 0
+        allowed = int(not self.drops and kind == _MARKED and self.allowed < self.allow)
+        drop = not self.drops and kind != _CONTENT and not allowed
         region = tag in REGIONS and not self.drops and not drop and not self.regions
+        rank = _PLAIN
+        if drop or self.drops:
+            if marks & COMMENTS or (kind == _DROPPED and tag not in NEVER_AROUND):
+                rank = _NEVER
+            elif marks & OTHERS:
+                rank = _TEASERS
         block = self.open[-1][3] if self.open else 0
         if tag not in INLINE:
             self.blocks.append([tag, block, 0])
             block = len(self.blocks) - 1
-        self.open.append((tag, drop, region, block))
+        self.open.append((tag, drop, region, block, rank, suspended, allowed))
         self.count[tag] += 1
+        self.ranks[rank] += 1
+        self.allowed += allowed
         if drop:
-            self.drops, self.dropped = 1, tag
+            self.drops, self.dropped, self.drop_at, self.marked = 1, tag, len(self.open) - 1, kind == _MARKED
+            self.retry |= self.marked
         if region:
             self.seen += 1
             self.regions, self.region = 1, self.seen
 
     def _pop(self) -> str:
-        tag, drop, region, block = self.open.pop()
+        tag, drop, region, block, rank, suspended, allowed = self.open.pop()
         if tag not in INLINE:
             self.blocks[block][2] = len(self.blocks) - 1
         self.count[tag] -= 1
+        self.ranks[rank] -= 1
+        self.allowed -= allowed
         self.drops -= drop
+        if suspended:
+            self.drops, (self.dropped, self.drop_at, self.marked) = 1, suspended
         self.regions -= region
         return tag
 
@@ -154,13 +204,12 @@ class LineParser(HTMLParser):
     def handle_data(self, data: str) -> None:
         self.text.append(data)
 
-    def finish(self) -> tuple[list[tuple[str, int, int, bool, bool, int]], list[list]]:
+    def finish(self) -> None:
         self.close()
         self._end_line()
         while self.open:
             self._pop()
         self.blocks[0][2] = len(self.blocks) - 1
-        return self.lines, self.blocks
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -199,16 +248,20 @@ def without_dead_text(html: str) -> str:
     return "".join(out)
 
 
-def parse_lines(html: str) -> tuple[list[tuple[str, int, int, bool, bool, int]], list[list]]:
+def parsed(html: str) -> LineParser:
     """The lines and blocks of a page."""
     html = without_dead_text(html)
     # A tag that the page's end cuts off is no text.
     if cut := _OPENING.search(html, html.rfind(">") + 1):
         html = html[: cut.start()]
-    parser = LineParser()
-    for a in range(0, len(html), CHUNK):
-        parser.feed(html[a : a + CHUNK])
-    return parser.finish()
+    for allow in (*range(PASSES), len(html)):
+        parser = LineParser(allow)
+        for a in range(0, len(html), CHUNK):
+            parser.feed(html[a : a + CHUNK])
+        parser.finish()
+        if not parser.retry or any(line[0] and line[3] for line in parser.lines):
+            break
+    return parser
 
 
 def _around(cluster: np.ndarray, held: np.ndarray, block: np.ndarray, blocks: list[list]) -> np.ndarray:
@@ -229,17 +282,29 @@ def _around(cluster: np.ndarray, held: np.ndarray, block: np.ndarray, blocks: li
 
 def main_text(html: str | None, sigma: float = SIGMA) -> str:
     """Blocks of the main text, joined by an empty line; empty if there is none."""
-    lines, blocks = parse_lines(html or "")
+    page = parsed(html or "")
+    lines = page.lines
     held = np.array([bool(line[0]) and line[3] for line in lines], bool)
     if not held.any():
         return ""
     region = np.array([line[2] for line in lines])
     inside = region > 0
+    if page.doubtful:
+        level = np.array([page.doubtful.get(r, 0) for r in region.tolist()])
+        size = np.array([len(line[0]) for line in lines]) * held
+        of_level = np.bincount(level[inside], size[inside], int(level.max()) + 1)
+        taken, least, text = [0], size[~inside].sum(), of_level[0]
+        for k, more in enumerate(of_level[1:], 1):
+            if more > (text or least):
+                taken.append(k)
+                text += more
+        sure = inside & np.isin(level, taken)
+        held, inside = held & (sure | ~inside), sure
     if not (held & inside).any():
         ratios = np.array([np.log1p(len(line[0]) / max(line[1], 1)) * ok for line, ok in zip(lines, held, strict=True)])
         smooth = smoothed(ratios, sigma)
         cluster = held & (smooth >= smooth.std())
-        inside = _around(cluster if cluster.any() else held, held, np.array([line[5] for line in lines]), blocks)
+        inside = _around(cluster if cluster.any() else held, held, np.array([line[5] for line in lines]), page.blocks)
         # A heading just before the block belongs to it.
         before = np.flatnonzero(held[: np.flatnonzero(inside)[0]])
         if len(before) and lines[before[-1]][4]:

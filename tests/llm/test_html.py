@@ -114,3 +114,36 @@ def test_one_block_of_several_holds_a_long_line():
 def test_short_article_beside_a_long_one():
     page = f"{HEAD}{NAV}<article><p>{LONG * 40}</p></article><article><h2>Second</h2><p>Short.</p></article>"
     assert html_text.main_text(page) == "\n\n".join([(LONG * 40).strip(), "Second", "Short."])
+
+
+@pytest.mark.parametrize("name", ["layout no-sidebar", "has-sidebar", "share-enabled", "widget-area", "menu-open notice", "ad", "pageWithSidebar", "header-fixed"])
+def test_article_in_a_marked_container(name):
+    inner = f"{NAV}<div class='sidebar'><p>{LONG}</p></div>{ARTICLE}<div id='comments'><article><p>{LONG}</p></article></div>"
+    for page in (f"<div class='{name}'>{inner}</div><footer>f</footer>", f"<p>Skip</p><div class='{name}'><section id='{name}'>{inner}", f"<div><div class='{name}'>Buy{inner}</div>"):
+        assert html_text.main_text(HEAD + page) == WANT
+
+
+def test_article_in_a_marked_container_drops_what_it_holds():
+    inner = ARTICLE.replace("</h1>", "</h1><div class='share'>Share</div><div class='ad'>Buy</div><aside>x</aside>")
+    for name in ("no-sidebar", "share-enabled"):
+        assert html_text.main_text(f"{HEAD}<div class='{name}'>{inner}<div class='related'><article>Other</article></div></div>") == WANT
+
+
+def test_unclosed_advert_between_articles():
+    page = f"{HEAD}{ARTICLE}<div class='ad'>Buy<article><p>Second.</p></article>"
+    assert html_text.main_text(page) == WANT + "\n\nSecond."
+
+
+def test_teasers_and_comments_are_not_articles():
+    for around in ("<div class='related'>{}</div>", "<div class='share'><div class='comments'>{}</div></div>", "<div class='sidebar'><template>{}</template></div>"):
+        assert html_text.main_text(HEAD + ARTICLE + around.format("<article><p>Teaser</p></article>")) == WANT
+        page = f"{HEAD}<div><h1>T</h1><p>{LONG}</p><p>Short.</p></div>" + around.format("<article><p>Teaser</p></article>")
+        assert html_text.main_text(page) == f"T\n\n{LONG.strip()}\n\nShort."
+
+
+@pytest.mark.parametrize("around", ["<form>{}</form>", "<form><div class='has-sidebar'>{}</div></form>", "<div class='no-sidebar'>{}</div>", "<div class='widget'>" * 9 + "{}" + "</div>" * 9])
+def test_page_within_a_form_or_marks(around):
+    body = f"{NAV}<h2>Head</h2><p>{LONG}</p><div class='share'>Share</div><p>Short.</p><button>Send</button><footer>f</footer>"
+    want = f"Head\n\n{LONG.strip()}\n\nShort."
+    got = html_text.main_text(HEAD + around.format(body))
+    assert got == want if around.count("<div") < 5 else got.replace("Share\n\n", "") == want
