@@ -15,21 +15,44 @@ STAGE_KEYS = ["app", "stage_id", "stage_attempt"]
 SKEW_FACTOR = 2.0  # a stage whose slowest task takes > 2x the median is skewed
 
 
-def stage_skew(tasks: DataFrame, factor: float = SKEW_FACTOR, exact: bool = False, metric: str = "run_ms") -> DataFrame:
-    """Per stage: tasks, median, p95, max of ``metric``, max / median, skewed.
+def _stage_values(tasks: DataFrame, metric: str, exact: bool, sums: Sequence[str] = ()) -> DataFrame:
+    """Per stage: tasks, median_ms, p95_ms and max_ms of ``metric``, and the ``sums``.
 
-    Percentiles are values of the data, from a sketch of bounded size that is exact for
-    stages of up to about 10,000 tasks; ``exact`` interpolates over all values instead,
-    in memory that grows with the distinct ones.
+    Percentiles are values of the data, the least one that enough tasks don't exceed; null
+    values count for nothing.  Exact ones count tasks by value first, so a stage takes a row
+    for each distinct value, in a sort that spills.  Others come from a sketch of bounded size.
     """
-    m = F.col(metric).cast("double")
-    if exact:
-        med, p95 = F.percentile(m, 0.5), F.percentile(m, 0.95)
-    else:
-        med, p95 = F.percentile_approx(m, 0.5, 10000).cast("double"), F.percentile_approx(m, 0.95, 10000).cast("double")
-    g = tasks.groupBy(*STAGE_KEYS).agg(
-        F.count(F.lit(1)).alias("tasks"), med.alias("median_ms"), p95.alias("p95_ms"), F.max(metric).alias("max_ms")
+    if not exact:
+        m = F.col(metric).cast("double")
+        return tasks.groupBy(*STAGE_KEYS).agg(
+            F.count(F.lit(1)).alias("tasks"),
+            F.percentile_approx(m, 0.5, 10000).cast("double").alias("median_ms"),
+            F.percentile_approx(m, 0.95, 10000).cast("double").alias("p95_ms"),
+            F.max(metric).alias("max_ms"), *[F.sum(c).alias(c) for c in sums],
+        )
+    stage = Window.partitionBy(*STAGE_KEYS)
+    known = F.when(F.col("_value").isNotNull(), F.col("_n"))
+    counted = (
+        tasks.groupBy(*STAGE_KEYS, F.col(metric).alias("_value"))
+        .agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(c) for c in sums])
+        .withColumn("_upto", F.sum(known).over(stage.orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("_all", F.sum(known).over(stage))
+    )
+    reached = lambda percent: F.min(F.when(100 * F.col("_upto") >= percent * F.col("_all"), F.col("_value"))).cast("double")
+    return counted.groupBy(*STAGE_KEYS).agg(
+        F.sum("_n").alias("tasks"), reached(50).alias("median_ms"), reached(95).alias("p95_ms"), F.max("_value").alias("max_ms"),
+        *[F.sum(c).alias(c) for c in sums],
     )
+
+
+def stage_skew(tasks: DataFrame, factor: float = SKEW_FACTOR, exact: bool = True, metric: str = "run_ms") -> DataFrame:
+    """Per stage: tasks, median, p95, max of ``metric``, max / median, skewed.
+
+    Percentiles are values of the data.  With ``exact`` off they are approximate: from a
+    sketch, exact only for stages of up to about 10,000 tasks, so that ``skewed`` may be
+    wrong near the factor.
+    """
+    g = _stage_values(tasks, metric, exact)
     ratio = F.when(F.col("median_ms") > 0, F.col("max_ms") / F.col("median_ms"))
     return g.select(
         *STAGE_KEYS, "tasks", "median_ms", "p95_ms", "max_ms", ratio.alias("max_over_median"),
@@ -76,22 +99,11 @@ def executor_use(tasks: DataFrame, slots: int = 1) -> DataFrame:
     )
 
 
-def stage_metrics_long(tasks: DataFrame, exact: bool = False) -> DataFrame:
+def stage_metrics_long(tasks: DataFrame, exact: bool = True) -> DataFrame:
     """The per-stage metrics as a long table: app, stage_id, stage_attempt, metric,
-    value — all from one aggregate over the tasks."""
-    run = F.col("run_ms").cast("double")
-    if exact:
-        med, p95 = F.percentile(run, 0.5), F.percentile(run, 0.95)
-    else:
-        med, p95 = F.percentile_approx(run, 0.5, 10000).cast("double"), F.percentile_approx(run, 0.95, 10000).cast("double")
-    g = tasks.groupBy(*STAGE_KEYS).agg(
-        med.alias("median_ms"),
-        p95.alias("p95_ms"),
-        F.max("run_ms").alias("max_ms"),
-        F.sum("disk_spilled").alias("disk_spilled"),
-        F.sum("memory_spilled").alias("memory_spilled"),
-        F.sum("gc_ms").alias("gc_ms"),
-        F.sum("run_ms").alias("run_total"),
+    value.  With ``exact`` off percentiles are approximate, see :func:`stage_skew`."""
+    g = _stage_values(
+        tasks.withColumn("run_total", F.col("run_ms")), "run_ms", exact, ["disk_spilled", "memory_spilled", "gc_ms", "run_total"]
     )
     values = {
         "max_over_median": F.when(F.col("median_ms") > 0, F.col("max_ms") / F.col("median_ms")),

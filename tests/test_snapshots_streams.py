@@ -372,3 +372,21 @@ def test_map_catching_on_a_stream(spark):
     runner.run_available(U.map_catching(src, fn, "x long"), f"{root}/sink", f"{root}/ckpt")
     ok, errors = U.split_errors(runner.read_sink(spark, f"{root}/sink"))
     assert ok.count() == 199 and errors.count() == 1
+
+
+def test_stage_percentiles_are_exact_for_large_stages(spark):
+    n = 200_001
+    tasks = spark.range(n + 3).selectExpr(
+        "'a' as app", "id div 200001 as stage_id", "0L as stage_attempt",
+        "case when id < 200001 then (id * 7919) % 200001 * 3 when id < 200003 then 1L end as run_ms",
+        "1L as disk_spilled", "2L as memory_spilled", "0L as gc_ms",
+    )
+    tasks = tasks.union(tasks.where("stage_id = 0 and run_ms = 300000").withColumn("stage_id", F.lit(2)).withColumn("run_ms", F.lit(None).cast("long")))
+    got = {r["stage_id"]: r.asDict() for r in EL.stage_skew(tasks).collect()}
+    assert (got[0]["tasks"], got[0]["median_ms"], got[0]["p95_ms"], got[0]["max_ms"]) == (n, 300_000.0, 570_000.0, 600_000)
+    assert got[0]["max_over_median"] == 2.0 and got[0]["skewed"] is False
+    assert (got[1]["tasks"], got[1]["median_ms"], got[1]["p95_ms"]) == (3, 1.0, 1.0)
+    assert (got[2]["tasks"], got[2]["median_ms"], got[2]["max_ms"], got[2]["skewed"]) == (1, None, None, None)
+    long = {(r["stage_id"], r["metric"]): r["value"] for r in EL.stage_metrics_long(tasks).collect()}
+    assert long[0, "max_over_median"] == 2.0 and long[0, "p95_ms"] == 570_000.0
+    assert long[0, "disk_spilled"] == n and long[0, "memory_spilled"] == 2 * n
