@@ -47,9 +47,9 @@ def pieces(notice: str, errors: int) -> list[tuple[int, str]]:
 
 
 def compiled(notices: dict = NOTICES) -> list[tuple]:
-    """(label, notice, errors, pieces, pattern) of each notice; made once per task."""
+    """(label, notice, errors, pieces, pattern) of each notice, between word edges; made once per task."""
     return [
-        (label, notice, errors, pieces(notice, errors), regex.compile(f"(?b)(?:{regex.escape(notice)}){{e<={errors}}}"))
+        (label, notice, errors, pieces(notice, errors), regex.compile(f"(?b) (?:{regex.escape(notice)}){{e<={errors}}}(?= )"))
         for label, items in notices.items()
         for notice, errors in items
     ]
@@ -58,9 +58,10 @@ def compiled(notices: dict = NOTICES) -> list[tuple]:
 def find_fuzzy(text: str, patterns: list[tuple]) -> list[tuple[str, int, int, int]]:
     """``(label, start, end, errors)`` of all copies, best matches of non-overlapping places, in words' text.
 
-    ``text``: words joined by one space.  Places are in its characters.
+    ``text``: words joined by one space.  Places are in its characters.  Copies are whole words:
+    letters more or less at their ends are errors.
     """
-    found = []
+    found, held = [], f" {text} "
     for label, notice, errors, parts, pattern in patterns:
         at = set()
         for offset, piece in parts:
@@ -72,14 +73,11 @@ def find_fuzzy(text: str, patterns: list[tuple]) -> list[tuple[str, int, int, in
         for i in sorted(at):
             a, b = max(0, i - errors, end), min(len(text), i + len(notice) + 2 * errors)
             # A copy must be able to fit; each place is tried, as copies may lie side by side.
-            m = pattern.search(text, a, b) if b - a >= len(notice) - errors else None
+            # The blank before is matched, as ``regex`` takes no letter too many where a search starts.
+            m = pattern.search(held, a, b + 2) if b - a >= len(notice) - errors else None
             if m:
-                # Not the tail of a longer word before or after.
-                if (m.start() == 0 or text[m.start() - 1] == " " or text[m.start()] == " ") and (
-                    m.end() == len(text) or text[m.end()] == " " or text[m.end() - 1] == " "
-                ):
-                    found.append((label, m.start(), m.end(), sum(m.fuzzy_counts)))
-                    end = m.end()
+                found.append((label, m.start(), m.end() - 1, sum(m.fuzzy_counts)))
+                end = m.end() - 1
     return found
 
 

@@ -72,3 +72,29 @@ def test_spark_edges(spark):
     got = sorted((r["doc_id"], r["license"]["n_words"], r["license"]["n_base"], r["license"]["first_word"], r["license"]["last_word"]) for r in lic.scan(df).collect())
     assert got == [(1, 0, 0, None, None), (1, 0, 0, None, None), (2, 0, 0, None, None), (3, 9000, 3000, 1, 8998)]
     assert lic.scan(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("label", list(lic.NOTICES))
+def test_edits_at_both_ends_are_found(label):
+    rng = random.Random(label)
+    for notice, errors in lic.NOTICES[label]:
+        for k in range(120):
+            copy, n = notice, rng.randint(1, errors)
+            for _ in range(n):
+                at = rng.choice([0, len(copy), rng.randrange(len(copy) + 1)])
+                new = rng.choice([copy[:at] + "s" + copy[at:], copy[:at] + copy[at + 1 :], copy[: max(at - 1, 0)] + copy[at:]])
+                copy = new if new == " ".join(new.split()) else copy
+            pad = " ".join("w" * rng.randint(3, 9) for _ in range(k % 4))
+            for text in (copy, f"{pad} {copy}", f"{copy} {pad}", f"{pad} {copy} {pad}"):
+                spans = [s for s in lic.scan_text(text)[7] if s["label"] == label and s["errors"] <= n]
+                assert spans, text
+
+
+def test_longer_words_at_the_ends():
+    for text, label in [("released under the mit licenses", "mit"), ("licensed under the gnu general public licenses", "gpl"),
+                        ("creative commons attribution licenses", "cc by"), ("unreleased under the mit license", "mit")]:
+        for whole in (text, f"one {text}, two"):
+            first = int(whole != text)
+            spans = [s for s in lic.scan_text(whole)[7] if s["label"] == label]
+            assert [(s["start"], s["end"]) for s in spans] == [(first, first + len(text.split()))], whole
+    assert lic.scan_text("released under the mit licensesxyz")[5] == []
