@@ -124,6 +124,8 @@ def stream_resume(spark, sf_dir):
 
 
 BATCHES = 10
+#: Bytes of an arrivals file, before encoding, and of a row: three columns of eight bytes.
+FILE_BYTES, ROW_BYTES = 64 << 20, 24
 
 _LATE_SQL = """
 with e as (
@@ -158,19 +160,22 @@ def _arrive(spark, sf_dir):
 
     One pass splits them into a folder per batch.  The stream takes files in the order of
     their times, so batches are then moved in one after another, each read once and
-    written as the same number of files, which a trigger takes together."""
+    written as the same number of files, which a trigger takes together.  The number
+    follows the largest batch, so that writing and reading a batch spread over tasks."""
     arrivals = late_arrivals(table(spark, sf_dir, "events"))
-    schema, files = arrivals.drop("batch").schema, 2
+    schema = arrivals.drop("batch").schema
 
     def write():
         root = scratch_dir(spark, "arrivals")
         arrivals.write.partitionBy("batch").parquet(f"{root}/staged")
+        largest = spark.read.parquet(f"{root}/staged").groupBy("batch").count().agg(F.max("count")).first()[0] or 0
+        files = max(2, -(-largest * ROW_BYTES // FILE_BYTES))
         for b in range(BATCHES):
             one = spark.read.schema(schema).parquet(f"{root}/staged/batch={b}")
             one.repartition(files).write.parquet(f"{root}/input/b{b:02d}")
-        return root
+        return root, files
 
-    root = session_fixture(spark, f"arrivals:{sf_dir}", write)
+    root, files = session_fixture(spark, f"arrivals:{sf_dir}", write)
     return R.file_stream(spark, f"{root}/input/*", schema, max_files_per_trigger=files)
 
 

@@ -59,7 +59,9 @@ def run_available(
     state_partitions: int | None = None,
 ) -> list[dict]:
     """Run ``df`` over all available input, then stop (``availableNow``).  Returns the
-    progress of each micro-batch that had input, as the engine reports it.
+    progress of each micro-batch that had input, as the engine reports it.  The engine keeps
+    only the last ones (``spark.sql.streaming.numRecentProgressUpdates``), so each is taken
+    as the next micro-batch begins.
 
     ``state_partitions`` sizes the state of stateful operators (it is fixed in the
     checkpoint at the first run; later runs keep it).  Size it to the state, not to
@@ -69,6 +71,18 @@ def run_available(
         raise ValueError(f"the sink's folders are named after {BATCH}; rename that column")
     spark = df.sparkSession
     key = "spark.sql.shuffle.partitions"
+    write, progress = on_batch or _batch_writer(sink), {}
+    query, started = [], threading.Event()
+
+    def note(p) -> None:
+        progress[p.batchId, p.timestamp] = p
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        started.wait()
+        if query and (last := query[0].lastProgress):
+            note(last)
+        write(batch, batch_id)
+
     with _STARTING:
         previous = spark.conf.get(key)
         if state_partitions:
@@ -76,17 +90,21 @@ def run_available(
         try:
             q = (
                 df.writeStream.outputMode(output_mode)
-                .foreachBatch(on_batch or _batch_writer(sink))
+                .foreachBatch(each)
                 .option("checkpointLocation", checkpoint)
                 .trigger(availableNow=True)
                 .start()
             )
+            query.append(q)
         finally:
+            started.set()
             spark.conf.set(key, previous)
     q.awaitTermination()
     if q.exception() is not None:  # pragma: no cover - surfaced by awaitTermination already
         raise RuntimeError(str(q.exception()))
-    return [json.loads(p.json) for p in q.recentProgress if p.numInputRows > 0]
+    for p in q.recentProgress:
+        note(p)
+    return [json.loads(p.json) for _, p in sorted(progress.items()) if p.numInputRows > 0]
 
 
 def read_sink(spark: SparkSession, sink: str, schema: T.StructType | None = None) -> DataFrame:

@@ -1,6 +1,7 @@
 """Snapshots, streams against their batch form, event logs, Python batches."""
 
 import datetime
+import glob
 import json
 import os
 import tempfile
@@ -16,7 +17,7 @@ from tablelab.operators import eventlog as EL
 from tablelab.operators import udf as U
 from tablelab.operators.snapshots import SchemaMismatch, Snapshots
 from tablelab.plans import stream_plans
-from tablelab.session import scratch_dir
+from tablelab.session import scratch_dir, session_fixture
 from tablelab.sources import derived as D
 from tablelab.sources import eventlog as ES
 from tablelab.streaming import runner
@@ -390,3 +391,23 @@ def test_stage_percentiles_are_exact_for_large_stages(spark):
     long = {(r["stage_id"], r["metric"]): r["value"] for r in EL.stage_metrics_long(tasks).collect()}
     assert long[0, "max_over_median"] == 2.0 and long[0, "p95_ms"] == 570_000.0
     assert long[0, "disk_spilled"] == n and long[0, "memory_spilled"] == 2 * n
+
+
+def test_progress_of_every_batch_is_kept_and_files_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(stream_plans, "FILE_BYTES", 24 * 30, raising=False)
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "3")
+    try:
+        root = scratch_dir(spark, "progress-test")
+        src = stream_plans._arrive(spark, SF_SMALL + "/.")
+        progress = runner.run_available(W.dedup(src, "event_id", "ts", "1 hour"), f"{root}/sink", f"{root}/ckpt")
+    finally:
+        spark.conf.set(key, before)
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    rows = {r["batch"]: r["count"] for r in stream_plans.late_arrivals(events).groupBy("batch").count().collect()}
+    assert [(p["batchId"], p["numInputRows"]) for p in progress] == sorted(rows.items())
+    shared, files = session_fixture(spark, f"arrivals:{SF_SMALL}/.", None)
+    assert files == -(-max(rows.values()) // 30) > 2
+    for b in rows:
+        assert len(glob.glob(f"{shared.removeprefix('file:')}/input/b{b:02d}/*.parquet")) == files
