@@ -176,14 +176,25 @@ def format_chats(
     ``inserted``: roles of empty messages before the turn; ``closed_by``: of those after the
     last one; ``cost``: that of the whole conversation.  ``piece`` in the order of turns
     makes the rendered conversation.  Turns are whole numbers, null last; of one number by
-    role and text.  Repeated rows are one turn; a null text is empty; a row without a
-    conversation is one by itself.  Other columns are left out.
+    role and text.  Rows that are alike in all columns and have a turn number are one turn;
+    without a number, or if another column differs, each is a turn.  A null text is empty; a
+    row without a conversation is one by itself.  Other columns are left out.
     """
+    used = {c.lower() for c in (conv_col, turn_col, role_col, text_col)}
+    others = [col(c) for c in turns.columns if c.lower() not in used]
     text = turns.select(
-        col(conv_col).alias("conv"), col(turn_col).cast("long").alias("turn"), col(role_col).alias("role"), col(text_col).alias("text")
-    ).distinct()
-    own = F.concat(F.lit("row "), F.sha1(F.to_json(F.struct("turn", "role", "text")).cast("binary")))
+        col(conv_col).alias("conv"), col(turn_col).cast("long").alias("turn"), col(role_col).alias("role"), col(text_col).alias("text"),
+        (F.sha1(F.to_json(F.struct(*others)).cast("binary")) if others else F.lit("")).alias("other"),
+    ).groupBy("conv", "turn", "role", "text", "other").agg(F.count(F.lit(1)).alias("n"))
+    # A row for each repetition; in two steps, so that no list of them is long.
+    last = F.when(F.col("turn").isNull(), F.col("n") - 1).otherwise(F.lit(0))
+    text = text.withColumn("last", last).withColumn("some", F.explode(F.expr("sequence(0L, last, 4096L)")))
+    text = text.withColumn("nth", F.explode(F.expr("sequence(some, least(some + 4095L, last))")))
+    own = F.concat(
+        F.lit("row "), F.sha1(F.to_json(F.struct("turn", "role", "text")).cast("binary")), F.lit(" "), "other", F.lit(" "), F.col("nth").cast("string")
+    )
     text = text.withColumn("key", F.coalesce(F.concat(F.lit("conv "), F.col("conv").cast("string")), own))
+    text = text.select("conv", "turn", "role", "text", "key")
     # Runs are ranges of turn numbers, so no conversation needs sorting as a whole.
     text = text.withColumn("run", F.coalesce(F.floor(F.col("turn") / run), F.lit((1 << 62))).cast("long"))
     size = turns.agg(F.sum(F.octet_length(col(text_col)).cast("long"))).first()[0] or 0

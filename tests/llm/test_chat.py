@@ -94,3 +94,17 @@ def test_spark_long_conversation_and_edges(spark):
     only = next(r for r in large if r["conv"] == 9)
     assert messages(only["piece"]) == ["system", "user", "assistant"] and only["closed_by"] == ["user", "assistant"]
     assert chat.format_chats(df.limit(0)).count() == 0
+
+
+def test_equal_rows_without_a_turn_number_all_stay(spark):
+    rows = [(1, None, "user", "ok", 1), (1, None, "user", "ok", 1), (1, None, "user", "ok", 2), (2, 0, "user", "ok", 1), (2, 0, "user", "ok", 2),
+            (2, 0, "user", "ok", 2), (None, None, "user", "ok", 1), (None, None, "user", "ok", 1)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, message_id int")
+    got = chat.format_chats(df).collect()
+    assert sorted(str(r["conv"]) for r in got) == ["1"] * 3 + ["2"] * 2 + ["None"] * 2
+    assert all(legal(messages(r["piece"])) for r in got if r["conv"] is None)
+    for c in (1, 2):
+        text = "".join(r["piece"] for r in sorted((r for r in got if r["conv"] == c), key=lambda r: r["action"]))
+        assert legal(messages(text)) and text.count("ok") == len([r for r in got if r["conv"] == c])
+    many = spark.range(10_000).selectExpr("1L as conv_id", "cast(null as long) as turn", "'user' as role", "'ok' as text")
+    assert chat.format_chats(many).count() == 10_000
