@@ -46,7 +46,7 @@ _INDEX = (
     "id long, n long, rep long, subsets array<struct<key: long, size: int>>, "
     "tokens array<struct<token: long, pos: int>>, shingles binary"
 )
-_SET_BYTES = 6
+_SET_BYTES = 8
 
 
 def spare(n: int, percent: int) -> int:
@@ -282,7 +282,10 @@ def link_classes(
     path = scratch_dir(spark, "shingle-index")
     build_index(docs.select(col(id_col).cast("long").alias("id"), col(text_col).alias("text")), shingle, percent, boundary).write.parquet(path)
     index = spark.read.parquet(path)
-    found = components(_heavy_links(index, _light_links(index, percent), percent))
+    # An id with several texts joins their sets.
+    several = index.groupBy("id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low <> high").select("id")
+    own = index.join(several, "id").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct()
+    found = components(_heavy_links(index, _light_links(index, percent).union(own), percent))
     named = found.select(F.col("id").alias("rep"), "component")
     return index.select("id", "n", "rep").join(named, "rep", "left").select(
         "id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component")

@@ -99,3 +99,16 @@ def test_components(spark):
     got = {r["id"]: r["component"] for r in components(spark.createDataFrame([*links, (None, 1), (7, 7)], "a long, b long")).collect()}
     assert got == {i: root(i) for a, b in links if a != b for i in (a, b)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_texts_of_one_id_are_one_node(spark):
+    one, two = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(60))
+    rows = [(2, one), (5, one), (5, two), (7, two), (8, two + " tail"), (9, "else one two")]
+    got = {(r["id"], r["component"]) for r in ngram_join.link_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(2, 2), (5, 2), (7, 2), (8, 2), (9, 9)}
+
+
+def test_shingles_are_compared_whole(spark):
+    docs = spark.createDataFrame([(k, " ".join(f"c{j}" for j in range(60)) + f" t{k}") for k in range(2)], "id long, text string")
+    sets = [r["shingles"] for r in ngram_join.build_index(docs, 3, 90, ngram_join.light_boundary()).collect() if r["shingles"]]
+    assert [len(s) for s in sets] == [59 * 8] * 2 and ngram_join.light_boundary() == 15
