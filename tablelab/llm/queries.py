@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelab.llm import chat, decontam, html_text, langid, license, mixing, ngram_join, quality, substring, warc
+from tablelab.llm import (
+    chat,
+    decontam,
+    html_text,
+    langid,
+    license,
+    merkle,
+    mixing,
+    ngram_join,
+    quality,
+    spelling,
+    substring,
+    urls,
+    warc,
+)
 from tablelab.session import scratch_dir, table
 
 QUERIES: dict = {}
@@ -255,3 +269,113 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("conv").alias("conv_id"), "turn", "role", "new_role", "action", F.array_join("inserted", ",").alias("inserted"),
         F.array_join("closed_by", ",").alias("closed_by"), "piece", "cost",
     )
+
+
+#: Unsigned crc32 of bytes given as a list of numbers, in SQL: eight shifts for each byte.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, {bytes}), lambda c, b:
+    list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
+@query("op11_urls", r"""
+WITH r(verdict, host, path) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
+  ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+u AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+m AS (
+  SELECT u.*, r.host || r.path AS rule, r.verdict,
+    row_number() OVER (PARTITION BY page_id, u.host, u.path ORDER BY length(r.host) DESC, length(r.path) DESC) AS k
+  FROM u LEFT JOIN r ON (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m WHERE k = 1
+""")
+def op11_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages' urls against the contract's rules; a url without a rule is allowed."""
+    rules = urls.rules_table(spark, urls.EXAMPLE_RULES)
+    judged = urls.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", *[f"judged.{c}" for c in ("host", "path", "rule", "verdict")])
+
+
+@query("op12_spelling", r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+    FROM documents) GROUP BY ALL),
+h AS (
+  SELECT run, n, CRC AS h FROM (
+    SELECT run, n, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''), lambda c:
+      CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END)) AS b
+    FROM runs WHERE length(run) >= 7)),
+v AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM h)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cuts AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS z FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+pairs AS (
+  SELECT x.word, x.n, y.word AS other, y.n AS m FROM cuts x JOIN cuts y ON x.i = y.i AND x.a = y.a AND x.z = y.z AND x.word <> y.word
+  UNION SELECT x.word, x.n, y.word, y.n FROM cuts x JOIN v y ON x.a || x.z = y.word
+  UNION SELECT y.word, y.n, x.word, x.n FROM cuts x JOIN v y ON x.a || x.z = y.word),
+best AS (
+  SELECT word, n, count(*) AS n_near, max(m) AS m, min(other) FILTER (m = top) AS other
+  FROM (SELECT *, max(m) OVER (PARTITION BY word) AS top FROM pairs) GROUP BY ALL),
+forms AS MATERIALIZED (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * v.n THEN other END AS form, CASE WHEN m >= 10 * v.n THEN m END AS form_n
+  FROM v LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS here, 0 AS k FROM forms
+  UNION ALL SELECT w.word, f.form, k + 1 FROM walk w JOIN forms f ON f.word = w.here WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, w.root, f.n, f.n_near, f.form_n FROM forms f JOIN (SELECT word, arg_max(here, k) AS root FROM walk GROUP BY word) w USING (word)
+""".replace("CRC", _CRC.format(bytes="b")).replace("\u00C0-\u00FF", "À-ÿ"))
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    words = spelling.vocabulary(docs, misspell=spelling.drop_a_letter)
+    return spelling.group_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def _encoded(column: str) -> str:
+    return f"coalesce(octet_length(encode({column}::VARCHAR))::VARCHAR || ':' || {column}::VARCHAR, '-')"
+
+
+_LOWER_TEXT = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_LEAF = " || ".join(_encoded(c) for c in merkle.FIELDS)
+
+
+@query("op13_merkle", f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, sha256({_LEAF}) AS leaf, sha256({_LEAF.replace('text::VARCHAR', _LOWER_TEXT)}) AS low,
+    string_split(doc_id::VARCHAR, '') AS digits FROM documents),
+c AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS g, leaf, CASE WHEN {_CRC.format(bytes="list_transform(digits, lambda x: unicode(x)::BIGINT)")} % 3 = 0
+    THEN low ELSE leaf END AS seen FROM d),
+l AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM c),
+t AS (
+  SELECT g, 0 AS level, pos, n, leaf AS h FROM l
+  UNION ALL SELECT g, level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM t WHERE n > 1 GROUP BY ALL),
+s AS MATERIALIZED (SELECT g, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n = 1),
+u AS (
+  SELECT 0 AS level, pos, n, subroot AS h FROM s
+  UNION ALL SELECT level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM u WHERE n > 1 GROUP BY ALL),
+runs AS MATERIALIZED (
+  SELECT g, level, pos // 8 AS run, list(h ORDER BY pos) AS hs FROM t WHERE n > 1 GROUP BY ALL
+  UNION ALL SELECT NULL, level, pos // 8, list(h ORDER BY pos) FROM u WHERE n > 1 GROUP BY ALL),
+w AS (
+  SELECT doc_id, leaf, g, 0 AS level, pos, seen AS cur, '' AS proof, false AS crowned FROM l
+  UNION ALL (
+    SELECT w.doc_id, w.leaf, w.g, CASE WHEN r.run IS NULL THEN 0 ELSE w.level + 1 END,
+      CASE WHEN r.run IS NULL THEN s.pos ELSE w.pos // 8 END,
+      CASE WHEN r.run IS NULL THEN cur ELSE sha256(array_to_string(hs[1:w.pos % 8] || [cur] || hs[w.pos % 8 + 2:], '')) END,
+      CASE WHEN r.run IS NULL THEN proof ELSE proof || array_to_string(hs[1:w.pos % 8] || hs[w.pos % 8 + 2:], '') END,
+      crowned OR r.run IS NULL
+    FROM w LEFT JOIN runs r ON r.level = w.level AND r.run = w.pos // 8 AND r.g IS NOT DISTINCT FROM CASE WHEN crowned THEN NULL ELSE w.g END
+    JOIN s ON s.g = w.g WHERE NOT (crowned AND r.run IS NULL))),
+f AS (SELECT * FROM w WHERE crowned QUALIFY row_number() OVER (PARTITION BY g, doc_id, leaf ORDER BY level DESC) = 1)
+SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = h AS verified
+FROM f JOIN s USING (g) JOIN u ON u.n = 1
+""")
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents, checked against a copy with some texts lower-cased."""
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    third = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    rows = merkle.manifest(docs, altered={"text": merkle.lower_ascii(F.col("text"))}, where=third)
+    return merkle.verify(rows).select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
