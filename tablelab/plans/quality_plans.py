@@ -10,24 +10,27 @@ from tablelab.plans.registry import register
 from tablelab.session import table
 from tablelab.sources import derived as D
 
-_CSV_REASON = """case event_id % 10 when 1 then 'too_few_fields' when 2 then 'too_many_fields'
-                 when 3 then 'bad_type' when 4 then 'open_quote' end"""
-_JSON_REASON = "case event_id % 10 when 1 then 'not_json' when 2 then 'not_json' when 3 then 'bad_type' end"
+_CSV_REASON = """case event_id % 12 when 3 then 'bad_type' when 5 then 'too_few_fields'
+                 when 8 then 'too_many_fields' when 11 then 'open_quote' end"""
+_JSON_REASON = "case event_id % 12 when 2 then 'not_object' when 4 then 'not_json' when 7 then 'bad_type' end"
+_BEYOND = "concat(repeat('9', 20), user_id)"
+_JSON_GOOD = """concat('{"event_id":', event_id, ',"user_id":', user_id, ',"event_type":"', event_type, '"}')"""
 
 
 @register(
     "csv_quarantine",
     f"""
-select case when event_id % 10 between 1 and 4 then null else event_id end as event_id,
-       case when event_id % 10 between 1 and 4 then null else user_id end as user_id,
-       case when event_id % 10 between 1 and 4 then null else event_type end as event_type,
-       {_CSV_REASON} as reason,
-       case event_id % 10
-         when 1 then concat(event_id, ',', user_id)
-         when 2 then concat(event_id, ',', user_id, ',', event_type, ',extra')
-         when 3 then concat(event_id, ',u', user_id, ',', event_type)
-         when 4 then concat(event_id, ',', user_id, ',"', event_type) end as value
-from events
+with t as (select *, {_CSV_REASON} as reason from events)
+select case when reason is null then event_id end as event_id,
+       case when reason is null and event_id % 12 <> 9 then user_id end as user_id,
+       case when reason is null then concat(event_type, case when event_id % 12 = 6 then ', again' else '' end) end as event_type,
+       reason,
+       case event_id % 12
+         when 3 then concat(event_id, ',', {_BEYOND}, ',', event_type)
+         when 5 then concat(event_id, ';', user_id, ';', event_type)
+         when 8 then concat(event_id, ',', user_id, ',', event_type[:2], ',', event_type[3:])
+         when 11 then concat('"', event_id, ',', user_id, ',', event_type) end as value
+from t
 """,
 )
 def csv_quarantine(spark, sf_dir):
@@ -40,18 +43,18 @@ def csv_quarantine(spark, sf_dir):
 @register(
     "json_quarantine",
     f"""
-select case when event_id % 10 between 1 and 3 then null else event_id end as event_id,
-       case when event_id % 10 between 1 and 3 then null else user_id end as user_id,
-       case when event_id % 10 between 1 and 4 then null else event_type end as event_type,
-       case when event_id % 10 between 1 and 3 then null
-            when event_id % 10 = 5 then 'device' else '' end as extra_keys,
-       {_JSON_REASON} as reason,
-       case event_id % 10
-         when 1 then concat('{{"event_id":', event_id, ',"user_id":', user_id, ',"event_type":"', event_type, '"')
-         when 2 then concat('garbage line ', event_id)
-         when 3 then concat('{{"event_id":', event_id, ',"user_id":"u', user_id, '","event_type":"', event_type, '"}}')
+with t as (select *, {_JSON_REASON} as reason from events)
+select case when reason is null then event_id end as event_id,
+       case when reason is null and event_id % 12 <> 10 then user_id end as user_id,
+       case when reason is null then event_type end as event_type,
+       case when reason is null then case when event_id % 12 = 9 then 'region' else '' end end as extra_keys,
+       reason,
+       case event_id % 12
+         when 2 then concat('[', event_id, ',', user_id, ',"', event_type, '"]')
+         when 4 then {_JSON_GOOD}[:-4]
+         when 7 then concat('{{"event_id":', event_id, ',"user_id":', {_BEYOND}, ',"event_type":"', event_type, '"}}')
        end as value
-from events
+from t
 """,
 )
 def json_quarantine(spark, sf_dir):
@@ -68,9 +71,9 @@ def json_quarantine(spark, sf_dir):
     f"""
 with t as (select count(*) as lines from events),
 b as (
-  select 'events.csv' as source, {_CSV_REASON} as reason from events where event_id % 10 between 1 and 4
+  select 'events.csv' as source, {_CSV_REASON} as reason from events where event_id % 12 in (3, 5, 8, 11)
   union all
-  select 'events.json' as source, {_JSON_REASON} as reason from events where event_id % 10 between 1 and 3
+  select 'events.json' as source, {_JSON_REASON} as reason from events where event_id % 12 in (2, 4, 7)
 )
 select source, reason, count(*) as n, count(*) / max(t.lines) as share
 from b, t group by source, reason

@@ -216,11 +216,12 @@ def stream_late_windows(spark, sf_dir):
 @register(
     "stream_json_quarantine",
     """
-select case when event_id % 10 between 1 and 3 then null else event_id end as event_id,
-       case when event_id % 10 between 1 and 3 then null else user_id end as user_id,
-       case when event_id % 10 between 1 and 4 then null else event_type end as event_type,
-       case event_id % 10 when 1 then 'not_json' when 2 then 'not_json' when 3 then 'bad_type' end as reason
-from events
+with t as (
+  select *, case event_id % 12 when 2 then 'not_object' when 4 then 'not_json' when 7 then 'bad_type' end as reason from events)
+select case when reason is null then event_id end as event_id,
+       case when reason is null and event_id % 12 <> 10 then user_id end as user_id,
+       case when reason is null then event_type end as event_type, reason
+from t
 """,
 )
 def stream_json_quarantine(spark, sf_dir):

@@ -7,36 +7,51 @@ grows with the table (one output line per input row).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CSV_HEADER = "event_id,user_id,event_type"
 CSV_SCHEMA = "event_id long, user_id long, event_type string"
 JSON_SCHEMA = "event_id long, user_id long, event_type string"
+#: Lines take turns by ``event_id % TURN``; digits that carry a number beyond 64 bits.
+TURN, BEYOND = 12, "9" * 20
 
 
 def _s(c: str) -> Column:
     return F.col(c).cast("string")
 
 
+def _chosen(events: DataFrame, kinds: dict[int, Callable[[], Column]], good: Column) -> Column:
+    """The line of each event: ``kinds`` by ``event_id % TURN``, else ``good``."""
+    turn, line = F.pmod(F.col("event_id"), F.lit(TURN)), F.lit(None).cast("string")
+    for at, make in kinds.items():
+        line = F.when(turn == at, make()).otherwise(line)
+    return F.coalesce(line, good)
+
+
 def csv_lines(events: DataFrame, source: str = "events.csv", with_header: bool = True) -> DataFrame:
-    """Delimited lines from ``events``; defect by ``event_id % 10``:
-    1 too few fields, 2 too many, 3 text in a long column, 4 quote never closed,
-    else a good line.  After every event with ``event_id % 50 = 7`` comes a blank
-    line; the header line comes first (by content, not position)."""
-    d = F.pmod(F.col("event_id"), F.lit(10))
-    good = F.concat_ws(",", _s("event_id"), _s("user_id"), F.col("event_type"))
-    line = (
-        F.when(d == 1, F.concat_ws(",", _s("event_id"), _s("user_id")))
-        .when(d == 2, F.concat(good, F.lit(",extra")))
-        .when(d == 3, F.concat_ws(",", _s("event_id"), F.concat(F.lit("u"), _s("user_id")), F.col("event_type")))
-        .when(d == 4, F.concat(_s("event_id"), F.lit(","), _s("user_id"), F.lit(',"'), F.col("event_type")))
-        .otherwise(good)
-    )
-    blank_after = F.pmod(F.col("event_id"), F.lit(50)) == 7
-    out = events.select(
-        F.explode(F.when(blank_after, F.array(line, F.lit(""))).otherwise(F.array(line))).alias("value")
-    )
+    """Delimited lines from ``events``, a function of the good line for some of each ``TURN`` ids.
+
+    Defects: 3 a number beyond the type, 5 another separator, 8 a separator within a field,
+    11 a quote before the whole line.  6 and 9 are good: a quoted separator, an empty value.
+    A line of blanks precedes each event with ``event_id % 64 = 0``; the header is found by
+    content, wherever it stands."""
+    kind = F.col("event_type")
+    row = lambda *fields, sep=",": F.concat_ws(sep, *fields)
+    ident, user = _s("event_id"), _s("user_id")
+    good = row(ident, user, kind)
+    line = _chosen(events, {
+        3: lambda: row(ident, F.concat(F.lit(BEYOND), user), kind),
+        5: lambda: row(ident, user, kind, sep=";"),
+        6: lambda: row(ident, user, F.concat(F.lit('"'), kind, F.lit(', again"'))),
+        8: lambda: row(ident, user, F.substring(kind, 1, 2), F.substring(kind, 3, 99)),
+        9: lambda: row(ident, F.lit(""), kind),
+        11: lambda: F.concat(F.lit('"'), good),
+    }, good)
+    after_blanks = F.pmod(F.col("event_id"), F.lit(64)) == 0
+    out = events.select(F.explode(F.when(after_blanks, F.array(F.lit("   "), line)).otherwise(F.array(line))).alias("value"))
     if with_header:
         header = events.sparkSession.createDataFrame([(CSV_HEADER,)], "value string")
         out = header.unionByName(out)
@@ -44,24 +59,45 @@ def csv_lines(events: DataFrame, source: str = "events.csv", with_header: bool =
 
 
 def json_lines(events: DataFrame, source: str = "events.json") -> DataFrame:
-    """JSON lines from ``events``; defect by ``event_id % 10``: 1 closing brace
-    missing, 2 not JSON, 3 string in a long field, 4 ``event_type`` missing
-    (still good), 5 an extra nested object (good, kept in ``_extra``)."""
-    d = F.pmod(F.col("event_id"), F.lit(10))
-    head = F.concat(F.lit('{"event_id":'), _s("event_id"), F.lit(',"user_id":'))
-    tail = F.concat(F.lit(',"event_type":"'), F.col("event_type"), F.lit('"'))
-    good = F.concat(head, _s("user_id"), tail, F.lit("}"))
-    line = (
-        F.when(d == 1, F.concat(head, _s("user_id"), tail))
-        .when(d == 2, F.concat(F.lit("garbage line "), _s("event_id")))
-        .when(d == 3, F.concat(head, F.lit('"u'), _s("user_id"), F.lit('"'), tail, F.lit("}")))
-        .when(d == 4, F.concat(head, _s("user_id"), F.lit("}")))
-        .when(d == 5, F.concat(head, _s("user_id"), tail, F.lit(',"device":{"os":"tv","build":7}}')))
-        .otherwise(good)
-    )
+    """JSON lines from ``events``, a function of the good line for some of each ``TURN`` ids.
+
+    Defects: 2 an array in place of the object, 4 the last text cut, 7 a number beyond the
+    type.  5, 9 and 10 are good: a key given twice (the last one counts), a field that the
+    schema doesn't know, a null."""
+    pair = lambda key, value: F.concat(F.lit(f'"{key}":'), value)
+    whole = lambda *pairs: F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}"))
+    quoted = F.concat(F.lit('"'), F.col("event_type"), F.lit('"'))
+    ident, user, kind = pair("event_id", _s("event_id")), pair("user_id", _s("user_id")), pair("event_type", quoted)
+    good = whole(ident, user, kind)
+    line = _chosen(events, {
+        2: lambda: F.concat(F.lit("["), F.concat_ws(",", _s("event_id"), _s("user_id"), quoted), F.lit("]")),
+        4: lambda: F.substring(good, F.lit(1), F.length(good) - 3),
+        5: lambda: whole(ident, pair("user_id", F.lit("-1")), user, kind),
+        7: lambda: whole(ident, pair("user_id", F.concat(F.lit(BEYOND), _s("user_id"))), kind),
+        9: lambda: whole(pair("region", F.lit('"north"')), ident, user, kind),
+        10: lambda: whole(ident, pair("user_id", F.lit("null")), kind),
+    }, good)
     return events.select(line.alias("value"), F.lit(source).alias("source"))
 
 
+def note_records(events: DataFrame) -> DataFrame:
+    """CSV records ``event_id,user_id,note`` from ``events``, as text that may hold line breaks.
+
+    By ``event_id % 8``: 1 a note of three lines, one of them like a record, 3 a note with
+    doubled quotes and a line break, 5 a quote never closed, 6 a separator within quotes,
+    else a plain word."""
+    turn, ident, user, kind = F.pmod(F.col("event_id"), F.lit(8)), _s("event_id"), _s("user_id"), F.col("event_type")
+    text = lambda *parts: F.concat(F.lit('"'), *parts, F.lit('"'))
+    note = (
+        F.when(turn == 1, text(kind, F.lit("\nseen,by,all\nend "), ident))
+        .when(turn == 3, text(F.lit('said ""'), kind, F.lit('""\nthen left')))
+        .when(turn == 5, F.concat(F.lit('"'), kind))
+        .when(turn == 6, text(kind, F.lit(", again")))
+        .otherwise(kind)
+    )
+    return events.select(F.concat_ws(",", ident, user, note).alias("value"))
+
+
 def skewed_events(events: DataFrame) -> DataFrame:
     """``events`` with ``customer_id`` = 1 for 80% of rows (``event_id % 10 < 8``),
     else ``user_id + 2``."""

@@ -9,7 +9,7 @@ skipped ones, so nothing is lost silently.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -114,11 +114,47 @@ def read_healthy(
     return rows, skipped
 
 
-def write_corrupt_parquet(spark: SparkSession, path: str, footer_len_bytes: str = "~~~~") -> str:
-    """Write a file with the Parquet magic at both ends but an impossible footer
-    length (a crashed writer's leftover) using only Spark's text writer, so it works
-    on any file system the cluster reaches.  ``~~~~`` reads as 2,122,219,134."""
-    body = MAGIC.decode() + ("0123456789abcdef" * 13)[:200] + footer_len_bytes
-    one = spark.range(1).select(F.lit(body).alias("value")).coalesce(1)
-    one.write.option("lineSep", MAGIC.decode()).mode("overwrite").text(path)
+def _wiped(data: bytes, at: int) -> bytes:
+    """A Parquet file's bytes with everything from ``at`` up to the footer set to zero."""
+    footer = len(data) - 8 - int.from_bytes(data[-8:-4], "little")
+    return data[:at] + bytes(max(0, footer - at)) + data[max(at, footer) :]
+
+
+#: What can befall a file, by name: half written, its pages lost, its start lost.
+DAMAGE = {
+    "cut": lambda data: data[: len(data) // 2],
+    "wiped": lambda data: _wiped(data, len(MAGIC)),
+    "headless": lambda data: bytes(len(MAGIC)) + data[len(MAGIC) :],
+}
+
+
+def write_damaged(spark: SparkSession, healthy: str, path: str, kind: str) -> str:
+    """Damaged copies, of a ``kind`` of ``DAMAGE``, of the Parquet files below ``healthy``, written to ``path``.
+
+    Tasks read each file and write its copy through the file systems that the audit
+    opens, so this works wherever the audit does."""
+    files = list_files(spark, healthy, "*.parquet").select("path")
+    place = path if ":" in path else f"file:{path}"
+    fs, folder = _open(place)
+    fs.create_dir(folder, recursive=True)
+
+    def damage(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for one in pdf["path"]:
+                source, name = _open(one)
+                with source.open_input_file(name) as f:
+                    data = f.read()
+                target, folder = _open(place)
+                with target.open_output_stream(f"{folder}/{name.rsplit('/', 1)[-1]}") as f:
+                    f.write(DAMAGE[kind](data))
+            yield pdf
+
+    files.mapInPandas(damage, "path string").write.format("noop").mode("overwrite").save()
     return path
+
+
+def write_corrupt_parquet(spark: SparkSession, path: str, kind: str = "cut") -> str:
+    """A damaged file of whole numbers below ``path``: written whole in scratch, then damaged."""
+    whole = scratch_dir(spark, "whole")
+    spark.range(1000).coalesce(1).write.parquet(whole)
+    return write_damaged(spark, whole, path, kind)
