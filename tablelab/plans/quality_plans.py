@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tablelab.operators import quality as Q
 from tablelab.plans.registry import register
-from tablelab.session import table
+from tablelab.session import scratch_dir, table
+from tablelab.sources import csv_records as C
 from tablelab.sources import derived as D
 
 _CSV_REASON = """case event_id % 12 when 3 then 'bad_type' when 5 then 'too_few_fields'
@@ -87,6 +88,28 @@ def quarantine_summary(spark, sf_dir):
     return Q.summarize_tagged(csv.unionByName(js))
 
 
+@register(
+    "csv_multiline",
+    """
+with t as (select *, event_id % 8 as turn from events)
+select case when turn <> 5 then event_id end as event_id, case when turn <> 5 then user_id end as user_id,
+       case turn when 1 then concat(event_type, chr(10), 'seen,by,all', chr(10), 'end ', event_id)
+                 when 3 then concat('said "', event_type, '"', chr(10), 'then left')
+                 when 5 then null when 6 then concat(event_type, ', again') else event_type end as note,
+       case when turn = 5 then 'open_quote' end as reason,
+       case when turn = 5 then concat(event_id, ',', user_id, ',"', event_type) end as value
+from t
+""",
+)
+def csv_multiline(spark, sf_dir):
+    # Written as text, so that a record's line breaks are the file's.
+    root = scratch_dir(spark, "notes")
+    D.note_records(table(spark, sf_dir, "events")).write.text(root)
+    tagged = Q.tag_csv(C.read_csv_records(spark, root), "event_id long, user_id long, note string")
+    bad = F.col("reason").isNotNull()
+    return tagged.select("event_id", "user_id", "note", "reason", F.when(bad, F.col("value")).alias("value"))
+
+
 # --- drift ---------------------------------------------------------------------
 
 DRIFT_ALIASES = {"orderkey": "o_orderkey"}
