@@ -9,10 +9,10 @@ The upper part of the trees, one for each length, is fitted on a bounded sample
 words (``SAMPLE_WORDS``): median splits of the letter that halves best, down to cells.
 Every word is indexed: it belongs to one cell of its length and is sent as a query to
 each cell whose box is near enough.  Words of a cell are gathered by a shuffle; there a
-k-d tree of the cell goes down to leaves of a few words, boxes too far away are pruned for
-all queries at once, and pairs that are left are compared letter by letter.  Cells that
-hold more words than the sample foretold are dealt into parts, and their queries go to
-every part.
+k-d tree of the cell goes down to leaves of some hundred words, boxes too far away are
+pruned for all queries at once, distances within a leaf are one product of matrices, and pairs
+that are left are compared letter by letter.  Cells that hold more words than the sample
+foretold are dealt into parts, and their queries go to every part.
 
 Only words and counts are shuffled, and of pairs only what is near.  Forms are chosen by
 partial aggregation; roots are found by pointer doubling, a few rounds, as each form is at
@@ -31,14 +31,15 @@ from pyspark.sql import functions as F
 
 from tablelab.llm.common import col, settled
 
-#: Runs of letters: A-Z, a-z and U+00C0 to U+00FF.
-LETTERS = "[a-zÀ-ÿ]+"
+#: A letter of a word.
+LETTER = "[A-Za-zÀ-ÿ]"
 MIN_CHARS, MIN_COUNT, RATIO = 7, 2, 10
-#: Words that the upper trees are fitted on, at most; words a cell should hold, and may hold before it is dealt.
-SAMPLE_WORDS, CELL_WORDS, PART_WORDS = 200_000, 2_000, 8_000
+#: Words that the upper trees are fitted on; words a cell should hold, and may hold before it is dealt.
+SAMPLE_WORDS, CELL_WORDS, PART_WORDS = 100_000, 4_000, 32_000
 #: Words of a leaf of a cell's own tree.
-LEAF_WORDS = 24
-DIMS = 90
+LEAF_WORDS = 192
+#: Counters of a vector: a to z, and a few that all other letters share.
+DIMS = 32
 NEAR = "word string, n long, other string, other_n long"
 
 
@@ -60,20 +61,23 @@ def vocabulary(
     rows count again; a null id is an empty one to ``misspell``.  Counts are added up before
     the shuffle, so a word met everywhere is a row per task.
     """
-    lower = F.translate(col(text_col), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    runs = docs.select(col(id_col).alias("id"), F.explode(F.regexp_extract_all(lower, F.lit(LETTERS), F.lit(0))).alias("run"))
-    runs = runs.where(F.length("run") >= min_chars)
+    # Runs too short to become words aren't even taken out.
+    found = F.regexp_extract_all(col(text_col), F.lit(f"{LETTER}{{{min_chars},}}"), F.lit(0))
+    runs = docs.select(col(id_col).alias("id"), F.explode(found).alias("run"))
+    # Most runs have no capital: only the others are translated, letter by letter.
+    lower = F.translate("run", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    runs = runs.withColumn("run", F.when(F.lower("run") == F.col("run"), F.col("run")).otherwise(lower))
     word = misspell(F.col("id"), F.col("run")) if misspell else F.col("run")
     counted = runs.select(word.alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     return counted.where((F.length("word") >= min_chars) & (F.col("n") >= min_count))
 
 
 def letter_counts(words: list[str]) -> np.ndarray:
-    """A row of ``DIMS`` counts per word; letters beyond the usual ones share counters, which only brings words nearer."""
+    """A row of ``DIMS`` counts per word; letters that share a counter only bring words nearer."""
     lengths = np.fromiter(map(len, words), np.int64, len(words))
-    codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    letter = np.where((codes >= 97) & (codes <= 122), codes - 97, np.where((codes >= 192) & (codes <= 255), codes - 166, codes % DIMS))
-    cell = np.repeat(np.arange(len(words)), lengths) * DIMS + letter
+    codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    letter = np.where((codes >= 97) & (codes <= 122), codes - 97, 26 + codes % (DIMS - 26)).astype(np.int64)
+    cell = np.repeat(np.arange(len(words)) * DIMS, lengths) + letter
     return np.bincount(cell, minlength=len(words) * DIMS).reshape(-1, DIMS).astype(np.int32)
 
 
@@ -131,9 +135,10 @@ class Tree:
         A box's distance is that of its nearest corner, letter by letter: what must be
         added to and taken from a point to enter it.  Both are kept on the way down.
         """
-        stack = [(0 if self.nodes else -1, np.arange(len(points)), {}, np.zeros((2, len(points)), np.int32))]
+        none = np.zeros(len(points), np.int32)
+        stack = [(0 if self.nodes else -1, np.arange(len(points)), {}, none, none)]
         while stack:
-            node, rows, box, (up, dn) = stack.pop()
+            node, rows, box, up, dn = stack.pop()
             if not len(rows):
                 continue
             if node < 0:
@@ -144,9 +149,10 @@ class Tree:
             # Entering the left half may take counts away, entering the right half may add some.
             fall = dn + np.maximum(x - at, 0) - np.maximum(x - most, 0)
             rise = up + np.maximum(at + 1 - x, 0) - np.maximum(least - x, 0)
-            for child, span, u, f in ((low, (least, min(most, at)), up, fall), (high, (max(least, at + 1), most), rise, dn)):
-                keep = (u <= 1) & (f <= down)
-                stack.append((child, rows[keep], box | {d: span}, np.stack([u[keep], f[keep]])))
+            keep = fall <= down
+            stack.append((low, rows[keep], box | {d: (least, min(most, at))}, up[keep], fall[keep]))
+            keep = rise <= 1
+            stack.append((high, rows[keep], box | {d: (max(least, at + 1), most)}, rise[keep], dn[keep]))
 
 
 def one_edit(a: str, b: str) -> bool:
@@ -160,16 +166,23 @@ def one_edit(a: str, b: str) -> bool:
     return a[k:] == b[k + 1 :]
 
 
-def near_pairs(queries: list[str], words: list[str], words_counts: np.ndarray, down: int) -> Iterator[tuple[int, int]]:
-    """Places (query, word) of all pairs one edit apart: one count up, ``down`` counts down."""
-    tree, counts = Tree(words_counts, LEAF_WORDS), letter_counts(queries)
-    for leaf, rows in tree.near(counts, down):
+def near_pairs(queries: list[str], words: list[str], tree: Tree, counts: np.ndarray, down: int) -> Iterator[tuple[int, int]]:
+    """Places (query, word) of all pairs one edit apart: one count up, ``down`` counts down.
+
+    Of words with as many letters the squared distance is then at most two, of words with
+    one letter more it is one: |q|^2 + |w|^2 - 2 q.w, in whole numbers."""
+    asked = letter_counts(queries)
+    exact = np.float32 if max((len(words[0]) if words else 0), 1) < 2000 else np.float64
+    q, w = asked.astype(exact), counts.astype(exact)
+    q_norm, w_norm = (q * q).sum(axis=1), (w * w).sum(axis=1)
+    for leaf, rows in tree.near(asked, down):
         members = tree.leaves[leaf]
-        for part in np.array_split(rows, len(rows) // 512 + 1):
-            gap = words_counts[members][None, :, :] - counts[part][:, None, :]
-            fits = (np.maximum(gap, 0).sum(axis=2) <= 1) & (np.maximum(-gap, 0).sum(axis=2) <= down)
-            for q, m in zip(*np.nonzero(fits), strict=True):
-                i, j = int(part[q]), int(members[m])
+        its, norm = w[members].T, w_norm[members] - (1 + down)
+        step = max(1, (1 << 20) // len(members))
+        for k in range(0, len(rows), step):
+            part = rows[k : k + step]
+            found, which = np.nonzero(2 * (q[part] @ its) >= q_norm[part][:, None] + norm)
+            for i, j in zip(part[found].tolist(), members[which].tolist(), strict=True):
                 if queries[i] != words[j] and one_edit(queries[i], words[j]):
                     yield i, j
 
@@ -177,16 +190,17 @@ def near_pairs(queries: list[str], words: list[str], words_counts: np.ndarray, d
 def fit_trees(words: DataFrame, sample: int = SAMPLE_WORDS, cell: int = CELL_WORDS) -> dict[int, Tree]:
     """For each length of words with more than ``cell`` words a tree whose leaves are its cells.
 
-    Fitted on the ``sample`` words of least hash; all of it is as bounded as the sample.
-    Lengths are weighted as in the table: a length's sample is split until its cells stand
-    for ``cell`` words each, or for 16 words of the sample.
+    Fitted on the words whose hash falls below a share of all hashes, ``sample`` of them up to
+    chance (all, if there are fewer).  A length's part of the sample is split until its
+    cells stand for ``cell`` words each, or for 16 words of the sample: the trees have no
+    more than a sixteenth of the sample in cells.
     """
     total = words.count()
-    taken = words.select("word", F.xxhash64("word").alias("h")).orderBy("h", "word").limit(sample).select("word").toPandas()["word"]
+    share = min(1.0, sample / max(total, 1))
+    drawn = F.pmod(F.xxhash64("word"), F.lit(1 << 32)) < int(share * (1 << 32))
     by_length: dict[int, list[str]] = {}
-    for w in taken:
+    for w in words.where(drawn).select("word").toPandas()["word"]:
         by_length.setdefault(len(w), []).append(w)
-    share = len(taken) / total if total else 1.0
     return {n: Tree(letter_counts(group), max(16, math.ceil(cell * share))) for n, group in by_length.items() if len(group) > cell * share}
 
 
@@ -216,7 +230,8 @@ def routed(words: DataFrame, trees: dict[int, Tree]) -> DataFrame:
                 names=["len", "cell", "kind", "word", "n"],
             )
 
-    return words.select("word", "n").mapInArrow(route, "len int, cell int, kind int, word string, n long")
+    # Words of one length side by side: a batch then meets few trees.
+    return words.select("word", "n").sortWithinPartitions(F.length("word")).mapInArrow(route, "len int, cell int, kind int, word string, n long")
 
 
 def near_words(words: DataFrame, sample: int = SAMPLE_WORDS, cell: int = CELL_WORDS, part: int = PART_WORDS) -> DataFrame:
@@ -229,15 +244,16 @@ def near_words(words: DataFrame, sample: int = SAMPLE_WORDS, cell: int = CELL_WO
     dealt = joined.withColumn("part", F.explode(F.when(F.col("kind") == 0, home).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))))
 
     def search(table: pa.Table) -> pa.Table:
-        kinds = np.array(table.column("kind").to_pylist())
+        kinds = table.column("kind").to_numpy()
         all_words, n = table.column("word").to_pylist(), table.column("n").to_pylist()
         members = np.flatnonzero(kinds == 0)
         words = [all_words[k] for k in members]
         counts = letter_counts(words)
+        tree = Tree(counts, LEAF_WORDS)
         left, right = [], []
         for kind, down in ((1, 1), (2, 0)):
             asked = np.flatnonzero(kinds == kind)
-            for i, j in near_pairs([all_words[k] for k in asked], words, counts, down):
+            for i, j in near_pairs([all_words[k] for k in asked], words, tree, counts, down):
                 left.append(int(asked[i]))
                 right.append(int(members[j]))
                 if kind == 2:  # of two lengths only the shorter word asks
