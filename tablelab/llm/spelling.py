@@ -155,36 +155,46 @@ class Tree:
             stack.append((high, rows[keep], box | {d: (max(least, at + 1), most)}, rise[keep], dn[keep]))
 
 
-def one_edit(a: str, b: str) -> bool:
-    """Whether b is a with one letter replaced, or with one more."""
-    n = len(a)
-    k = 0
-    while k < n and a[k] == b[k]:
-        k += 1
-    if len(b) == n:
-        return k < n and a[k + 1 :] == b[k + 1 :]
-    return a[k:] == b[k + 1 :]
-
-
-def near_pairs(queries: list[str], words: list[str], tree: Tree, counts: np.ndarray, down: int) -> Iterator[tuple[int, int]]:
-    """Places (query, word) of all pairs one edit apart: one count up, ``down`` counts down.
-
-    Of words with as many letters the squared distance is then at most two, of words with
-    one letter more it is one: |q|^2 + |w|^2 - 2 q.w, in whole numbers."""
-    asked = letter_counts(queries)
-    exact = np.float32 if max((len(words[0]) if words else 0), 1) < 2000 else np.float64
+def spelled(words: list[str]) -> np.ndarray:
+    """The code points of words of one length, a row per word."""
+    codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return codes.reshape(len(words), -1) if len(codes) else np.empty((len(words), 0), np.uint32)
+
+
+def one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each row whether b is a with one letter replaced, or with one more."""
+    n = a.shape[1]
+    if b.shape[1] == n:
+        return (a != b).sum(axis=1) == 1
+    ahead = np.logical_and.accumulate(a == b[:, :n], axis=1).sum(axis=1)
+    behind = np.logical_and.accumulate((a == b[:, 1:])[:, ::-1], axis=1).sum(axis=1)
+    return ahead + behind >= n
+
+
+def near_pairs(queries: list[str], words: list[str], tree: Tree, counts: np.ndarray, down: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (queries, words) of all pairs one edit apart: one count up, ``down`` counts down.
+
+    Queries are of one length, and so are the words.  Of words with as many letters the
+    squared distance is then at most two, of words with one letter more it is one:
+    |q|^2 + |w|^2 - 2 q.w, in whole numbers."""
+    if not queries or not words:
+        return
+    asked, letters, its_letters = letter_counts(queries), spelled(queries), spelled(words)
+    exact = np.float32 if len(words[0]) < 2000 else np.float64
     q, w = asked.astype(exact), counts.astype(exact)
     q_norm, w_norm = (q * q).sum(axis=1), (w * w).sum(axis=1)
+    at_once = max(1, (1 << 21) // max(1, len(words[0])))
     for leaf, rows in tree.near(asked, down):
         members = tree.leaves[leaf]
         its, norm = w[members].T, w_norm[members] - (1 + down)
         step = max(1, (1 << 20) // len(members))
         for k in range(0, len(rows), step):
             part = rows[k : k + step]
-            found, which = np.nonzero(2 * (q[part] @ its) >= q_norm[part][:, None] + norm)
-            for i, j in zip(part[found].tolist(), members[which].tolist(), strict=True):
-                if queries[i] != words[j] and one_edit(queries[i], words[j]):
-                    yield i, j
+            hits = np.flatnonzero(2 * (q[part] @ its) >= q_norm[part][:, None] + norm)
+            for h in range(0, len(hits), at_once):
+                i, j = part[hits[h : h + at_once] // len(members)], members[hits[h : h + at_once] % len(members)]
+                near = one_edit(letters[i], its_letters[j])
+                yield i[near], j[near]
 
 
 def fit_trees(words: DataFrame, sample: int = SAMPLE_WORDS, cell: int = CELL_WORDS) -> dict[int, Tree]:
@@ -245,25 +255,21 @@ def near_words(words: DataFrame, sample: int = SAMPLE_WORDS, cell: int = CELL_WO
 
     def search(table: pa.Table) -> pa.Table:
         kinds = table.column("kind").to_numpy()
-        all_words, n = table.column("word").to_pylist(), table.column("n").to_pylist()
+        all_words = table.column("word").to_pylist()
         members = np.flatnonzero(kinds == 0)
         words = [all_words[k] for k in members]
         counts = letter_counts(words)
         tree = Tree(counts, LEAF_WORDS)
-        left, right = [], []
+        pairs = [(np.empty(0, np.int64),) * 2]
         for kind, down in ((1, 1), (2, 0)):
             asked = np.flatnonzero(kinds == kind)
             for i, j in near_pairs([all_words[k] for k in asked], words, tree, counts, down):
-                left.append(int(asked[i]))
-                right.append(int(members[j]))
+                pairs.append((asked[i], members[j]))
                 if kind == 2:  # of two lengths only the shorter word asks
-                    left.append(int(members[j]))
-                    right.append(int(asked[i]))
-        take = lambda values, at: [values[k] for k in at]
-        return pa.table(
-            {"word": pa.array(take(all_words, left), pa.string()), "n": pa.array(take(n, left), pa.int64()),
-             "other": pa.array(take(all_words, right), pa.string()), "other_n": pa.array(take(n, right), pa.int64())}
-        )
+                    pairs.append((members[j], asked[i]))
+        left, right = (pa.array(np.concatenate(x)) for x in zip(*pairs, strict=True))
+        word, n = table.column("word"), table.column("n")
+        return pa.table({"word": word.take(left), "n": n.take(left), "other": word.take(right), "other_n": n.take(right)})
 
     return dealt.groupBy("len", "cell", "part").applyInArrow(search, NEAR)
 
