@@ -14,24 +14,31 @@ from tablelab.functions import exact_sum
 from tablelab.plans.registry import register
 from tablelab.session import scratch_dir, session_fixture, table
 from tablelab.sources import derived as D
+from tablelab.streaming import late as L
 from tablelab.streaming import runner as R
 from tablelab.streaming import windows as W
 
 
+#: Rows of state that one partition takes: a few tens of MB.
+STATE_ROWS = 250_000
+
+
+def _session(spark, sf_dir, **conf):
+    """A session for a stream over events.  Its state has at most a row per event; every
+    micro-batch visits each of its partitions, so there are no more than that takes."""
+    rows = table(spark, sf_dir, "events").count()
+    return R.stream_session(spark, rows // STATE_ROWS + 1, **conf)
+
+
 def _events_stream(spark, sf_dir, **kw):
     schema = table(spark, sf_dir, "events").schema
     return R.file_stream(spark, sf_dir, schema, glob="events.parquet", **kw)
 
 
-def _state_partitions(spark) -> int:
-    # The state here is one row per open window (or session, or key within the
-    # watermark): small.  One state partition per core; every micro-batch visits all.
-    return spark.sparkContext.defaultParallelism
-
-
 def _run(spark, df, name):
+    """Runs the stream ``df``, of a session of its own, and returns its sink."""
     root = scratch_dir(spark, name)
-    R.run_available(df, f"{root}/sink", f"{root}/checkpoint", state_partitions=_state_partitions(spark))
+    R.run_available(df, f"{root}/sink", f"{root}/checkpoint")
     return R.read_sink(spark, f"{root}/sink", df.schema)
 
 
@@ -50,7 +57,7 @@ where window_start + interval '1 hour' <= (select max(ts) from events) - interva
 """,
 )
 def stream_tumbling(spark, sf_dir):
-    out = W.windowed(_events_stream(spark, sf_dir), "ts", "1 hour", _aggs(), delay="1 hour")
+    out = W.windowed(_events_stream(_session(spark, sf_dir), sf_dir), "ts", "1 hour", _aggs(), delay="1 hour")
     return _run(spark, out, "tumbling")
 
 
@@ -66,7 +73,7 @@ where window_start + interval '1 day' <= (select max(ts) from events) - interval
 """,
 )
 def stream_sliding(spark, sf_dir):
-    out = W.windowed(_events_stream(spark, sf_dir), "ts", "1 day", _aggs(), slide="6 hours", delay="1 hour")
+    out = W.windowed(_events_stream(_session(spark, sf_dir), sf_dir), "ts", "1 day", _aggs(), slide="6 hours", delay="1 hour")
     return _run(spark, out, "sliding")
 
 
@@ -85,7 +92,7 @@ having max(ts) + interval '6 hours' <= (select max(ts) from events) - interval '
 """,
 )
 def stream_session(spark, sf_dir):
-    out = W.sessions(_events_stream(spark, sf_dir), "user_id", "ts", "6 hours", _aggs(), delay="1 hour")
+    out = W.sessions(_events_stream(_session(spark, sf_dir, **W.SESSION_CONF), sf_dir), "user_id", "ts", "6 hours", _aggs(), delay="1 hour")
     return _run(spark, out, "session")
 
 
@@ -100,10 +107,10 @@ def stream_dedup(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     events.write.parquet(f"{root}/input/a")
     events.where(F.pmod("event_id", F.lit(3)) == 0).write.parquet(f"{root}/input/b")
-    src = R.file_stream(spark, f"{root}/input/*", events.schema)
+    src = R.file_stream(_session(spark, sf_dir), f"{root}/input/*", events.schema)
     out = W.dedup(src, "event_id", "ts", delay="1 day")
     for _ in range(2):
-        R.run_available(out, f"{root}/sink", f"{root}/checkpoint", state_partitions=_state_partitions(spark))
+        R.run_available(out, f"{root}/sink", f"{root}/checkpoint")
     return R.read_sink(spark, f"{root}/sink", events.schema)
 
 
@@ -124,8 +131,8 @@ def stream_resume(spark, sf_dir):
 
 
 BATCHES = 10
-#: Bytes of an arrivals file, before encoding, and of a row: three columns of eight bytes.
-FILE_BYTES, ROW_BYTES = 64 << 20, 24
+#: Bytes of an arrivals file, before encoding, and of a row: four columns of eight bytes.
+FILE_BYTES, ROW_BYTES = 64 << 20, 32
 
 _LATE_SQL = """
 with e as (
@@ -150,12 +157,12 @@ def late_arrivals(events):
     shifted = F.when(F.pmod("event_id", F.lit(20)) == 0, F.col("ts") - F.expr("INTERVAL 10 DAYS")).otherwise(F.col("ts"))
     return events.select(
         "event_id", F.floor(F.col("event_id") * BATCHES / n).cast("long").alias("batch"),
-        shifted.alias("ts"), "value",
+        shifted.alias("ts"), "user_id", "value",
     )
 
 
-def _arrive(spark, sf_dir):
-    """A stream of the arrivals, one micro-batch per arrival batch (the input is written
+def _arrive(spark, sf_dir, session=None):
+    """A stream of the arrivals in ``session``, one micro-batch per arrival batch (the input is written
     once per application).
 
     One pass splits them into a folder per batch.  The stream takes files in the order of
@@ -176,18 +183,42 @@ def _arrive(spark, sf_dir):
         return root, files
 
     root, files = session_fixture(spark, f"arrivals:{sf_dir}", write)
-    return R.file_stream(spark, f"{root}/input/*", schema, max_files_per_trigger=files)
+    return R.file_stream(session or spark, f"{root}/input/*", schema, max_files_per_trigger=files)
 
 
 @register("late_report", _LATE_SQL)
 def late_report(spark, sf_dir):
     # The engine's own count of late rows, from the progress of a real stream.
     root = scratch_dir(spark, "late-report")
-    out = W.dedup(_arrive(spark, sf_dir), "event_id", "ts", delay="1 hour")
-    progress = R.run_available(out, f"{root}/sink", f"{root}/checkpoint", state_partitions=_state_partitions(spark))
+    out = W.dedup(_arrive(spark, sf_dir, _session(spark, sf_dir)), "event_id", "ts", delay="1 hour")
+    progress = R.run_available(out, f"{root}/sink", f"{root}/checkpoint")
     return W.late_report(spark, progress)
 
 
+@register(
+    "late_rows",
+    """
+with e as (
+  select event_id, user_id, value, event_id * 10 // (select count(*) from events) as batch,
+         case when event_id % 20 = 0 then ts - interval '10 days' else ts end as ts
+  from events),
+b as (select batch, max(ts) as mx from e group by batch),
+w as (select batch, date_trunc('millisecond', max(mx) over (order by batch rows between unbounded preceding and 1 preceding))
+                    - interval '1 hour' as watermark from b),
+u as (select user_id % 4 as shard, batch, max(ts) as mx from e group by all),
+l as (select shard, batch, max(mx) over (partition by shard order by batch rows between unbounded preceding and 1 preceding) as latest from u)
+select e.event_id, e.ts, e.user_id, e.value, l.shard, coalesce(e.ts <= w.watermark, false) as late, w.watermark, l.latest
+from e join w using (batch) join l on l.shard = e.user_id % 4 and l.batch = e.batch
+""",
+)
+def late_rows(spark, sf_dir):
+    # Every arrival goes on, the late ones marked: rows in = on time + late.
+    # Python is called for each key and micro-batch, so the key is a shard, not a user.
+    own = _session(spark, sf_dir, **L.STATE_CONF)
+    arrivals = _arrive(spark, sf_dir, own).withColumn("shard", F.pmod("user_id", F.lit(4)))
+    return _run(spark, L.mark_late(arrivals, "shard", "ts", "1 hour", idle="60 days"), "late-rows")
+
+
 _LATE_WINDOWS_SQL = """
 with e as (
   select event_id * 10 // (select count(*) from events) as batch, value,
@@ -209,7 +240,7 @@ having window_start + interval '1 hour' <= (select max(ts) from e) - interval '1
 @register("stream_late_windows", _LATE_WINDOWS_SQL)
 def stream_late_windows(spark, sf_dir):
     # The oracle: rows whose window was open when they arrived, in windows that closed.
-    out = W.windowed(_arrive(spark, sf_dir), "ts", "1 hour", _aggs(), delay="1 hour")
+    out = W.windowed(_arrive(spark, sf_dir, _session(spark, sf_dir)), "ts", "1 hour", _aggs(), delay="1 hour")
     return _run(spark, out, "late-windows")
 
 

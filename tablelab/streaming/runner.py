@@ -26,6 +26,22 @@ BATCH = "tablelab_batch"
 _STARTING = threading.Lock()
 
 
+def stream_session(spark: SparkSession, state_partitions: int | None = None, **conf: str) -> SparkSession:
+    """A session of its own for a stream, with the caller's settings and these.
+
+    Settings that a stream's start reads (how many partitions its state has, where it is
+    kept) are made here, so the caller's session stays as it is."""
+    own = spark.newSession()
+    for k, v in dict(spark.conf.getAll).items():
+        if own.conf.isModifiable(k):
+            own.conf.set(k, v)
+    if state_partitions:
+        own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    for k, v in conf.items():
+        own.conf.set(k, v)
+    return own
+
+
 def file_stream(
     spark: SparkSession,
     path: str,
@@ -65,7 +81,8 @@ def run_available(
 
     ``state_partitions`` sizes the state of stateful operators (it is fixed in the
     checkpoint at the first run; later runs keep it).  Size it to the state, not to
-    the batch: every micro-batch visits every state partition.
+    the batch: every micro-batch visits every state partition.  It is set in the stream's
+    session while the query starts; a stream of ``stream_session`` has it from the outset.
     """
     if BATCH in df.columns:
         raise ValueError(f"the sink's folders are named after {BATCH}; rename that column")

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from tablelab.functions import instant_to_ntz, ntz_to_instant
 
 EVENT_TIME = "__event_time"
+#: Rows of a task become sessions before the shuffle of a stream.
+SESSION_CONF = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
 
 
 def _names(cols: str | Sequence[str] | None) -> list[str]:
@@ -67,12 +69,9 @@ def sessions(
     Returns keys, session_start, session_end (last event + gap), aggregates.
 
     A batch merges a task's rows into sessions before the shuffle, so a hot key sends a
-    row per session and task.  A stream does so where
-    ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition`` is true, which
-    this function sets for the session of ``df``."""
+    row per session and task.  A stream does so where its session has ``SESSION_CONF``
+    (``runner.stream_session(spark, **SESSION_CONF)``); no setting is made here."""
     keys = _names(keys)
-    if df.isStreaming:
-        df.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     ev = with_event_time(df, ts, delay)
     out = ev.groupBy(F.session_window(EVENT_TIME, gap).alias("s"), *keys).agg(*aggs)
     rest = [c for c in out.columns if c != "s"]
