@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablelab.operators import profile as P
+from tablelab.operators import sketches as K
 from tablelab.plans.registry import register
-from tablelab.session import table
+from tablelab.session import scratch_dir, table
 from tablelab.sources import generate as G
 from tablelab.sources import io as IO
 
@@ -82,27 +83,60 @@ _APPROX_SQL = "\nunion all\n".join(
 
 @register("approx_profile", _APPROX_SQL)
 def approx_profile(spark, sf_dir):
-    # The sketches of every column against exact figures of the same table.
+    # One scan.  Each figure is held against a sketch of another kind of the same scan: distinct
+    # counts against theta sketches, medians against the quantiles around the middle of a KLL sketch.
     li = table(spark, sf_dir, "lineitem").select(*_LINEITEM_COLS)
     found = P.approx_profile(li, rsd=0.02)
-    numeric = [c for c in _LINEITEM_COLS if c in _LINEITEM_NUMERIC]
-    # Exact figures by narrow scans of one column each: several distinct counts at once
-    # would expand the rows.
-    def exact(c):
-        values = li.groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-        inner = F.lit(None).cast("array<double>")
-        if c in numeric:
-            inner = F.percentile(F.col(c).cast("double"), F.array(F.lit(0.49), F.lit(0.51)), F.col("n"))
-        return values.agg(F.lit(c).alias("name"), F.count(c).alias("distinct_values"), inner.alias("around_median"))
-
-    told = IO.union_all([exact(c) for c in _LINEITEM_COLS])
-    error = F.abs(F.col("approx_distinct") - F.col("distinct_values"))
-    return found.join(told, F.col("column_name") == F.col("name")).select(
-        "column_name", (error <= 0.1 * F.col("distinct_values") + 1).alias("distinct_within"),
-        F.col("p50").between(F.col("around_median")[0], F.col("around_median")[1]).alias("median_within"),
+    other = K.profile_parts(li)
+    error = F.abs(F.col("approx_distinct") - F.theta_sketch_estimate("keys"))
+    at = lambda p: F.kll_sketch_get_quantile_double("quantiles", F.lit(p))
+    return found.join(other, "column_name").select(
+        "column_name", (error <= 0.1 * F.theta_sketch_estimate("keys") + 1).alias("distinct_within"),
+        F.when(F.col("quantiles").isNotNull(), F.col("p50").between(at(0.5 - K.RANK_ERROR), at(0.5 + K.RANK_ERROR))).alias("median_within"),
     )
 
 
+_STORED_SQL = "\nunion all\n".join(
+    f"select '{c}' as column_name, count({c}) as n, count(*) - count({c}) as nulls, "
+    + (f"cast(min({c}) as double) as least, cast(max({c}) as double) as most, " if c in _LINEITEM_NUMERIC else "cast(null as double) as least, cast(null as double) as most, ")
+    + f"true as merged_is_whole, {'true' if c in _LINEITEM_NUMERIC else 'cast(null as boolean)'} as median_within from lineitem having count(*) > 0"
+    for c in _LINEITEM_COLS
+)
+
+
+@register("stored_profile", _STORED_SQL)
+def stored_profile(spark, sf_dir):
+    # Two parts, as if appended one after the other, profiled apart and stored; the whole is
+    # the merge of the stored rows and is held against a profile of the whole table.
+    li = table(spark, sf_dir, "lineitem")
+    part = F.when(F.pmod("l_orderkey", F.lit(2)) == 0, F.lit("even")).otherwise(F.lit("odd"))
+    path = scratch_dir(spark, "profiles")
+    K.profile_parts(li.withColumn("part", part), _LINEITEM_COLS, by="part").write.parquet(path)
+    merged = K.merge_profiles(spark.read.parquet(path))
+    whole = K.profile_parts(li, _LINEITEM_COLS).select("column_name", F.col("distinct").alias("d"), F.col("quantiles").alias("q"))
+    both = K.figures(merged, (0.5,)).join(whole, "column_name")
+    close = F.abs(F.col("approx_distinct") - F.hll_sketch_estimate("d")) <= K.DISTINCT_ERROR * F.hll_sketch_estimate("d")
+    at = lambda p: F.kll_sketch_get_quantile_double("q", F.lit(p))
+    number = F.col("q").isNotNull()
+    return both.select(
+        "column_name", "n", "nulls", F.when(number, F.col("min_value").try_cast("double")).alias("least"),
+        F.when(number, F.col("max_value").try_cast("double")).alias("most"), close.alias("merged_is_whole"),
+        F.when(number, F.col("p50").between(at(0.5 - 2 * K.RANK_ERROR), at(0.5 + 2 * K.RANK_ERROR))).alias("median_within"),
+    )
+
+
+@register(
+    "frequent_keys",
+    """
+with s as (select case when event_id % 10 < 8 then 1 else user_id + 2 end as customer_id from events)
+select customer_id, count(*) as n from s group by customer_id having count(*) >= 0.01 * (select count(*) from s)
+""",
+)
+def frequent_keys(spark, sf_dir):
+    skewed = G.skew_keys(table(spark, sf_dir, "events"), "event_id", "user_id")
+    return K.frequent_keys(skewed, "customer_id", 0.01)
+
+
 # --- skew_ratio ----------------------------------------------------------------
 
 

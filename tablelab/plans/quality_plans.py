@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablelab.operators import infer as N
 from tablelab.operators import quality as Q
 from tablelab.plans.registry import register
 from tablelab.session import scratch_dir, table
@@ -174,6 +175,67 @@ def schema_reconcile(spark, sf_dir):
     return fixed.drop(Q.EXTRA, Q.FAILED)
 
 
+_ORDER_COLS = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority", "urgent"]
+
+
+def _order_lines(orders: DataFrame) -> DataFrame:
+    """``orders`` as CSV text without types: one price in a thousand unreadable, some customers missing."""
+    price = F.when(F.pmod("o_orderkey", F.lit(1000)) == 7, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string"))
+    customer = F.when(F.pmod("o_orderkey", F.lit(9)) != 0, F.col("o_custkey")).cast("string")
+    fields = [
+        F.col("o_orderkey").cast("string"), F.coalesce(customer, F.lit("")), price, F.col("o_orderdate").cast("date").cast("string"),
+        F.concat(F.lit('"'), "o_orderpriority", F.lit('"')), (F.col("o_orderpriority") == "1-URGENT").cast("string"),
+    ]
+    return orders.select(F.concat_ws(",", *fields).alias("value"))
+
+
+@register(
+    "infer_csv_types",
+    """
+with o as (select *, case when o_orderkey % 1000 = 7 then 1 else 0 end as odd from orders)
+select 'o_orderkey' as column_name, 'bigint' as type, count(*) as n, 0 as nulls, null::varchar as mostly, null::bigint as misfits, null::varchar as example from o
+union all select 'o_custkey', 'bigint', count_if(o_custkey is not null and o_orderkey % 9 <> 0), count_if(o_custkey is null or o_orderkey % 9 = 0), null, null, null from o
+union all select 'o_totalprice', case when sum(odd) > 0 then 'string' else 'double' end, count(*), 0,
+  case when sum(odd) > 0 then 'double' end, case when sum(odd) > 0 then sum(odd) end, case when sum(odd) > 0 then 'n/a' end from o
+union all select 'o_orderdate', 'date', count(*), 0, null, null, null from o
+union all select 'o_orderpriority', 'string', count(*), 0, null, null, null from o
+union all select 'urgent', 'boolean', count(*), 0, null, null, null from o
+""",
+)
+def infer_csv_types(spark, sf_dir):
+    cells = N.csv_cells(_order_lines(table(spark, sf_dir, "orders")), ",".join(_ORDER_COLS))
+    return N.types_of(N.lattice(cells))
+
+
+def _event_objects(events: DataFrame) -> DataFrame:
+    """``events`` as JSON objects: numbers that are text now and then, a nested object, an optional field."""
+    number = F.col("value").cast("decimal(18,2)").cast("string")
+    value = F.when(F.pmod("event_id", F.lit(100)) == 3, F.concat(F.lit('"'), number, F.lit(' eur"'))).otherwise(number)
+    at = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    extra = F.when(F.pmod("event_id", F.lit(4)) == 0, F.concat(F.lit(',"seen":'), (F.col("user_id") % 2 == 0).cast("string"))).otherwise(F.lit(""))
+    parts = [
+        F.lit('{"id":'), F.col("event_id").cast("string"), F.lit(',"value":'), value, F.lit(',"at":"'), at, F.lit('","props":'), F.col("props"),
+        extra, F.lit("}"),
+    ]
+    return events.select(F.concat(*parts).alias("value"))
+
+
+@register(
+    "infer_json_types",
+    """
+select 'id' as column_name, 'bigint' as type, count(*) as n, 0 as nulls, null::varchar as mostly, null::bigint as misfits, null::varchar as example from events
+union all select 'value', 'string', count(*), 0, 'double', count_if(event_id % 100 = 3),
+  min(case when event_id % 100 = 3 then concat('"', cast(cast(value as decimal(18,2)) as varchar), ' eur"') end) from events
+union all select 'at', 'timestamp_ntz', count(*), 0, null, null, null from events
+union all select 'props', 'object', count(*), 0, null, null, null from events
+union all select 'props.k', 'bigint', count(*), 0, null, null, null from events
+union all select 'seen', 'boolean', count_if(event_id % 4 = 0), 0, null, null, null from events
+""",
+)
+def infer_json_types(spark, sf_dir):
+    return N.types_of(N.lattice(N.json_cells(_event_objects(table(spark, sf_dir, "events")), depth=2)))
+
+
 # --- expectations ----------------------------------------------------------------
 
 from tablelab.operators import expect as X  # noqa: E402
