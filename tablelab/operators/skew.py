@@ -17,6 +17,7 @@ never from ``rand()`` or row ids that change when a task is retried.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -27,6 +28,8 @@ from pyspark.sql import functions as F
 from tablelab.functions import col_of
 
 DECOMPOSABLE = ("sum", "count", "min", "max", "avg")
+#: Hot keys that are broadcast at most: some MB.
+MAX_HOT = 100_000
 JOIN_TYPES = ("inner", "left", "left_semi", "left_anti")
 
 
@@ -120,13 +123,17 @@ def salted_join(
     n: int = 16,
     how: str = "inner",
     hot_keys: DataFrame | None = None,
+    hot_bound: int | None = None,
 ) -> DataFrame:
     """Join ``big`` to ``small`` on ``keys`` with the big side's hot keys spread over ``n`` salts.
 
     ``hot_keys``: a DataFrame of key values, all of which are salted on the big side and
     replicated on the small one; other keys keep salt 0, so ``small`` is not copied as a
-    whole.  How the list is joined is left to the engine, which knows its size.  Without
-    it every key is salted.  Rows with a null key match nothing and are spread as well.
+    whole.  The list is broadcast: joined by a shuffle, it would bring every row of a hot key
+    to one task before it has a salt.  ``hot_bound`` is how many keys it provably has at
+    most (``1 / threshold`` for ``hot_keys``); without it the list is counted, the one job
+    this function runs.  Beyond ``MAX_HOT`` keys, and without a list, every key is salted.
+    Rows with a null key match nothing and are spread as well.
     ``how`` is inner, left (big side preserved), left_semi or left_anti; outer joins
     preserving ``small`` are rejected because its replicas would repeat.
     """
@@ -135,8 +142,10 @@ def salted_join(
         raise ValueError(f"how must be one of {JOIN_TYPES}; right/full outer would repeat replicated rows")
     salt = row_salt(n, salt_cols)
     replicas = F.sequence(F.lit(0), F.lit(n - 1))
-    if hot_keys is not None:
-        hot = hot_keys.select(*keys).distinct().withColumn("__hot", F.lit(True))
+    if hot_keys is not None and hot_bound is None:
+        hot_bound = hot_keys.select(*keys).distinct().limit(MAX_HOT + 1).count()
+    if hot_keys is not None and hot_bound <= MAX_HOT:
+        hot = F.broadcast(hot_keys.select(*keys).distinct().withColumn("__hot", F.lit(True)))
         big = big.join(hot, keys, "left")
         small = small.join(hot, keys, "left")
         null_key = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
@@ -177,7 +186,7 @@ def hot_key_join(
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
     keys = _names(keys)
-    return salted_join(big, small, keys, salt_cols, n, how, F.broadcast(hot_keys(big, keys, threshold)))
+    return salted_join(big, small, keys, salt_cols, n, how, hot_keys(big, keys, threshold), math.ceil(1 / threshold))
 
 
 def preagg_join(

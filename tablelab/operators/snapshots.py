@@ -211,8 +211,15 @@ class Snapshots:
         values = [F.first(F.col(f"`{c}`")).alias(c) for c in cols]
         net = both.groupBy(*keys).agg(F.sum("__n").alias("__n"), *values).where("__n <> 0")
         change = F.when(F.col("__n") > 0, F.lit("added")).otherwise(F.lit("removed"))
-        times = F.explode(F.sequence(F.lit(1), F.abs("__n").cast("int")))
-        return net.select(change.alias("change"), *quoted, times.alias("__t")).drop("__t")
+        # A row met often is repeated in two steps, so that no array holds all its repeats.
+        last = F.abs("__n") - 1
+        runs = net.select(change.alias("change"), *quoted, last.alias("__last"), F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / REPEATS).cast("long"))).alias("__run"))
+        within = F.least(F.lit(REPEATS - 1), F.col("__last") - F.col("__run") * REPEATS)
+        return runs.select("change", *quoted, F.explode(F.sequence(F.lit(0).cast("long"), within.cast("long"))).alias("__t")).drop("__t")
+
+
+#: Repeats of a row that are made at once.
+REPEATS = 1 << 18
 
 
 #: Number types that hold every value of a narrower one, narrowest first.

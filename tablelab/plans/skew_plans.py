@@ -53,7 +53,7 @@ def salted_join(spark, sf_dir):
     # The hot keys are known beforehand: the rule that skews the table has one.
     events, customers = _sides(spark, sf_dir)
     known = spark.createDataFrame([(1,)], "customer_id long")
-    return S.salted_join(events, customers, "customer_id", ["event_id"], n=8, hot_keys=known)
+    return S.salted_join(events, customers, "customer_id", ["event_id"], n=8, hot_keys=known, hot_bound=1)
 
 
 @register("salted_join_hot", _JOINED.format(how="left"))

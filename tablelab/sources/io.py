@@ -132,6 +132,17 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None, recursiv
     )
 
 
+def file_rows(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
+    """file_path, file_name, rows of the Parquet files under ``root``, whatever their columns, in one scan.
+
+    No column of theirs is asked for, so footers alone are read."""
+    r = spark.read.schema("`__none` string").option("recursiveFileLookup", "true")
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    files = r.parquet(escape_glob(root)).select("_metadata.file_path", "_metadata.file_name")
+    return files.groupBy("file_path", "file_name").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def file_inventory(spark: SparkSession, root: str, expected: Sequence[str], glob: str | None = None) -> DataFrame:
     """Which of the ``expected`` file names exist under ``root``: name, present, length.
 

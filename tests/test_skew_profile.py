@@ -280,3 +280,16 @@ def test_multi_column_keys(spark, skewed):
     for how in ("inner", "left"):
         out = S.hot_key_join(two, dim, ["customer_id", "region"], ["transaction_id"], threshold=0.1, how=how)
         assert sorted_rows(out, *cols) == sorted_rows(two.join(dim, ["customer_id", "region"], how), *cols)
+
+
+def test_a_long_list_of_hot_keys_salts_every_key(spark, monkeypatch):
+    big = spark.range(3000).selectExpr("id", "id % 300 as k")
+    small = spark.range(300).selectExpr("id as k", "id * 2 as v")
+    hot = spark.range(200).selectExpr("id as k")
+    want = sorted(map(tuple, big.join(small, "k").select("id", "k", "v").collect()))
+    for most in (1000, 50):
+        monkeypatch.setattr(S, "MAX_HOT", most)
+        joined = S.salted_join(big, small, "k", ["id"], n=4, hot_keys=hot)
+        plan = joined._jdf.queryExecution().optimizedPlan().toString()
+        assert ("__hot" in plan) == (most == 1000)
+        assert sorted(map(tuple, joined.select("id", "k", "v").collect())) == want

@@ -411,3 +411,15 @@ def test_progress_of_every_batch_is_kept_and_files_follow_the_rows(spark, monkey
     assert files == -(-max(rows.values()) // 30) > 2
     for b in rows:
         assert len(glob.glob(f"{shared.removeprefix('file:')}/input/b{b:02d}/*.parquet")) == files
+
+
+def test_a_row_repeated_ten_million_times(spark):
+    from tablelab.operators.snapshots import Snapshots
+    from tablelab.session import scratch_dir
+
+    snaps = Snapshots(spark, scratch_dir(spark, "repeats"))
+    n = 10_000_001
+    snaps.commit(spark.range(n).selectExpr("7 as v"), "overwrite")
+    snaps.commit(spark.range(3).selectExpr("7 as v"), "overwrite")
+    changes = snaps.changes(0, 1).groupBy("change", "v").count().collect()
+    assert [tuple(r) for r in changes] == [("removed", 7, n - 3)]
