@@ -74,15 +74,15 @@ def plan_mix(
     weights: Sequence[int] = WEIGHTS,
     max_repeat: int = MAX_REPEAT,
     seed: str = SEED,
+    out_col: str = "mix",
 ) -> DataFrame:
     """All rows of ``docs`` with ``mix``: struct(size, source_size, target, copies).
 
     A null or wordless text has size 0; the null source is a source.  Equal ids draw
     alike, so repeated rows are taken equally often; a null id draws as the empty one.
-    Columns of ``docs`` may have any names; one named ``mix`` is replaced.
+    Columns of ``docs`` may have any names; where one is named ``mix``, the struct is ``_mix``.
     """
-    docs = docs.drop("mix")
-    size, key, isnull = fresh(docs, "_mix_size", "_mix_source", "_mix_null")
+    size, key, isnull, told, out_col = fresh(docs, "_mix_size", "_mix_source", "_mix_null", "_mix_target", out_col)
     sized = docs.withColumn(size, n_words(col(text_col)))
     totals = (
         sized.groupBy(col(source_col).alias("source")).agg(F.sum(col(size)).alias("source_size"))
@@ -92,25 +92,27 @@ def plan_mix(
     targets = settled(source_targets(totals, weights, max_repeat), "targets").select(
         F.coalesce("source", F.lit("")).alias(key),
         F.isnull("source").alias(isnull),
-        F.struct("source_size", "target").alias("_mix_target"),
+        F.struct("source_size", "target").alias(told),
     )
     joined = sized.withColumn(key, F.coalesce(col(source_col), F.lit(""))).withColumn(isnull, F.isnull(col(source_col)))
     joined = joined.join(targets, [key, isnull], "left")
-    t = F.col("_mix_target")
+    t = col(told)
     rate = F.when(t["source_size"] > 0, t["target"] / t["source_size"]).otherwise(F.lit(0.0))
     copies = F.floor(rate) + F.when(draw(col(id_col), seed) < rate - F.floor(rate), 1).otherwise(0)
     mix = F.struct(
         col(size).alias("size"), t["source_size"].alias("source_size"), t["target"].alias("target"),
         copies.cast("long").alias("copies"),
     )
-    return joined.select(*[col(c) for c in docs.columns], mix.alias("mix"))
+    return joined.select(*[col(c) for c in docs.columns], mix.alias(out_col))
 
 
 def mix(docs: DataFrame, copy_col: str = "copy", **kwargs) -> DataFrame:
-    """The mixed corpus: every document as often as it is taken, copies numbered from 0."""
-    planned = plan_mix(docs, **kwargs)
-    copy_col = fresh(docs, copy_col)[0]
-    return planned.where(F.col("mix.copies") > 0).select(
-        *[col(c) for c in docs.drop("mix").columns],
-        F.explode(F.sequence(F.lit(0), (F.col("mix.copies") - 1).cast("int"))).alias(copy_col),
+    """The mixed corpus: every document as often as it is taken, copies numbered from 0.
+
+    All columns of ``docs`` go through, whatever their names."""
+    copy_col, plan_col = fresh(docs, copy_col, kwargs.pop("out_col", "mix"))
+    copies = col(plan_col)["copies"]
+    planned = plan_mix(docs, out_col=plan_col, **kwargs)
+    return planned.where(copies > 0).select(
+        *[col(c) for c in docs.columns], F.explode(F.sequence(F.lit(0), (copies - 1).cast("int"))).alias(copy_col)
     )

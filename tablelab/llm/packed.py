@@ -4,7 +4,7 @@ Operators that must compare every word window of a corpus would shuffle a row pe
 Here documents are dealt into groups of a few megabytes; a group sends, for each hash
 bucket, one row with its distinct window hashes as packed bytes, and gets one row back
 with an answer per hash, in the same order.  Spark does the dealing, grouping and
-joining; numpy works within one group or bucket, both of bounded size.
+joining; numpy works within one group or bucket, whose sizes ``sizes`` chooses.
 
 A hash met in most documents is sent once per group, so no bucket grows with the
 number of copies of a passage.
@@ -12,6 +12,7 @@ number of copies of a passage.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 import numpy as np
@@ -22,8 +23,11 @@ from pyspark.sql import functions as F
 
 from tablelab.llm.common import col
 
+#: Text of a group and of a bucket, as long as a packed row then holds enough hashes.
 GROUP_BYTES = 2 << 20
 BUCKET_BYTES = 16 << 20
+#: Hashes a packed row holds at least, and bytes of text that one hash stands for, about.
+ROW_HASHES, HASH_BYTES = 64, 6
 #: Sent bits of a hash besides those that name its bucket.
 SENT_BITS = 40
 #: Odd multipliers for rolling and mixing (fixed values: golden ratio, and the two of
@@ -32,16 +36,35 @@ GOLDEN, MIX1, MIX2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E
 NULL_ID = np.iinfo(np.int64).max
 
 
+def sizes(total: int, group_bytes: int, bucket_bytes: int) -> tuple[int, int]:
+    """Bytes of text of a group and of a bucket for ``total`` bytes.
+
+    A group sends a row to each bucket, so a row holds ``group * bucket / total`` bytes' worth
+    of hashes: sizes that stay as they are would bring it down to a row per word.  Where it
+    would hold fewer than ``ROW_HASHES``, groups grow up to the size of buckets, then both with
+    the square root of the corpus: 46 MB each at 3 TB, 264 MB each at 100 TB, which takes some
+    4 GB of memory a task.
+    """
+    need = 2 * ROW_HASHES * HASH_BYTES * total  # twice, as buckets are a power of two
+    if group_bytes * bucket_bytes >= need:
+        return group_bytes, bucket_bytes
+    largest = max(group_bytes, bucket_bytes)
+    if group_bytes < largest and need <= largest * bucket_bytes:
+        return -(-need // bucket_bytes), bucket_bytes
+    side = math.isqrt(need) + 1
+    return max(group_bytes, side), max(bucket_bytes, side)
+
+
 def dealt(docs: DataFrame, id_col: str, text_col: str, group_col: str) -> tuple[DataFrame, int]:
     """``docs`` with a group number, and how many bits name a bucket.
 
-    The counts of groups and buckets follow the bytes of text, measured by one scan, so
-    both keep their size whatever the size of the corpus.  Rows that share an id but not
-    their text are spread.
+    The counts of groups and buckets follow the bytes of text, measured by one scan
+    (``sizes``).  Rows that share an id but not their text are spread.
     """
     total = docs.agg(F.sum(F.octet_length(col(text_col)).cast("long"))).first()[0] or 0
-    groups = total // GROUP_BYTES + 1
-    bits = max(1, int(total // BUCKET_BYTES).bit_length())
+    group, bucket = sizes(total, GROUP_BYTES, BUCKET_BYTES)
+    groups = total // group + 1
+    bits = max(1, int(total // bucket).bit_length())
     return docs.withColumn(group_col, F.pmod(F.xxhash64(col(id_col), col(text_col)), F.lit(groups)).cast("long")), bits
 
 

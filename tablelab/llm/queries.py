@@ -37,26 +37,34 @@ def query(name: str, sql: str | None = None):
 
 
 @query("op1_warc", r"""
-WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
-h AS (SELECT page_id, octet_length(body) AS payload_bytes, sha1(body) AS hex FROM p),
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS html, encode(coalesce(html, '')) AS body FROM pages),
+h AS (SELECT *, octet_length(body) AS payload_bytes, sha1(body) AS hex, sha256(body) AS key FROM p),
 d AS (
-  SELECT page_id, payload_bytes, list_aggregate(list_transform(range(32), lambda i:
+  SELECT page_id, url, html, key, payload_bytes, list_aggregate(list_transform(range(32), lambda i:
     substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
       1 + (((('0x' || substr(hex, 5 * (i // 4)::INT + 1, 5))::BIGINT) >> (15 - 5 * (i % 4))::INT) & 31)::INT, 1)),
-    'string_agg', '') AS payload_digest FROM h)
-SELECT page_id, payload_bytes, payload_digest,
-  CASE WHEN page_id = max(page_id) OVER w THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN page_id = max(page_id) OVER w THEN NULL ELSE max(page_id) OVER w END AS refers_to
-FROM d WINDOW w AS (PARTITION BY payload_digest)
+    'string_agg', '') AS payload_digest FROM h),
+r AS (
+  SELECT *, CASE WHEN page_id = max(page_id) OVER w THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id = max(page_id) OVER w THEN NULL ELSE max(page_id) OVER w END AS refers_to
+  FROM d WINDOW w AS (PARTITION BY key)),
+u AS (SELECT *, replace(replace(replace(replace(url, '%0D', '%250D'), '%0A', '%250A'), chr(13), '%0D'), chr(10), '%0A') AS uri, chr(13) || chr(10) AS nl FROM r)
+SELECT page_id, payload_bytes, payload_digest, record_type, refers_to,
+  sha256('WARC/1.1' || nl || 'WARC-Type: ' || record_type || nl || 'WARC-Record-ID: <urn:x-record:' || coalesce(page_id::VARCHAR, '') || '>' || nl
+    || 'WARC-Date: 1970-01-01T00:00:00Z' || nl || coalesce('WARC-Target-URI: ' || uri || nl, '') || 'WARC-Payload-Digest: sha1:' || payload_digest || nl
+    || 'X-Payload-SHA256: ' || key || nl || CASE record_type WHEN 'response' THEN 'Content-Type: text/html; charset=utf-8' || nl ELSE
+      'WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest' || nl || 'WARC-Refers-To: <urn:x-record:' || refers_to || '>' || nl END
+    || 'Content-Length: ' || CASE record_type WHEN 'response' THEN payload_bytes ELSE 0 END || nl || nl || html || nl || nl) AS record_sha256
+FROM u
 """)
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """pages archived as WARC, read back, revisits restored through the payloads' digests."""
+    """pages archived as WARC, read back, and every record rebuilt: its headers with the whole payload."""
     path = scratch_dir(spark, "warc")
     warc.write_warc(warc.plan_records(table(spark, sf_dir, "pages")), path)
-    back = warc.restore(warc.read_warc(spark, path, payloads=False))
+    back = warc.original_record(warc.restore(warc.read_warc(spark, path)))
     return back.select(
         F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
-        F.col("refers_to").cast("long").alias("refers_to"),
+        F.col("refers_to").cast("long").alias("refers_to"), F.sha2("record", 256).alias("record_sha256"),
     )
 
 

@@ -1,13 +1,16 @@
 """Content-addressed WARC archive.
 
-Payload bytes are stored once, under their digest, in WARC ``response`` records; each
-other capture of the same bytes is a ``revisit`` record of headers alone.  Reading
-parses the files by their Content-Length, recomputes every digest from the bytes read
-and raises where one differs, keeps each record's header block as it was written, and
-restores full records by joining headers and payloads on the digest.
+Payload bytes are stored once, under their SHA-256, in WARC ``response`` records; each
+other capture of the same bytes is a ``revisit`` record of headers alone.  The SHA-1 that
+WARC readers look for is written too, but nothing is found by it.  Reading parses the files
+by their Content-Length, recomputes both digests from the bytes read and raises where one
+differs, keeps each record's header block as it was written, and restores full records by
+joining the revisits' headers with the payloads they refer to; responses have their own.
 
 Files are written by Spark's text writer (so by its commit protocol, on any store):
-one row per record, CR LF CR LF after each, which is WARC's own record end.
+one row per record, CR LF CR LF after each, which is WARC's own record end.  A file takes
+no more than ``FILE_BYTES`` of payload, or one record: records are written by classes of
+size, each with as many to a file as its largest allow.
 """
 
 from __future__ import annotations
@@ -28,11 +31,13 @@ CRLF = "\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 RECORD_URN = "urn:x-record:"
 DATE = "1970-01-01T00:00:00Z"
-RECORDS_PER_FILE = 2000
+KEY_FIELD = "X-Payload-SHA256"
+#: Payload bytes of a file at most, unless one record is larger; records of a file at most.
+FILE_BYTES, RECORDS_PER_FILE = 256 << 20, 2000
 
 READ_SCHEMA = (
     "file string, record_id string, record_type string, refers_to string, target_uri string, "
-    "payload_digest string, payload_bytes long, header string, payload binary"
+    "payload_digest string, store_key string, payload_bytes long, header string, payload binary"
 )
 
 
@@ -55,7 +60,9 @@ def plan_records(
     uri_col: str | None = "url",
     min_revisit_bytes: int = 0,
 ) -> DataFrame:
-    """``(id, uri, payload, digest, bytes, refers_to)`` per row: what is to be archived.
+    """``(id, uri, payload, digest, key, bytes, refers_to)`` per row: what is to be archived.
+
+    ``key`` is the payload's SHA-256, by which equal payloads are found, ``digest`` its SHA-1.
 
     Of rows with equal payloads of ``min_revisit_bytes`` or more, that with the largest
     id (null is least) is the response, ``refers_to`` null; the others refer to its id.
@@ -67,21 +74,22 @@ def plan_records(
         (col(uri_col).cast("string") if uri_col else F.lit(None).cast("string")).alias("uri"),
         payload.alias("payload"),
         base32_sha1(payload).alias("digest"),
+        F.sha2(payload, 256).alias("key"),
         F.octet_length(payload).cast("long").alias("bytes"),
     )
     # Only digests met more than once need the join.  Their table is written first: while
     # it is small it is broadcast, and the payloads aren't shuffled.
     shared = settled(
         rows.where(F.col("bytes") >= min_revisit_bytes)
-        .groupBy("digest")
+        .groupBy("key")
         .agg(F.max("id").alias("response"), F.count("*").alias("n"))
         .where("n > 1")
-        .select("digest", "response"),
-        "shared-digests",
+        .select("key", "response"),
+        "shared-payloads",
     )
-    joined = rows.join(shared, "digest", "left")
+    joined = rows.join(shared, "key", "left")
     revisit = (F.col("bytes") >= min_revisit_bytes) & F.col("response").isNotNull() & ~F.col("id").eqNullSafe(F.col("response"))
-    return joined.select("id", "uri", "payload", "digest", "bytes", F.when(revisit, F.col("response")).alias("refers_to"))
+    return joined.select("id", "uri", "payload", "digest", "key", "bytes", F.when(revisit, F.col("response")).alias("refers_to"))
 
 
 def _one_line(value: Column) -> Column:
@@ -91,8 +99,14 @@ def _one_line(value: Column) -> Column:
     return value
 
 
-def write_warc(planned: DataFrame, path: str, date: str = DATE, records_per_file: int = RECORDS_PER_FILE) -> None:
-    """Write the rows of ``plan_records`` as gzipped WARC files below ``path``."""
+def write_warc(
+    planned: DataFrame, path: str, date: str = DATE, records_per_file: int = RECORDS_PER_FILE, file_bytes: int = FILE_BYTES
+) -> None:
+    """Write the rows of ``plan_records`` as gzipped WARC files below ``path``, which must be new.
+
+    One pass finds which classes of size there are: payloads of up to ``file_bytes`` by
+    ``records_per_file`` bytes, then by powers of two.  Most archives have a few; each is one
+    write.  All rows of the first class, where it is the only one, are one pass."""
     revisit = F.col("refers_to").isNotNull()
 
     def line(name: str, value: Column) -> Column:
@@ -106,6 +120,7 @@ def write_warc(planned: DataFrame, path: str, date: str = DATE, records_per_file
         line("WARC-Date", F.lit(date)),
         F.coalesce(line("WARC-Target-URI", _one_line(F.col("uri"))), F.lit("")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
+        line(KEY_FIELD, F.col("key")),
         F.when(
             revisit,
             F.concat(
@@ -118,14 +133,20 @@ def write_warc(planned: DataFrame, path: str, date: str = DATE, records_per_file
     )
     body = F.when(revisit, F.lit(b"")).otherwise(F.col("payload"))
     record = F.concat(header.cast("binary"), body).cast("string")
-    (
-        planned.select(record.alias("value"))
-        .write.option("lineSep", CRLF * 2)
-        .option("compression", "gzip")
-        .option("maxRecordsPerFile", records_per_file)
-        .mode("errorifexists")
-        .text(path)
-    )
+    limit = max(1, file_bytes // records_per_file)
+    size = F.when(revisit, F.lit(0)).otherwise(F.col("bytes"))
+    kind = F.when(size <= limit, F.lit(0)).otherwise(F.ceil(F.log2(size / limit))).cast("int")
+    classes = sorted(r[0] for r in planned.select(kind.alias("k")).distinct().collect()) or [0]
+    for k in classes:
+        rows = planned if classes == [k] else planned.where(kind == k)
+        (
+            rows.select(record.alias("value"))
+            .write.option("lineSep", CRLF * 2)
+            .option("compression", "gzip")
+            .option("maxRecordsPerFile", max(1, records_per_file >> k))
+            .mode("errorifexists")
+            .text(f"{path}/size-{k}")
+        )
 
 
 def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], str, bytes]]:
@@ -168,16 +189,17 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
                 rows, held = [], 0
                 for fields, header, body in parse_warc(data):
                     kind, told = fields["warc-type"], fields.get("warc-payload-digest", "").removeprefix("sha1:") or None
+                    store_key = fields.get(KEY_FIELD.lower())
                     if kind != "revisit":
-                        found = base64.b32encode(hashlib.sha1(body).digest()).decode()
-                        if told not in (None, found):
+                        found = base64.b32encode(hashlib.sha1(body).digest()).decode(), hashlib.sha256(body).hexdigest()
+                        if told not in (None, found[0]) or store_key not in (None, found[1]):
                             raise ValueError(f"digest differs: {fields.get('warc-record-id')} in {name}")
-                        told = found
+                        told, store_key = found
                     real = None if kind == "revisit" else body
                     rows.append(
                         (
                             name.as_py(), urn(fields.get("warc-record-id")), kind, urn(fields.get("warc-refers-to")),
-                            fields.get("warc-target-uri"), told, None if real is None else len(body), header,
+                            fields.get("warc-target-uri"), told, store_key, None if real is None else len(body), header,
                             real if payloads else None,
                         )
                     )
@@ -214,27 +236,33 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def payload_store(records: DataFrame) -> DataFrame:
-    """``(payload_digest, payload_bytes, payload)``, each payload once.
+    """``(store_key, payload_digest, payload_bytes, payload)``, each payload once, by its SHA-256.
 
-    Two payloads under one digest that differ in length raise.  Repeated copies are
-    merged by partial aggregation, so a payload met everywhere is not gathered.
-    """
-    store = records.where("record_type != 'revisit'").groupBy("payload_digest").agg(
-        F.first("payload").alias("payload"), F.min("payload_bytes").alias("payload_bytes"), F.max("payload_bytes").alias("most")
+    Repeated copies are merged by partial aggregation, so a payload met everywhere is not
+    gathered."""
+    return records.where("record_type != 'revisit'").groupBy("store_key").agg(
+        F.first("payload_digest").alias("payload_digest"), F.first("payload_bytes").alias("payload_bytes"), F.first("payload").alias("payload")
     )
-    same = F.when(F.col("payload_bytes") == F.col("most"), F.col("payload_bytes")).otherwise(
-        F.raise_error(F.lit("one digest, two payloads")).cast("long")
-    )
-    return store.select("payload_digest", same.alias("payload_bytes"), "payload")
 
 
 def restore(records: DataFrame) -> DataFrame:
-    """Every record, revisits too, with its full payload and length: headers joined with the store.
-
-    A revisit whose payload is in no file keeps null bytes.
-    """
-    headers = records.drop("payload", "payload_bytes")
-    return headers.join(payload_store(records), "payload_digest", "left")
+    """Every record, revisits too, with its full payload and length.
+
+    Responses have their own; only payloads that a revisit refers to are joined, so the rest
+    isn't shuffled.  A revisit is one of the payload under its ``store_key``, and where a
+    foreign archive has none, under its SHA-1.  A revisit whose payload is in no file
+    keeps null bytes."""
+    headers = records.where("record_type = 'revisit'").drop("payload", "payload_bytes")
+    named = F.coalesce("store_key", "payload_digest")
+    wanted = settled(headers.select(named.alias("wanted")).distinct(), "revisited")
+    # Which names a payload answers to; few revisits are of foreign archives.
+    names = F.array_distinct(F.array(F.col("store_key"), F.col("payload_digest")))
+    held = records.where("record_type != 'revisit'").select("store_key", "payload_bytes", "payload", F.explode(names).alias("wanted"))
+    held = held.join(wanted, "wanted", "left_semi").groupBy("wanted").agg(
+        F.first("payload_bytes").alias("payload_bytes"), F.first("payload").alias("payload")
+    )
+    again = headers.join(held, named == F.col("wanted"), "left").drop("wanted")
+    return records.where("record_type != 'revisit'").unionByName(again)
 
 
 def original_record(restored: DataFrame, out_col: str = "record") -> DataFrame:

@@ -6,6 +6,7 @@ from tablelab.llm import mixing
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, source string, mix string, _mix_size int, _LEVEL int"
+HELPERS = ["_mix_size", "_mix_source", "_mix_null", "_mix_target", "mix", "copy", "source_size", "size"]
 
 
 def test_targets_are_those_of_repeated_resharing(spark):
@@ -34,13 +35,13 @@ def test_mix_against_brute_force_and_edges(spark):
     got = mixing.plan_mix(df).collect()
     assert len(got) == len(rows)
     for r in got:
-        m, rate = r["mix"], target[r["source"]] / sizes[r["source"]] if sizes[r["source"]] else 0
+        m, rate = r["_mix"], target[r["source"]] / sizes[r["source"]] if sizes[r["source"]] else 0
         copies = int(rate + 1e-12) + (brute.draw(r["doc_id"], mixing.SEED) < rate - int(rate + 1e-12))
         assert m["size"] == len(brute.words(r["text"])) and m["copies"] == copies <= 3
         assert m["source_size"] == sizes[r["source"]]
     mixed = mixing.mix(df)
-    assert mixed.count() == sum(r["mix"]["copies"] for r in got)
-    assert set(mixed.columns) == {*df.columns, "copy"} - {"mix"}
+    assert mixed.count() == sum(r["_mix"]["copies"] for r in got)
+    assert mixed.columns == [*df.columns, "copy"] and {r["mix"] for r in mixed.collect()} == {"m"}
     assert sorted(map(str, mixed.collect())) == sorted(map(str, mixing.mix(df.repartition(7)).collect()))
 
 
@@ -59,3 +60,12 @@ def test_plan_is_native_and_empty_table(spark):
     assert planned.count() == 0 and mixing.mix(df).count() == 0
     plan = planned._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "Cartesian"))
+
+
+def test_every_helper_name_may_be_a_column(spark):
+    rows = [(k, "w " * (k % 5), "ab"[k % 2], f"v{k}") for k in range(20)]
+    want = sorted(map(tuple, mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string, extra string")).collect()))
+    for name in HELPERS:
+        df = spark.createDataFrame(rows, f"doc_id long, text string, source string, {name} string")
+        mixed = mixing.mix(df)
+        assert mixed.columns[:4] == df.columns and sorted(map(tuple, mixed.collect())) == want

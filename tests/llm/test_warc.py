@@ -54,7 +54,7 @@ def test_payloads_are_stored_once_and_restored_everywhere(spark, archive):
 
 
 def test_original_records_have_their_exact_headers(spark, archive):
-    written = b"".join(warc.gunzip(bytes(r["content"])) for r in spark.read.format("binaryFile").load(archive + "/part-*").collect())
+    written = b"".join(warc.gunzip(bytes(r["content"])) for r in spark.read.format("binaryFile").load(archive + "/*/part-*").collect())
     records = warc.read_warc(spark, archive)
     for r in warc.original_record(warc.restore(records)).collect():
         assert r["header"].encode() in written
@@ -98,3 +98,25 @@ def test_empty_table(spark):
     path = scratch_dir(spark, "warc-empty")
     warc.write_warc(warc.plan_records(pages), path)
     assert warc.restore(warc.read_warc(spark, path)).count() == 0
+
+
+def test_two_payloads_under_one_sha1_stay_apart(spark):
+    # The same SHA-1 for both, as if they collided; the store goes by SHA-256.
+    schema = "record_id string, record_type string, payload_digest string, store_key string, payload_bytes long, header string, payload binary"
+    keys = [hashlib.sha256(x).hexdigest() for x in (b"one", b"two")]
+    rows = [("1", "response", "S", keys[0], 3, "h", b"one"), ("2", "response", "S", keys[1], 3, "h", b"two"),
+            ("3", "revisit", "S", keys[0], None, "h", None), ("4", "revisit", "S", keys[1], None, "h", None), ("5", "revisit", "S", "gone", None, "h", None)]
+    records = spark.createDataFrame(rows, schema)
+    got = {r["record_id"]: r["payload"] and bytes(r["payload"]) for r in warc.restore(records).collect()}
+    assert got == {"1": b"one", "2": b"two", "3": b"one", "4": b"two", "5": None}
+    assert warc.payload_store(records).count() == 2
+
+
+def test_files_are_cut_by_bytes(spark):
+    pages = spark.range(60).selectExpr("id as page_id", "'u' as url", "concat(id, repeat('x', if(id % 10 = 0, 5000, 40))) as html").coalesce(1)
+    path = scratch_dir(spark, "warc-bytes")
+    warc.write_warc(warc.plan_records(pages), path, records_per_file=20, file_bytes=8000)
+    held = [warc.gunzip(bytes(r["content"])) for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).collect()]
+    sizes = [[len(body) for _, _, body in warc.parse_warc(x)] for x in held]
+    assert all(sum(x) <= 8000 or len(x) == 1 for x in sizes) and sum(map(len, sizes)) == 60
+    assert warc.restore(warc.read_warc(spark, path)).count() == 60
