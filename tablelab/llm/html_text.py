@@ -3,17 +3,23 @@
 The standard library's parser reads a page as events.  They are folded into lines, one
 for each block of the page (a paragraph, heading, list item, table row), with the text,
 the number of tags and the element each stands in.  Lines inside menus, headers, footers,
-sidebars, notices, adverts, forms and reader comments hold no content.  The main text
-is all outermost ``article`` and ``main`` elements with content.  On a page without
-them the logarithms of the lines' text-to-tag ratios, so that no line outweighs the others,
-are smoothed by a Gaussian; lines above the threshold, the standard deviation of the
-smoothed values, form clusters, and the innermost block around all clusters is the main
-text.  Within the main text every line stays, also a short one.
+sidebars, notices, adverts, forms and reader comments hold no content.
+
+On every page the logarithms of the lines' text-to-tag ratios, so that no line outweighs the
+others, are smoothed by a Gaussian; lines above the threshold, the standard deviation of
+the smoothed values, form clusters, and these choose the regions that are the main text.
+``article`` and ``main`` elements weigh in: if the clusters within them hold a share
+(``REGION_WEIGHT``) of the clusters' text, the outermost of them are the regions.
+Otherwise (a teaser marked up as an article beside the story, or no such element) it is the
+innermost block around the clusters outside of them.  Within a region every line stays, also
+a short one.
 
 Class and id names also mark what is around the main text ("no-sidebar").  An ``article`` or
 ``main`` in such a container counts, unless it is among comments; among what may hold other
 articles' teasers it counts if such regions hold more text than those in fewer such
-containers.  A page on which nothing is held is read again without the marks and forms around its content.
+containers.  Within a region a name marks only if all its words do ("share-buttons", not
+"market-share"), and what holds more text than the rest of the region is part of it.  A page
+on which nothing is held is read again without the marks and forms around its content.
 """
 
 from __future__ import annotations
@@ -55,7 +61,7 @@ PARTS = HEADINGS | set(
     "address blockquote caption dd details dl dt figcaption figure li ol p pre summary table tbody td tfoot th thead tr ul".split()
 )
 ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-COMMENTS = set("comment comments commentlist disqus respond replies".split())
+COMMENTS = set("comment comments commentlist disqus reactions respond replies".split())
 #: Words of class and id that mark what isn't content.
 MARKS = COMMENTS | set(
     "ad ads adsense advert adverts advertisement advertising banner breadcrumb breadcrumbs consent cookie cookies footer "
@@ -63,6 +69,14 @@ MARKS = COMMENTS | set(
     "promoted related share sharing sidebar social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
 HEADER_MARKS = {"header", "masthead"}
+#: Words that say nothing beside a mark.
+PLAIN_WORDS = set(
+    "area articles bar block bottom box button buttons col container content group head icon icons inner item items left "
+    "link links list main outer panel post posts right row section signup slot text title top unit wrap wrapper".split()
+)
+#: Clusters in articles decide if they hold at least one part in so many of what those outside hold.
+REGION_WEIGHT = 3
+_HIDDEN = re.compile(r"(display\s*:\s*none|visibility\s*:\s*hidden)", re.IGNORECASE)
 #: Of the marks, those of containers that may hold other articles' teasers.
 OTHERS = set("promo promoted promotion related sidebar sponsor sponsored widget widgets".split())
 #: Passes without the outermost marks and forms, one level more each time; the last one is without any.
@@ -74,7 +88,9 @@ _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
 class LineParser(HTMLParser):
-    """Folds a page's events into ``lines``: (text, tags, region, is content possible, is a heading, block).
+    """Folds a page's events into ``lines``: (text, tags, region, is content possible, is a heading, block, part).
+
+    ``part``: the number of the part of a region, dropped for its marks, that the line is in; else 0.
 
     ``doubtful``: regions in containers of other articles, and in how many.  ``allow``: how many marked elements or
     forms around content don't drop it.
@@ -87,9 +103,10 @@ class LineParser(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.allow, self.allowed, self.marked, self.retry = allow, 0, False, False
         self.doubtful: dict[int, int] = {}
+        self.parts = self.part = 0  # of regions, dropped for their marks
         self.drop_at = 0  # place of the element that the present drop began with
         self.ranks = [0, 0, 0]  # open elements of each rank
-        self.lines: list[tuple[str, int, int, bool, bool, int]] = []
+        self.lines: list[tuple[str, int, int, bool, bool, int, int]] = []
         self.blocks: list[list] = [["", 0, 0]]
         # Element, starts a drop, starts a region, block it stands in or is, rank, the drop it suspends, is allowed.
         self.open: list[tuple[str, bool, bool, int, int, tuple | None, int]] = []
@@ -103,7 +120,7 @@ class LineParser(HTMLParser):
         text = " ".join("".join(self.text).split())
         if text or self.tags:
             block = self.open[-1][3] if self.open else 0
-            self.lines.append((text, self.tags, self.region if self.regions else 0, not self.drops, self.heading, block))
+            self.lines.append((text, self.tags, self.region if self.regions else 0, not self.drops, self.heading, block, self.part if self.drops else 0))
         self.text, self.tags, self.heading = [], 0, False
 
     def _drops(self, tag: str, attrs: list[tuple[str, str | None]]) -> tuple[int, set[str]]:
@@ -113,10 +130,15 @@ class LineParser(HTMLParser):
         if tag in ("html", "body", "main") or tag in HEADINGS:
             return _CONTENT, set()
         values = dict(attrs)
-        if "hidden" in values or (values.get("role") or "").lower() in ROLES:
+        if "hidden" in values or (values.get("role") or "").lower() in ROLES or _HIDDEN.search(values.get("style") or ""):
             return _DROPPED, set()
-        words = {p.lower() for name in ("class", "id") for p in _PARTS.findall(values.get(name) or "")}
+        names = [{p.lower() for p in _PARTS.findall(x)} for name in ("class", "id") for x in (values.get(name) or "").split()]
+        words = set().union(*names)
         marks = words & MARKS
+        if self.regions and marks:
+            sure = [x for x in names if all(w in MARKS or w in PLAIN_WORDS or w.isdigit() for w in x)]
+            # A menu in a text's section is one of dishes; menus of links are lists.
+            marks = (set().union(*sure) & MARKS - ({"menu"} if tag == "section" else set())) | (words & COMMENTS)
         if tag in REGIONS:
             return (_MARKED if marks & COMMENTS else _CONTENT), marks & COMMENTS
         # A header inside an article holds its title.
@@ -136,6 +158,8 @@ class LineParser(HTMLParser):
         if tag in VOID:
             return
         kind, marks = self._drops(tag, attrs)
+        if tag in SPACED and kind != _CONTENT:
+            self._end_line()  # a cell that isn't content is no part of its row
         suspended = None
         if tag in REGIONS and self.drops and not self.regions:
             if self.dropped in NEVER_AROUND:
@@ -171,6 +195,9 @@ class LineParser(HTMLParser):
         if drop:
             self.drops, self.dropped, self.drop_at, self.marked = 1, tag, len(self.open) - 1, kind == _MARKED
             self.retry |= self.marked
+            soft = self.regions and self.marked and tag != "form" and not marks & COMMENTS
+            self.parts += bool(soft)
+            self.part = self.parts if soft else 0
         if region:
             self.seen += 1
             self.regions, self.region = 1, self.seen
@@ -189,7 +216,9 @@ class LineParser(HTMLParser):
         return tag
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in SPACED:
+        if tag in SPACED and self.drops:
+            self._end_line()
+        elif tag in SPACED:
             self.text.append(" ")
         elif tag not in INLINE:
             self._end_line()
@@ -266,15 +295,17 @@ def parsed(html: str) -> LineParser:
 
 def _around(cluster: np.ndarray, held: np.ndarray, block: np.ndarray, blocks: list[list]) -> np.ndarray:
     """The lines in the innermost block around all of ``cluster`` that can hold a whole text."""
+    # A cell with blocks of its own is a column of the page.
+    part = lambda k: blocks[k][0] in PARTS and not (blocks[k][0] in SPACED and blocks[k][2] > k)
     own = block[cluster]
     at, last = int(own.min()), int(own.max())
-    while blocks[at][2] < last or blocks[at][0] in PARTS:
+    while blocks[at][2] < last or part(at):
         at = blocks[at][1]
     inside = (block >= at) & (block <= blocks[at][2])
     if at and (held & inside).sum() == 1:
         # A block of one line is a part as well.
         at = blocks[at][1]
-        while blocks[at][0] in PARTS:
+        while part(at):
             at = blocks[at][1]
         inside = (block >= at) & (block <= blocks[at][2])
     return inside
@@ -289,9 +320,12 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
         return ""
     region = np.array([line[2] for line in lines])
     inside = region > 0
+    chars = np.array([len(line[0]) for line in lines])
+    if page.parts:
+        _take_back(held, region, chars, np.array([line[6] for line in lines]))
     if page.doubtful:
         level = np.array([page.doubtful.get(r, 0) for r in region.tolist()])
-        size = np.array([len(line[0]) for line in lines]) * held
+        size = chars * held
         of_level = np.bincount(level[inside], size[inside], int(level.max()) + 1)
         taken, least, text = [0], size[~inside].sum(), of_level[0]
         for k, more in enumerate(of_level[1:], 1):
@@ -300,11 +334,16 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
                 text += more
         sure = inside & np.isin(level, taken)
         held, inside = held & (sure | ~inside), sure
-    if not (held & inside).any():
-        ratios = np.array([np.log1p(len(line[0]) / max(line[1], 1)) * ok for line, ok in zip(lines, held, strict=True)])
-        smooth = smoothed(ratios, sigma)
-        cluster = held & (smooth >= smooth.std())
-        inside = _around(cluster if cluster.any() else held, held, np.array([line[5] for line in lines]), page.blocks)
+    ratios = np.log1p(chars / np.maximum([line[1] for line in lines], 1)) * held
+    smooth = smoothed(ratios, sigma)
+    cluster = held & (smooth >= smooth.std())
+    if not cluster.any():
+        cluster = held
+    within, beside = chars[cluster & inside].sum(), chars[cluster & ~inside].sum()
+    if not (held & inside).any() or REGION_WEIGHT * within < beside:
+        # The story isn't in an article, or isn't in those there are.
+        held &= ~inside
+        inside = _around(cluster & held, held, np.array([line[5] for line in lines]), page.blocks)
         # A heading just before the block belongs to it.
         before = np.flatnonzero(held[: np.flatnonzero(inside)[0]])
         if len(before) and lines[before[-1]][4]:
@@ -312,6 +351,17 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
     return "\n\n".join(lines[i][0] for i in np.flatnonzero(held & inside))
 
 
+def _take_back(held: np.ndarray, region: np.ndarray, chars: np.ndarray, part: np.ndarray) -> None:
+    """Holds the lines of parts that were dropped for their marks but have more text than the rest of their region."""
+    kept = np.bincount(region, chars * held)
+    dropped = np.bincount(part, chars * (part > 0))
+    of = np.zeros(len(dropped), int)
+    of[part] = region
+    larger = dropped > kept[of]
+    larger[0] = False
+    held |= larger[part] & (chars > 0)
+
+
 def extract(pages: DataFrame, html_col: str = "html", text_col: str = "text", sigma: float = SIGMA) -> DataFrame:
     """``pages`` with the main text of each whole page; a column of that name is replaced.
 

@@ -147,3 +147,68 @@ def test_page_within_a_form_or_marks(around):
     want = f"Head\n\n{LONG.strip()}\n\nShort."
     got = html_text.main_text(HEAD + around.format(body))
     assert got == want if around.count("<div") < 5 else got.replace("Share\n\n", "") == want
+
+
+STORY = [f"Paragraph {k} of the story, {LONG}".strip() for k in range(3)]
+AS_STORY = "".join(f"<p>{p}</p>" for p in STORY)
+
+
+@pytest.mark.parametrize("beside", [
+    "<article class='card'><p>A card with a teaser line.</p></article>", "<main><p>Short main.</p></main>",
+    "<article><p>I liked this, says a reader in a comment of their own.</p></article>",
+])
+def test_a_story_beside_a_small_article(beside):
+    for page in (f"<div>{AS_STORY}</div>{beside}", f"{beside}<div>{AS_STORY}</div>", f"<div>{AS_STORY}{beside}</div>"):
+        assert html_text.main_text(HEAD + NAV + page + "<footer>f</footer>") == "\n\n".join(STORY)
+
+
+@pytest.mark.parametrize("part", ["<section class='market-share'>{}</section>", "<div class='social-history'>{}</div>", "<section id='menu'>{}</section>", "<div class='sharecroppers'>{}</div>"])
+def test_names_that_mark_nothing_within_an_article(part):
+    page = f"{HEAD}<article>{AS_STORY}{part.format('<p>Of the text.</p>')}<p>End.</p></article>"
+    assert html_text.main_text(page) == "\n\n".join([*STORY, "Of the text.", "End."])
+
+
+@pytest.mark.parametrize("part", ["<div class='share-buttons'>{}</div>", "<div class='ad-box-2'>{}</div>", "<ul class='menu'><li>{}</li></ul>",
+                                  "<section class='reader-reactions'>{}</section>", "<div style='color:red; display: none'>{}</div>", "<div class='related-posts newsletter'>{}</div>"])
+def test_names_that_mark_within_an_article(part):
+    page = f"{HEAD}<article>{AS_STORY}{part.format('<p>Not of the text.</p>')}<p>End.</p></article>"
+    assert html_text.main_text(page) == "\n\n".join([*STORY, "End."])
+
+
+def test_the_larger_part_of_an_article_is_never_dropped():
+    page = f"{HEAD}<article><h1>Title</h1><div class='widget'>{AS_STORY}</div><div class='share'>Share</div></article>"
+    assert html_text.main_text(page) == "\n\n".join(["Title", *STORY])
+
+
+def test_a_menu_in_a_cell_of_a_layout_table():
+    for cell in ("<td><a href=a>Home</a><br><a href=b>News</a></td>", "<td class='menu'>Home News</td>"):
+        page = f"{HEAD}<table><tr>{cell}<td><div>{AS_STORY}</div></td></tr></table>"
+        assert html_text.main_text(page) == "\n\n".join(STORY)
+
+
+def plain_scores(lines, sigma):
+    """The smoothed scores, line by line."""
+    import math
+
+    raw = [math.log1p(len(t) / max(tags, 1)) if ok and t else 0.0 for t, tags, ok in lines]
+    reach = max(1, math.ceil(3 * sigma))
+    out = []
+    for k in range(len(raw)):
+        near = [(math.exp(-0.5 * (d / sigma) ** 2), raw[min(max(k + d, 0), len(raw) - 1)]) for d in range(-reach, reach + 1)]
+        out.append(sum(w * x for w, x in near) / sum(w for w, _ in near))
+    return out
+
+
+def test_every_page_goes_through_the_smoothed_ratios(monkeypatch):
+    import duckdb
+
+    from tests.conftest import SF_SMALL
+
+    pages = [h for (h,) in duckdb.sql(f"select html from '{SF_SMALL}/pages.parquet'").fetchall()]
+    seen, smoothed = [], html_text.smoothed
+    monkeypatch.setattr(html_text, "smoothed", lambda ratios, sigma: seen.append(smoothed(ratios, sigma)) or seen[-1])
+    for h in pages:
+        assert html_text.main_text(h)
+        lines = [(line[0], line[1], line[3]) for line in html_text.parsed(h).lines]
+        assert max(abs(a - b) for a, b in zip(seen[-1], plain_scores(lines, html_text.SIGMA), strict=True)) < 1e-9
+    assert len(seen) == len(pages)
