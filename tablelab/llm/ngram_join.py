@@ -13,14 +13,20 @@ start.  Of the others:
   known, lists whose members are all in one are done; in the others members outside the
   centre's component are compared with those of other components.  No link between
   components can be missed, and a large group of near copies is never paired out.
-
-The boundary is the size at which enumerating subsets costs more than scanning lists.
-Light sets that a heavy one can link with are in the lists as well.
+* A list that is still long then holds many sets that share a shingle and little else.  Its
+  members are dealt anew: linked sets differ in at most h shingles, so if all shingles
+  are dealt into h + 1 parts by hash, the sets agree in one part at least.  Members
+  meet by (part, what they have in it) instead of by the one shingle.
+
+The boundary is the size at which enumerating subsets and scanning lists cost least in
+all, over the sizes that the table has.  Light sets that a heavy one can link with are in
+the lists as well.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from itertools import combinations
 
 import numpy as np
@@ -39,6 +45,8 @@ SHINGLE = 3
 PERCENT = 90
 #: What scanning the list of one shingle and verifying costs, in rows of a subset.
 SCAN_COST = 8
+#: Sizes counted apart when the boundary is chosen; members outside the centre's component that make a list long.
+COUNTED_SIZES, LONG_LIST = 256, 32
 _SENT = "g long, bucket long, kind int, n long, keys binary, extra binary"
 _REPLY = "g long, bucket long, kind int, extra binary"
 _COUNT, _SET = 0, 1
@@ -62,6 +70,50 @@ def light_boundary(percent: int = PERCENT, scan_cost: float = SCAN_COST) -> int:
     return n
 
 
+def chosen_boundary(sizes: dict[int, int], percent: int = PERCENT, scan_cost: float = SCAN_COST) -> int:
+    """The boundary of least cost for ``sizes``, numbers of sets by size (of the largest counted size, or more).
+
+    Sets up to the boundary send a row for each subset; all that a set above it can link with
+    send one of ``scan_cost`` for each shingle of their prefix."""
+    most = light_boundary(percent, scan_cost)
+
+    def cost(boundary: int) -> float:
+        listed = -(-percent * (boundary + 1) // 100)
+        light = sum(c * math.comb(n, k) for n, c in sizes.items() if n <= boundary for k in range(spare(n, percent) + 1))
+        return light + scan_cost * sum(c * (spare(n, percent) + 1) for n, c in sizes.items() if n >= listed)
+
+    # Beyond the size at which a set's own subsets cost more, no larger boundary is cheaper.
+    return min(range(most + 1), key=lambda b: (cost(b), b))
+
+
+def size_classes(most: int, percent: int) -> list[int]:
+    """First sizes of classes such that linked sets are in one class or in neighbouring ones."""
+    out = [1]
+    while out[-1] <= most:
+        out.append(out[-1] * 100 // percent + 1)
+    return out + [out[-1] * 100 // percent + 1, (out[-1] * 100 // percent + 1) * 100 // percent + 1]
+
+
+def part_keys(shingles: np.ndarray, percent: int) -> list[dict]:
+    """Keys of a set's parts: sets that link have a key in common.
+
+    A set takes part in the pair of its own class of sizes and the next, and in that of the
+    class before and its own.  Sets of a pair of classes that link differ in at most ``h``
+    shingles; each pair has ``h + 1`` parts."""
+    first = size_classes(len(shingles), percent)
+    own = bisect_right(first, len(shingles)) - 1
+    hashes, out = packed.mix64(shingles), []
+    for pair in {max(own - 1, 0), own}:
+        largest = first[pair + 2] - 1
+        parts = (100 - percent) * 2 * largest // (100 + percent) + 1
+        part = (hashes % np.uint64(parts)).astype(np.int64)
+        sums = np.zeros(parts, np.uint64)
+        np.add.at(sums, part, packed.mix64(hashes ^ packed.GOLDEN))
+        keys = packed.mix64(sums ^ packed.mix64(np.arange(parts, dtype=np.uint64) + np.uint64(pair << 32)))
+        out += [{"pair": pair, "key": k} for k in keys.view(np.int64).tolist()]
+    return out
+
+
 def _rows(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     columns = list(zip(*rows, strict=True)) or [()] * len(schema)
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
@@ -107,11 +159,11 @@ class _Group:
         return out
 
 
-def build_index(docs: DataFrame, shingle: int, percent: int, boundary: int) -> DataFrame:
+def build_index(docs: DataFrame, shingle: int, percent: int, boundary: int, total: int | None = None) -> DataFrame:
     """``(id, text)`` to ``_INDEX``: for each document its size, the least id of its set and,
     for one document of each set, what it joins by."""
     docs = docs.select("id", "text")
-    grouped, bits = packed.dealt(docs, "id", "text", "g")
+    grouped, bits = packed.dealt(docs, "id", "text", "g", total)
     sent, reply_schema = _arrow(_SENT), _arrow(_REPLY)
     in_lists = -(-percent * (boundary + 1) // 100)  # the smallest set that a heavy one can link with
 
@@ -257,13 +309,38 @@ def _heavy_links(index: DataFrame, links: DataFrame, percent: int) -> DataFrame:
     path = scratch_dir(index.sparkSession, "open-lists")
     open_lists.write.parquet(path)
     open_lists = index.sparkSession.read.parquet(path)
-    outer = open_lists.where("component <> central").select("token", "centre", F.col("m").alias("x"), F.col("component").alias("cx"))
-    every = open_lists.select("token", F.col("m").alias("y"), F.col("component").alias("cy"))
+    # Long lists are taken apart by what their members have in common besides.
+    long = open_lists.where("component <> central").groupBy("token").agg(F.count("*").alias("outer")).where(F.col("outer") > LONG_LIST).select("token")
+    long = settled(long, "long-lists")
+    short = open_lists.join(long, "token", "left_anti")
+    outer = short.where("component <> central").select("token", "centre", F.col("m").alias("x"), F.col("component").alias("cx"))
+    every = short.select("token", F.col("m").alias("y"), F.col("component").alias("cy"))
     # Pairs with the centre have been compared; of two outer members one order is enough.
     across = outer.join(every, "token").where(
         (F.col("cx") != F.col("cy")) & (F.col("y.id") != F.col("centre")) & _possible("x", "y", percent)
-    )
-    return links.union(_verified(across.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), index, percent))
+    ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    members = open_lists.join(long, "token").select(F.col("m.id").alias("id"), "component").distinct()
+    return links.union(_verified(across.union(_part_pairs(members, index, percent)), index, percent))
+
+
+def _part_pairs(members: DataFrame, index: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of members of different components that agree in a part."""
+
+    def keys(shingles: pd.Series) -> pd.Series:
+        return pd.Series([part_keys(packed.unpack(x, _SET_BYTES), percent) for x in shingles], dtype=object)
+
+    parted = F.pandas_udf(keys, "array<struct<pair: int, key: long>>")
+    sets = members.join(index.where("shingles is not null").select("id", "n", "shingles"), "id")
+    entries = sets.select("id", "n", "component", F.explode(parted("shingles")).alias("k")).select("id", "n", "component", "k.pair", "k.key")
+    lists = entries.groupBy("pair", "key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    path = scratch_dir(index.sparkSession, "part-lists")
+    entries.join(lists.select("pair", "key"), ["pair", "key"]).write.parquet(path)
+    met = index.sparkSession.read.parquet(path)
+    x = met.select("pair", "key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
+    y = met.select("pair", "key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+    # Sizes alone rule out some; one order of each pair is enough.
+    sized = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    return x.join(y, ["pair", "key"]).where((F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & sized).select("a", "b").distinct()
 
 
 def link_classes(
@@ -278,9 +355,13 @@ def link_classes(
     component.  Repeated rows give repeated results.  An empty table gives no rows.
     """
     spark = docs.sparkSession
-    boundary = light_boundary(percent, scan_cost)
+    texts = docs.select(col(id_col).cast("long").alias("id"), col(text_col).alias("text"))
+    # Sizes as the bytes of text tell; the boundary decides what is cheaper, not what links.
+    size = F.least(F.floor(F.octet_length("text") / packed.HASH_BYTES), F.lit(COUNTED_SIZES)).cast("int")
+    sizes = texts.groupBy(size.alias("size")).agg(F.count("*").alias("n"), F.sum(F.octet_length("text").cast("long")).alias("bytes")).collect()
+    boundary = chosen_boundary({r["size"]: r["n"] for r in sizes if r["size"]}, percent, scan_cost)
     path = scratch_dir(spark, "shingle-index")
-    build_index(docs.select(col(id_col).cast("long").alias("id"), col(text_col).alias("text")), shingle, percent, boundary).write.parquet(path)
+    build_index(texts, shingle, percent, boundary, sum(r["bytes"] or 0 for r in sizes)).write.parquet(path)
     index = spark.read.parquet(path)
     # An id with several texts joins their sets.
     several = index.groupBy("id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low <> high").select("id")

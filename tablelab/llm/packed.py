@@ -55,13 +55,14 @@ def sizes(total: int, group_bytes: int, bucket_bytes: int) -> tuple[int, int]:
     return max(group_bytes, side), max(bucket_bytes, side)
 
 
-def dealt(docs: DataFrame, id_col: str, text_col: str, group_col: str) -> tuple[DataFrame, int]:
+def dealt(docs: DataFrame, id_col: str, text_col: str, group_col: str, total: int | None = None) -> tuple[DataFrame, int]:
     """``docs`` with a group number, and how many bits name a bucket.
 
-    The counts of groups and buckets follow the bytes of text, measured by one scan
-    (``sizes``).  Rows that share an id but not their text are spread.
+    The counts of groups and buckets follow the bytes of text (``sizes``): ``total``, or measured by
+    one scan.  Rows that share an id but not their text are spread.
     """
-    total = docs.agg(F.sum(F.octet_length(col(text_col)).cast("long"))).first()[0] or 0
+    if total is None:
+        total = docs.agg(F.sum(F.octet_length(col(text_col)).cast("long"))).first()[0] or 0
     group, bucket = sizes(total, GROUP_BYTES, BUCKET_BYTES)
     groups = total // group + 1
     bits = max(1, int(total // bucket).bit_length())

@@ -43,9 +43,9 @@ def shingles(text, n=3):
     return {tuple(w[k : k + n]) for k in range(max(len(w) - n, 0) + 1)} if w else set()
 
 
-def classes(docs, percent=90):
+def classes(docs, percent=90, shingle=3):
     """[(id, text)] with distinct ids to {id: (n shingles, least id of its class)}."""
-    sets = {i: shingles(t) for i, t in docs}
+    sets = {i: shingles(t, shingle) for i, t in docs}
     parent = {i: i for i in sets}
 
     def root(i):

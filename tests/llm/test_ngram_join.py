@@ -112,3 +112,60 @@ def test_shingles_are_compared_whole(spark):
     docs = spark.createDataFrame([(k, " ".join(f"c{j}" for j in range(60)) + f" t{k}") for k in range(2)], "id long, text string")
     sets = [r["shingles"] for r in ngram_join.build_index(docs, 3, 90, ngram_join.light_boundary()).collect() if r["shingles"]]
     assert [len(s) for s in sets] == [59 * 8] * 2 and ngram_join.light_boundary() == 15
+
+
+def test_boundary_follows_the_sizes_met():
+    for sizes in ({5: 100, 300: 5}, {12: 1000, 13: 10, 400: 3}, {19: 50, 21: 900}, {200: 10}, {}):
+        found = ngram_join.chosen_boundary(sizes)
+        assert 0 <= found <= ngram_join.light_boundary()
+    assert ngram_join.chosen_boundary({200: 10}) == 0 and ngram_join.chosen_boundary({12: 1000, 300: 5}) >= 12
+    # Short sets that long ones could link with would be in the lists as well: cheaper there alone.
+    assert ngram_join.chosen_boundary({15: 10, 16: 100_000}) < 15
+
+
+@pytest.mark.parametrize("percent", [90, 80])
+def test_linked_sets_agree_in_a_part(percent):
+    rng = random.Random(percent)
+    for _ in range(400):
+        n = rng.randint(1, 300)
+        a = {rng.getrandbits(64) for _ in range(n)}
+        b = set(rng.sample(sorted(a), max(1, n - rng.randint(0, n // 8)))) | {rng.getrandbits(64) for _ in range(rng.randint(0, n // 8))}
+        keys = [{(k["pair"], k["key"]) for k in ngram_join.part_keys(ngram_join.np.array(sorted(x), ngram_join.np.uint64), percent)} for x in (a, b)]
+        if 100 * len(a & b) >= percent * len(a | b):
+            assert keys[0] & keys[1]
+
+
+def verified_pairs(spark, monkeypatch, docs):
+    """How many pairs are brought to verification, and the classes."""
+    counted, verified = [], ngram_join._verified
+
+    def count(pairs, index, percent):
+        counted.append(pairs.count())
+        return verified(pairs, index, percent)
+
+    with monkeypatch.context() as m:
+        m.setattr(ngram_join, "_verified", count)
+        rows = ngram_join.link_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    return sum(counted), {r["id"]: (r["n_shingles"], r["component"]) for r in rows}
+
+
+def test_pairs_of_unlinked_documents_grow_linearly(spark, monkeypatch):
+    rng = random.Random(6)
+    docs = [(k, " ".join(rng.choices("abcdefghi", k=200))) for k in range(800)]
+    pairs = {n: verified_pairs(spark, monkeypatch, docs[:n])[0] for n in (200, 400, 800)}
+    assert pairs[400] <= 2.5 * pairs[200] and pairs[800] <= 2.5 * pairs[400] and pairs[800] < 60 * 800
+
+
+def test_long_lists_lose_no_link(spark, monkeypatch):
+    """Small vocabulary, so that lists are long, with near copies in between."""
+    rng = random.Random(8)
+    docs = []
+    for _ in range(60):
+        base = rng.choices("abcdefg", k=rng.choice([60, 90, 200]))
+        for _ in range(rng.choice([1, 1, 2, 4])):
+            w = list(base)
+            for _ in range(rng.randint(0, 4)):
+                w[rng.randrange(len(w))] = rng.choice("abcdefg")
+            docs.append((len(docs), " ".join(w)))
+    monkeypatch.setattr(ngram_join, "LONG_LIST", 3)
+    assert verified_pairs(spark, monkeypatch, docs)[1] == brute.classes(docs)
