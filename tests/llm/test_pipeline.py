@@ -14,7 +14,7 @@ COLUMNS = "doc_id, text, lang, source, n_chars"
 def plain(docs, items):
     """[(doc_id, text, lang, source, n_chars)] to the mix's (doc_id, text, n_chars, copy)."""
     docs = [d for d, (_, ok) in zip(docs, verdicts([(d[1], d[2], d[3]) for d in docs]), strict=True) if ok]
-    found = brute.classes([d[:2] for d in docs])
+    found = brute.classes([d[:2] for d in docs], percent=80, shingle=5)
     docs = [d for d in docs if found[d[0]][1] == d[0]]
     left = {i: (n, w) for i, n, w in brute.kept_words([d[:2] for d in docs])}
     changed = []
