@@ -137,3 +137,55 @@ def findings(spark: SparkSession, metrics_long: DataFrame, rules: Sequence[tuple
     return metrics_long.join(F.broadcast(rules_df), cond).select(
         *STAGE_KEYS, "metric", "value", "threshold", "severity"
     )
+
+
+def concurrency(tasks: DataFrame, bucket_ms: int = 60_000, slots: int | None = None) -> DataFrame:
+    """How many tasks an executor ran at a time, per bucket of time: a sweep over task intervals.
+
+    Returns ``app, executor_id, bucket_start, started, finished, open_at_start, peak, busy_ms,
+    slots, busy_share`` for every bucket in which a task started, ran or finished.
+
+    A start counts 1 and a finish -1.  Tasks open at a bucket's start are the sum over the
+    buckets before, a window over an executor's buckets; the peak is that plus the largest
+    running sum within the bucket, a window over one bucket's events (a finish
+    before a start at the same millisecond).  Busy time is what the open ones fill of the
+    bucket, plus what those that start in it still have of it, less the same for those that finish.
+    ``slots``: cores of an executor; by default the executor's own peak, so that the share never passes 1.
+
+    A task of no length takes no slot; tasks without a finish, and those that finish before they
+    start, are left out.  Repeated rows are tasks of their own.
+    """
+    ms = lambda c: F.unix_millis(F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(c)).cast("timestamp"))
+    spans = tasks.select("app", "executor_id", ms("launch_time").alias("s"), ms("finish_time").alias("e")).where("e >= s")
+    events = spans.select("app", "executor_id", F.inline(F.array(
+        F.struct(F.col("s").alias("at"), F.lit(1).alias("step"), (F.col("e") > F.col("s")).cast("int").alias("held")),
+        F.struct(F.col("e").alias("at"), F.lit(-1).alias("step"), (F.col("e") > F.col("s")).cast("int").alias("held")),
+    ))).withColumn("bucket", F.floor(F.col("at") / bucket_ms).cast("long"))
+    delta = F.col("step") * F.col("held")
+    # One row per millisecond at which something happens, so that a busy moment is one event.
+    moments = events.groupBy("app", "executor_id", "bucket", "at").agg(
+        F.sum(F.when(F.col("step") > 0, 1).otherwise(0)).alias("started"), F.sum(F.when(F.col("step") < 0, 1).otherwise(0)).alias("finished"),
+        F.sum(delta).alias("delta"),
+    )
+    within = Window.partitionBy("app", "executor_id", "bucket").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    left = (F.col("bucket") + 1) * bucket_ms - F.col("at")
+    per = moments.withColumn("running", F.sum("delta").over(within)).groupBy("app", "executor_id", "bucket").agg(
+        F.sum("started").alias("started"), F.sum("finished").alias("finished"), F.sum("delta").alias("delta"), F.max("running").alias("most"),
+        F.sum(F.col("delta") * left).alias("own_ms"),
+    )
+    order = Window.partitionBy("app", "executor_id").orderBy("bucket")
+    carried = per.withColumn("open", F.sum("delta").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("delta"))
+    carried = carried.withColumn("next", F.lead("bucket").over(order))
+    # Buckets without an event, between two with some, while tasks are open.
+    after = F.col("open") + F.col("delta")
+    quiet = F.when((after > 0) & (F.col("next") > F.col("bucket") + 1), F.sequence(F.col("bucket") + 1, F.col("next") - 1))
+    none = F.lit(0).cast("long")
+    filled = carried.select("app", "executor_id", F.explode(quiet).alias("bucket"), none.alias("started"), none.alias("finished"), after.alias("open"), after.alias("peak"), none.alias("own_ms"))
+    busy = carried.select("app", "executor_id", "bucket", "started", "finished", "open", F.greatest(F.col("open"), F.col("open") + F.col("most")).alias("peak"), "own_ms")
+    every = busy.unionByName(filled).withColumn("busy_ms", F.col("open") * bucket_ms + F.col("own_ms"))
+    own = F.greatest(F.max("peak").over(Window.partitionBy("app", "executor_id")), F.lit(1)) if slots is None else F.lit(slots)
+    start = F.timestamp_millis(F.col("bucket") * bucket_ms)
+    return every.withColumn("slots", own.cast("long")).select(
+        "app", "executor_id", F.convert_timezone(F.current_timezone(), F.lit("UTC"), start.cast("timestamp_ntz")).alias("bucket_start"),
+        "started", "finished", F.col("open").alias("open_at_start"), "peak", "busy_ms", "slots", (F.col("busy_ms") / (F.col("slots") * bucket_ms)).alias("busy_share"),
+    )

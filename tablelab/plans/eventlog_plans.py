@@ -130,3 +130,28 @@ from m join r on m.metric = r.rule_metric and m.value > r.threshold
 )
 def eventlog_findings(spark, sf_dir):
     return EL.findings(spark, EL.stage_metrics_long(tasks(spark, sf_dir)))
+
+
+@register(
+    "eventlog_concurrency",
+    f"""
+with t as (select app, executor_id, epoch_ms(launch_time) as s, epoch_ms(finish_time) as e from {_TASKS} t),
+m as (select app, executor_id, s, e, unnest(range(s // 60000, e // 60000 + 1)) as b from t),
+busy as (
+  select app, executor_id, b, count_if(s // 60000 = b) as started, count_if(e // 60000 = b) as finished,
+         count_if(s // 60000 < b) as open_at_start,
+         cast(sum(least(e, (b + 1) * 60000) - greatest(s, b * 60000)) as bigint) as busy_ms
+  from m group by all),
+steps as (select app, executor_id, s as moment, 1 as d from t union all select app, executor_id, e, -1 from t),
+sums as (select app, executor_id, moment, sum(sum(d)) over (partition by app, executor_id order by moment) as running from steps group by app, executor_id, moment),
+peaks as (select app, executor_id, moment // 60000 as b, max(running) as most from sums group by all),
+every as (
+  select busy.*, greatest(open_at_start, coalesce(most, 0)) as peak from busy left join peaks using (app, executor_id, b))
+select app, executor_id, make_timestamp(b * 60000000) as bucket_start, started, finished, open_at_start, cast(peak as bigint) as peak, busy_ms,
+       cast(max(peak) over (partition by app, executor_id) as bigint) as slots,
+       busy_ms / (max(peak) over (partition by app, executor_id) * 60000) as busy_share
+from every
+""",
+)
+def eventlog_concurrency(spark, sf_dir):
+    return EL.concurrency(tasks(spark, sf_dir))
