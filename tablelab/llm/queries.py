@@ -259,6 +259,7 @@ def op9_license(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[f"license.{c}" for c in ("n_words", "n_base", "first_word", "last_word")],
         license.joined_labels(F.col("license.base_labels")).alias("base_labels"),
         license.joined_labels(F.col("license.labels")).alias("labels"), "license.score",
+        F.to_json("license.spans").alias("spans"),
     )
 
 
