@@ -16,6 +16,7 @@ from tablelab.session import scratch_dir, session_fixture, table
 from tablelab.sources import derived as D
 from tablelab.streaming import late as L
 from tablelab.streaming import runner as R
+from tablelab.streaming import state as ST
 from tablelab.streaming import windows as W
 
 
@@ -96,6 +97,55 @@ def stream_session(spark, sf_dir):
     return _run(spark, out, "session")
 
 
+def _held():
+    """The aggregates of ``_aggs`` from their buffers in the state."""
+    return {"n": F.col("value.count"), "total": F.col("value.sum").cast("double")}
+
+
+@register(
+    "state_windows",
+    """
+with w as (select time_bucket(interval '1 hour', ts) as window_start, count(*) as n,
+                  cast(sum(cast(value as decimal(38,2))) as double) as total from events group by 1)
+select window_start, window_start + interval '1 hour' as window_end, n, total,
+       window_start + interval '1 hour' > (select max(ts) from events) - interval '1 hour' as still_open
+from w
+""",
+)
+def state_windows(spark, sf_dir):
+    # Windows that a finished stream has emitted, and those its state still holds.
+    root = scratch_dir(spark, "state-windows")
+    out = W.windowed(_events_stream(_session(spark, sf_dir), sf_dir), "ts", "1 hour", _aggs(), delay="1 hour")
+    R.run_available(out, f"{root}/sink", f"{root}/checkpoint")
+    emitted = R.read_sink(spark, f"{root}/sink", out.schema)
+    held = ST.open_windows(spark, f"{root}/checkpoint", _held())
+    return emitted.withColumn("still_open", F.lit(False)).unionByName(held.withColumn("still_open", F.lit(True)))
+
+
+@register(
+    "state_sessions",
+    """
+with e as (
+  select user_id, ts, value,
+         case when ts - lag(ts) over (partition by user_id order by ts) <= interval '6 hours' then 0 else 1 end as brk
+  from events),
+s as (select *, sum(brk) over (partition by user_id order by ts rows unbounded preceding) as sid from e)
+select user_id, min(ts) as session_start, max(ts) + interval '6 hours' as session_end, count(*) as n,
+       cast(sum(cast(value as decimal(38,2))) as double) as total,
+       max(ts) + interval '6 hours' > (select max(ts) from events) - interval '1 hour' as still_open
+from s group by user_id, sid
+""",
+)
+def state_sessions(spark, sf_dir):
+    root = scratch_dir(spark, "state-sessions")
+    own = _session(spark, sf_dir, **W.SESSION_CONF)
+    out = W.sessions(_events_stream(own, sf_dir), "user_id", "ts", "6 hours", _aggs(), delay="1 hour")
+    R.run_available(out, f"{root}/sink", f"{root}/checkpoint")
+    emitted = R.read_sink(spark, f"{root}/sink", out.schema)
+    held = ST.open_sessions(spark, f"{root}/checkpoint", "user_id", _held())
+    return emitted.withColumn("still_open", F.lit(False)).unionByName(held.withColumn("still_open", F.lit(True)))
+
+
 _EVENT_COLS = "event_id, ts, user_id, event_type, value, props"
 
 

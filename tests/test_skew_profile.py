@@ -293,3 +293,30 @@ def test_a_long_list_of_hot_keys_salts_every_key(spark, monkeypatch):
         plan = joined._jdf.queryExecution().optimizedPlan().toString()
         assert ("__hot" in plan) == (most == 1000)
         assert sorted(map(tuple, joined.select("id", "k", "v").collect())) == want
+
+
+def test_concurrency_against_every_millisecond(spark):
+    import datetime as dt
+    import random
+
+    from tablelab.operators import eventlog as EL
+
+    rng = random.Random(3)
+    zero = dt.datetime(2024, 1, 1)
+    spans = [("x", s, s + rng.choice([0, 1, 5, 40, 260])) for s in (rng.randrange(900) for _ in range(60))] + [("y", 10, 990), ("y", 995, 995), ("y", 1500, 1510)]
+    rows = [("a", x, zero + dt.timedelta(milliseconds=s), zero + dt.timedelta(milliseconds=e)) for x, s, e in spans]
+    rows += [("a", "x", zero, None), ("a", "x", zero + dt.timedelta(seconds=9), zero)]
+    df = spark.createDataFrame(rows, "app string, executor_id string, launch_time timestamp_ntz, finish_time timestamp_ntz")
+    got = {(r["executor_id"], round((r["bucket_start"] - zero).total_seconds() * 1000)): r for r in EL.concurrency(df, 100).collect()}
+    assert len(got) == EL.concurrency(df, 100).count()
+    for x in "xy":
+        running = [sum(a <= t < b for e, a, b in spans if e == x) for t in range(1600)]
+        for start in range(0, 1600, 100):
+            some = any(e == x and a < start + 100 and b >= start for e, a, b in spans)
+            assert ((x, start) in got) == some
+            if some:
+                r = got[x, start]
+                assert r["busy_ms"] == sum(running[start : start + 100]) and r["peak"] == max(running[start : start + 100] + [r["open_at_start"]])
+                assert r["started"] == sum(e == x and start <= a < start + 100 for e, a, b in spans)
+                assert r["slots"] == max(running) and r["busy_share"] <= 1
+    assert EL.concurrency(df.limit(0)).count() == 0
