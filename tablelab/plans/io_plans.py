@@ -10,6 +10,7 @@ from tablelab.session import scratch_dir, session_fixture, table
 from tablelab.sources import generate as G
 from tablelab.sources import io as IO
 from tablelab.sources import parquet_audit as PA
+from tablelab.sources import zone_map as Z
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -143,3 +144,32 @@ def read_healthy(spark, sf_dir):
     root = _audit_fixture(spark, sf_dir)
     rows, _ = PA.read_healthy(spark, root, table(spark, sf_dir, "orders").schema)
     return rows
+
+
+@register(
+    "zone_map_check",
+    "\nunion all\n".join(
+        f"select '{c}' as column_name, count(*) as rows, count(*) - count({c}) as nulls, "
+        + (f"cast(min({c}) as double) as low, cast(max({c}) as double) as high, " if numeric else "null as low, null as high, ")
+        + f"0 as wrong, {depth} as depth from orders"
+        for c, numeric, depth in (
+            ("o_orderkey", True, "1"), ("o_custkey", True, "null"), ("o_orderstatus", False, "null"), ("o_totalprice", True, "null"),
+            ("o_orderpriority", False, "null"))
+    ),
+)
+def zone_map_check(spark, sf_dir):
+    # orders in files by ranges of its key: their zones state what the pages hold, and no two
+    # of the key's zones overlap.
+    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
+    root = scratch_dir(spark, "zones")
+    rows = orders.count()
+    orders.repartitionByRange(rows // 5000 + 1, "o_orderkey").write.parquet(root)
+    path = scratch_dir(spark, "zone-map")
+    Z.check_zones(spark, root).write.parquet(path)
+    zones = spark.read.parquet(path)
+    told = zones.groupBy("column_name").agg(
+        F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"), F.min("low").alias("low"), F.max("high").alias("high"),
+        F.count("wrong").alias("wrong"),
+    )
+    depth = Z.zone_overlap(zones.where("column_name = 'o_orderkey'")).select("column_name", "depth")
+    return told.join(depth, "column_name", "left")
