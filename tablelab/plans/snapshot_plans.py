@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tablelab.operators import keyed as KD
 from tablelab.operators.snapshots import Snapshots
 from tablelab.plans.registry import register
 from tablelab.session import scratch_dir, session_fixture, table
@@ -109,3 +110,29 @@ def snap_changes_overwrite(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     snaps.commit(orders.where(F.col("o_orderstatus") == "F"), mode="overwrite")
     return snaps.changes(1, 2)
+
+
+_NEXT = """(select case when o_orderkey % 1000 = 31 then o_orderkey + 1000000000 else o_orderkey end as o_orderkey, o_custkey, o_orderstatus,
+    case when o_orderkey % 1000 = 7 then o_totalprice + 1 else o_totalprice end as o_totalprice from orders where o_orderkey % 1000 <> 13)"""
+
+
+@register(
+    "keyed_changes",
+    f"""
+select coalesce(a.o_orderkey, b.o_orderkey) as o_orderkey,
+       case when a.o_orderkey is null then 'added' when b.o_orderkey is null then 'removed' else 'changed' end as change,
+       a.o_totalprice as price_before, b.o_totalprice as price_after
+from orders a full join {_NEXT} b on a.o_orderkey = b.o_orderkey
+where a.o_orderkey is null or b.o_orderkey is null or a.o_totalprice <> b.o_totalprice
+""",
+)
+def keyed_changes(spark, sf_dir):
+    # The next version drops, changes and renumbers one order in a thousand each.
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    turn = F.pmod("o_orderkey", F.lit(1000))
+    later = orders.where(turn != 13).withColumn("o_totalprice", F.when(turn == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    later = later.withColumn("o_orderkey", F.when(turn == 31, F.col("o_orderkey") + 1000000000).otherwise(F.col("o_orderkey")))
+    buckets = orders.count() // 2000 + 1
+    a, b = (KD.write_version(df, "o_orderkey", scratch_dir(spark, "keyed"), buckets) for df in (orders, later))
+    found = KD.keyed_changes(spark, a, b, "o_orderkey", orders.schema)
+    return found.select("o_orderkey", "change", F.col("before.o_totalprice").alias("price_before"), F.col("after.o_totalprice").alias("price_after"))
