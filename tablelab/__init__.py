@@ -17,6 +17,8 @@ except Exception:  # pragma: no cover - older cloudpickle without the API
 
 # The public operators, importable from the package root.
 from tablelab.operators.expect import assert_all, expect, summarize  # noqa: E402,F401
+from tablelab.operators.infer import infer_types  # noqa: E402,F401
+from tablelab.operators.keyed import keyed_changes, write_version  # noqa: E402,F401
 from tablelab.operators.profile import (  # noqa: E402,F401
     approx_profile,
     global_profile,
@@ -35,6 +37,7 @@ from tablelab.operators.quality import (  # noqa: E402,F401
     tag_csv,
     tag_json,
 )
+from tablelab.operators.sketches import figures, frequent_keys, merge_profiles, profile_parts  # noqa: E402,F401
 from tablelab.operators.skew import (  # noqa: E402,F401
     Agg,
     file_layout,
@@ -46,7 +49,11 @@ from tablelab.operators.skew import (  # noqa: E402,F401
 )
 from tablelab.operators.snapshots import Snapshots  # noqa: E402,F401
 from tablelab.operators.udf import map_catching, map_vectorized  # noqa: E402,F401
+from tablelab.sources.csv_records import read_csv_records  # noqa: E402,F401
 from tablelab.sources.eventlog import read_task_metrics, task_metrics  # noqa: E402,F401
 from tablelab.sources.parquet_audit import audit_parquet, read_healthy  # noqa: E402,F401
-from tablelab.streaming.runner import run_available  # noqa: E402,F401
+from tablelab.sources.zone_map import check_zones, zone_map, zone_overlap  # noqa: E402,F401
+from tablelab.streaming.late import mark_late  # noqa: E402,F401
+from tablelab.streaming.runner import run_available, stream_session  # noqa: E402,F401
+from tablelab.streaming.state import open_sessions, open_windows, read_state  # noqa: E402,F401
 from tablelab.streaming.windows import dedup, late_report, sessions, windowed  # noqa: E402,F401

@@ -140,6 +140,11 @@ def types_of(found: DataFrame, share: float = 0.9) -> DataFrame:
     return typed.select("column_name", "type", "n", "nulls", "mostly", (F.col("n") - of("fits")).alias("misfits"), of("misfit").alias("example"))
 
 
+def infer_types(cells: DataFrame, share: float = 0.9) -> DataFrame:
+    """``types_of`` the ``lattice`` of cells: the types of an untyped source in one pass."""
+    return types_of(lattice(cells), share)
+
+
 def inferred_schema(types: DataFrame, order: list[str] | None = None) -> T.StructType:
     """Rows of ``types_of`` as a schema, a field per column, for ``quality.schema_drift``.
 

@@ -204,7 +204,7 @@ union all select 'urgent', 'boolean', count(*), 0, null, null, null from o
 )
 def infer_csv_types(spark, sf_dir):
     cells = N.csv_cells(_order_lines(table(spark, sf_dir, "orders")), ",".join(_ORDER_COLS))
-    return N.types_of(N.lattice(cells))
+    return N.infer_types(cells)
 
 
 def _event_objects(events: DataFrame) -> DataFrame:
@@ -233,7 +233,7 @@ union all select 'seen', 'boolean', count_if(event_id % 4 = 0), 0, null, null, n
 """,
 )
 def infer_json_types(spark, sf_dir):
-    return N.types_of(N.lattice(N.json_cells(_event_objects(table(spark, sf_dir, "events")), depth=2)))
+    return N.infer_types(N.json_cells(_event_objects(table(spark, sf_dir, "events")), depth=2))
 
 
 # --- expectations ----------------------------------------------------------------
