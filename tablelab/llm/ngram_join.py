@@ -47,6 +47,8 @@ PERCENT = 90
 SCAN_COST = 8
 #: Sizes counted apart when the boundary is chosen; members outside the centre's component that make a list long.
 COUNTED_SIZES, LONG_LIST = 256, 32
+#: Longs of a parity sketch.
+SKETCH_LONGS = 16
 _SENT = "g long, bucket long, kind int, n long, keys binary, extra binary"
 _REPLY = "g long, bucket long, kind int, extra binary"
 _COUNT, _SET = 0, 1
@@ -114,6 +116,13 @@ def part_keys(shingles: np.ndarray, percent: int) -> list[dict]:
     return out
 
 
+def parity(shingles: np.ndarray) -> list[int]:
+    """``SKETCH_LONGS`` longs whose bits tell whether an odd number of shingles falls on them."""
+    bits = packed.mix64(shingles ^ packed.MIX1) % np.uint64(64 * SKETCH_LONGS)
+    odd = np.bincount(bits.astype(np.int64), minlength=64 * SKETCH_LONGS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def _rows(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     columns = list(zip(*rows, strict=True)) or [()] * len(schema)
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
@@ -326,21 +335,27 @@ def _heavy_links(index: DataFrame, links: DataFrame, percent: int) -> DataFrame:
 def _part_pairs(members: DataFrame, index: DataFrame, percent: int) -> DataFrame:
     """Pairs ``(a, b)`` of members of different components that agree in a part."""
 
-    def keys(shingles: pd.Series) -> pd.Series:
-        return pd.Series([part_keys(packed.unpack(x, _SET_BYTES), percent) for x in shingles], dtype=object)
+    def keys(shingles: pd.Series) -> pd.DataFrame:
+        sets = [packed.unpack(x, _SET_BYTES) for x in shingles]
+        rows = {"keys": [part_keys(x, percent) for x in sets], "bits": [parity(x) for x in sets]}
+        return pd.DataFrame(rows, columns=["keys", "bits"], dtype=object)
 
-    parted = F.pandas_udf(keys, "array<struct<pair: int, key: long>>")
-    sets = members.join(index.where("shingles is not null").select("id", "n", "shingles"), "id")
-    entries = sets.select("id", "n", "component", F.explode(parted("shingles")).alias("k")).select("id", "n", "component", "k.pair", "k.key")
+    told = F.pandas_udf(keys, "keys array<struct<pair: int, key: long>>, bits array<long>")
+    sets = members.join(index.where("shingles is not null").select("id", "n", "shingles"), "id").withColumn("s", told("shingles"))
+    entries = sets.select("id", "n", "component", F.col("s.bits").alias("bits"), F.explode("s.keys").alias("k")).select(
+        "id", "n", "component", "bits", "k.pair", "k.key"
+    )
     lists = entries.groupBy("pair", "key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     path = scratch_dir(index.sparkSession, "part-lists")
     entries.join(lists.select("pair", "key"), ["pair", "key"]).write.parquet(path)
     met = index.sparkSession.read.parquet(path)
-    x = met.select("pair", "key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    y = met.select("pair", "key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    # Sizes alone rule out some; one order of each pair is enough.
+    x = met.select("pair", "key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("bits").alias("xa"))
+    y = met.select("pair", "key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("bits").alias("xb"))
+    # Sizes and sketches rule out most, in the join itself; one order of each pair is enough.
     sized = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    return x.join(y, ["pair", "key"]).where((F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & sized).select("a", "b").distinct()
+    apart = sum((F.bit_count(F.col("xa")[k].bitwiseXOR(F.col("xb")[k])) for k in range(SKETCH_LONGS)), F.lit(0))
+    close = (100 + percent) * apart <= (100 - percent) * (F.col("na") + F.col("nb"))
+    return x.join(y, ["pair", "key"]).where((F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & sized & close).select("a", "b").distinct()
 
 
 def link_classes(

@@ -169,3 +169,13 @@ def test_long_lists_lose_no_link(spark, monkeypatch):
             docs.append((len(docs), " ".join(w)))
     monkeypatch.setattr(ngram_join, "LONG_LIST", 3)
     assert verified_pairs(spark, monkeypatch, docs)[1] == brute.classes(docs)
+
+
+def test_sketches_never_differ_more_than_sets():
+    rng = random.Random(12)
+    for n in (1, 5, 100, 3000):
+        a = {rng.getrandbits(64) for _ in range(n)}
+        b = set(rng.sample(sorted(a), n - n // 5)) | {rng.getrandbits(64) for _ in range(n // 6)}
+        bits = [ngram_join.parity(ngram_join.np.array(sorted(x), ngram_join.np.uint64)) for x in (a, b)]
+        apart = sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(*bits, strict=True))
+        assert apart <= len(a ^ b) and (n > 100 or apart >= 0.9 * len(a ^ b) - 1)
