@@ -185,9 +185,11 @@ def test_sink_keeps_a_column_named_batch(spark):
 
 
 def test_sessions_of_a_hot_key_merge_before_the_shuffle(spark):
-    src = stream_plans._events_stream(spark, SF_SMALL)
-    W.sessions(src, "user_id", "ts", "1 hour", [F.count(F.lit(1)).alias("n")])
-    assert spark.conf.get("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition") == "true"
+    key = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+    own = stream_plans._session(spark, SF_SMALL, **W.SESSION_CONF)
+    W.sessions(stream_plans._events_stream(own, SF_SMALL), "user_id", "ts", "1 hour", [F.count(F.lit(1)).alias("n")])
+    # The setting is the stream's session's own; the caller's stays as it was.
+    assert own.conf.get(key) == "true" and spark.conf.get(key) == "false"
     events = spark.read.parquet(f"{SF_SMALL}/events.parquet").withColumn("user_id", F.lit(1))
     out = W.sessions(events, "user_id", "ts", "10 minutes", [F.count(F.lit(1)).alias("n")])
     assert out.agg(F.sum("n")).first()[0] == events.count()
