@@ -14,11 +14,15 @@ from tablelab.sources import derived as D
 from tablelab.sources import eventlog as ES
 
 APP = "app-events"
+#: Lines of a part of the log, about 40 MB before compression: a compressed part is read by one task.
+PART_LINES = 100_000
 
 
 def _write_log(spark, sf_dir) -> str:
     root = scratch_dir(spark, "eventlog")
-    D.task_end_lines(table(spark, sf_dir, "events")).write.text(f"{root}/eventlog_v2_{APP}")
+    lines = D.task_end_lines(table(spark, sf_dir, "events")).write.option("maxRecordsPerFile", PART_LINES)
+    # Field names fill most of a line, so that plain text is about 40 times the events' Parquet.
+    lines.text(f"{root}/eventlog_v2_{APP}", compression="gzip")
     return root
 
 

@@ -270,6 +270,22 @@ def test_eventlog_reports_on_derived_lines(spark):
     assert f.count() == 10  # every stage has some GC time
 
 
+def test_the_derived_log_is_written_in_small_compressed_parts(spark, monkeypatch, tmp_path):
+    from tablelab.plans import eventlog_plans as P
+
+    monkeypatch.setattr(P, "PART_LINES", 500, raising=False)
+    rows = [(k, datetime.datetime(2024, 1, 1, 0, 0, k % 60), k * 7 % 1009, ("view", "error", "purchase")[k % 3], k * 1.5) for k in range(2000)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double")
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    log = f"{P._write_log(spark, str(tmp_path)).removeprefix('file:')}/eventlog_v2_{P.APP}"
+    lines = D.task_end_lines(spark.read.parquet(f"{tmp_path}/events.parquet"))
+    parts = glob.glob(f"{log}/part-*")
+    assert len(parts) == 8 and all(spark.read.text(p).count() == 500 for p in parts)
+    assert 5 * sum(map(os.path.getsize, parts)) < lines.agg(F.sum(F.length("value") + 1)).first()[0]
+    read, plain = ES.read_task_metrics(spark, log), ES.task_metrics(lines.withColumn("app", F.lit(P.APP)))
+    assert read.count() == 2000 and read.exceptAll(plain).count() == 0
+
+
 # --- Python batches ---------------------------------------------------------------------
 
 
