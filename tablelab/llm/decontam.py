@@ -18,6 +18,7 @@ exactly, so a larger benchmark costs rows, not memory.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -147,6 +148,30 @@ def anchors(windows: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
+def _hits(texts: packed.Texts, bits: np.ndarray, sizes: list[int], reach: int) -> pa.ListArray:
+    """Per text the places of shingles that pass the filter, with the words around them.
+
+    Built by columns, as where every word is a hit the words are there ``2 * reach`` times.
+    """
+    found = []
+    for size in sizes:
+        hashes, at = _shingles(texts, size)
+        hit = _passing(hashes, bits)
+        found.append((hashes[hit].view(np.int64), at[hit], np.full(len(hit), size)))
+    hashes, at, size = map(np.concatenate, zip(*found, strict=True))
+    order = np.argsort(texts.doc[at], kind="stable")
+    hashes, at, size = hashes[order], at[order], size[order]
+    doc = texts.doc[at]
+    first = np.maximum(texts.starts[doc], at + size - reach)
+    ends = np.concatenate([[0], np.cumsum(np.minimum(texts.ends[doc], at + reach) - first)]).astype(np.int64)
+    place = np.arange(ends[-1], dtype=np.int32) + np.repeat((first - ends[:-1]).astype(np.int32), np.diff(ends))
+    words = pa.array(chain.from_iterable(texts.words) if len(at) else [], pa.binary()).cast(pa.string())
+    around = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words.take(pa.array(place)))
+    columns = [pa.array(hashes), pa.array(at - texts.starts[doc]), pa.array(first - texts.starts[doc]), around]
+    each = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(texts.words)))])
+    return pa.ListArray.from_arrays(pa.array(each, pa.int32()), pa.StructArray.from_arrays(columns, ["hash", "pos", "from", "around"]))
+
+
 def probe(docs: DataFrame, index: DataFrame, sizes: list[int], reach: int) -> DataFrame:
     """``(id, key, text)`` to ``(id, key, n_words, hits)``: places of possible anchors with the words around them.
 
@@ -154,24 +179,13 @@ def probe(docs: DataFrame, index: DataFrame, sizes: list[int], reach: int) -> Da
     window with this anchor could reach.
     """
     shared = docs.sparkSession.sparkContext.broadcast(bit_filter(index.select("hash")))
-    hit_type = pa.list_(pa.struct([("hash", pa.int64()), ("pos", pa.int64()), ("from", pa.int64()), ("around", pa.list_(pa.string()))]))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
         for part in slices(batches, "text"):
             texts = packed.Texts(pa.chunked_array([pa.nulls(len(part), pa.int64())]), map(words_of, part.column("text").to_pylist()))
-            hits: list[list[dict]] = [[] for _ in texts.words]
-            for size in sizes:
-                hashes, at = _shingles(texts, size)
-                for k in _passing(hashes, bits).tolist():
-                    d = int(texts.doc[at[k]])
-                    pos = int(at[k] - texts.starts[d])
-                    a = max(0, pos + size - reach)
-                    around = [w.decode("utf-8", "surrogatepass") for w in texts.words[d][a : pos + reach]]
-                    hits[d].append({"hash": int(hashes[k].view(np.int64)), "pos": pos, "from": a, "around": around})
-            yield pa.RecordBatch.from_arrays(
-                [part.column("id"), part.column("key"), pa.array(texts.lengths), pa.array(hits, hit_type)], ["id", "key", "n_words", "hits"]
-            )
+            hits = _hits(texts, bits, sizes, reach)
+            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("key"), pa.array(texts.lengths), hits], ["id", "key", "n_words", "hits"])
 
     id_type = dict(docs.dtypes)["id"]
     return docs.select("id", "key", "text").mapInArrow(

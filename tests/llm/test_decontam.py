@@ -1,6 +1,10 @@
 import random
+import tracemalloc
 
-from tablelab.llm import decontam
+import numpy as np
+import pyarrow as pa
+
+from tablelab.llm import decontam, packed
 from tests.llm import brute
 
 
@@ -57,3 +61,23 @@ def test_windows_of_the_middle_of_an_item_are_found(spark):
     df = spark.createDataFrame([(1, text), (2, text.replace("q15", "q99"))], "doc_id long, text string")
     got = {r["id"]: (r["n_hit"], r["items"]) for r in decontam.find_items(df, spark.createDataFrame([(4, item)], "item_id long, text string")).collect()}
     assert got == {1: (13, ["4"]), 2: (0, [])}
+
+
+def test_a_text_full_of_hits_takes_little_memory():
+    rng = random.Random(5)
+    texts = [" ".join(f"é{rng.randint(0, 99)}" for _ in range(n)) for n in (0, 3, 5, 40, 20000)] + [None]
+    words = packed.Texts(pa.chunked_array([pa.nulls(len(texts), pa.int64())]), map(decontam.words_of, texts))
+    every, none = np.full(1 << decontam.FILTER_BITS - 3, 255, np.uint8), np.zeros(1 << decontam.FILTER_BITS - 3, np.uint8)
+    held = pa.total_allocated_bytes()
+    tracemalloc.start()
+    hits = decontam._hits(words, every, [2, 5], 13)
+    peak = tracemalloc.get_traced_memory()[1] + pa.total_allocated_bytes() - held
+    tracemalloc.stop()
+    assert [len(h) for h in hits.to_pylist()] == [0, 2, 4 + 1, 39 + 36, 19999 + 19996, 0]
+    for text, own in zip(texts, hits.to_pylist(), strict=True):
+        for k, h in enumerate(own[:40]):
+            size = 2 if k < len(text.split()) - 1 else 5
+            a = max(0, h["pos"] + size - 13)
+            assert (h["from"], h["around"]) == (a, text.split()[a : h["pos"] + 13])
+    assert peak < 1000 * len(hits.flatten())
+    assert [len(h) for h in decontam._hits(words, none, [2, 5], 13).to_pylist()] == [0] * 6
