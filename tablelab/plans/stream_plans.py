@@ -181,8 +181,8 @@ def stream_resume(spark, sf_dir):
 
 
 BATCHES = 10
-#: Bytes of an arrivals file, before encoding, and of a row: four columns of eight bytes.
-FILE_BYTES, ROW_BYTES = 64 << 20, 32
+#: Bytes of an arrivals file, and about those of a row in it.
+FILE_BYTES, ROW_BYTES = 64 << 20, 24
 
 _LATE_SQL = """
 with e as (
